@@ -10,12 +10,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from swayline.functions.columns import hash32, hash_share
 
 
-def in_holdout(member: Column, seed: int = 42, share: float = 0.2) -> Column:
+def in_holdout(member: Column, seed: int | str = 42, share: float = 0.2) -> Column:
     return hash_share(member, F.lit(seed)) < share
 
 
-def hold_out(df: DataFrame, seed: int = 42, share: float = 0.2, member: str = "member_id") -> tuple[DataFrame, DataFrame]:
-    """(train, held out). Each arm is hit at the same rate because the hash does not know the arm."""
+def hold_out(df: DataFrame, seed: int | str = 42, share: float = 0.2,
+             member: str = "member_id") -> tuple[DataFrame, DataFrame]:
+    """(train, held out). Each arm is hit at the same rate because the hash does not know the arm.
+
+    Splitting a part again needs another seed: with the same one the same members would be drawn.
+    """
     side = in_holdout(F.col(member), seed, share)
     return df.filter(~side), df.filter(side)
 

@@ -67,7 +67,7 @@ def search(train: DataFrame, features: Sequence[str], trials: int = 8, seed: int
     A few trials run at a time; only the two areas of each come back. The split is written once and read by all.
     """
     data = materialise(train, "search")
-    fit_part, val_part = hold_out(data, seed)
+    fit_part, val_part = hold_out(data, f"{seed}:search")
 
     def run(number: int, params: dict) -> dict:
         learner = fit(fit_part, features, boost_of(params, seed))
