@@ -341,10 +341,10 @@ walk(i, dropped) as (select cast(0 as bigint), []::varchar[] union all
 ORACLE["h3_greedy_drop"] = "with recursive " + ",\n".join([*BASE, *CORR, WALK]) + \
     "\nselect unnest(dropped) as feature from walk where i = (select max(i) from walk)"
 ORACLE["f4_interaction_candidates"] = with_(*BASE, *CORR) + f"""select feature_1 as feature, {r6('abs(corr)', 'abs_corr')} from corr
-  where feature_2 = 'treatment' and feature_1 in (select feature from places) and abs(corr) > 0.02
+  where feature_2 = 'treatment' and feature_1 in (select feature from places) and abs(corr) > 0.01
   order by abs(corr) desc, feature_1 limit 15"""
 ORACLE["h6_interaction_features"] = with_(*BASE, *CORR, """chosen as (select feature_1 as feature from corr
-  where feature_2 = 'treatment' and feature_1 in (select feature from places) and abs(corr) > 0.02
+  where feature_2 = 'treatment' and feature_1 in (select feature from places) and abs(corr) > 0.0
   order by abs(corr) desc, feature_1 limit 5)""", f"all_long as ({feature_long(FEATURES, 'treatment')})",
     "long as (select 'outreach_x_' || feature as feature, treatment * value as value from all_long join chosen using (feature))") + \
     describe("feature")

@@ -564,7 +564,7 @@ def f3_top_trials(spark, d):
 @query
 def f4_interaction_candidates(spark, d):
     corr, _, names = _correlations(spark, d)
-    return tidy(selection.interaction_candidates(corr, names, threshold=0.02))
+    return tidy(selection.interaction_candidates(corr, names, threshold=0.01))
 
 
 # --- reports over splits --------------------------------------------------------------------------------------
@@ -618,7 +618,7 @@ def h6_interaction_features(spark, d):
     ft = written_features(spark, d)
     names = fe.feature_names(ft)
     corr = selection.correlation_table(spark, selection.moments(ft, [*names, "y", "treatment"]))
-    chosen = [r["feature"] for r in selection.interaction_candidates(corr, names, threshold=0.02, limit=5).collect()]
+    chosen = [r["feature"] for r in selection.interaction_candidates(corr, names, threshold=0.0, limit=5).collect()]
     made = [ia.TREATMENT_PREFIX + c for c in chosen]
     return tidy(effects.describe(ia.add_interactions(ft, chosen), made).select("feature", "count", "mean", "std", "min", "max"))
 

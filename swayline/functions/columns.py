@@ -48,8 +48,16 @@ def code_prefix(code: Column) -> Column:
     return F.substring(code, 1, 3)
 
 
-def code_flag(code: Column, wanted: str) -> Column:
-    return F.coalesce((code == wanted).cast("int"), F.lit(0))
+def code_bit(code: Column, wanted: Sequence[str]) -> Column:
+    """A number with the bit of the listed code set; 0 for any other code and for null. At most 63 codes."""
+    bit = F.lit(0).cast("bigint")
+    for i, c in reversed(list(enumerate(wanted))):
+        bit = F.when(code == c, F.lit(1 << i).cast("bigint")).otherwise(bit)
+    return bit
+
+
+def has_bit(bits: Column, i: int) -> Column:
+    return F.getbit(bits, F.lit(i)).cast("int")
 
 
 def hash32(*parts: Column) -> Column:

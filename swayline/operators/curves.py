@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from swayline.config import CurveConfig
 from swayline.functions.columns import clean, rate
-from swayline.operators.running import running_sums
+from swayline.operators.running import Cuts, find_cuts, running_sums
 
 
 @dataclass(frozen=True)
@@ -24,29 +24,29 @@ class ScoreColumns:
     member: str = "member_id"
 
 
-def rank_members(df: DataFrame, score: str = "uplift", *, descending: bool = True, member: str = "member_id",
-                 cfg: CurveConfig = CurveConfig()) -> DataFrame:
-    """Unique rank 1..N by score, ties by member."""
-    ranked = running_sums(df, score, {"rank": F.lit(1).cast("bigint")}, tie_break=member,
-                          descending=descending, cfg=cfg)
-    return ranked.drop("before_rank")
+def score_cuts(df: DataFrame, cols: ScoreColumns = ScoreColumns(), cfg: CurveConfig = CurveConfig()) -> Cuts:
+    """Bucket thresholds of a score table, to share between several curves over it."""
+    ready = df.withColumn(cols.score, clean(F.col(cols.score)))
+    return find_cuts(ready, cols.score, cols.member, 1, cfg)
 
 
-def top_members(df: DataFrame, n: int | Column, score: str = "uplift", *, descending: bool = True,
-                member: str = "member_id", cfg: CurveConfig = CurveConfig()) -> DataFrame:
-    """The first ``n`` members of the ranking."""
-    return rank_members(df, score, descending=descending, member=member, cfg=cfg).filter(F.col("rank") <= n)
+def rank_members(df: DataFrame, score: str = "uplift", *, descending: bool = True, member: str = "member_id",
+                 first: int | None = None, cuts: Cuts | None = None, cfg: CurveConfig = CurveConfig()) -> DataFrame:
+    """Unique rank 1..N by score, ties by member. With ``first``, only that many rows, and only their buckets are sorted."""
+    ranked = running_sums(df, score, {"rank": F.lit(1).cast("bigint")}, tie_break=member, descending=descending,
+                          up_to=None if first is None else ("rank", first), cuts=cuts, cfg=cfg).drop("before_rank")
+    return ranked if first is None else ranked.filter(F.col("rank") <= first)
 
 
-def counted(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, descending: bool = True,
-            keys: Sequence[str] = (), n_groups: int = 1, cfg: CurveConfig = CurveConfig()) -> DataFrame:
+def counted(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, descending: bool = True, first: int | None = None,
+            cuts: Cuts | None = None, cfg: CurveConfig = CurveConfig()) -> DataFrame:
     """Running k, n_treated, n_control, y_treated, y_control and sum_score in score order."""
     t, y = F.col(cols.treatment).cast("bigint"), F.col(cols.outcome).cast("bigint")
     return running_sums(df, cols.score, {
         "k": F.lit(1).cast("bigint"),
         "n_treated": t, "n_control": 1 - t, "y_treated": y * t, "y_control": y * (1 - t),
         "sum_score": F.coalesce(F.col(cols.score), F.lit(0.0)),
-    }, tie_break=cols.member, keys=keys, n_groups=n_groups, descending=descending, cfg=cfg)
+    }, tie_break=cols.member, descending=descending, up_to=None if first is None else ("k", first), cuts=cuts, cfg=cfg)
 
 
 def scaled_control(nc: Column, yc: Column, nt: Column) -> Column:
@@ -73,10 +73,12 @@ def gain_floored() -> Column:
 
 
 def qini_gain_curve(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, descending: bool = True,
+                    first: int | None = None, cuts: Cuts | None = None,
                     cfg: CurveConfig = CurveConfig()) -> DataFrame:
     """(k, qini_gain, avg_uplift, pct_targeted) with ``gain_added``: the curve the target size is read from."""
     total = df.agg(F.count("*").alias("n"))
-    return counted(df, cols, descending=descending, cfg=cfg).crossJoin(F.broadcast(total)).select(
+    points = counted(df, cols, descending=descending, first=first, cuts=cuts, cfg=cfg)
+    return points.crossJoin(F.broadcast(total)).select(
         cols.member, "k", gain_added().alias("qini_gain"),
         (F.col("sum_score") / F.col("k")).alias("avg_uplift"),
         (F.col("k") * 100.0 / F.col("n")).alias("pct_targeted"),
@@ -123,10 +125,11 @@ def auuc(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, descending: bool
 
 
 def optimal_target(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, descending: bool = True,
-                   max_budget_n: int | None = None, cfg: CurveConfig = CurveConfig()) -> DataFrame:
+                   max_budget_n: int | None = None, cuts: Cuts | None = None,
+                   cfg: CurveConfig = CurveConfig()) -> DataFrame:
     """One row: the k of largest gain (the smallest such k), its gain, mean score and share of members."""
-    curve = qini_gain_curve(df, cols, descending=descending, cfg=cfg).drop(cols.member)
-    if max_budget_n:
+    curve = qini_gain_curve(df, cols, descending=descending, first=max_budget_n, cuts=cuts, cfg=cfg).drop(cols.member)
+    if max_budget_n is not None:
         curve = curve.filter(F.col("k") <= max_budget_n)
     best = F.max(F.struct("qini_gain", (-F.col("k")).alias("neg_k"), "avg_uplift", "pct_targeted")).alias("best")
     return curve.agg(best).filter("best is not null").select(
@@ -134,16 +137,6 @@ def optimal_target(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, descen
         F.col("best.avg_uplift").alias("avg_uplift"), F.col("best.pct_targeted").alias("pct_targeted"))
 
 
-def tied_points(df: DataFrame, sums: dict[str, Column], score: str, keys: Sequence[str], n_groups: int,
-                descending: bool, cfg: CurveConfig) -> DataFrame:
-    """Running sums with one point per distinct score. Ties collapse on the map side first, however heavy."""
-    groups = df.withColumn(score, clean(F.col(score))).groupBy(*keys, score).agg(
-        *[F.sum(c).alias(n) for n, c in sums.items()])
-    own = groups.withColumnsRenamed({n: f"own_{n}" for n in sums})
-    return running_sums(own, score, {n: F.col(f"own_{n}") for n in sums}, tie_break=None, keys=keys,
-                        n_groups=n_groups, descending=descending, cfg=cfg)
-
-
 def qini_auc(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, keys: Sequence[str] = (), n_groups: int = 1,
              cfg: CurveConfig = CurveConfig()) -> DataFrame:
     """Normalised Qini area per key: (model area - diagonal) / (perfect area - diagonal).
@@ -152,8 +145,8 @@ def qini_auc(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, keys: Sequen
     tie groups (treated with outcome, no outcome, control with outcome), so its area needs totals only.
     """
     t, y = F.col(cols.treatment).cast("bigint"), F.col(cols.outcome).cast("bigint")
-    points = tied_points(df, {"n": F.lit(1).cast("bigint"), "nt": t, "yt": y * t, "yc": y * (1 - t)},
-                         cols.score, keys, n_groups, True, cfg)
+    points = running_sums(df, cols.score, {"n": F.lit(1).cast("bigint"), "nt": t, "yt": y * t, "yc": y * (1 - t)},
+                          tie_break=None, keys=keys, n_groups=n_groups, cfg=cfg)
 
     def height(prefix: str) -> Column:
         nt, nc = F.col(f"{prefix}nt"), F.col(f"{prefix}n") - F.col(f"{prefix}nt")
@@ -179,7 +172,8 @@ def roc_auc(df: DataFrame, score: str, label: str, *, keys: Sequence[str] = (),
             cfg: CurveConfig = CurveConfig()) -> DataFrame:
     """Rank-sum ROC area per key: a tie counts one half. Null when a class is absent."""
     positive = F.col(label).cast("bigint")
-    points = tied_points(df, {"pos": positive, "neg": 1 - positive}, score, keys, n_groups, False, cfg)
+    points = running_sums(df, score, {"pos": positive, "neg": 1 - positive}, tie_break=None, keys=keys,
+                          n_groups=n_groups, descending=False, cfg=cfg)
     won = (F.col("pos") - F.col("before_pos")) * (F.col("neg") + F.col("before_neg")) / 2.0
     return points.groupBy(*keys).agg(
         F.try_divide(F.sum(won), F.max("pos").cast("double") * F.max("neg")).alias("roc_auc"))

@@ -52,7 +52,7 @@ def top_differences(df: DataFrame, features: Sequence[str], k: int = 20, treatme
 
 
 def describe(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """(by.., feature, count, mean, std, min, p25, p50, p75, max) with exact quartiles."""
+    """(by.., feature, count, mean, std, min, p25, p50, p75, max) with exact quartiles. Needs a feature or more."""
     def basics(c: str) -> Column:
         x = clean(F.col(c))
         return F.struct(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),

@@ -86,6 +86,10 @@ def web_features(web_visits: DataFrame, cfg: FeatureConfig) -> DataFrame:
 
 def claims_features(claims: DataFrame, cfg: FeatureConfig) -> DataFrame:
     ts, code = F.col("ts"), F.col("icd_code")
+    # All flags of a member travel as one number per 60 codes: one narrow aggregate instead of one per flag.
+    codes = list(cfg.flag_names.items())
+    blocks = [codes[i:i + 60] for i in range(0, len(codes), 60)]
+    bits = [F.bit_or(C.code_bit(code, [c for c, _ in block])) for block in blocks]
     rows = keyed(claims).select(
         "member_id", "icd_code", C.code_prefix(F.col(cfg.category_column)).alias("icd_category"),
         as_timestamp(claims, "diagnosis_date").alias("ts"))
@@ -94,7 +98,7 @@ def claims_features(claims: DataFrame, cfg: FeatureConfig) -> DataFrame:
         F.count_distinct(code).alias("unique_icd_codes"),
         F.count_distinct("icd_category").alias("unique_icd_categories"),
         F.max(ts).alias("last_claim"),
-        *[F.max(C.code_flag(code, c)).alias(name) for c, name in cfg.flag_names.items()],
+        *[C.has_bit(b, i).alias(name) for b, block in zip(bits, blocks) for i, (_, name) in enumerate(block)],
         *trend_columns(ts, C.midnight(cfg.claims_mid), "claims", "claim_trend"),
     )
 

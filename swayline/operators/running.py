@@ -100,15 +100,22 @@ def running_sums(
     keys: Sequence[str] = (),
     n_groups: int = 1,
     descending: bool = True,
+    up_to: tuple[str, int] | None = None,
+    cuts: Cuts | None = None,
     cfg: CurveConfig = CurveConfig(),
 ) -> DataFrame:
-    """Add, per key, the running total of each expression in ``sums`` in score order, this row included.
+    """Running total, per key, of each expression in ``sums`` in score order, this row included.
 
-    ``before_<name>`` carries the total up to the row before. Ties follow ``tie_break``; without one the score
-    must be unique per key. ``df`` is read three times, so hand in a scan, not an expensive plan.
+    ``before_<name>`` carries the total up to the row before. With a ``tie_break`` every row is a point and all
+    columns are kept. Without one, rows of equal score become one point ``(keys.., score)``; they are combined
+    on the map side, so a score held by most rows is no burden.
+
+    ``up_to=(name, n)`` leaves out buckets in which that running total is past ``n`` from the start. ``df`` is
+    scanned for cuts, for bucket totals and for the result, so hand in a table, not an expensive plan; ``cuts``
+    of the same table can be reused.
     """
     ready = df.withColumn(score, clean(F.col(score)))
-    cuts = find_cuts(ready, score, tie_break, n_groups, cfg)
+    cuts = cuts or find_cuts(ready, score, tie_break, n_groups, cfg)
     ready = assign_buckets(ready, score, tie_break, cuts, descending)
     place = [*keys, BUCKET, PART]
 
@@ -116,17 +123,27 @@ def running_sums(
     earlier = Window.partitionBy(*keys).orderBy(BUCKET, PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*place, *[
         F.coalesce(F.sum(f"_all_{n}").over(earlier), F.lit(0)).alias(f"_off_{n}") for n in sums])
+    if up_to:
+        name, limit = up_to
+        offsets = offsets.filter(F.col(f"_off_{name}") < limit)
+        ready = ready.join(F.broadcast(offsets.select(place)), place, "left_semi")
 
+    if tie_break:
+        kept = df.columns
+        points = ready.withColumns({f"_own_{n}": c for n, c in sums.items()})
+        ties = [F.col(tie_break)]
+    else:
+        kept = [*keys, score]
+        points = ready.groupBy(*place, score).agg(*[F.sum(c).alias(f"_own_{n}") for n, c in sums.items()])
+        ties = []
     direction = F.col(score).desc_nulls_last() if descending else F.col(score).asc_nulls_last()
-    order = [direction] + ([F.col(tie_break)] if tie_break else [])
-    upto = Window.partitionBy(*place).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    inside = ready.select("*", *[F.sum(c).over(upto).alias(f"_in_{n}") for n, c in sums.items()],
-                          *[c.alias(f"_own_{n}") for n, c in sums.items()])
-    # One row per bucket: at most a few per threshold, whatever the table size.
+    upto = Window.partitionBy(*place).orderBy(direction, *ties).rowsBetween(Window.unboundedPreceding, 0)
+    inside = points.select("*", *[F.sum(f"_own_{n}").over(upto).alias(f"_in_{n}") for n in sums])
+    # A few rows per threshold and key, whatever the table size.
     joined = inside.join(F.broadcast(offsets), place)
     running = {n: F.col(f"_in_{n}") + F.col(f"_off_{n}") for n in sums}
     return joined.select(
-        *df.columns,
+        *kept,
         *[c.alias(n) for n, c in running.items()],
         *[(c - F.col(f"_own_{n}")).alias(f"before_{n}") for n, c in running.items()],
     )

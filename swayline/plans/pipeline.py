@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from swayline.config import CurveConfig, FeatureConfig
 from swayline.operators import curves, effects, features as feature_ops, interactions, quality, selection
@@ -54,7 +54,9 @@ def contact_list(scores: DataFrame, cols: ScoreColumns = ScoreColumns(), *, curv
     same direction for a consistent list. With a bad outcome, low uplift (fewer bad outcomes) ranks first.
     """
     scored = materialise(scores.select(cols.member, cols.outcome, cols.treatment, cols.score), "scores")
-    best = curves.optimal_target(scored, cols, descending=curve_descending, max_budget_n=max_budget_n, cfg=cfg).first()
-    ranked = curves.top_members(scored, best["optimal_n"] if best else 0, cols.score, descending=list_descending,
-                                member=cols.member, cfg=cfg)
-    return ranked.select(cols.member, ranked[cols.score].alias("prioritization_score"), "rank", cols.outcome)
+    cuts = curves.score_cuts(scored, cols, cfg)
+    best = curves.optimal_target(scored, cols, descending=curve_descending, max_budget_n=max_budget_n, cuts=cuts,
+                                 cfg=cfg).first()
+    ranked = curves.rank_members(scored, cols.score, descending=list_descending, member=cols.member,
+                                 first=best["optimal_n"] if best else 0, cuts=cuts, cfg=cfg)
+    return ranked.select(cols.member, F.col(cols.score).alias("prioritization_score"), "rank", cols.outcome)
