@@ -42,7 +42,8 @@ def counted(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, descending: b
             cuts: Cuts | None = None, cfg: CurveConfig = CurveConfig()) -> DataFrame:
     """Running k, n_treated, n_control, y_treated, y_control and sum_score in score order."""
     t, y = F.col(cols.treatment).cast("bigint"), F.col(cols.outcome).cast("bigint")
-    return running_sums(df, cols.score, {
+    needed = df.select(cols.member, cols.outcome, cols.treatment, cols.score)
+    return running_sums(needed, cols.score, {
         "k": F.lit(1).cast("bigint"),
         "n_treated": t, "n_control": 1 - t, "y_treated": y * t, "y_control": y * (1 - t),
         "sum_score": F.coalesce(F.col(cols.score), F.lit(0.0)),
@@ -145,7 +146,8 @@ def qini_auc(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, keys: Sequen
     tie groups (treated with outcome, no outcome, control with outcome), so its area needs totals only.
     """
     t, y = F.col(cols.treatment).cast("bigint"), F.col(cols.outcome).cast("bigint")
-    points = running_sums(df, cols.score, {"n": F.lit(1).cast("bigint"), "nt": t, "yt": y * t, "yc": y * (1 - t)},
+    named = df.select(*keys, F.col(cols.score).alias("_s"), cols.treatment, cols.outcome)
+    points = running_sums(named, "_s", {"n": F.lit(1).cast("bigint"), "nt": t, "yt": y * t, "yc": y * (1 - t)},
                           tie_break=None, keys=keys, n_groups=n_groups, cfg=cfg)
 
     def height(prefix: str) -> Column:
@@ -171,8 +173,9 @@ def qini_auc(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, keys: Sequen
 def roc_auc(df: DataFrame, score: str, label: str, *, keys: Sequence[str] = (), n_groups: int = 1,
             cfg: CurveConfig = CurveConfig()) -> DataFrame:
     """Rank-sum ROC area per key: a tie counts one half. Null when a class is absent."""
-    positive = F.col(label).cast("bigint")
-    points = running_sums(df, score, {"pos": positive, "neg": 1 - positive}, tie_break=None, keys=keys,
+    positive = F.col("_label").cast("bigint")
+    named = df.select(*keys, F.col(score).alias("_s"), F.col(label).alias("_label"))
+    points = running_sums(named, "_s", {"pos": positive, "neg": 1 - positive}, tie_break=None, keys=keys,
                           n_groups=n_groups, descending=False, cfg=cfg)
     won = (F.col("pos") - F.col("before_pos")) * (F.col("neg") + F.col("before_neg")) / 2.0
     return points.groupBy(*keys).agg(
