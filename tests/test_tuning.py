@@ -1,0 +1,39 @@
+import numpy as np
+import pytest
+
+from swayline.config import SEARCH_SPACE
+from swayline.operators import splits, tuning
+from swayline.sources.storage import materialise
+from tests.test_learners import X, planted
+
+
+def test_selection_rule():
+    pick = tuning.select_trial
+    assert pick([]) is None
+    assert pick([(1, 0.10, 0.05)]).trial == 1
+    assert pick([(1, 0.10, 0.05), (2, 0.20, 0.055)]).trial == 2  # better, gap a little worse
+    assert pick([(1, 0.10, 0.05), (2, 0.20, 0.06001)]).trial == 1  # better, gap too much worse
+    assert pick([(1, 0.100, 0.05), (2, 0.096, 0.01)]).trial == 2  # nearly equal, smaller gap
+    assert pick([(1, 0.100, 0.05), (2, 0.094, 0.01)]).trial == 1
+    assert pick([(2, 0.096, 0.01), (1, 0.100, 0.05)]).trial == 2  # order is the trial order
+    assert pick([(1, float("nan"), float("nan")), (2, 0.1, 0.2)]).trial == 2
+
+
+def test_boost_mapping():
+    params = {k: v[0] for k, v in SEARCH_SPACE.items()} | {"bagging_freq": 2, "bagging_fraction": 0.6}
+    cfg = tuning.boost_of(params)
+    assert cfg.max_iter == 50 and cfg.subsampling == 0.6 and cfg.min_instances == 20 and cfg.feature_share == 0.4
+    assert tuning.boost_of(params | {"bagging_freq": 0}).subsampling == 1.0
+    assert splits.space_size(SEARCH_SPACE) == int(np.prod([len(v) for v in SEARCH_SPACE.values()], dtype=object))
+
+
+def test_search_and_refit(spark):
+    train = materialise(spark.createDataFrame(planted(1200)))
+    space = {"n_estimators": (3, 5), "max_depth": (2,), "learning_rate": (0.3,), "min_child_samples": (20,),
+             "colsample_bytree": (1.0,), "bagging_freq": (0,), "bagging_fraction": (0.9,)}
+    rows = tuning.search(train, X, trials=2, space=space)
+    assert [r["trial"] for r in rows] == [1, 2]
+    assert all(r["overfitting_gap"] == pytest.approx(r["train_qini"] - r["val_qini"]) for r in rows)
+    table = tuning.trial_table(spark, rows)
+    assert table.count() == 2 and dict(table.dtypes)["n_estimators"] == "bigint"
+    assert "uplift" in tuning.refit_best(train, X, rows).score(train).columns
