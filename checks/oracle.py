@@ -166,6 +166,9 @@ ORACLE["b20_imputed_effects"] = with_(*BASE, GIVEN) + \
 ORACLE["b21_blended_effect"] = with_(*BASE, GIVEN) + \
     f"select member_id, {r6('p * mu0 + (1.0::double - p) * mu1', 'uplift')} from given"
 
+ORACLE["j7_pseudo_outcome"] = with_(*BASE, GIVEN) + f"""select member_id, {r6(f'mu1 - mu0 + treatment * (y - mu1) / {_clip} '
+    f'- (1 - treatment) * (y - mu0) / (1.0::double - {_clip})', 'pseudo')} from given"""
+
 # --- joins, aggregates ----------------------------------------------------------------------------------------
 
 ORACLE["c1_feature_join"] = with_(*TABLES) + feature_list(JOINED_COLUMNS, "joined")
@@ -349,6 +352,40 @@ ORACLE["h6_interaction_features"] = with_(*BASE, *CORR, """chosen as (select fea
     "long as (select 'outreach_x_' || feature as feature, treatment * value as value from all_long join chosen using (feature))") + \
     describe("feature")
 
+# Totals and trends are sums and differences of early and late counts, so these six add nothing to the others.
+DERIVED = ("app_sessions", "usage_trend", "total_web_visits", "visit_trend", "total_claims", "claim_trend")
+COLLINEAR = (*DERIVED, "early_usage", "late_usage", "early_visits", "late_visits", "early_claims", "late_claims")
+INDEPENDENT = [f for f in FEATURES if f not in DERIVED]
+
+
+def vif_steps() -> tuple[str, ...]:
+    """Sums of products, inverted in place one pivot at a time."""
+    n = range(len(INDEPENDENT))
+    sums = ", ".join(f"sum(cast({INDEPENDENT[i]} as double) * {INDEPENDENT[j]}) as g_{i}_{j}" for i in n for j in n)
+    steps = [f"s_0 as materialized (select {sums} from features)"]
+    for k in n:
+        def entry(i: int, j: int) -> str:
+            if i == k and j == k:
+                return f"1 / g_{k}_{k}"
+            if i == k:
+                return f"g_{k}_{j} / g_{k}_{k}"
+            if j == k:
+                return f"-g_{i}_{k} / g_{k}_{k}"
+            return f"g_{i}_{j} - g_{i}_{k} * g_{k}_{j} / g_{k}_{k}"
+        steps.append(f"s_{k + 1} as materialized (select " + ", ".join(f"{entry(i, j)} as g_{i}_{j}" for i in n for j in n) + f" from s_{k})")
+    return tuple(steps)
+
+
+VIF = "vif as (" + " union all ".join(
+    [f"select '{c}' as feature, s_0.g_{i}_{i} * z.g_{i}_{i} as vif, false as is_collinear from s_0, s_{len(INDEPENDENT)} z"
+     for i, c in enumerate(INDEPENDENT) if c not in COLLINEAR]
+    + [f"select '{c}', null, true" for c in COLLINEAR]) + ")"
+ORACLE["h4_vif"] = with_(*BASE, *vif_steps(), VIF) + f"select feature, {r6('vif', 'vif')}, is_collinear from vif"
+ORACLE["h5_selection_summary"] = "with recursive " + ",\n".join([*BASE, *vif_steps(), VIF, *CORR, WALK]) + f"""
+  select {len(FEATURES)}::bigint as n_features, (select count(*) from pairs) as n_high_corr,
+  (select count(*) from vif where is_collinear or vif > 10) as n_vif_high,
+  (select len(dropped) from walk where i = (select max(i) from walk))::bigint as n_dropped"""
+
 # --- tests, drift ---------------------------------------------------------------------------------------------
 
 _tail = """(select sum(case when i in (0, 4000) then 1 when i % 2 = 1 then 4 else 2 end

@@ -268,6 +268,13 @@ def b21_blended_effect(spark, d):
     return tidy(given_predictions(spark, d).select("member_id", blend.alias("uplift")))
 
 
+@query
+def j7_pseudo_outcome(spark, d):
+    """Pseudo-outcome arithmetic of the DR-learner on given predictions."""
+    c = [F.col(x) for x in ("treatment", "y", "p", "mu0", "mu1")]
+    return tidy(given_predictions(spark, d).select("member_id", ia.doubly_robust(*c, 0.1).alias("pseudo")))
+
+
 # --- joins and aggregates -------------------------------------------------------------------------------------
 
 
@@ -602,6 +609,7 @@ def h3_greedy_drop(spark, d):
 
 @query
 def h4_vif(spark, d):
+    """All features: totals and trends are exact combinations of early and late counts."""
     _, m, names = _correlations(spark, d)
     return tidy(selection.vif(spark, m, names))
 

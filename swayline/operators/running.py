@@ -33,7 +33,7 @@ def bucket_count(rows: int, groups: int, parallelism: int, cfg: CurveConfig) ->
     wanted = max(math.ceil(rows / cfg.rows_per_bucket), groups)
     if rows > 100 * parallelism:
         wanted = max(wanted, parallelism)
-    return max(1, min(wanted, cfg.max_buckets))
+    return max(1, min(wanted, cfg.max_buckets, cfg.max_totals // max(1, groups)))
 
 
 def find_cuts(df: DataFrame, score: str, tie_break: str | None, n_groups: int, cfg: CurveConfig) -> Cuts:

@@ -79,6 +79,8 @@ def test_bucket_count_is_bounded():
     assert bucket_count(10**12, 1, 8, cfg) == 50
     assert bucket_count(10, 1, 8, cfg) == 1
     assert bucket_count(5_000, 1, 8, cfg) == 8
+    many = CurveConfig()
+    assert bucket_count(10**12, 4_000, 8, many) * 4_000 <= many.max_totals
 
 
 @pytest.mark.parametrize("accuracy", [10_000, 200, 20])
