@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from swayline.config import PRIORITY_KEYWORDS, safe_name
 from swayline.functions.columns import clean, rate
 from swayline.functions.tdist import two_sided_p
-from swayline.operators.running import exact_percentiles, long_form
+from swayline.operators.running import cells, exact_percentiles, name_of, number_of
 
 QUARTILES = ((1, 4), (1, 2), (3, 4))
 TERTILE_EDGES = ((0, 1), (1, 3), (2, 3), (1, 1))
@@ -27,15 +27,13 @@ def arm_means(df: DataFrame, features: Sequence[str], treatment: str = "treatmen
 
 
 def arm_moments(df: DataFrame, features: Sequence[str], treatment: str = "treatment") -> DataFrame:
-    """(feature, n, mean and variance of both arms). Aggregated wide in one pass, turned long afterwards."""
-    def moments(c: str) -> Column:
-        x = clean(F.col(c))
-        return F.struct(F.count(x).alias("n"), F.avg(x).alias("mean"), F.var_samp(x).alias("var")).alias(c)
-
-    rows = df.groupBy(treatment).agg(*[moments(c) for c in features]).unpivot([treatment], list(features), "feature", "s")
-    picks = [F.max(F.when(F.col(treatment) == t, F.col(f"s.{m}"))).alias(f"{m}_{name}")
+    """(feature, n, mean and variance of both arms)."""
+    x = F.col("value")
+    rows = cells(df, features, [treatment]).groupBy("pos", treatment).agg(
+        F.count(x).alias("n"), F.avg(x).alias("mean"), F.var_samp(x).alias("var"))
+    picks = [F.max(F.when(F.col(treatment) == t, F.col(m))).alias(f"{m}_{name}")
              for t, name in ((0, "control"), (1, "treated")) for m in ("n", "mean", "var")]
-    return rows.groupBy("feature").agg(*picks)
+    return rows.groupBy(name_of(features).alias("feature")).agg(*picks)
 
 
 def arm_differences(df: DataFrame, features: Sequence[str], treatment: str = "treatment") -> DataFrame:
@@ -53,13 +51,10 @@ def top_differences(df: DataFrame, features: Sequence[str], k: int = 20, treatme
 
 def describe(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """(by.., feature, count, mean, std, min, p25, p50, p75, max) with exact quartiles. Needs a feature or more."""
-    def basics(c: str) -> Column:
-        x = clean(F.col(c))
-        return F.struct(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                        F.min(x).alias("min"), F.max(x).alias("max")).alias(c)
-
-    wide = df.groupBy(*by).agg(*[basics(c) for c in features])
-    rows = wide.unpivot(list(by), list(features), "feature", "s").select(*by, "feature", "s.*")
+    x = F.col("value")
+    rows = cells(df, features, by).groupBy(*by, "pos").agg(
+        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+        F.min(x).alias("min"), F.max(x).alias("max")).withColumn("feature", name_of(features))
     marks = exact_percentiles(df, features, QUARTILES, by).groupBy(*by, "feature").agg(*[
         F.max(F.when(F.col("share_no") == i, F.col("value"))).alias(name)
         for i, name in enumerate(("p25", "p50", "p75"))])
@@ -118,15 +113,15 @@ def distinct_gate(df: DataFrame, features: Sequence[str]) -> DataFrame:
     A sketch sizes every feature in one pass. Only features it finds small are counted exactly; for the others
     ``n_distinct`` is the sketch's estimate and the kind is the same either way.
     """
-    sketch = df.agg(*[F.approx_count_distinct(clean(F.col(c))).alias(c) for c in features]).first()
-    small = [c for c in features if sketch[c] <= SMALL_DOMAIN]
-    large = [(c, sketch[c]) for c in features if sketch[c] > SMALL_DOMAIN]
+    rough = cells(df, features).groupBy("pos").agg(F.approx_count_distinct("value").alias("n")).collect()
+    sketch = {features[r["pos"]]: r["n"] for r in rough}
+    small = [c for c in features if sketch.get(c, 0) <= SMALL_DOMAIN]
+    large = [(c, sketch[c]) for c in features if sketch.get(c, 0) > SMALL_DOMAIN]
     spark = df.sparkSession
     estimated = spark.createDataFrame(large, "feature string, n_distinct bigint")
     if small:
-        tidy = df.select(*[clean(F.col(c)).alias(c) for c in small])
-        values = tidy.unpivot([], small, "feature", "value").groupBy("feature", "value").agg(F.lit(1).alias("one"))
-        exact = values.groupBy("feature").agg(F.count("value").alias("n_distinct"))
+        values = cells(df, small).groupBy("pos", "value").agg(F.lit(1).alias("one"))
+        exact = values.groupBy(name_of(small).alias("feature")).agg(F.count("value").alias("n_distinct"))
         estimated = estimated.unionByName(exact)
     n = F.col("n_distinct")
     kind = F.when(n <= 1, "constant").when(n <= 3, "categorical").otherwise("numeric")
@@ -143,10 +138,6 @@ def tertile_edges(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return marks.withColumn("status", F.when(distinct_edges, "ok").otherwise("skipped_ties"))
 
 
-def tertile_label(value: Column, edge_1: Column, edge_2: Column) -> Column:
-    return F.when(value <= edge_1, "Low").when(value <= edge_2, "Medium").when(value.isNotNull(), "High")
-
-
 def segment_plan(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """(feature, kind, edge_1, edge_2, status): how each feature is cut into segments. One row per feature."""
     gate = distinct_gate(df, features)
@@ -160,21 +151,23 @@ def segment_effects(df: DataFrame, features: Sequence[str], outcome: str = "y",
                     treatment: str = "treatment") -> DataFrame:
     """(feature, segment, ate, members, n_treated, n_control, treated_rate, control_rate) for every feature at once.
 
-    Rows are turned long and combined on the map side to a few segments per feature, so the shuffle is tiny
-    whatever the table size. Segments without both arms are left out.
+    Every cell meets the cut of its feature (one row per feature) and combines on the map side to a few segments per
+    feature, so the shuffle is tiny whatever the table size. Segments without both arms are left out.
     """
-    plan = segment_plan(df, features).filter(F.col("status") == "ok").drop("status")
-    labelled = long_form(df, features, [outcome, treatment]).join(F.broadcast(plan), "feature")  # a row per feature
-    value = F.col("value")
-    segment = F.when(F.col("kind") == "categorical", value.cast("string")).otherwise(
-        tertile_label(value, F.col("edge_1"), F.col("edge_2")))
-    y, t = F.col(outcome).cast("bigint"), F.col(treatment).cast("bigint")
-    cells = labelled.filter(value.isNotNull()).groupBy("feature", segment.alias("segment")).agg(
+    plan = segment_plan(df, features).filter(F.col("status") == "ok").select(
+        number_of(features).alias("pos"), "kind", "edge_1", "edge_2")
+    value, t, y = F.col("value"), F.col(treatment).cast("bigint"), F.col(outcome).cast("bigint")
+    level = F.when(value <= F.col("edge_1"), 0.0).when(value <= F.col("edge_2"), 1.0).otherwise(2.0)
+    code = F.when(F.col("kind") == "categorical", value).otherwise(level)
+    groups = cells(df, features, [outcome, treatment]).filter(value.isNotNull()).join(
+        F.broadcast(plan), "pos").groupBy("pos", "kind", code.alias("code")).agg(
         F.count("*").alias("members"), F.sum(t).alias("n_treated"), F.sum(1 - t).alias("n_control"),
         F.sum(y * t).alias("yt"), F.sum(y * (1 - t)).alias("yc"))
+    name = F.element_at(F.array(F.lit("Low"), F.lit("Medium"), F.lit("High")), F.col("code").cast("int") + 1)
+    segment = F.when(F.col("kind") == "numeric", name).otherwise(F.col("code").cast("string"))
     treated, control = rate(F.col("yt"), F.col("n_treated")), rate(F.col("yc"), F.col("n_control"))
-    return cells.filter((F.col("n_treated") > 0) & (F.col("n_control") > 0)).select(
-        "feature", "segment", (treated - control).alias("ate"), "members", "n_treated", "n_control",
+    return groups.filter((F.col("n_treated") > 0) & (F.col("n_control") > 0)).select(
+        name_of(features).alias("feature"), segment.alias("segment"), (treated - control).alias("ate"), "members", "n_treated", "n_control",
         treated.alias("treated_rate"), control.alias("control_rate"))
 
 

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from swayline.config import DriftConfig
-from swayline.functions.columns import clean, rate
+from swayline.functions.columns import rate
+from swayline.operators.running import cells, name_of
 
 LABELS = ("churn", "outreach", "treatment", "y", "member_id")
 
@@ -64,16 +65,13 @@ def tagged(train: DataFrame, test: DataFrame, columns: Sequence[str]) -> DataFra
 def numeric_drift(train: DataFrame, test: DataFrame, columns: Sequence[str],
                   cfg: DriftConfig = DriftConfig()) -> DataFrame:
     """(feature, mean_train, mean_test, mean_shift, std_train, drifted) from one pass over both splits."""
-    both = tagged(train, test, columns)
-    stats = both.groupBy("is_test").agg(*[
-        F.struct(F.avg(clean(F.col(c))).alias("mean"), F.stddev_samp(clean(F.col(c))).alias("std")).alias(c)
-        for c in columns])
-    rows = stats.unpivot(["is_test"], list(columns), "feature", "s")
+    rows = cells(tagged(train, test, columns), columns, ["is_test"]).groupBy("pos", "is_test").agg(
+        F.avg("value").alias("mean"), F.stddev_samp("value").alias("std")).withColumn("feature", name_of(columns))
     in_test = F.col("is_test")
     arms = rows.groupBy("feature").agg(
-        F.max(F.when(~in_test, F.col("s.mean"))).alias("mean_train"),
-        F.max(F.when(in_test, F.col("s.mean"))).alias("mean_test"),
-        F.max(F.when(~in_test, F.col("s.std"))).alias("std_train"))
+        F.max(F.when(~in_test, F.col("mean"))).alias("mean_train"),
+        F.max(F.when(in_test, F.col("mean"))).alias("mean_test"),
+        F.max(F.when(~in_test, F.col("std"))).alias("std_train"))
     shift = F.col("mean_test") - F.col("mean_train")
     return arms.select("feature", "mean_train", "mean_test", shift.alias("mean_shift"), "std_train",
                        F.coalesce(F.abs(shift) > F.col("std_train") * cfg.std_share, F.lit(False)).alias("drifted"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
@@ -149,10 +150,24 @@ def running_sums(
     )
 
 
-def long_form(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """(keep.., feature, value) rows, values as doubles."""
-    wide = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in columns])
-    return wide.unpivot(list(keep), list(columns), "feature", "value")
+def cells(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """(keep.., pos, value): one row per value, the column as its number, NaN as null.
+
+    Statistics of many columns run faster over this than as one very wide aggregate, whose generated code outgrows
+    the compiler; and a number is a cheaper key than a name. Cells never leave their task, only partial sums do.
+    """
+    values = F.array(*[F.col(c).cast("double") for c in columns])
+    return df.select(*keep, F.posexplode(values).alias("pos", "value")).withColumn("value", clean(F.col("value")))
+
+
+def name_of(columns: Sequence[str]) -> Column:
+    """Column name of a cell's number."""
+    return F.element_at(F.array(*[F.lit(c) for c in columns]), F.col("pos") + 1)
+
+
+def number_of(columns: Sequence[str]) -> Column:
+    """Cell number of a feature name."""
+    return (F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("feature")) - 1).cast("int")
 
 
 def exact_percentiles(
@@ -160,49 +175,78 @@ def exact_percentiles(
     columns: Sequence[str],
     shares: Sequence[tuple[int, int]],
     by: Sequence[str] = (),
-    accuracy: int = 10_000,
+    accuracy: int | None = None,
 ) -> DataFrame:
     """Percentiles with linear interpolation, exact: (by.., feature, share_no, value).
 
-    Shares are fractions (numerator, denominator), so the wanted rank is integer arithmetic. A sketch first
-    brackets each wanted rank; then only the few rows inside a bracket are counted per value and ordered.
+    Shares are fractions (numerator, denominator), so the wanted rank is integer arithmetic. A sketch brackets
+    each wanted rank. Where both ends of a bracket are one value, that is the answer (most count features).
+    Else rows below the bracket are counted, and only the few rows inside are grouped and ordered.
+    ``by`` is for a handful of groups (arms, models): the driver holds two numbers per group, column and share.
+    The sketch is as fine as it takes to leave about a million rows in a bracket; ``accuracy`` overrides that.
     """
     spark = df.sparkSession
+    accuracy = accuracy or max(500, min(100_000, 6 * df.count() // 1_000_000))
     slack = 3.0 / accuracy
     ends = [min(1.0, max(0.0, n / d + s)) for n, d in shares for s in (-slack, slack)]
     tidy = df.select(*by, *[clean(F.col(c)).alias(c) for c in columns])
     sketch = tidy.groupBy(*by).agg(*[
         F.struct(F.count(c).alias("n"), F.percentile_approx(c, F.lit(ends), F.lit(accuracy)).alias("ends")).alias(c)
-        for c in columns])
-    brackets = []
-    for row in sketch.collect():  # one row per group, two numbers per column and share
+        for c in columns]).collect()
+
+    by_schema = "".join(f"{b} {dict(df.dtypes)[b]}, " for b in by)
+    known, brackets = [], []
+    for row in sketch:
+        group = tuple(row[b] for b in by)
         for c in columns:
             n, marks = row[c]["n"], row[c]["ends"]
             for i, (num, den) in enumerate(shares):
-                if n:
-                    # Neighbouring ranks can fall outside a bracket of a very small group: open it there.
-                    lo, hi = (marks[2 * i], marks[2 * i + 1]) if n > 4 * accuracy else (-math.inf, math.inf)
-                    brackets.append((*[row[b] for b in by], c, i, (n - 1) * num // den,
-                                     ((n - 1) * num % den) / den, lo, hi))
-    by_types = ", ".join(f"{b} {dict(df.dtypes)[b]}" for b in by)
-    schema = (by_types + ", " if by else "") + "feature string, share_no int, rank bigint, rest double, lo double, hi double"
-    wanted = spark.createDataFrame(brackets, schema)
-
-    place = [*by, "feature", "share_no"]
-    near = (
-        tidy.unpivot(list(by), list(columns), "feature", "value").filter(F.col("value").isNotNull())
-        .join(F.broadcast(wanted), [*by, "feature"])  # columns x shares x groups rows
-        .filter(F.col("value") <= F.col("hi"))
-        .groupBy(*place, "rank", "rest", F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("value"))
-        .agg(F.count("*").alias("rows"))
-    )
-    order = Window.partitionBy(*place).orderBy(F.col("value").asc_nulls_first())
-    upto = F.sum("rows").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    counted = near.withColumn("upto", upto).withColumn("start", F.col("upto") - F.col("rows"))
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("upto")), F.col("value")))
-
-    picked = counted.groupBy(*place, "rest").agg(at(F.col("rank")).alias("below"), at(F.col("rank") + 1).alias("above"))
-    step = (F.coalesce(F.col("above"), F.col("below")) - F.col("below")) * F.col("rest")
-    return picked.select(*place, (F.col("below") + step).alias("value"))
+                if not n:
+                    continue
+                # In a small group the next rank can fall outside its bracket: take every row.
+                lo, hi = (marks[2 * i], marks[2 * i + 1]) if n > 4 * accuracy else (-math.inf, math.inf)
+                if lo == hi:
+                    known.append((*group, c, i, lo))
+                else:
+                    brackets.append((*group, c, i, (n - 1) * num // den, ((n - 1) * num % den) / den, lo, hi))
+    answers = spark.createDataFrame(known, by_schema + "feature string, share_no int, value double")
+    if not brackets:
+        return answers
+
+    # One row per group and column, its limits side by side; a share already answered has none.
+    at, numbers = len(by), range(len(shares))
+    searched = [c for c in columns if any(b[at] == c for b in brackets)]
+    rows: dict[tuple, dict] = {}
+    for b in brackets:
+        key, i = (*b[:at], searched.index(b[at])), b[at + 1]
+        rows.setdefault(key, {}).update({f"rank_{i}": b[-4], f"rest_{i}": b[-3], f"lo_{i}": b[-2], f"hi_{i}": b[-1]})
+    kinds = [(f"{n}_{i}", t) for i in numbers for n, t in (("rank", "bigint"), ("rest", "double"), ("lo", "double"), ("hi", "double"))]
+    limits = spark.createDataFrame([(*k, *[v.get(n) for n, _ in kinds]) for k, v in rows.items()],
+                                   by_schema + "pos int, " + ", ".join(f"{n} {t}" for n, t in kinds))
+
+    # The heavy pass: every cell meets its limits once, counts below each bracket, and is kept only inside one.
+    value = F.col("value")
+    inside = reduce(Column.__or__, [F.coalesce(value.between(F.col(f"lo_{i}"), F.col(f"hi_{i}")), F.lit(False)) for i in numbers])
+    grouped = cells(df, searched, by).filter(value.isNotNull()).join(F.broadcast(limits), [*by, "pos"]).groupBy(
+        *by, "pos", F.when(inside, value).alias("value")).agg(
+        F.count("*").alias("rows"), *[F.count_if(value < F.col(f"lo_{i}")).alias(f"under_{i}") for i in numbers])
+
+    place = [*by, "pos", "share_no"]
+    per_share = F.array(*[F.struct(F.lit(i).alias("share_no"), *[F.col(f"{n}_{i}").alias(n) for n in (
+        "rank", "rest", "lo", "hi", "under")]) for i in numbers])
+    near = grouped.join(F.broadcast(limits), [*by, "pos"]).select(
+        *by, "pos", "value", "rows", F.inline(per_share)).filter(F.col("rank").isNotNull())
+    whole = Window.partitionBy(*place)
+    upto = whole.orderBy(F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    mine = F.when(value.between(F.col("lo"), F.col("hi")), F.col("rows")).otherwise(0)
+    counted = near.select("*", mine.alias("mine")).withColumn(
+        "upto", F.sum("under").over(whole) + F.sum("mine").over(upto)).withColumn("start", F.col("upto") - F.col("mine"))
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("upto")), value))
+
+    picked = counted.groupBy(*place, "rest").agg(
+        value_at(F.col("rank")).alias("low"), value_at(F.col("rank") + 1).alias("high"))
+    step = (F.coalesce(F.col("high"), F.col("low")) - F.col("low")) * F.col("rest")
+    found = picked.select(*by, name_of(searched).alias("feature"), "share_no", (F.col("low") + step).alias("value"))
+    return found.unionByName(answers) if known else found

@@ -75,5 +75,6 @@ def test_curve_plan_has_no_global_sort(spark):
 def test_segments_shuffle_cells_not_rows(spark):
     ft = materialise(fe.build_features(star.member_tables(spark, FOLDER), CFG))
     text = plan(effects.segment_effects(ft, ["tenure_days", "total_claims"]))
-    final = text.split("Exchange hashpartitioning(feature")[1]
+    final = text.split("Exchange hashpartitioning(pos")[1]
     assert "partial_count" in final.splitlines()[1]
+    assert "Generate posexplode" in text and "Python" not in text
