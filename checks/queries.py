@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -112,17 +113,12 @@ def a2_split_features(spark, d):
         pattern = "yyyy-MM-dd HH:mm:ss" if test else "dd/MM/yyyy HH:mm:ss"
         web = side(t.web_visits, test).withColumn("timestamp", F.date_format("timestamp", pattern))
         split = tables.MemberTables(side(t.app_usage, test), web, side(t.claims, test), side(t.churn_labels, test))
-        cfg = _with_formats(YEAR_FIRST_FORMATS if test else DAY_FIRST_FORMATS)
+        cfg = replace(CFG, web_time_formats=YEAR_FIRST_FORMATS if test else DAY_FIRST_FORMATS)
         parts.append(fe.build_features(split, cfg).select(F.lit(name).alias("split"), "*"))
     return tidy(parts[0].unionByName(parts[1]).select(
         "split", "member_id", "tenure_days", "app_sessions", "early_visits", "late_visits", "total_claims", "treatment", "y"))
 
 
-def _with_formats(formats):
-    from dataclasses import replace
-    return replace(CFG, web_time_formats=formats)
-
-
 @query
 def a3_ranked_list_sink(spark, d):
     return tidy(_csv_round_trip(spark, d, "ranked", f2_contact_list(spark, d)))
@@ -446,7 +442,7 @@ def d23_classification_report(spark, d):
 
 @query
 def d23_roc_auc(spark, d):
-    return tidy(curves.roc_auc(model_scores(spark, d), "uplift", "y", keys=["model"], n_groups=4, cfg=CURVE))
+    return tidy(curves.roc_auc(model_scores(spark, d), "uplift", "y", keys=["model"], cfg=CURVE))
 
 
 @query
@@ -508,7 +504,7 @@ def e6_tertile_edges(spark, d):
 
 @query
 def e7_qini_auc(spark, d):
-    return tidy(curves.qini_auc(model_scores(spark, d), keys=["model"], n_groups=4, cfg=CURVE))
+    return tidy(curves.qini_auc(model_scores(spark, d), keys=["model"], cfg=CURVE))
 
 
 @query
@@ -552,7 +548,7 @@ def trial_rows(spark: SparkSession, d: str) -> DataFrame:
     rows = ft.select("member_id", "y", "treatment", F.explode(points).alias("s")).select(
         "member_id", "y", "treatment", "s.*",
         F.when(splits.in_holdout(F.col("member_id")), "val").otherwise("train").alias("split"))
-    areas = curves.qini_auc(materialise(rows, "trial-scores"), keys=["trial", "split"], n_groups=2 * len(TRIALS), cfg=CURVE)
+    areas = curves.qini_auc(materialise(rows, "trial-scores"), keys=["trial", "split"], cfg=CURVE)
     paired = reports.gap_report(areas, ["trial"], held_out="val").select(
         "trial", F.col("qini_train").alias("train_qini"), F.col("qini_test").alias("val_qini"), F.col("gap").alias("overfitting_gap"))
     weights = F.create_map(*[x for t in TRIALS for x in (F.lit(t["trial"]).cast("bigint"), F.struct(
@@ -737,7 +733,7 @@ def j11_overfit_check(spark, d):
 
 @query
 def j12_model_comparison(spark, d):
-    return tidy(reports.model_comparison(model_scores(spark, d), 4, cfg=CURVE))
+    return tidy(reports.model_comparison(model_scores(spark, d), cfg=CURVE))
 
 
 @query

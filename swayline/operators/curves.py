@@ -27,7 +27,7 @@ class ScoreColumns:
 def score_cuts(df: DataFrame, cols: ScoreColumns = ScoreColumns(), cfg: CurveConfig = CurveConfig()) -> Cuts:
     """Bucket thresholds of a score table, to share between several curves over it."""
     ready = df.withColumn(cols.score, clean(F.col(cols.score)))
-    return find_cuts(ready, cols.score, cols.member, 1, cfg)
+    return find_cuts(ready, cols.score, cols.member, (), cfg)
 
 
 def rank_members(df: DataFrame, score: str = "uplift", *, descending: bool = True, member: str = "member_id",
@@ -138,7 +138,7 @@ def optimal_target(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, descen
         F.col("best.avg_uplift").alias("avg_uplift"), F.col("best.pct_targeted").alias("pct_targeted"))
 
 
-def qini_auc(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, keys: Sequence[str] = (), n_groups: int = 1,
+def qini_auc(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, keys: Sequence[str] = (),
              cfg: CurveConfig = CurveConfig()) -> DataFrame:
     """Normalised Qini area per key: (model area - diagonal) / (perfect area - diagonal).
 
@@ -148,7 +148,7 @@ def qini_auc(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, keys: Sequen
     t, y = F.col(cols.treatment).cast("bigint"), F.col(cols.outcome).cast("bigint")
     named = df.select(*keys, F.col(cols.score).alias("_s"), cols.treatment, cols.outcome)
     points = running_sums(named, "_s", {"n": F.lit(1).cast("bigint"), "nt": t, "yt": y * t, "yc": y * (1 - t)},
-                          tie_break=None, keys=keys, n_groups=n_groups, cfg=cfg)
+                          tie_break=None, keys=keys, cfg=cfg)
 
     def height(prefix: str) -> Column:
         nt, nc = F.col(f"{prefix}nt"), F.col(f"{prefix}n") - F.col(f"{prefix}nt")
@@ -170,13 +170,13 @@ def qini_auc(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, keys: Sequen
                        F.col("n_all").alias("n"))
 
 
-def roc_auc(df: DataFrame, score: str, label: str, *, keys: Sequence[str] = (), n_groups: int = 1,
+def roc_auc(df: DataFrame, score: str, label: str, *, keys: Sequence[str] = (),
             cfg: CurveConfig = CurveConfig()) -> DataFrame:
     """Rank-sum ROC area per key: a tie counts one half. Null when a class is absent."""
     positive = F.col("_label").cast("bigint")
     named = df.select(*keys, F.col(score).alias("_s"), F.col(label).alias("_label"))
     points = running_sums(named, "_s", {"pos": positive, "neg": 1 - positive}, tie_break=None, keys=keys,
-                          n_groups=n_groups, descending=False, cfg=cfg)
+                          descending=False, cfg=cfg)
     won = (F.col("pos") - F.col("before_pos")) * (F.col("neg") + F.col("before_neg")) / 2.0
     return points.groupBy(*keys).agg(
         F.try_divide(F.sum(won), F.max("pos").cast("double") * F.max("neg")).alias("roc_auc"))

@@ -71,7 +71,7 @@ def overfit_check(train: DataFrame, test: DataFrame, cols: ScoreColumns = ScoreC
     """One row (model, qini_train, qini_test, gap, relative_pct, verdict); both splits in one curve job."""
     names = [cols.member, cols.outcome, cols.treatment, cols.score]
     both = train.select(F.lit("train").alias("split"), *names).unionByName(test.select(F.lit("test").alias("split"), *names))
-    per_split = qini_auc(both, cols, keys=["split"], n_groups=2, cfg=cfg)
+    per_split = qini_auc(both, cols, keys=["split"], cfg=cfg)
     return gap_report(per_split, []).select(F.lit(model).alias("model"), "*")
 
 
@@ -87,10 +87,10 @@ def gap_report(per_split: DataFrame, keys: Sequence[str], held_out: str = "test"
                          overfit_class(gap).alias("verdict"))
 
 
-def model_comparison(scores: DataFrame, n_models: int, cols: ScoreColumns = ScoreColumns(), *,
+def model_comparison(scores: DataFrame, cols: ScoreColumns = ScoreColumns(), *,
                      cfg: CurveConfig = CurveConfig()) -> DataFrame:
     """(model, qini_auc, min, max, range, mean, std) of long scores ``(model, member, outcome, treatment, uplift)``."""
-    areas = qini_auc(scores, cols, keys=["model"], n_groups=n_models, cfg=cfg).drop("n")
+    areas = qini_auc(scores, cols, keys=["model"], cfg=cfg).drop("n")
     return areas.join(score_summary(scores, cols.score, ["model"]), "model")
 
 

@@ -31,21 +31,24 @@ class Cuts:
 
 
 def bucket_count(rows: int, groups: int, parallelism: int, cfg: CurveConfig) -> int:
-    wanted = max(math.ceil(rows / cfg.rows_per_bucket), groups)
-    if rows > 100 * parallelism:
+    wanted = math.ceil(rows / cfg.rows_per_bucket)
+    if rows > 100 * parallelism * groups:
         wanted = max(wanted, parallelism)
     return max(1, min(wanted, cfg.max_buckets, cfg.max_totals // max(1, groups)))
 
 
-def find_cuts(df: DataFrame, score: str, tie_break: str | None, n_groups: int, cfg: CurveConfig) -> Cuts:
+def find_cuts(df: DataFrame, score: str, tie_break: str | None, keys: Sequence[str], cfg: CurveConfig) -> Cuts:
     """Thresholds from one aggregate; the driver sees at most ``max_buckets`` numbers per column.
 
     Between two neighbouring thresholds lie about rows/buckets rows. A score met at several thresholds holds
-    more than that, and is cut again by thresholds of the (unique) tie-break column.
+    more than that, and is cut again by thresholds of the (unique) tie-break column. Several keys share the
+    thresholds of their union: no key can have more rows between two of them than the union has.
     """
     spark = df.sparkSession
-    rows = df.count()
-    n = bucket_count(rows, n_groups, spark.sparkContext.defaultParallelism, cfg)
+    size = [F.count("*").alias("rows")] + ([F.approx_count_distinct(F.struct(*keys)).alias("keys")] if keys else [])
+    found = df.agg(*size).first()
+    rows, groups = found["rows"], found["keys"] if keys else 1
+    n = bucket_count(rows, groups, spark.sparkContext.defaultParallelism, cfg)
     if n == 1:
         return Cuts((), (), ())
     shares = F.lit([i / n for i in range(1, n)])
@@ -99,7 +102,6 @@ def running_sums(
     *,
     tie_break: str | None = "member_id",
     keys: Sequence[str] = (),
-    n_groups: int = 1,
     descending: bool = True,
     up_to: tuple[str, int] | None = None,
     cuts: Cuts | None = None,
@@ -116,18 +118,21 @@ def running_sums(
     of the same table can be reused.
     """
     ready = df.withColumn(score, clean(F.col(score)))
-    cuts = cuts or find_cuts(ready, score, tie_break, n_groups, cfg)
-    ready = assign_buckets(ready, score, tie_break, cuts, descending)
-    place = [*keys, BUCKET, PART]
-
-    totals = ready.groupBy(*place).agg(*[F.sum(c).alias(f"_all_{n}") for n, c in sums.items()])
-    earlier = Window.partitionBy(*keys).orderBy(BUCKET, PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*place, *[
-        F.coalesce(F.sum(f"_all_{n}").over(earlier), F.lit(0)).alias(f"_off_{n}") for n in sums])
-    if up_to:
-        name, limit = up_to
-        offsets = offsets.filter(F.col(f"_off_{name}") < limit)
-        ready = ready.join(F.broadcast(offsets.select(place)), place, "left_semi")
+    cuts = cuts or find_cuts(ready, score, tie_break, keys, cfg)
+    one_task = not cuts.scores  # few rows per key: no buckets, no offsets
+    if not one_task:
+        ready = assign_buckets(ready, score, tie_break, cuts, descending)
+    place = list(keys) if one_task else [*keys, BUCKET, PART]
+
+    if not one_task:
+        totals = ready.groupBy(*place).agg(*[F.sum(c).alias(f"_all_{n}") for n, c in sums.items()])
+        earlier = Window.partitionBy(*keys).orderBy(BUCKET, PART).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select(*place, *[
+            F.coalesce(F.sum(f"_all_{n}").over(earlier), F.lit(0)).alias(f"_off_{n}") for n in sums])
+        if up_to:
+            name, limit = up_to
+            offsets = offsets.filter(F.col(f"_off_{name}") < limit)
+            ready = ready.join(F.broadcast(offsets.select(place)), place, "left_semi")
 
     if tie_break:
         kept = df.columns
@@ -140,10 +145,12 @@ def running_sums(
     direction = F.col(score).desc_nulls_last() if descending else F.col(score).asc_nulls_last()
     upto = Window.partitionBy(*place).orderBy(direction, *ties).rowsBetween(Window.unboundedPreceding, 0)
     inside = points.select("*", *[F.sum(f"_own_{n}").over(upto).alias(f"_in_{n}") for n in sums])
-    # A few rows per threshold and key, whatever the table size.
-    joined = inside.join(F.broadcast(offsets), place)
-    running = {n: F.col(f"_in_{n}") + F.col(f"_off_{n}") for n in sums}
-    return joined.select(
+    running = {n: F.col(f"_in_{n}") for n in sums}
+    if not one_task:
+        # A few rows per threshold and key, whatever the table size.
+        inside = inside.join(F.broadcast(offsets), place)
+        running = {n: c + F.col(f"_off_{n}") for n, c in running.items()}
+    return inside.select(
         *kept,
         *[c.alias(n) for n, c in running.items()],
         *[(c - F.col(f"_own_{n}")).alias(f"before_{n}") for n, c in running.items()],

@@ -74,7 +74,7 @@ def search(train: DataFrame, features: Sequence[str], trials: int = 8, seed: int
         keep = [cols.member, cols.outcome, cols.treatment, cols.score]
         scored = materialise(learner.score(fit_part).select(F.lit("train").alias("split"), *keep).unionByName(
             learner.score(val_part).select(F.lit("val").alias("split"), *keep)), "trial")
-        areas = {r["split"]: r["qini_auc"] for r in qini_auc(scored, cols, keys=["split"], n_groups=2, cfg=cfg).collect()}
+        areas = {r["split"]: r["qini_auc"] for r in qini_auc(scored, cols, keys=["split"], cfg=cfg).collect()}
         tr, val = (float("nan") if areas[s] is None else areas[s] for s in ("train", "val"))
         return {"trial": number, "train_qini": tr, "val_qini": val, "overfitting_gap": tr - val, **params}
 

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from typing import Protocol
 
 from pyspark.sql import DataFrame, functions as F
 
 from swayline.config import CurveConfig, FeatureConfig
-from swayline.operators import curves, effects, features as feature_ops, interactions, quality, selection
+from swayline.operators import curves, effects, features as feature_ops, interactions, selection
 from swayline.operators.curves import ScoreColumns
 from swayline.sources.storage import materialise
 from swayline.sources.tables import MemberTables, write_table
 
 
+class Scorer(Protocol):
+    """A fitted learner."""
+
+    def score(self, df: DataFrame, out: str = "uplift") -> DataFrame: ...
+
+
 def prepare(tables: MemberTables, cfg: FeatureConfig) -> DataFrame:
     """Feature rows, written once: selection, learners and reports all read them again."""
     return materialise(feature_ops.build_features(tables, cfg), "features")
@@ -41,8 +49,22 @@ def arm_report(df: DataFrame, path: str, fmt: str = "csv") -> DataFrame:
     return report
 
 
-def health(train: DataFrame, test: DataFrame) -> DataFrame:
-    return quality.health_check(train, test)
+def choose_interactions(train: DataFrame, test: DataFrame, threshold: float = 0.1,
+                        limit: int = 15) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both splits with interaction columns, and the features chosen for them on the train split."""
+    names = feature_ops.feature_names(train)
+    matrix = selection.moments(train, [*names, "y", "treatment"])
+    corr = selection.correlation_table(train.sparkSession, matrix)
+    found = selection.interaction_candidates(corr, names, threshold=threshold, limit=limit).collect()  # ``limit`` rows
+    chosen = [r["feature"] for r in found]
+    return with_interactions(train, chosen), with_interactions(test, chosen), chosen
+
+
+def long_scores(models: Mapping[str, Scorer], df: DataFrame, member: str = "member_id") -> DataFrame:
+    """(model, member, y, treatment, uplift) of several fitted learners, the input of ``reports.model_comparison``."""
+    parts = [model.score(df).select(F.lit(name).alias("model"), member, "y", "treatment", "uplift")
+             for name, model in models.items()]
+    return materialise(reduce(DataFrame.unionByName, parts), "model-scores")
 
 
 def contact_list(scores: DataFrame, cols: ScoreColumns = ScoreColumns(), *, curve_descending: bool = True,

@@ -58,7 +58,7 @@ def test_a_dominating_score_is_spread(spark):
     n = 20_000
     p = pd.DataFrame({"member_id": np.arange(n), "uplift": np.where(np.arange(n) < 18_000, 0.0, np.arange(n) / 7.0)})
     df = spark.createDataFrame(p)
-    cuts = find_cuts(df, "uplift", "member_id", 1, CurveConfig(rows_per_bucket=1000))
+    cuts = find_cuts(df, "uplift", "member_id", (), CurveConfig(rows_per_bucket=1000))
     sizes = assign_buckets(df, "uplift", "member_id", cuts, True).groupBy(BUCKET, PART).count().toPandas()["count"]
     assert sizes.sum() == n and sizes.max() < 2_500
     assert len(sizes) < 6 * 21
@@ -68,7 +68,7 @@ def test_keys_run_separately(spark):
     a, b = score_frame(seed=1, missing=0).assign(model="a"), score_frame(seed=2, missing=0).assign(model="b")
     b["uplift"] = b["uplift"] * 1000
     got = running_sums(spark.createDataFrame(pd.concat([a, b])), "uplift", {"k": F.lit(1), "nt": F.col("treatment")},
-                       keys=["model"], n_groups=2, cfg=CurveConfig(rows_per_bucket=300)).toPandas()
+                       keys=["model"], cfg=CurveConfig(rows_per_bucket=300)).toPandas()
     for name, p in (("a", a), ("b", b)):
         mine = got[got.model == name].sort_values("k")
         assert (mine.member_id.values == naive(p, True).member_id.values).all()

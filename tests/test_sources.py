@@ -4,7 +4,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from swayline.operators import curves
+from swayline.operators import curves, reports
 from swayline.plans import pipeline
 from swayline.sources import tables
 from swayline.sources.storage import materialise, new_path, work_dir
@@ -78,3 +78,28 @@ def test_interaction_columns(spark):
     wide = pipeline.with_interactions(df, ["a", "missing"])
     assert wide.columns[-2:] == ["outreach_x_a", "clinical_x_total_web_visits"]
     assert [(r["outreach_x_a"], r["clinical_x_total_web_visits"]) for r in wide.orderBy("member_id").collect()] == [(3, 2), (0, 0)]
+
+
+def test_interactions_are_chosen_on_train_and_added_to_both(spark):
+    rows = [(i, i % 2, (i * 7) % 5, i % 3, i % 2, (i // 2) % 2) for i in range(40)]
+    train = spark.createDataFrame(rows, "member_id long, a int, b int, c int, treatment int, y int")
+    left, right, chosen = pipeline.choose_interactions(train, train.limit(5), threshold=0.5)
+    assert chosen == ["a"]
+    assert left.columns == right.columns == [*train.columns, "outreach_x_a"]
+
+
+def test_long_scores_feed_the_comparison(spark):
+    class Constant:
+        def __init__(self, column):
+            self.column = column
+
+        def score(self, df, out="uplift"):
+            return df.withColumn(out, F.col(self.column).cast("double"))
+
+    rows = [(i, i % 7, (i * 3) % 11, i % 2, (i // 3) % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "member_id long, a int, b int, treatment int, y int")
+    scores = pipeline.long_scores({"one": Constant("a"), "two": Constant("b")}, df)
+    got = {r["model"]: r for r in reports.model_comparison(scores).collect()}
+    assert got["one"]["max"] == 6.0 and got["two"]["max"] == 10.0
+    alone = curves.qini_auc(Constant("b").score(df)).first()["qini_auc"]
+    assert got["two"]["qini_auc"] == pytest.approx(alone)
