@@ -19,6 +19,7 @@ from swayline.config import CurveConfig
 from swayline.functions.columns import clean
 
 BUCKET, PART = "_bucket", "_part"
+WHOLE_ROWS = 250_000
 
 
 @dataclass(frozen=True)
@@ -177,6 +178,29 @@ def number_of(columns: Sequence[str]) -> Column:
     return (F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("feature")) - 1).cast("int")
 
 
+def _small_percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[tuple[int, int]],
+                       by: Sequence[str]) -> DataFrame:
+    value, place = F.col("value"), [*by, "pos"]
+    counts = cells(df, columns, by).filter(value.isNotNull()).groupBy(*place, "value").agg(F.count("*").alias("rows"))
+    whole = Window.partitionBy(*place)
+    upto = F.sum("rows").over(whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    ordered = counts.select(*place, "value", "rows", F.sum("rows").over(whole).alias("n"), upto.alias("upto"))
+
+    def value_at(rank: Column) -> Column:
+        return F.max(F.when((F.col("upto") - F.col("rows") <= rank) & (rank < F.col("upto")), value))
+
+    picks = []
+    for i, (num, den) in enumerate(shares):
+        scaled = (F.col("n") - 1) * num
+        rank = F.expr(f"((n - 1) * {num}) div {den}")
+        rest = F.max((scaled % den) / F.lit(float(den)))
+        low = value_at(rank)
+        picks.append(F.struct(F.lit(i).alias("share_no"), (
+            low + (F.coalesce(value_at(rank + 1), low) - low) * rest).alias("value")))
+    found = ordered.groupBy(*place).agg(F.array(*picks).alias("all"))
+    return found.select(*by, name_of(columns).alias("feature"), F.inline("all"))
+
+
 def exact_percentiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -190,10 +214,15 @@ def exact_percentiles(
     each wanted rank. Where both ends of a bracket are one value, that is the answer (most count features).
     Else rows below the bracket are counted, and only the few rows inside are grouped and ordered.
     ``by`` is for a handful of groups (arms, models): the driver holds two numbers per group, column and share.
-    The sketch is as fine as it takes to leave about a million rows in a bracket; ``accuracy`` overrides that.
+    The sketch is as fine as it takes to leave about a million rows in a bracket; ``accuracy`` overrides that. A
+    table of at most ``WHOLE_ROWS`` rows (counted first) is ordered per column without a sketch.
     """
     spark = df.sparkSession
-    accuracy = accuracy or max(500, min(100_000, 6 * df.count() // 1_000_000))
+    if accuracy is None:
+        rows = df.count()
+        if rows <= WHOLE_ROWS:
+            return _small_percentiles(df, columns, shares, by)
+        accuracy = max(500, min(100_000, 6 * rows // 1_000_000))
     slack = 3.0 / accuracy
     ends = [min(1.0, max(0.0, n / d + s)) for n, d in shares for s in (-slack, slack)]
     tidy = df.select(*by, *[clean(F.col(c)).alias(c) for c in columns])

@@ -83,7 +83,7 @@ def test_bucket_count_is_bounded():
     assert bucket_count(10**12, 4_000, 8, many) * 4_000 <= many.max_totals
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 200, 20])
+@pytest.mark.parametrize("accuracy", [None, 10_000, 200, 20])
 def test_percentiles_are_exact_whatever_the_sketch(spark, accuracy):
     p = score_frame(5000).rename(columns={"treatment": "t"})
     p["x"] = np.random.default_rng(5).normal(size=len(p))
@@ -97,9 +97,10 @@ def test_percentiles_are_exact_whatever_the_sketch(spark, accuracy):
             assert r.value == pytest.approx(p[p.t == t][feature].quantile(num / den), abs=1e-12)
 
 
-def test_percentiles_of_tiny_and_empty_columns(spark):
+@pytest.mark.parametrize("accuracy", [None, 50])
+def test_percentiles_of_tiny_and_empty_columns(spark, accuracy):
     df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
-    got = exact_percentiles(df, ["a", "b"], [(1, 2), (1, 1)]).toPandas()
+    got = exact_percentiles(df, ["a", "b"], [(1, 2), (1, 1)], accuracy=accuracy).toPandas()
     assert set(got.feature) == {"a"} and sorted(got.value) == [1.5, 2.0]
-    one = exact_percentiles(df.limit(1), ["a"], [(1, 3)]).toPandas()
+    one = exact_percentiles(df.limit(1), ["a"], [(1, 3)], accuracy=accuracy).toPandas()
     assert one.value.tolist() == [1.0]
