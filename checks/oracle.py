@@ -584,6 +584,9 @@ ORACLE["j14_tuned_vs_baseline"] = with_(*BASE, *TRIALS, """b as (select max(val_
 # --- splits and comparisons -----------------------------------------------------------------------------------
 
 ORACLE["i1_hold_out"] = with_(*BASE) + f"select member_id, treatment, {held('member_id')} as held_out from features"
+ORACLE["i1_stratified_hold_out"] = with_(*BASE, """h as (select member_id, treatment, count(*) over (partition by treatment) as n,
+  rank() over (partition by treatment order by ('0x' || substr(md5(concat(member_id, ':', 42)), 1, 8))::bigint) as r from features)""") + \
+    "select member_id, treatment from h where r <= ceil(n / 5.0)"
 ORACLE["i2_folds"] = "select c_custkey as member_id, " + ", ".join(
     f"cast(('0x' || substr(md5(concat(c_custkey, ':42:{r}')), 1, 8))::bigint % 5 as int) as fold_{r}" for r in range(3)) + " from customer"
 ORACLE["j11_overfit_check"] = with_(*BASE, SCORES, f"s as (select *, case when {held('member_id')} then 'test' else 'train' end as split from scores)",

@@ -633,6 +633,12 @@ def i1_hold_out(spark, d):
     return s.select("member_id", "treatment", splits.in_holdout(F.col("member_id")).alias("held_out"))
 
 
+@query
+def i1_stratified_hold_out(spark, d):
+    _, held = splits.stratified_hold_out(materialise(with_scores(feature_rows(spark, d)), "scores"))
+    return held.select("member_id", "treatment")
+
+
 @query
 def i2_folds(spark, d):
     s = star.members(spark, d)

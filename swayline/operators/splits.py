@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from swayline.functions.columns import hash32, hash_share
+from swayline.operators.running import exact_percentiles
 
 
 def in_holdout(member: Column, seed: int | str = 42, share: float = 0.2) -> Column:
@@ -24,6 +25,19 @@ def hold_out(df: DataFrame, seed: int | str = 42, share: float = 0.2,
     return df.filter(~side), df.filter(side)
 
 
+def stratified_hold_out(df: DataFrame, by: str = "treatment", seed: int | str = 42, share: tuple[int, int] = (1, 5),
+                        member: str = "member_id") -> tuple[DataFrame, DataFrame]:
+    """(train, held out) with exactly the share of every arm, rounded up: members with the lowest hashes.
+
+    Two members of an arm with the same 32-bit hash at the cut stay together.
+    """
+    hashed = df.withColumn("_share", hash_share(F.col(member), F.lit(seed)))
+    cuts = exact_percentiles(hashed, ["_share"], [share], [by]).select(by, F.col("value").alias("_cut"))
+    marked = hashed.join(F.broadcast(cuts), by)  # one row per arm
+    low = F.col("_share") <= F.col("_cut")
+    return tuple(marked.filter(side).select(df.columns) for side in (~low, low))
+
+
 def fold_of(member: Column, folds: int, repeat: int = 0, seed: int = 42) -> Column:
     return (hash32(member, F.lit(seed), F.lit(repeat)) % folds).cast("int")
 

@@ -93,6 +93,15 @@ def test_splits_are_even_and_repeatable(spark):
     assert len(folds) == 5 and all(abs(r["count"] / 4000 - 1) < 0.1 for r in folds)
 
 
+def test_stratified_split_is_exact(spark):
+    df = spark.range(1003).select(F.col("id").alias("member_id"), (F.col("id") % 3 == 0).cast("int").alias("treatment"))
+    train, held = splits.stratified_hold_out(df)
+    sizes = dict(held.groupBy("treatment").count().collect())
+    assert sizes == {1: 67, 0: 134}  # fifths of 335 and 668, rounded up
+    assert train.columns == df.columns and train.count() == 1003 - 201
+    assert train.join(held, "member_id", "left_semi").count() == 0
+
+
 def test_parameter_draws():
     space = {"a": (1, 2, 3), "b": (0.1, 0.2)}
     one, two = splits.draw_parameters(space, 50, 1), splits.draw_parameters(space, 50, 1)
