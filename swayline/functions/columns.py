@@ -72,9 +72,9 @@ def hash_share(*parts: Column) -> Column:
 
 
 def clean(score: Column) -> Column:
-    """NaN has no place in an ordering: treat it as missing."""
+    """NaN has no place in an ordering: treat it as missing. Negative zero is zero."""
     value = score.cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.when(~F.isnan(value), value + F.lit(0.0))
 
 
 def rate(hits: Column, n: Column) -> Column:

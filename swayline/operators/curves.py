@@ -55,7 +55,6 @@ def scaled_control(nc: Column, yc: Column, nt: Column) -> Column:
     return F.try_divide(yc.cast("double") * nt, nc.cast("double"))
 
 
-
 def gain_prevented() -> Column:
     """Outcomes prevented among the treated: scaled control minus treated; 0 while an arm is empty."""
     both = (F.col("n_treated") > 0) & (F.col("n_control") > 0)

@@ -59,6 +59,8 @@ def find_cuts(df: DataFrame, score: str, tie_break: str | None, keys: Sequence[s
         marks.append(F.percentile_approx(F.col(tie_break).cast("double"), shares, accuracy).alias("t"))
     found = df.agg(F.count_if(F.col(score).isNull()).alias("missing"), *marks).first()
     values, seen = np.unique(found["s"] or [], return_counts=True)
+    usable = np.isfinite(values) & np.isfinite(np.nextafter(values, math.inf))
+    values, seen = values[usable], seen[usable]
     heavy = values[seen > 1]
     piles = len(heavy) + (found["missing"] * n > rows)
     if not tie_break or not piles:

@@ -64,6 +64,18 @@ def test_a_dominating_score_is_spread(spark):
     assert len(sizes) < 6 * 21
 
 
+def test_signed_zeros_and_infinities(spark):
+    n = 3000
+    p = pd.DataFrame({"member_id": np.arange(n), "treatment": 1,
+                      "uplift": np.select([np.arange(n) % 3 == 0, np.arange(n) % 3 == 1], [0.0, -0.0], np.arange(n) / 8.0 - 100)})
+    p.loc[p.index[-40:-20], "uplift"] = np.inf
+    p.loc[p.index[-20:], "uplift"] = -np.inf
+    for descending in (True, False):
+        got = running_sums(spark.createDataFrame(p), "uplift", {"k": F.lit(1)}, descending=descending,
+                           cfg=CurveConfig(rows_per_bucket=15)).toPandas().sort_values("k")
+        assert (got.member_id.values == naive(p, descending).member_id.values).all()
+
+
 def test_keys_run_separately(spark):
     a, b = score_frame(seed=1, missing=0).assign(model="a"), score_frame(seed=2, missing=0).assign(model="b")
     b["uplift"] = b["uplift"] * 1000
