@@ -1,0 +1,54 @@
+import pytest
+
+import corpus_pipeline
+from swayline.llm import pii, toxicity
+from swayline.llm.queries import ORACLE, QUERIES
+from checks.compare import difference, duck
+from tests.llm.common import AWKWARD, documents
+from tests.llm.test_packing import ids_of
+from tests.llm.test_simhash import brute_components, brute_print
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_against_sql(spark, name):
+    folder = "/root/testdata/sf0.001"
+    assert difference(QUERIES[name](spark, folder), duck(folder), ORACLE[name]) is None
+
+
+def test_stages_against_brute_force(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    model = toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
+    rows = [r for r in docs.collect() if model.score(r["text"])[0] < 0.5]
+    prints = {r["doc_id"]: brute_print(r["text"]) for r in rows}
+    roots = brute_components(set(prints.values()))
+    least = {}
+    for i, p in prints.items():
+        least[roots[p]] = min(i, least.get(roots[p], i))
+    rows = [r for r in rows if least[roots[prints[r["doc_id"]]]] == r["doc_id"]]
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["simhash_near_dedup"](spark, stages["toxicity"](spark, docs, folder), folder)
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, rows))
+    masked = stages["personal_data"](spark, kept, folder)
+    assert masked.columns == docs.columns
+    got = {r["doc_id"]: r for r in masked.collect()}
+    for r in rows:
+        assert (got[r["doc_id"]]["text"] != r["text"]) >= bool(pii.base_spans(r["text"]))
+        assert got[r["doc_id"]]["n_chars"] == len(got[r["doc_id"]]["text"])
+    out = corpus_pipeline.run(spark, folder).collect()
+    assert {i: sum(r["length"] for r in out if r["doc_id"] == i) for i in got} == {i: len(ids_of(r["text"])) for i, r in got.items()}
+    assert len({r["doc_id"] for r in out}) == len(rows)
+
+
+def test_awkward_and_empty(spark, tmp_path):
+    folder = f"{tmp_path}"
+    spark.createDataFrame([(1, 1, 0), (4, 1, 0), (5, 1, 0), (2, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    for n, rows in enumerate((AWKWARD, [])):
+        docs = documents(spark, rows, clash=n == 0)
+        for _, stage in corpus_pipeline.STAGES:
+            before = docs.columns
+            docs = stage(spark, docs, folder)
+            docs.write.mode("overwrite").parquet(f"{folder}/out{n}-{stage.__name__}")
+            docs = spark.read.parquet(f"{folder}/out{n}-{stage.__name__}")
+            assert docs.columns == before or stage is corpus_pipeline.STAGES[-1][1]
+        assert (docs.count() == 0) == (not rows)

@@ -1,0 +1,101 @@
+import io
+import struct
+import zipfile
+import zlib
+from collections import Counter
+from hashlib import sha1
+
+import pytest
+
+from swayline.llm import warc_zip
+
+SCHEMA = "key long, uri string, payload binary, record_type string, digest string, kept long, n int"
+BIG, SMALL = b"<html>" + b"x\n" * 600, b"small"
+ROWS = [(1, "http://a/1", BIG), (2, "http://a/2", BIG), (9, "http://a/9", BIG), (9, "http://a/9", BIG), (3, None, SMALL), (4, "u", SMALL),
+        (5, "é", None), (6, "v", b""), (None, "w", BIG), (7, "x", b"\r\n\r\nWARC/1.1\r\n" * 200), (-3, "y", "ünï".encode() * 400)]
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(k, u, None if p is None else bytearray(p), "t", "d", 1, 2) for k, u, p in rows], SCHEMA)
+
+
+def test_round_trip(spark, tmp_path):
+    folder = f"file://{tmp_path}/packages"
+    warc_zip.write_packages(warc_zip.with_revisits(pages(spark, ROWS)), folder)
+    got = warc_zip.read_packages(spark, folder, block_bytes=700).collect()
+    want = Counter()
+    for k, _, p in ROWS:
+        p = p or b""
+        again = p == BIG and k != 9
+        want[(f"urn:record:{'' if k is None else k}", "revisit" if again else "response", "urn:record:9" if again else None, len(p),
+              sha1(p).hexdigest(), b"" if again else p)] += 1
+    assert Counter((r["record_id"], r["record_type"], r["refers_to"], r["payload_bytes"], r["payload_digest"], bytes(r["payload"])) for r in got) == want
+
+
+def test_packages_are_zip_files(spark, tmp_path):
+    folder = f"{tmp_path}/packages"
+    warc_zip.write_packages(warc_zip.with_revisits(pages(spark, ROWS)).coalesce(1), f"file://{folder}")
+    import glob
+    (path,) = [p for p in glob.glob(folder + "/part-*") if zipfile.is_zipfile(p)]
+    with zipfile.ZipFile(path) as z:
+        assert z.namelist() == [warc_zip.DATA, warc_zip.INDEX] and z.testzip() is None
+        assert all(i.compress_type == zipfile.ZIP_STORED for i in z.infolist())
+        raws = list(warc_zip._plain(z.read(warc_zip.DATA)))
+        assert len(raws) == len(ROWS) and all(r.startswith(b"WARC/1.1\r\n") for r in raws)
+
+
+def foreign(index, method=zipfile.ZIP_STORED, gz=True, comment=b""):
+    raws = [warc_zip._record(f"urn:record:{i}", "u", "response", None, 4, sha1(b"data").hexdigest(), b"data") for i in range(3)]
+    if gz:
+        parts = []
+        for r in raws:
+            packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+            parts.append(packer.compress(r) + packer.flush())
+    else:
+        parts = raws
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", method) as z:
+        z.comment = comment
+        z.writestr("datapackage.json", "{}")
+        z.writestr("archive/data.warc" + (".gz" if gz else ""), b"".join(parts))
+        if index:
+            at, lines = 0, []
+            for p in parts:
+                lines.append(f'com,a)/ 2020 {{"offset": "{at}", "length": "{len(p)}"}}')
+                at += len(p)
+            z.writestr("indexes/index.cdxj", "\n".join(lines))
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("index", [True, False])
+@pytest.mark.parametrize("gz", [True, False])
+def test_packages_of_others(spark, tmp_path, index, gz):
+    (tmp_path / "a.wacz").write_bytes(foreign(index and gz, gz=gz, comment=b"a PK\x05\x06 comment"))
+    got = warc_zip.read_packages(spark, f"file://{tmp_path}").collect()
+    assert sorted(r["record_id"] for r in got) == [f"urn:record:{i}" for i in range(3)]
+
+
+def test_refusals(tmp_path):
+    for data in (b"", b"no zip at all", foreign(True, zipfile.ZIP_DEFLATED)):
+        with pytest.raises(ValueError):
+            list(warc_zip.locate(io.BytesIO(data), len(data), 100))
+
+
+def test_chunks_make_up_the_stream(monkeypatch):
+    monkeypatch.setattr(warc_zip, "CHUNK", 5)
+    for stream in ([b"ab\ncd\n"], [b"abcdefghij", b"kl\nmn", b"\n"], [b"\n", b"\n"], [b"x" * 40, b"\n"]):
+        assert b"".join(c + b"\n" for c in warc_zip._chunks(iter(stream))) == b"".join(stream)
+
+
+def test_wide_directory_fields():
+    package = warc_zip._Package()
+    data = package.open(warc_zip.DATA) + package.data(b"abc") + package.close() + package.directory()
+    (name, method, header, size), = warc_zip.directory(io.BytesIO(data), len(data))
+    assert (name, method, header, size) == (warc_zip.DATA, 0, 0, 3)
+    assert struct.unpack_from("<I", data, len(data) - 23)[0] == 0x06054B50
+
+
+def test_empty(spark, tmp_path):
+    folder = f"file://{tmp_path}/packages"
+    warc_zip.write_packages(warc_zip.with_revisits(pages(spark, [])), folder)
+    assert warc_zip.read_packages(spark, folder).count() == 0
