@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from swayline.llm import packing
-from swayline.llm.tokens import ChunkEncoder
+from swayline.llm.tokens import WordEncoder
 from tests.llm.common import AWKWARD, documents
 
 LIBRARY = Tokenizer.from_file(packing.VOCABULARY)
@@ -53,16 +53,16 @@ def test_whole_table_is_nearly_full(spark):
 
 
 @settings(max_examples=80, deadline=None)
-@given(st.lists(st.text(alphabet="aB'st ,.\t\n\x0b\x1c\x85 éÉéΣΟΣİ日本😀1²<|endoftext|>", max_size=40), max_size=5))
+@given(st.lists(st.text(alphabet="aB'st ,.\t\n\x0b\x1c\x85 éÉéΣΟΣİ日本ªºµßÿ×÷½😀1²<|endoftext|>", max_size=40), max_size=5))
 def test_chunks_give_the_ids_of_the_whole(texts):
-    got = ChunkEncoder(packing.VOCABULARY).encode(texts)
+    got = WordEncoder(packing.VOCABULARY).encode(texts)
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [ids_of(t)[:-1] for t in texts]
 
 
 def test_special_strings_and_full_cache(monkeypatch):
     from swayline.llm import tokens
-    monkeypatch.setattr(tokens, "CACHED", 3)
-    coder = ChunkEncoder(packing.VOCABULARY)
+    monkeypatch.setattr(tokens, "KNOWN", 8)
+    coder = WordEncoder(packing.VOCABULARY)
     for texts in (["a<|endoftext|>b one two three", "x" * 100], ["one four five", "two six"], ["one two x " + "y" * 60]):
         assert [np.frombuffer(g, "<u4").tolist() for g in coder.encode(texts)] == [ids_of(t)[:-1] for t in texts]
 
