@@ -5,7 +5,7 @@ four to seven letters and their share of the text's words; kept are those whose
 ``max_features``. Document frequencies are counted over all documents. So the index has a proven bound and is broadcast.
 
 A document's nearest examples are found exactly: examples lie in blocks, each term's postings carry a maximum for each block, and a
-block is scored only while the sum of its maxima can still reach the k-th best cosine. Votes weigh 1 / (1.05 - cosine). Votes are
+block is scored only if the sum of its maxima can reach the k-th best cosine found in the most promising blocks. Votes weigh 1 / (1.05 - cosine). Votes are
 calibrated by a monotone fit to the examples' own leave-one-out votes; the texts without any kept feature get the label rate of
 the examples without one. Evidence is the nearest examples themselves.
 
@@ -32,6 +32,7 @@ HEAD = 4
 BEGINNINGS = (4, 5, 6, 7)
 SHARES = ((100, "1%"), (30, "3%"))  # a beginning's share of all words, as features of their own
 BLOCK = 64
+FIRST = 4  # blocks scored before the others are judged
 REMEMBERED = 20_000
 
 
@@ -74,28 +75,42 @@ class BlockMaxIndex:
         for term, pairs in by_term.items():
             rows, weights = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs])
             blocks, starts = np.unique(rows // BLOCK, return_index=True)
-            ends = [*starts[1:].tolist(), len(rows)]
-            spans = dict(zip(blocks.tolist(), zip(starts.tolist(), ends)))
-            self.postings[term] = (rows % BLOCK, weights, blocks, np.maximum.reduceat(weights, starts), spans)
+            self.postings[term] = (rows, weights, rows // BLOCK, blocks, np.maximum.reduceat(weights, starts))
+
+    def _scores(self, terms: list[tuple], alive: np.ndarray) -> np.ndarray:
+        scores = np.zeros(len(self.rows))
+        for weight, (rows, weights, block, _, _) in terms:
+            among = alive[block]
+            scores[rows[among]] += weight * weights[among]
+        return scores
 
     def nearest(self, query: dict[int, float], k: int, without: int = -1) -> list[tuple[float, int]]:
-        """The ``k`` largest cosines (positive ones only) as (cosine, example), ties to the smaller example."""
+        """The ``k`` largest cosines (positive ones only) as (cosine, example), ties to the smaller example.
+
+        The blocks with the largest bounds are scored first; then, together, all others whose bound reaches the k-th best so far.
+        """
         terms = [(weight, self.postings[t]) for t, weight in sorted(query.items()) if t in self.postings]
         bound = np.zeros(-(-len(self.rows) // BLOCK))
-        for weight, (_, _, blocks, most, _) in terms:
+        for weight, (_, _, _, blocks, most) in terms:
             bound[blocks] += weight * most
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 0 or len(best) == k and bound[block] < -best[-1][0]:
-                break
-            scores = np.zeros(BLOCK)
-            for weight, (rows, weights, _, _, spans) in terms:
-                if block in spans:
-                    start, end = spans[block]
-                    scores[rows[start:end]] += weight * weights[start:end]
-            new = [(-scores[i], block * BLOCK + i) for i in np.flatnonzero(scores > 0).tolist() if block * BLOCK + i != without]
-            best = sorted(best + new)[:k]
-        return [(-score, row) for score, row in best]
+        alive = bound > 0
+        if alive.sum() > 2 * FIRST:
+            alive &= bound >= np.partition(bound, len(bound) - FIRST)[len(bound) - FIRST]
+        scores = self._scores(terms, alive)
+        if without >= 0:
+            scores[without] = 0
+        least = np.partition(scores, len(scores) - k)[len(scores) - k] if len(scores) > k else 0.0
+        rest = (bound > 0) & (bound >= least) & ~alive
+        if rest.any():
+            scores += self._scores(terms, rest)  # a block is scored once only
+            if without >= 0:
+                scores[without] = 0
+        rows = np.flatnonzero(scores > 0)
+        if len(rows) > k:
+            least = np.partition(scores[rows], len(rows) - k)[len(rows) - k]
+            rows = rows[scores[rows] >= least]
+        rows = rows[np.lexsort((rows, -scores[rows]))[:k]]
+        return list(zip(scores[rows].tolist(), rows.tolist()))
 
 
 def _vote(found: list[tuple[float, int]], labels: list[int]) -> float:
@@ -128,7 +143,7 @@ class Model:
         marked.sort(key=lambda v: (max(v[0], key=lambda t: (v[0][t], -t)), sorted(v[0].items()), v[1]))  # alike examples share blocks
         self.ids, self.labels = [v[1] for v in marked], [v[2] for v in marked]
         self.index = BlockMaxIndex([v[0] for v in marked])
-        votes = [(f, label) for row, (vector, _, label) in enumerate(marked) if (f := self.index.nearest(vector, k, row))]
+        votes = [(f, label) for row, (vector, _, label) in enumerate(marked) if (f := self.index.nearest(vector, k, row))]  # leave one out
         self.votes, self.rates = _monotone([_vote(f, self.labels) for f, _ in votes], [label for _, label in votes])
 
     def weigh(self, counts: dict[int, int]) -> dict[int, float]:
@@ -185,7 +200,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_id
         return lambda values: [[list(features(v).items()) for v in values]]
 
     examples = keep(texts.withColumn("key", F.struct("doc_id", "label"))
-                    .transform(lambda t: map_texts(t, "key", "text", "found map<string, int>", make)), "examples")
+                    .transform(lambda t: map_texts(t, "key", "text", "found map<string, int>", make, 1 << 19)), "examples")
     flat = examples.select("key.doc_id", "key.label", F.explode("found").alias("feature", "n"))
     total = examples.agg(F.count("*").alias("n"), F.sum("key.label").alias("positive")).first()
     n, positive = total["n"], total["positive"] or 0
