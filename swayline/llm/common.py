@@ -6,7 +6,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,11 +59,11 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def map_texts(docs: DataFrame, doc_id: str, text: str, fields: str, make: Callable[[], Callable[[list[str]], list[list]]],
-              block_bytes: int = 8 << 20) -> DataFrame:
+              block_bytes: int = 1 << 20) -> DataFrame:
     """One row per row of ``docs``: its id (any type, nulls kept) and ``fields``, a DDL string, made from whole texts (null: empty).
 
     ``make`` runs once in a task and gives the function that turns the texts of a block into columns. Blocks hold at least one
-    text and about ``block_bytes`` characters, so memory does not follow the size of a partition.
+    text and about ``block_bytes`` bytes, so memory does not follow the size of a partition.
     """
     chosen = docs.select(F.col(doc_id).alias("id"), whole_text(text).alias("text"))
     schema = T.StructType([chosen.schema["id"], *T.StructType.fromDDL(fields)])
@@ -70,14 +72,13 @@ def map_texts(docs: DataFrame, doc_id: str, text: str, fields: str, make: Callab
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            start, size = 0, 0
-            for i, value in enumerate(texts):
-                size += len(value)
-                if size >= block_bytes or i == len(texts) - 1:
-                    columns = work(texts[start:i + 1])
-                    arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-                    yield pa.RecordBatch.from_arrays([ids.slice(start, i + 1 - start), *arrays], names=schema.names)
-                    start, size = i + 1, 0
+            sizes = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
+            start = 0
+            while start < batch.num_rows:  # only a block's texts are Python objects at a time
+                end = min(batch.num_rows, int(np.searchsorted(sizes, (sizes[start - 1] if start else 0) + block_bytes)) + 1)
+                part = batch.slice(start, end - start)
+                arrays = [pa.array(c, k) for c, k in zip(work(part.column(1).to_pylist()), kinds)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *arrays], names=schema.names)
+                start = end
 
     return chosen.mapInArrow(run, schema).withColumnRenamed("id", doc_id)

@@ -282,6 +282,15 @@ def find(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sure: floa
     return map_texts(docs, doc_id, text, fields, make)
 
 
+def _replaced(text: str, spans: list[Span]) -> str:
+    parts, done = [], 0
+    for start, kind, end in sorted(spans):
+        if start >= done:
+            parts += [text[done:start], f"<{KINDS[kind].upper()}>"]
+        done = max(done, end)
+    return "".join(parts) + text[done:]
+
+
 def mask(docs: DataFrame, text: str = "text", sure: float = 0.9, weights=None, **sample) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in angle brackets; a text without spans, or null, stays as it is.
     Where spans overlap, the one that starts first (of those, the first kind) counts and the union of both is replaced."""
@@ -289,16 +298,13 @@ def mask(docs: DataFrame, text: str = "text", sure: float = 0.9, weights=None, *
 
     @F.pandas_udf("string")
     def masked(texts):
-        values = [t or "" for t in texts]
-        base = [base_spans(t) for t in values]
         out = []
-        for given, value, spans, more in zip(texts, values, base, _added(values, base, weights, sure)):
-            parts, done = [], 0
-            for start, kind, end in sorted(spans + more):
-                if start >= done:
-                    parts += [value[done:start], f"<{KINDS[kind].upper()}>"]
-                done = max(done, end)
-            out.append("".join(parts) + value[done:] if parts else given)
+        for start in range(0, len(texts), 256):
+            given = texts.iloc[start:start + 256].tolist()
+            values = [t or "" for t in given]
+            base = [base_spans(t) for t in values]
+            out += [_replaced(v, spans + more) if spans or more else t
+                    for t, v, spans, more in zip(given, values, base, _added(values, base, weights, sure))]
         return type(texts)(out, dtype=object)
 
     return docs.withColumn(text, masked(F.col(text)))

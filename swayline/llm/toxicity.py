@@ -33,7 +33,7 @@ BEGINNINGS = (4, 5, 6, 7)
 SHARES = ((100, "1%"), (30, "3%"))  # a beginning's share of all words, as features of their own
 BLOCK = 64
 FIRST = 4  # blocks scored before the others are judged
-REMEMBERED = 20_000
+REMEMBERED = 2_000
 
 
 def features(text: str, heads: frozenset[str] | None = None) -> Counter:

@@ -5,8 +5,8 @@ The search walks the text once and keeps back pointers only since the last commi
 back pointers of all positions that a piece can still be appended to are followed until they meet, and ids up to there are final.
 Characters without a piece become byte pieces, at the lowest score less ten.
 
-White space that follows other characters always starts a piece in such vocabularies, so paths converge there: the search is run
-for each stretch between those boundaries, and its ids are kept in a bounded cache. Null texts count as empty. Decoding returns
+White space that follows other characters always starts a piece in such vocabularies, and so do common marks after letters, so all
+paths converge there: the search is run for each stretch between those boundaries, and its ids are kept in a bounded cache. Null texts count as empty. Decoding returns
 the text but for U+2581 itself, which stands for a blank.
 """
 
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
@@ -26,8 +27,8 @@ from swayline.llm.common import map_texts
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 BLANK = "▁"
-STRETCH = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
-CACHED = 300_000
+MARKS = ",.;:!?"
+CACHED = 600_000
 CACHED_CHARS = 48
 
 
@@ -49,6 +50,12 @@ class Pieces:
         bad = [p for p in self.known if BLANK in p.lstrip(BLANK)]
         if bad:
             raise ValueError("a piece has white space after other characters: " + bad[0])
+        # Marks that no piece has after a letter: where one follows a letter, a new piece starts.
+        letter = r"[^\W\d_]"
+        inner = {p[i] for p in self.known for i in range(1, len(p)) if re.match(letter, p[i - 1])}
+        marks = re.escape("".join(m for m in MARKS if m not in inner)) or "\ue000"
+        self.stretches = re.compile(f"{BLANK}*[^{BLANK}](?:[^{BLANK}{marks}]+|(?<!{letter})[{marks}])*|{BLANK}+").findall
+        self.scored: dict[str, tuple[int, float] | None] = {p: self.known.get(p) for p in self.prefixes}
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -93,7 +100,7 @@ class Pieces:
         if at > base:
             yield self._path(text, base, at, back)
 
-    def _path(self, text: str, base: int, end: int, back: dict) -> list[int]:
+    def _path(self, text: str, base: int, end: int, back: dict | list) -> list[int]:
         parts = []
         at = end
         while at > base:
@@ -103,10 +110,30 @@ class Pieces:
             at = start
         return [i for part in reversed(parts) for i in part]
 
+    def _window(self, text: str) -> list[int]:
+        """``stream`` for a text no longer than a piece can be: one window, committed at its end."""
+        size = len(text)
+        best, back, scored, missing = [0.0] + [float("-inf")] * size, [(0, None)] * (size + 1), self.scored, ()
+        for i in range(size):
+            score, single = best[i], False
+            for j in range(i + 1, size + 1):
+                piece = scored.get(text[i:j], missing)
+                if piece is missing:
+                    break
+                if piece is not None:
+                    single |= j == i + 1
+                    total = score + piece[1]
+                    if total > best[j]:
+                        best[j], back[j] = total, (i, piece[0])
+            if not single and score + self.unknown > best[i + 1]:
+                best[i + 1], back[i + 1] = score + self.unknown, (i, None)
+        return self._path(text, 0, size, back)
+
     def _stretch(self, stretch: str) -> bytes:
         ids = self.old.get(stretch)
         if ids is None:
-            ids = b"".join(np.array(part, "<u4").tobytes() for part in self.stream([stretch]))
+            parts = [self._window(stretch)] if len(stretch) <= self.longest else self.stream([stretch])
+            ids = b"".join(array("I", part).tobytes() for part in parts)
         if len(stretch) <= CACHED_CHARS:
             if len(self.young) >= CACHED:
                 self.old, self.young = self.young, {}
@@ -117,7 +144,7 @@ class Pieces:
         """Little-endian unsigned 32-bit ids of a whole text."""
         if not text:
             return b""
-        stretches = STRETCH.findall(BLANK + text.replace(" ", BLANK))
+        stretches = self.stretches(BLANK + text.replace(" ", BLANK))
         found = list(map(self.young.get, stretches))
         if None in found:
             found = [self._stretch(s) if f is None else f for s, f in zip(stretches, found)]
