@@ -46,6 +46,14 @@ def forget(df: DataFrame) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def small_batches(df: DataFrame, rows: int = 500) -> DataFrame:
+    """``df``, with Arrow batches of at most ``rows`` rows in its session: whole texts are wide, and a batch is held several times."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(setting)) <= rows:
+        df.sparkSession.conf.set(setting, str(rows))
+    return df
+
+
 def whole_text(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
@@ -65,7 +73,7 @@ def map_texts(docs: DataFrame, doc_id: str, text: str, fields: str, make: Callab
     ``make`` runs once in a task and gives the function that turns the texts of a block into columns. Blocks hold at least one
     text and about ``block_bytes`` bytes, so memory does not follow the size of a partition.
     """
-    chosen = docs.select(F.col(doc_id).alias("id"), whole_text(text).alias("text"))
+    chosen = small_batches(docs).select(F.col(doc_id).alias("id"), whole_text(text).alias("text"))
     schema = T.StructType([chosen.schema["id"], *T.StructType.fromDDL(fields)])
     kinds = [to_arrow_type(f.dataType) for f in schema.fields[1:]]
 

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from swayline.llm.common import map_texts, whole_text
+from swayline.llm.common import map_texts, small_batches, whole_text
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -307,4 +307,4 @@ def mask(docs: DataFrame, text: str = "text", sure: float = 0.9, weights=None, *
                     for t, v, spans, more in zip(given, values, base, _added(values, base, weights, sure))]
         return type(texts)(out, dtype=object)
 
-    return docs.withColumn(text, masked(F.col(text)))
+    return small_batches(docs).withColumn(text, masked(F.col(text)))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swayline.llm.common import forget, fresh, keep, whole_text
+from swayline.llm.common import forget, fresh, keep, small_batches, whole_text
 
 CHUNK = 1 << 16
 SEED = 42
@@ -113,7 +113,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, doc_id: str, text: str, words: int, max_bits: int, blocks: int) -> DataFrame:
-    prints = keep(docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(whole_text(text)).alias("text_hash"),
+    prints = keep(small_batches(docs).select(F.col(doc_id).alias("doc_id"), F.xxhash64(whole_text(text)).alias("text_hash"),
                               fingerprint_column(whole_text(text), words).alias("fp")), "fingerprints")
     classes = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "classes")
     found = components(links(classes.select("fp"), max_bits, blocks))

@@ -9,7 +9,7 @@ block is scored only if the sum of its maxima can reach the k-th best cosine fou
 calibrated by a monotone fit to the examples' own leave-one-out votes; the texts without any kept feature get the label rate of
 the examples without one. Evidence is the nearest examples themselves.
 
-Null texts count as empty. Without labelled examples every score is 0. Several labels of one id: the largest; several texts
+Null texts count as empty. Without examples of both labels every score is 0. Several labels of one id: the largest; several texts
 under one id: the least. Rows are neither dropped nor merged.
 """
 
@@ -18,14 +18,13 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from swayline.llm.common import keep, map_texts, whole_text
+from swayline.llm.common import keep, map_texts, small_batches, whole_text
 
 WORD = re.compile(r"\w+")
 HEAD = 4
@@ -60,25 +59,20 @@ def head(feature: str) -> str:
     return feature.removeprefix("=")[:HEAD]
 
 
-@dataclass
 class BlockMaxIndex:
-    """Postings by term over examples in blocks. ``rows``: term -> weight of each example, unit vectors."""
+    """Postings by term over examples in blocks, from triples (row, term, weight); rows are unit vectors."""
 
-    rows: list[dict[int, float]]
-    postings: dict[int, tuple] = field(default_factory=dict)
-
-    def __post_init__(self) -> None:
-        by_term: dict[int, list[tuple[int, float]]] = {}
-        for row, weights in enumerate(self.rows):
-            for term, weight in weights.items():
-                by_term.setdefault(term, []).append((row, weight))
-        for term, pairs in by_term.items():
-            rows, weights = np.array([p[0] for p in pairs], np.int64), np.array([p[1] for p in pairs])
-            blocks, starts = np.unique(rows // BLOCK, return_index=True)
-            self.postings[term] = (rows, weights, rows // BLOCK, blocks, np.maximum.reduceat(weights, starts))
+    def __init__(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, size: int):
+        self.size, self.postings = size, {}
+        order = np.lexsort((row, term))
+        cuts = np.flatnonzero(np.diff(term[order])) + 1
+        for rows, weights, terms in zip(*(np.split(x[order], cuts) for x in (row.astype(np.int32), weight, term))):
+            if len(rows):
+                blocks, starts = np.unique(rows // BLOCK, return_index=True)
+                self.postings[int(terms[0])] = (rows, weights, rows // BLOCK, blocks, np.maximum.reduceat(weights, starts))
 
     def _scores(self, terms: list[tuple], alive: np.ndarray) -> np.ndarray:
-        scores = np.zeros(len(self.rows))
+        scores = np.zeros(self.size)
         for weight, (rows, weights, block, _, _) in terms:
             among = alive[block]
             scores[rows[among]] += weight * weights[among]
@@ -90,7 +84,7 @@ class BlockMaxIndex:
         The blocks with the largest bounds are scored first; then, together, all others whose bound reaches the k-th best so far.
         """
         terms = [(weight, self.postings[t]) for t, weight in sorted(query.items()) if t in self.postings]
-        bound = np.zeros(-(-len(self.rows) // BLOCK))
+        bound = np.zeros(-(-self.size // BLOCK))
         for weight, (_, _, _, blocks, most) in terms:
             bound[blocks] += weight * most
         alive = bound > 0
@@ -131,20 +125,36 @@ def _monotone(votes: list[float], labels: list[int]) -> tuple[np.ndarray, np.nda
 
 
 class Model:
-    def __init__(self, names: list[str], idf: list[float], examples: list[tuple], k: int):
-        """``examples``: (id, label, {feature number: count})."""
+    def __init__(self, names: list[str], idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, row: np.ndarray, term: np.ndarray,
+                 count: np.ndarray, k: int):
+        """Examples by ``ids`` and ``labels``; ``row`` (an example), ``term`` and ``count`` are the entries of their vectors."""
         self.numbers = {name: i for i, name in enumerate(names)}
         self.heads = frozenset(map(head, names))
         self.idf, self.k, self.memory = idf, k, {}
-        vectors = [(self.weigh(counts), key, label) for key, label, counts in examples]
-        plain = [label for vector, _, label in vectors if not vector]
-        self.plain_rate = (sum(plain) + 0.5) / (len(plain) + 1) if vectors else 0.0
-        marked = [v for v in vectors if v[0]]
-        marked.sort(key=lambda v: (max(v[0], key=lambda t: (v[0][t], -t)), sorted(v[0].items()), v[1]))  # alike examples share blocks
-        self.ids, self.labels = [v[1] for v in marked], [v[2] for v in marked]
-        self.index = BlockMaxIndex([v[0] for v in marked])
-        votes = [(f, label) for row, (vector, _, label) in enumerate(marked) if (f := self.index.nearest(vector, k, row))]  # leave one out
-        self.votes, self.rates = _monotone([_vote(f, self.labels) for f, _ in votes], [label for _, label in votes])
+        marked = np.zeros(len(ids), bool)
+        marked[row] = True
+        plain = labels[~marked]
+        self.plain_rate = (plain.sum() + 0.5) / (len(plain) + 1) if len(ids) else 0.0
+        weight = (1 + np.log(count)) * idf[term]
+        weight = weight / np.sqrt(np.bincount(row, weight * weight, len(ids)))[row]
+        heaviest = np.full(len(ids), -1)
+        rising = np.argsort(weight, kind="stable")
+        heaviest[row[rising]] = term[rising]
+        order = np.lexsort((ids, heaviest))             # alike examples share blocks; those without a feature come first
+        order = order[int((~marked).sum()):]
+        place = np.full(len(ids), -1)
+        place[order] = np.arange(len(order))
+        self.ids, self.labels = ids[order].tolist(), labels[order].tolist()
+        self.index = BlockMaxIndex(place[row], term, weight, len(order))
+        votes = []
+        by_row = np.argsort(place[row], kind="stable")
+        ends = np.cumsum(np.bincount(place[row], minlength=len(order)))
+        for i, (start, end) in enumerate(zip([0, *ends], ends)):
+            mine = by_row[start:end]
+            found = self.index.nearest(dict(zip(term[mine].tolist(), weight[mine].tolist())), k, i)  # leave one out
+            if found:
+                votes.append((_vote(found, self.labels), self.labels[i]))
+        self.votes, self.rates = _monotone([v for v, _ in votes], [label for _, label in votes])
 
     def weigh(self, counts: dict[int, int]) -> dict[int, float]:
         raw = {t: (1 + np.log(n)) * self.idf[t] for t, n in sorted(counts.items())}
@@ -181,7 +191,7 @@ def _frequencies(docs: DataFrame, text: str, names: list[str]) -> tuple[int, dic
                 totals.update({numbers[f] for f in features(value, heads) if f in numbers})
         yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())], ["term", "n"])
 
-    rows = docs.select(whole_text(text)).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    rows = small_batches(docs).select(whole_text(text)).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
     counts = {r["term"]: r["n"] for r in rows}
     return counts.pop(-1, 0), counts
 
@@ -204,21 +214,26 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_id
     flat = examples.select("key.doc_id", "key.label", F.explode("found").alias("feature", "n"))
     total = examples.agg(F.count("*").alias("n"), F.sum("key.label").alias("positive")).first()
     n, positive = total["n"], total["positive"] or 0
+    none = np.empty(0, np.int64)
     if not 0 < positive < n:
-        return Model([], [], [(i, 0, {}) for i in range(n)] if not positive else [], k)
+        return Model([], np.empty(0), none, none, none, none, none, k)
     expected = F.col("df") * F.lit(positive / n)
     chi2 = (F.col("p") - expected) ** 2 / expected + (F.col("p") - expected) ** 2 / (F.col("df") * F.lit(1 - positive / n))
     ranked = (flat.groupBy("feature").agg(F.count("*").alias("df"), F.sum("label").alias("p")).filter(F.col("df") >= least_df)
               .withColumn("chi2", chi2).filter(F.col("chi2") >= least_chi2).orderBy(F.desc("chi2"), "feature").limit(max_features))
     names = [r["feature"] for r in ranked.collect()]
     documents, frequency = _frequencies(docs, text, names)
-    idf = [float(np.log((documents + 1) / (frequency.get(i, 0) + 1)) + 1) for i in range(len(names))]
-    numbers = {name: i for i, name in enumerate(names)}
-    found = (flat.filter(F.col("feature").isin(names)).groupBy("doc_id")
-             .agg(F.collect_list(F.struct("feature", "n")).alias("found")).collect()) if names else []
-    kept = {r["doc_id"]: {numbers[f["feature"]]: f["n"] for f in r["found"]} for r in found}
-    return Model(names, idf, [(r["doc_id"], int(r["label"]), kept.get(r["doc_id"], {}))
-                              for r in examples.select("key.doc_id", "key.label").orderBy("doc_id").collect()], k)
+    idf = np.array([np.log((documents + 1) / (frequency.get(i, 0) + 1)) + 1 for i in range(len(names))])
+    listed = examples.select("key.doc_id", F.col("key.label").cast("long").alias("label")).toArrow()
+    ids, marks = listed["doc_id"].to_numpy().astype(np.int64), listed["label"].to_numpy().astype(np.int64)
+    order = np.argsort(ids)
+    ids, marks = ids[order], marks[order]
+    if not names:
+        return Model([], idf, ids, marks, none, none, none, k)
+    numbered = docs.sparkSession.createDataFrame(list(enumerate(names)), "term int, feature string")
+    found = flat.join(F.broadcast(numbered), "feature").select("doc_id", "term", "n").toArrow()  # max_features rows
+    return Model(names, idf, ids, marks, np.searchsorted(ids, found["doc_id"].to_numpy()), found["term"].to_numpy().astype(np.int64),
+                 found["n"].to_numpy().astype(np.int64), k)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -246,4 +261,4 @@ def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFram
         judge = shared.value
         return type(texts)([judge.score(t)[0] < 0.5 for t in texts], dtype=bool)
 
-    return docs.filter(clean(whole_text(text)))
+    return small_batches(docs).filter(clean(whole_text(text)))

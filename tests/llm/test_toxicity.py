@@ -15,7 +15,8 @@ def test_nearest_is_exact():
         terms = rng.choice(60, rng.integers(1, 8), replace=False)
         weights = rng.integers(1, 4, len(terms)).astype(float)
         rows.append(dict(zip(terms.tolist(), (weights / np.linalg.norm(weights)).tolist())))
-    index = toxicity.BlockMaxIndex(rows)
+    triples = [(i, t, w) for i, r in enumerate(rows) for t, w in r.items()]
+    index = toxicity.BlockMaxIndex(*(np.array(x) for x in zip(*triples)), len(rows))
     dense = np.zeros((len(rows), 60))
     for i, r in enumerate(rows):
         for t, w in r.items():
