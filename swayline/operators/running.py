@@ -80,10 +80,9 @@ def _bucketed(df: DataFrame, column: str, out: str, splits: list[float]) -> Data
 
 def assign_buckets(df: DataFrame, score: str, tie_break: str | None, cuts: Cuts, descending: bool) -> DataFrame:
     """Add bucket and part numbers that grow with the wanted order. Equal scores share a bucket; missing ones come last."""
-    splits = [-math.inf]
-    for q in cuts.scores:
-        splits += [q, float(np.nextafter(q, math.inf))]  # [q, next) holds q alone
-    splits.append(math.inf)
+    # [q, next) holds q alone; two thresholds one step apart share an edge.
+    edges = {e for q in cuts.scores for e in (q, float(np.nextafter(q, math.inf)))}
+    splits = [-math.inf, *sorted(edges), math.inf]
     missing = F.col(score).isNull()
     out = _bucketed(df.withColumn("_score", F.coalesce(F.col(score), F.lit(0.0))), "_score", BUCKET, splits)
     ordered = -F.col(BUCKET) if descending else F.col(BUCKET)

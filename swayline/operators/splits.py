@@ -32,8 +32,8 @@ def stratified_hold_out(df: DataFrame, by: str = "treatment", seed: int | str =
     Two members of an arm with the same 32-bit hash at the cut stay together.
     """
     hashed = df.withColumn("_share", hash_share(F.col(member), F.lit(seed)))
-    cuts = exact_percentiles(hashed, ["_share"], [share], [by]).select(by, F.col("value").alias("_cut"))
-    marked = hashed.join(F.broadcast(cuts), by)  # one row per arm
+    cuts = exact_percentiles(hashed, ["_share"], [share], [by]).select(F.col(by).alias("_arm"), F.col("value").alias("_cut"))
+    marked = hashed.join(F.broadcast(cuts), F.col(by).eqNullSafe(F.col("_arm")))  # one row per arm, the missing one too
     low = F.col("_share") <= F.col("_cut")
     return tuple(marked.filter(side).select(df.columns) for side in (~low, low))
 

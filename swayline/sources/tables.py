@@ -48,8 +48,9 @@ class MemberTables:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV with a declared schema. A malformed value stops the job rather than turning null."""
-    return spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
+    """Header CSV with a declared schema. A malformed value, or a header in another order, stops the job."""
+    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("escape", '"')
+            .option("mode", "FAILFAST").csv(path))
 
 
 def read_split(spark: SparkSession, folder: str, prefix: str = "") -> MemberTables:

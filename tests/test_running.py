@@ -116,3 +116,11 @@ def test_percentiles_of_tiny_and_empty_columns(spark, accuracy):
     assert set(got.feature) == {"a"} and sorted(got.value) == [1.5, 2.0]
     one = exact_percentiles(df.limit(1), ["a"], [(1, 3)], accuracy=accuracy).toPandas()
     assert one.value.tolist() == [1.0]
+
+
+def test_neighbouring_doubles(spark):
+    df = spark.range(4000).selectExpr("id member_id", "if(id % 2 = 0, 0.3D, 0.1D + 0.2D) uplift")
+    rows = running_sums(df, "uplift", {"rank": F.lit(1)}, cfg=CurveConfig(rows_per_bucket=100)).collect()
+    assert sorted(r["rank"] for r in rows) == list(range(1, 4001))
+    high = max(r["uplift"] for r in rows)
+    assert all((r["rank"] <= 2000) == (r["uplift"] == high) for r in rows)
