@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -196,6 +197,21 @@ def _frequencies(docs: DataFrame, text: str, names: list[str]) -> tuple[int, dic
     return counts.pop(-1, 0), counts
 
 
+def _entries(examples: DataFrame, names: list[str]) -> DataFrame:
+    """(doc_id, term, n): what each example has of the kept features, looked up in the tasks."""
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        listed = pa.array(names)
+        for batch in batches:
+            ids, found, n = batch.columns
+            term = pc.index_in(found.flatten(), value_set=listed)
+            kept = pc.is_valid(term)
+            owner = ids.take(pc.list_parent_indices(found).filter(kept))
+            yield pa.RecordBatch.from_arrays([owner, term.filter(kept), n.flatten().filter(kept)], ["doc_id", "term", "n"])
+
+    lists = examples.select(F.col("key.doc_id").cast("long").alias("doc_id"), F.map_keys("found").alias("features"), F.map_values("found").alias("counts"))
+    return lists.mapInArrow(look_up, "doc_id long, term int, n int")
+
+
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_id: str = "doc_id", text: str = "text",
         label: str = "toxic", max_examples: int = 16_384, max_features: int = 2_048, least_df: int = 5, least_chi2: float = 30.0,
         k: int = 15) -> Model:
@@ -230,8 +246,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_id
     ids, marks = ids[order], marks[order]
     if not names:
         return Model([], idf, ids, marks, none, none, none, k)
-    numbered = docs.sparkSession.createDataFrame(list(enumerate(names)), "term int, feature string")
-    found = flat.join(F.broadcast(numbered), "feature").select("doc_id", "term", "n").toArrow()  # max_features rows
+    found = _entries(examples, names).toArrow()  # at most max_examples x max_features
     return Model(names, idf, ids, marks, np.searchsorted(ids, found["doc_id"].to_numpy()), found["term"].to_numpy().astype(np.int64),
                  found["n"].to_numpy().astype(np.int64), k)
 
