@@ -21,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Small buckets, so that every curve query crosses bucket borders at the sizes it is checked at.
-CURVE = CurveConfig(rows_per_bucket=200, max_buckets=64)
+CURVE = CurveConfig(rows_per_bucket=200)
 INTERACTED = ("early_claims", "claim_trend", "has_icd_Brand_6")
 DROPPED = ("app_sessions", "total_claims")
 KEYWORDS = ("brand#1", "web_visits", "claims_count")

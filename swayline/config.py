@@ -60,14 +60,9 @@ class FeatureConfig:
 
 @dataclass(frozen=True)
 class CurveConfig:
-    """How global running sums are split into tasks.
-
-    Bucket totals are broadcast: ``max_totals`` bounds buckets times keys, whatever the table size.
-    """
+    """How global running sums are split into tasks: buckets hold about this many rows, whatever the table size."""
 
     rows_per_bucket: int = 500_000
-    max_buckets: int = 4_000
-    max_totals: int = 100_000
 
 
 @dataclass(frozen=True)

@@ -10,11 +10,10 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from swayline.config import PRIORITY_KEYWORDS, safe_name
 from swayline.functions.columns import rate
 from swayline.functions.tdist import two_sided_p
-from swayline.operators.running import cells, exact_percentiles, name_of, number_of
+from swayline.operators.running import cells, exact_percentiles, join_same, name_of, number_of
 
 QUARTILES = ((1, 4), (1, 2), (3, 4))
 TERTILE_EDGES = ((0, 1), (1, 3), (2, 3), (1, 1))
-SMALL_DOMAIN = 20
 
 
 def arm(df: DataFrame, treated: int, treatment: str = "treatment") -> DataFrame:
@@ -58,7 +57,7 @@ def describe(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) ->
     marks = exact_percentiles(df, features, QUARTILES, by).groupBy(*by, "feature").agg(*[
         F.max(F.when(F.col("share_no") == i, F.col("value"))).alias(name)
         for i, name in enumerate(("p25", "p50", "p75"))])
-    return rows.join(F.broadcast(marks), [*by, "feature"], "left").select(
+    return join_same(rows, marks, [*by, "feature"], "left").select(
         *by, "feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
@@ -108,24 +107,12 @@ def average_effect(df: DataFrame, outcome: str = "y", treatment: str = "treatmen
 
 
 def distinct_gate(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(feature, n_distinct, kind): 'constant' up to one value, 'categorical' up to three, else 'numeric'.
-
-    A sketch sizes every feature in one pass. Only features it finds small are counted exactly; for the others
-    ``n_distinct`` is the sketch's estimate and the kind is the same either way.
-    """
-    rough = cells(df, features).groupBy("pos").agg(F.approx_count_distinct("value").alias("n")).collect()
-    sketch = {features[r["pos"]]: r["n"] for r in rough}
-    small = [c for c in features if sketch.get(c, 0) <= SMALL_DOMAIN]
-    large = [(c, sketch[c]) for c in features if sketch.get(c, 0) > SMALL_DOMAIN]
-    spark = df.sparkSession
-    estimated = spark.createDataFrame(large, "feature string, n_distinct bigint")
-    if small:
-        values = cells(df, small).groupBy("pos", "value").agg(F.lit(1).alias("one"))
-        exact = values.groupBy(name_of(small).alias("feature")).agg(F.count("value").alias("n_distinct"))
-        estimated = estimated.unionByName(exact)
+    """(feature, n_distinct, kind): 'constant' up to one value, 'categorical' up to three, else 'numeric'. Counts are exact."""
+    values = cells(df, features).groupBy("pos", "value").agg(F.lit(1).alias("one"))
+    counts = values.groupBy(name_of(features).alias("feature")).agg(F.count("value").alias("n_distinct"))
     n = F.col("n_distinct")
     kind = F.when(n <= 1, "constant").when(n <= 3, "categorical").otherwise("numeric")
-    return estimated.withColumn("kind", kind)
+    return counts.withColumn("kind", kind)
 
 
 def tertile_edges(df: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from swayline.config import CurveConfig
 from swayline.functions.columns import clean
 from swayline.operators.curves import ScoreColumns, qini_auc
 from swayline.operators.effects import describe
-from swayline.operators.running import exact_percentiles
+from swayline.operators.running import exact_percentiles, join_same
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -43,7 +43,7 @@ def histogram(df: DataFrame, score: str, bins: int, by: Sequence[str] = ()) -> D
     })
     lower_edge = lambda i: F.col("lo") + i * ((F.col("hi") - F.col("lo")) / F.lit(float(bins)))
     rows = df.select(*by, x.alias("x")).filter(F.col("x").isNotNull())
-    placed = rows.join(F.broadcast(ends), list(by)) if by else rows.crossJoin(F.broadcast(ends))
+    placed = join_same(rows, ends, by) if by else rows.crossJoin(F.broadcast(ends))
     guess = F.floor((F.col("x") - F.col("lo")) * F.lit(float(bins)) / (F.col("hi") - F.col("lo")))
     placed = placed.withColumn("bin", F.greatest(F.lit(0), F.least(guess, F.lit(bins - 1))))
     # The division can land one bin off at an edge; the edges themselves decide.

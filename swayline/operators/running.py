@@ -19,7 +19,6 @@ from swayline.config import CurveConfig
 from swayline.functions.columns import clean
 
 BUCKET, PART = "_bucket", "_part"
-WHOLE_ROWS = 250_000
 
 
 @dataclass(frozen=True)
@@ -31,32 +30,40 @@ class Cuts:
     ids: tuple[float, ...]
 
 
-def bucket_count(rows: int, groups: int, parallelism: int, cfg: CurveConfig) -> int:
-    wanted = math.ceil(rows / cfg.rows_per_bucket)
-    if rows > 100 * parallelism * groups:
-        wanted = max(wanted, parallelism)
-    return max(1, min(wanted, cfg.max_buckets, cfg.max_totals // max(1, groups)))
+def bucket_count(rows: int, parallelism: int, cfg: CurveConfig) -> int:
+    """Buckets grow with the rows, so a bucket does not."""
+    return max(1, parallelism, math.ceil(rows / cfg.rows_per_bucket))
+
+
+def join_same(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal values of ``on``, where a missing value equals a missing value. Spark chooses the strategy."""
+    other = right.select(*[F.col(c).alias(f"_same_{c}") for c in on], *[c for c in right.columns if c not in on])
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_same_{c}")) for c in on])
+    return left.join(other, same, how).drop(*[f"_same_{c}" for c in on])
+
+
+def id_number(df: DataFrame, column: str) -> Column:
+    """A number that never falls along the order of ``column``: its value, or the first six bytes of a text."""
+    if dict(df.dtypes)[column] != "string":
+        return F.col(column).cast("double")
+    head = F.rpad(F.hex(F.substring(F.encode(F.col(column), "UTF-8"), 1, 6)), 12, "0")
+    return F.conv(head, 16, 10).cast("double")
 
 
 def find_cuts(df: DataFrame, score: str, tie_break: str | None, keys: Sequence[str], cfg: CurveConfig) -> Cuts:
-    """Thresholds from one aggregate; the driver sees at most ``max_buckets`` numbers per column.
+    """Thresholds from one aggregate; the driver sees one number per bucket and column.
 
     Between two neighbouring thresholds lie about rows/buckets rows. A score met at several thresholds holds
     more than that, and is cut again by thresholds of the (unique) tie-break column. Several keys share the
     thresholds of their union: no key can have more rows between two of them than the union has.
     """
-    spark = df.sparkSession
-    size = [F.count("*").alias("rows")] + ([F.approx_count_distinct(F.struct(*keys)).alias("keys")] if keys else [])
-    found = df.agg(*size).first()
-    rows, groups = found["rows"], found["keys"] if keys else 1
-    n = bucket_count(rows, groups, spark.sparkContext.defaultParallelism, cfg)
-    if n == 1:
-        return Cuts((), (), ())
+    rows = df.count()
+    n = bucket_count(rows, df.sparkSession.sparkContext.defaultParallelism, cfg)
     shares = F.lit([i / n for i in range(1, n)])
     accuracy = F.lit(max(10_000, 10 * n))
-    marks = [F.percentile_approx(clean(F.col(score)), shares, accuracy).alias("s")]
+    marks = [F.percentile_approx(clean(F.col(score)), shares, accuracy).alias("s")] if n > 1 else [F.lit(None).alias("s")]
     if tie_break:
-        marks.append(F.percentile_approx(F.col(tie_break).cast("double"), shares, accuracy).alias("t"))
+        marks.append(F.percentile_approx(id_number(df, tie_break), shares, accuracy).alias("t") if n > 1 else F.lit(None).alias("t"))
     found = df.agg(F.count_if(F.col(score).isNull()).alias("missing"), *marks).first()
     values, seen = np.unique(found["s"] or [], return_counts=True)
     usable = np.isfinite(values) & np.isfinite(np.nextafter(values, math.inf))
@@ -88,7 +95,7 @@ def assign_buckets(df: DataFrame, score: str, tie_break: str | None, cuts: Cuts,
     ordered = -F.col(BUCKET) if descending else F.col(BUCKET)
     out = out.withColumn(BUCKET, F.when(missing, F.lit(len(splits))).otherwise(ordered))
     if cuts.ids:
-        out = out.withColumn("_id", F.col(tie_break).cast("double"))
+        out = out.withColumn("_id", id_number(out, tie_break))
         out = _bucketed(out, "_id", PART, [-math.inf, *cuts.ids, math.inf])
         split_again = missing | F.col("_score").isin(list(cuts.heavy))
         out = out.withColumn(PART, F.when(split_again, F.col(PART)).otherwise(F.lit(0))).drop("_id")
@@ -121,20 +128,17 @@ def running_sums(
     """
     ready = df.withColumn(score, clean(F.col(score)))
     cuts = cuts or find_cuts(ready, score, tie_break, keys, cfg)
-    one_task = not cuts.scores  # few rows per key: no buckets, no offsets
-    if not one_task:
-        ready = assign_buckets(ready, score, tie_break, cuts, descending)
-    place = list(keys) if one_task else [*keys, BUCKET, PART]
-
-    if not one_task:
-        totals = ready.groupBy(*place).agg(*[F.sum(c).alias(f"_all_{n}") for n, c in sums.items()])
-        earlier = Window.partitionBy(*keys).orderBy(BUCKET, PART).rowsBetween(Window.unboundedPreceding, -1)
-        offsets = totals.select(*place, *[
-            F.coalesce(F.sum(f"_all_{n}").over(earlier), F.lit(0)).alias(f"_off_{n}") for n in sums])
-        if up_to:
-            name, limit = up_to
-            offsets = offsets.filter(F.col(f"_off_{name}") < limit)
-            ready = ready.join(F.broadcast(offsets.select(place)), place, "left_semi")
+    ready = assign_buckets(ready, score, tie_break, cuts, descending)
+    place = [*keys, BUCKET, PART]
+
+    totals = ready.groupBy(*place).agg(*[F.sum(c).alias(f"_all_{n}") for n, c in sums.items()])
+    earlier = Window.partitionBy(*keys).orderBy(BUCKET, PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*place, *[
+        F.coalesce(F.sum(f"_all_{n}").over(earlier), F.lit(0)).alias(f"_off_{n}") for n in sums])
+    if up_to:
+        name, limit = up_to
+        offsets = offsets.filter(F.col(f"_off_{name}") < limit)
+        ready = join_same(ready, offsets.select(place), place, "left_semi")
 
     if tie_break:
         kept = df.columns
@@ -147,11 +151,8 @@ def running_sums(
     direction = F.col(score).desc_nulls_last() if descending else F.col(score).asc_nulls_last()
     upto = Window.partitionBy(*place).orderBy(direction, *ties).rowsBetween(Window.unboundedPreceding, 0)
     inside = points.select("*", *[F.sum(f"_own_{n}").over(upto).alias(f"_in_{n}") for n in sums])
-    running = {n: F.col(f"_in_{n}") for n in sums}
-    if not one_task:
-        # A few rows per threshold and key, whatever the table size.
-        inside = inside.join(F.broadcast(offsets), place)
-        running = {n: c + F.col(f"_off_{n}") for n, c in running.items()}
+    inside = join_same(inside, offsets, place)
+    running = {n: F.col(f"_in_{n}") + F.col(f"_off_{n}") for n in sums}
     return inside.select(
         *kept,
         *[c.alias(n) for n, c in running.items()],
@@ -179,111 +180,58 @@ def number_of(columns: Sequence[str]) -> Column:
     return (F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("feature")) - 1).cast("int")
 
 
-def _small_percentiles(df: DataFrame, columns: Sequence[str], shares: Sequence[tuple[int, int]],
-                       by: Sequence[str]) -> DataFrame:
-    value, place = F.col("value"), [*by, "pos"]
-    counts = cells(df, columns, by).filter(value.isNotNull()).groupBy(*place, "value").agg(F.count("*").alias("rows"))
-    whole = Window.partitionBy(*place)
-    upto = F.sum("rows").over(whole.orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
-    ordered = counts.select(*place, "value", "rows", F.sum("rows").over(whole).alias("n"), upto.alias("upto"))
-
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((F.col("upto") - F.col("rows") <= rank) & (rank < F.col("upto")), value))
-
-    picks = []
-    for i, (num, den) in enumerate(shares):
-        scaled = (F.col("n") - 1) * num
-        rank = F.expr(f"((n - 1) * {num}) div {den}")
-        rest = F.max((scaled % den) / F.lit(float(den)))
-        low = value_at(rank)
-        picks.append(F.struct(F.lit(i).alias("share_no"), (
-            low + (F.coalesce(value_at(rank + 1), low) - low) * rest).alias("value")))
-    found = ordered.groupBy(*place).agg(F.array(*picks).alias("all"))
-    return found.select(*by, name_of(columns).alias("feature"), F.inline("all"))
-
-
 def exact_percentiles(
     df: DataFrame,
     columns: Sequence[str],
     shares: Sequence[tuple[int, int]],
     by: Sequence[str] = (),
-    accuracy: int | None = None,
+    accuracy: int = 10_000,
 ) -> DataFrame:
     """Percentiles with linear interpolation, exact: (by.., feature, share_no, value).
 
-    Shares are fractions (numerator, denominator), so the wanted rank is integer arithmetic. A sketch brackets
-    each wanted rank. Where both ends of a bracket are one value, that is the answer (most count features).
-    Else rows below the bracket are counted, and only the few rows inside are grouped and ordered.
-    ``by`` is for a handful of groups (arms, models): the driver holds two numbers per group, column and share.
-    The sketch is as fine as it takes to leave about a million rows in a bracket; ``accuracy`` overrides that. A
-    table of at most ``WHOLE_ROWS`` rows (counted first) is ordered per column without a sketch.
+    Shares are fractions (numerator, denominator), so the wanted rank is integer arithmetic. A sketch per group and
+    column brackets each wanted rank; one more pass counts values below each bracket, keeps the nearest value on
+    either side, and only values inside are grouped and ordered: about 6/``accuracy`` of a column's rows, equal ones
+    counted together. A rank that is found neither inside nor next to its bracket stops the job.
     """
-    spark = df.sparkSession
-    if accuracy is None:
-        rows = df.count()
-        if rows <= WHOLE_ROWS:
-            return _small_percentiles(df, columns, shares, by)
-        accuracy = max(500, min(100_000, 6 * rows // 1_000_000))
+    value, place, numbers = F.col("value"), [*by, "pos"], range(len(shares))
     slack = 3.0 / accuracy
     ends = [min(1.0, max(0.0, n / d + s)) for n, d in shares for s in (-slack, slack)]
-    tidy = df.select(*by, *[clean(F.col(c)).alias(c) for c in columns])
-    sketch = tidy.groupBy(*by).agg(*[
-        F.struct(F.count(c).alias("n"), F.percentile_approx(c, F.lit(ends), F.lit(accuracy)).alias("ends")).alias(c)
-        for c in columns]).collect()
-
-    by_schema = "".join(f"{b} {dict(df.dtypes)[b]}, " for b in by)
-    known, brackets = [], []
-    for row in sketch:
-        group = tuple(row[b] for b in by)
-        for c in columns:
-            n, marks = row[c]["n"], row[c]["ends"]
-            for i, (num, den) in enumerate(shares):
-                if not n:
-                    continue
-                # In a small group the next rank can fall outside its bracket: take every row.
-                lo, hi = (marks[2 * i], marks[2 * i + 1]) if n > 4 * accuracy else (-math.inf, math.inf)
-                if lo == hi:
-                    known.append((*group, c, i, lo))
-                else:
-                    brackets.append((*group, c, i, (n - 1) * num // den, ((n - 1) * num % den) / den, lo, hi))
-    answers = spark.createDataFrame(known, by_schema + "feature string, share_no int, value double")
-    if not brackets:
-        return answers
-
-    # One row per group and column, its limits side by side; a share already answered has none.
-    at, numbers = len(by), range(len(shares))
-    searched = [c for c in columns if any(b[at] == c for b in brackets)]
-    rows: dict[tuple, dict] = {}
-    for b in brackets:
-        key, i = (*b[:at], searched.index(b[at])), b[at + 1]
-        rows.setdefault(key, {}).update({f"rank_{i}": b[-4], f"rest_{i}": b[-3], f"lo_{i}": b[-2], f"hi_{i}": b[-1]})
-    kinds = [(f"{n}_{i}", t) for i in numbers for n, t in (("rank", "bigint"), ("rest", "double"), ("lo", "double"), ("hi", "double"))]
-    limits = spark.createDataFrame([(*k, *[v.get(n) for n, _ in kinds]) for k, v in rows.items()],
-                                   by_schema + "pos int, " + ", ".join(f"{n} {t}" for n, t in kinds))
-
-    # The heavy pass: every cell meets its limits once, counts below each bracket, and is kept only inside one.
-    value = F.col("value")
-    inside = reduce(Column.__or__, [F.coalesce(value.between(F.col(f"lo_{i}"), F.col(f"hi_{i}")), F.lit(False)) for i in numbers])
-    grouped = cells(df, searched, by).filter(value.isNotNull()).join(F.broadcast(limits), [*by, "pos"]).groupBy(
-        *by, "pos", F.when(inside, value).alias("value")).agg(
-        F.count("*").alias("rows"), *[F.count_if(value < F.col(f"lo_{i}")).alias(f"under_{i}") for i in numbers])
-
-    place = [*by, "pos", "share_no"]
-    per_share = F.array(*[F.struct(F.lit(i).alias("share_no"), *[F.col(f"{n}_{i}").alias(n) for n in (
-        "rank", "rest", "lo", "hi", "under")]) for i in numbers])
-    near = grouped.join(F.broadcast(limits), [*by, "pos"]).select(
-        *by, "pos", "value", "rows", F.inline(per_share)).filter(F.col("rank").isNotNull())
-    whole = Window.partitionBy(*place)
+    values = cells(df, columns, by).filter(value.isNotNull())
+    sketch = values.groupBy(*place).agg(F.count("*").alias("n"), F.percentile_approx("value", F.lit(ends), F.lit(accuracy)).alias("ends"))
+    limits = sketch.select(*place, "n", *[F.col("ends")[2 * i + e].alias(f"{name}_{i}") for i in numbers for e, name in enumerate(("lo", "hi"))])
+
+    def edge(name: str, i: int) -> Column:
+        return F.col(f"{name}_{i}")
+
+    # Every cell meets its limits once; only one partial row per group, column and value inside leaves its task.
+    inside = reduce(Column.__or__, [value.between(edge("lo", i), edge("hi", i)) for i in numbers])
+    sides = [c for i in numbers for c in (
+        F.count_if(value < edge("lo", i)).alias(f"under_{i}"), F.max(F.when(value < edge("lo", i), value)).alias(f"left_{i}"),
+        F.min(F.when(value > edge("hi", i), value)).alias(f"right_{i}"))]
+    grouped = join_same(values, limits, place).groupBy(*place, F.when(inside, value).alias("value")).agg(
+        F.count("*").alias("rows"), F.any_value("n").alias("n"),
+        *[F.any_value(f"{e}_{i}").alias(f"{e}_{i}") for i in numbers for e in ("lo", "hi")], *sides)
+    per_share = F.array(*[F.struct(
+        F.lit(i).alias("share_no"), F.expr(f"((n - 1) * {num}) div {den}").alias("rank"),
+        (((F.col("n") - 1) * num % den) / F.lit(float(den))).alias("rest"),
+        *[edge(name, i).alias(name) for name in ("lo", "hi", "under", "left", "right")]) for i, (num, den) in enumerate(shares)])
+    near = grouped.select(*place, "value", "rows", "n", F.inline(per_share))
+
+    whole = Window.partitionBy(*place, "share_no")
     upto = whole.orderBy(F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     mine = F.when(value.between(F.col("lo"), F.col("hi")), F.col("rows")).otherwise(0)
-    counted = near.select("*", mine.alias("mine")).withColumn(
-        "upto", F.sum("under").over(whole) + F.sum("mine").over(upto)).withColumn("start", F.col("upto") - F.col("mine"))
+    counted = near.withColumn("mine", mine).withColumn("before", F.sum("under").over(whole)).withColumn(
+        "upto", F.col("before") + F.sum("mine").over(upto)).withColumn("start", F.col("upto") - F.col("mine"))
 
     def value_at(rank: Column) -> Column:
-        return F.max(F.when((F.col("start") <= rank) & (rank < F.col("upto")), value))
-
-    picked = counted.groupBy(*place, "rest").agg(
-        value_at(F.col("rank")).alias("low"), value_at(F.col("rank") + 1).alias("high"))
-    step = (F.coalesce(F.col("high"), F.col("low")) - F.col("low")) * F.col("rest")
-    found = picked.select(*by, name_of(searched).alias("feature"), "share_no", (F.col("low") + step).alias("value"))
-    return found.unionByName(answers) if known else found
+        found = F.max(F.when((F.col("start") <= rank) & (rank < F.col("upto")), value))
+        left = F.when(F.max(rank) == F.max("before") - 1, F.max("left"))
+        right = F.when(F.max(rank) == F.max("upto"), F.min("right"))
+        return F.coalesce(found, left, right)
+
+    picked = counted.groupBy(*place, "share_no", "rest").agg(
+        value_at(F.col("rank")).alias("low"), value_at(F.least(F.col("rank") + 1, F.col("n") - 1)).alias("high"))
+    missed = F.raise_error(F.lit("a wanted rank lies outside its bracket")).cast("double")
+    low, high = (F.coalesce(F.col(c), missed) for c in ("low", "high"))
+    return picked.select(*by, name_of(columns).alias("feature"), "share_no", (low + (high - low) * F.col("rest")).alias("value"))

@@ -86,16 +86,30 @@ def test_keys_run_separately(spark):
         assert (mine.member_id.values == naive(p, True).member_id.values).all()
 
 
-def test_bucket_count_is_bounded():
-    cfg = CurveConfig(rows_per_bucket=1000, max_buckets=50)
-    assert bucket_count(10**12, 1, 8, cfg) == 50
-    assert bucket_count(10, 1, 8, cfg) == 1
-    assert bucket_count(5_000, 1, 8, cfg) == 8
-    many = CurveConfig()
-    assert bucket_count(10**12, 4_000, 8, many) * 4_000 <= many.max_totals
+def test_rows_per_bucket_are_bounded():
+    for rows in (10**6, 10**9, 10**12):
+        assert rows / bucket_count(rows, 8, CurveConfig()) <= CurveConfig().rows_per_bucket
+    assert bucket_count(10, 8, CurveConfig()) == 8
 
 
-@pytest.mark.parametrize("accuracy", [None, 10_000, 200, 20])
+def test_a_missing_key_is_a_group(spark):
+    p = score_frame(missing=0).assign(model=lambda q: np.where(q.member_id % 3 == 0, None, "a"))
+    got = running_sums(spark.createDataFrame(p), "uplift", {"k": F.lit(1)}, keys=["model"], cfg=CurveConfig(rows_per_bucket=300)).toPandas()
+    for has, mine in ((True, got[got.model.notna()]), (False, got[got.model.isna()])):
+        want = naive(p[p.model.notna() == has], True)
+        assert (mine.sort_values("k").member_id.values == want.member_id.values).all()
+    marks = exact_percentiles(spark.createDataFrame(p), ["uplift"], [(1, 2)], ["model"]).toPandas()
+    assert marks.model.isna().sum() == 1 and len(marks) == 2
+
+
+def test_text_ids(spark):
+    p = score_frame(3000, missing=0)
+    p["member_id"] = ["m" + str(i) for i in p.member_id]
+    got = running_sums(spark.createDataFrame(p), "uplift", {"k": F.lit(1)}, cfg=CurveConfig(rows_per_bucket=100)).toPandas().sort_values("k")
+    assert (got.member_id.values == naive(p, True).member_id.values).all()
+
+
+@pytest.mark.parametrize("accuracy", [10_000, 200, 20])
 def test_percentiles_are_exact_whatever_the_sketch(spark, accuracy):
     p = score_frame(5000).rename(columns={"treatment": "t"})
     p["x"] = np.random.default_rng(5).normal(size=len(p))
@@ -109,7 +123,7 @@ def test_percentiles_are_exact_whatever_the_sketch(spark, accuracy):
             assert r.value == pytest.approx(p[p.t == t][feature].quantile(num / den), abs=1e-12)
 
 
-@pytest.mark.parametrize("accuracy", [None, 50])
+@pytest.mark.parametrize("accuracy", [10_000, 50])
 def test_percentiles_of_tiny_and_empty_columns(spark, accuracy):
     df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
     got = exact_percentiles(df, ["a", "b"], [(1, 2), (1, 1)], accuracy=accuracy).toPandas()
