@@ -40,7 +40,7 @@ def search(rows: DataFrame, is_query: Column, best: Search, k: int, score_type:
     deal = lambda n, seed: F.pmod(F.xxhash64("key", "vector", F.lit(seed)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     base = rows.select("key", "vector", deal(shards, 1).alias("shard"), every(groups).alias("group"))
-    asked = rows.filter(is_query).select("key", "vector", deal(groups, 2).alias("group"), every(shards).alias("shard"))
+    asked = rows.filter(is_query).select("key", "vector").distinct().select("key", "vector", deal(groups, 2).alias("group"), every(shards).alias("shard"))
 
     def pair(queries: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
         out = []

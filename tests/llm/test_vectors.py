@@ -66,6 +66,14 @@ def test_maxscore_ties_and_awkward(spark):
     assert all(i not in (1000, 1001, 1002, 1003, 1004) for b in by_query.values() for _, _, i in b)
 
 
+@pytest.mark.parametrize("find", [maxscore.exact_top_k, collision_ann.nearest])
+def test_a_repeated_query_asks_once(spark, find):
+    vectors = sample(200)
+    want = find(table(spark, vectors), F.col("key") % 100 == 0).collect()
+    got = find(table(spark, vectors + [vectors[100]] * 3), F.col("key") % 100 == 0).filter("query_id = 100").collect()
+    assert sorted(r for r in want if r["query_id"] == 100) == sorted(got)
+
+
 def test_maxscore_few_and_none(spark):
     got = maxscore.exact_top_k(table(spark, [(0, [0.5, -0.25]), (3, [0.1, 0.2])]), F.col("key") % 50 == 0).collect()
     assert [tuple(r) for r in got] == [(0, 1, 3, 128 * 25 + -64 * 51)]
