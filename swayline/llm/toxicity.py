@@ -1,7 +1,8 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes, calibration.
 
-Examples are at most ``max_examples`` labelled documents, chosen by hash of their id. Features are words, word beginnings of
-four to seven letters and their share of the text's words; kept are those whose association with the label (chi-square over the examples) is beyond chance, at most
+Examples are at most ``max_examples`` labelled documents, chosen by hash of their id; those with the same text are one example, under
+the smallest id, whose label is the share of them that are marked. Features are words, word beginnings of
+four to seven letters and their share of the text's words; kept are those whose association with the label (chi-square over the labelled documents) is beyond chance, at most
 ``max_features``. Document frequencies are counted over all documents. So the index has a proven bound and is broadcast.
 
 A document's nearest examples are found exactly: examples lie in blocks, each term's postings carry a maximum for each block, and a
@@ -21,7 +22,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,12 +108,12 @@ class BlockMaxIndex:
         return list(zip(scores[rows].tolist(), rows.tolist()))
 
 
-def _vote(found: list[tuple[float, int]], labels: list[int]) -> float:
+def _vote(found: list[tuple[float, int]], labels: list[float]) -> float:
     weights = [1 / (1.05 - min(score, 1.0)) for score, _ in found]
     return sum(w * labels[row] for w, (_, row) in zip(weights, found)) / sum(weights)
 
 
-def _monotone(votes: list[float], labels: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def _monotone(votes: list[float], labels: list[float]) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: votes and their label rates, each with half a case of either label added."""
     pools: list[list[float]] = []
     for vote, label in sorted(zip(votes, labels)):
@@ -128,7 +128,7 @@ def _monotone(votes: list[float], labels: list[int]) -> tuple[np.ndarray, np.nda
 class Model:
     def __init__(self, names: list[str], idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, row: np.ndarray, term: np.ndarray,
                  count: np.ndarray, k: int):
-        """Examples by ``ids`` and ``labels``; ``row`` (an example), ``term`` and ``count`` are the entries of their vectors."""
+        """Examples by ``ids`` and ``labels`` (0 to 1); ``row`` (an example), ``term`` and ``count`` are the entries of their vectors."""
         self.numbers = {name: i for i, name in enumerate(names)}
         self.heads = frozenset(map(head, names))
         self.idf, self.k, self.memory = idf, k, {}
@@ -176,7 +176,7 @@ class Model:
             if found and len(self.rates):
                 at = min(int(np.searchsorted(self.votes, _vote(found, self.labels))), len(self.rates) - 1)
                 value = float(self.rates[at])
-            self.memory[key] = value, [{"doc_id": self.ids[r], "similarity": float(s), "label": self.labels[r]} for s, r in found[:3]]
+            self.memory[key] = value, [{"doc_id": self.ids[r], "similarity": float(s), "label": int(self.labels[r] >= 0.5)} for s, r in found[:3]]
         return self.memory[key]
 
 
@@ -197,21 +197,6 @@ def _frequencies(docs: DataFrame, text: str, names: list[str]) -> tuple[int, dic
     return counts.pop(-1, 0), counts
 
 
-def _entries(examples: DataFrame, names: list[str]) -> DataFrame:
-    """(doc_id, term, n): what each example has of the kept features, looked up in the tasks."""
-    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed = pa.array(names)
-        for batch in batches:
-            ids, found, n = batch.columns
-            term = pc.index_in(found.flatten(), value_set=listed)
-            kept = pc.is_valid(term)
-            owner = ids.take(pc.list_parent_indices(found).filter(kept))
-            yield pa.RecordBatch.from_arrays([owner, term.filter(kept), n.flatten().filter(kept)], ["doc_id", "term", "n"])
-
-    lists = examples.select(F.col("key.doc_id").cast("long").alias("doc_id"), F.map_keys("found").alias("features"), F.map_values("found").alias("counts"))
-    return lists.mapInArrow(look_up, "doc_id long, term int, n int")
-
-
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_id: str = "doc_id", text: str = "text",
         label: str = "toxic", max_examples: int = 16_384, max_features: int = 2_048, least_df: int = 5, least_chi2: float = 30.0,
         k: int = 15) -> Model:
@@ -221,32 +206,35 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_id
     chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
     texts = (docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text")).join(F.broadcast(chosen), "doc_id")
              .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
+    texts = (texts.groupBy(F.sha2("text", 256).alias("digest"))
+             .agg(F.min("doc_id").alias("doc_id"), F.avg("label").alias("label"), F.count("*").alias("copies"), F.min("text").alias("text")))
 
     def make() -> Callable[[list[str]], list[list]]:
         return lambda values: [[list(features(v).items()) for v in values]]
 
-    examples = keep(texts.withColumn("key", F.struct("doc_id", "label"))
+    examples = keep(texts.withColumn("key", F.struct("doc_id", "label", "copies"))
                     .transform(lambda t: map_texts(t, "key", "text", "found map<string, int>", make, 1 << 19)), "examples")
-    flat = examples.select("key.doc_id", "key.label", F.explode("found").alias("feature", "n"))
-    total = examples.agg(F.count("*").alias("n"), F.sum("key.label").alias("positive")).first()
-    n, positive = total["n"], total["positive"] or 0
+    flat = examples.select("key.doc_id", "key.label", "key.copies", F.explode("found").alias("feature", "n"))
+    total = examples.agg(F.sum("key.copies").alias("n"), F.sum(F.col("key.label") * F.col("key.copies")).alias("positive")).first()
+    n, positive = total["n"] or 0, total["positive"] or 0
     none = np.empty(0, np.int64)
     if not 0 < positive < n:
         return Model([], np.empty(0), none, none, none, none, none, k)
     expected = F.col("df") * F.lit(positive / n)
     chi2 = (F.col("p") - expected) ** 2 / expected + (F.col("p") - expected) ** 2 / (F.col("df") * F.lit(1 - positive / n))
-    ranked = (flat.groupBy("feature").agg(F.count("*").alias("df"), F.sum("label").alias("p")).filter(F.col("df") >= least_df)
+    ranked = (flat.groupBy("feature").agg(F.sum("copies").alias("df"), F.sum(F.col("label") * F.col("copies")).alias("p")).filter(F.col("df") >= least_df)
               .withColumn("chi2", chi2).filter(F.col("chi2") >= least_chi2).orderBy(F.desc("chi2"), "feature").limit(max_features))
     names = [r["feature"] for r in ranked.collect()]
     documents, frequency = _frequencies(docs, text, names)
     idf = np.array([np.log((documents + 1) / (frequency.get(i, 0) + 1)) + 1 for i in range(len(names))])
-    listed = examples.select("key.doc_id", F.col("key.label").cast("long").alias("label")).toArrow()
-    ids, marks = listed["doc_id"].to_numpy().astype(np.int64), listed["label"].to_numpy().astype(np.int64)
+    listed = examples.select("key.doc_id", F.col("key.label").alias("label")).toArrow()
+    ids, marks = listed["doc_id"].to_numpy().astype(np.int64), listed["label"].to_numpy()
     order = np.argsort(ids)
     ids, marks = ids[order], marks[order]
     if not names:
         return Model([], idf, ids, marks, none, none, none, k)
-    found = _entries(examples, names).toArrow()  # at most max_examples x max_features
+    numbered = docs.sparkSession.createDataFrame(list(enumerate(names)), "term int, feature string")
+    found = flat.join(F.broadcast(numbered), "feature").select("doc_id", "term", "n").toArrow()  # at most max_examples x max_features
     return Model(names, idf, ids, marks, np.searchsorted(ids, found["doc_id"].to_numpy()), found["term"].to_numpy().astype(np.int64),
                  found["n"].to_numpy().astype(np.int64), k)
 

@@ -67,3 +67,16 @@ def test_awkward_and_empty(spark):
     assert toxicity.score(none, toxicity.fit(none, labels)).count() == 0
     kept = toxicity.without_toxic(docs, toxicity.fit(docs, labels.limit(0)))
     assert kept.columns == docs.columns and kept.count() == len(AWKWARD)
+
+
+def test_copies_are_one_example(spark):
+    """A group of copies does not crowd out the other examples."""
+    texts = [(i, random.Random(i).choice(["nice day", "you idiot fool", "calm water", "idiot again"]) + f" w{i}") for i in range(300)]
+    copies = [(i, "the same idle page idle page") for i in range(1000, 1900)]
+    labels = [(i, int("idiot" in t)) for i, t in texts] + [(i, int(i % 3 == 0)) for i, _ in copies]
+    model = toxicity.fit(documents(spark, texts + copies), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert sum(i >= 1000 for i in model.ids) <= 1
+    rows = toxicity.score(documents(spark, texts + copies), model).collect()
+    marked = dict(texts)
+    assert all((r["score"] >= 0.5) == ("idiot" in marked[r["doc_id"]]) for r in rows if r["doc_id"] in marked)
+    assert all(e["label"] in (0, 1) for r in rows for e in r["evidence"])
