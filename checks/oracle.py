@@ -119,7 +119,7 @@ def feature_list(cols, table: str = "features") -> str:
 
 ORACLE["a1_csv_scan"] = with_(CLAIM_ROWS) + "select member_id, icd_code, cast(diagnosis_date as date) as diagnosis_date from claim_rows"
 ORACLE["a2_split_features"] = with_(*BASE) + f"""select case when {held('member_id')} then 'test' else 'train' end as split,
-  member_id, tenure_days, app_sessions, early_visits, late_visits, total_claims, treatment, y from features"""
+  * replace (round(ratio_own_domain, 6) + 0.0 as ratio_own_domain) from features"""
 ORACLE["b1_strict_parse"] = with_(MEMBERS) + "select member_id, signup_date from members"
 ORACLE["b2_lenient_parse"] = "select event_id, case when event_type <> 'error' then date_trunc('second', ts) end as timestamp from events"
 ORACLE["b3_tenure"] = with_(MEMBERS, LABELS) + "select member_id, signup_date, tenure_days from labelled"
@@ -178,18 +178,17 @@ ORACLE["c3_keyed_columns"] = with_(*BASE) + f"""select member_id, tenure_days, a
 CLAIM_SPLIT = f"tagged as (select *, {held('member_id')} as is_test from claim_rows)"
 
 
-def _frequencies(drop: str) -> tuple[str, ...]:
-    return (CLAIM_ROWS, CLAIM_SPLIT, f"kept as (select * from tagged where not (is_test and {drop}))",
-            """long as (select is_test, 'icd_code' as feature, icd_code as category from kept
-  union all select is_test, 'icd_group', icd_group from kept)""",
-            """counts as (select feature, category, count(*) filter (not is_test) as n_train, count(*) filter (is_test) as n_test
+FREQUENCIES = (CLAIM_ROWS, CLAIM_SPLIT,
+    """long as (select is_test, 'icd_code' as feature, icd_code as category from tagged
+  union all select is_test, 'icd_group', icd_group from tagged)""",
+    """counts as (select feature, category, count(*) filter (not is_test) as n_train, count(*) filter (is_test) as n_test
   from long where category is not null group by 1, 2)""",
-            """freq as (select feature, category, n_train, n_test,
+    """freq as (select feature, category, n_train, n_test,
   n_train / cast(sum(n_train) over (partition by feature) as double) as freq_train,
   n_test / cast(sum(n_test) over (partition by feature) as double) as freq_test from counts)""")
 
 
-ORACLE["c4_frequency_alignment"] = with_(*_frequencies("icd_code = 'Brand#3'")) + f"""select feature, category, n_train, n_test,
+ORACLE["c4_frequency_alignment"] = with_(*FREQUENCIES) + f"""select feature, category, n_train, n_test,
   {r6('freq_train', 'freq_train')}, {r6('freq_test', 'freq_test')} from freq"""
 ORACLE["d1_app_usage"] = with_(APP_F) + "select member_id, app_sessions, active_days, first_session, last_session from app"
 ORACLE["d2_trends"] = with_(*TABLES) + """select member_id, early_usage, late_usage, usage_trend, early_visits, late_visits,
@@ -227,8 +226,7 @@ SPLIT_F = f"split_features as (select *, {held('member_id')} as is_test from fea
 ORACLE["d9_arm_differences"] = with_(*BASE, SPLIT_F, "m as (" + arm_long(FEATURES, "split_features", "not is_test", "train")
                                      + " union all " + arm_long(FEATURES, "split_features", "is_test", "test") + ")") + \
     f"select split, feature, {ARM_COLUMNS} from m"
-ORACLE["a4_report_sink"] = with_(*BASE, SPLIT_F, "m as (" + arm_long(FEATURES, "split_features", "not is_test") + ")") + \
-    f"select feature, {ARM_COLUMNS} from m"
+ORACLE["a4_report_sink"] = ORACLE["d9_arm_differences"]
 ORACLE["f1_top_differences"] = with_(*BASE, "m as (" + arm_long(FEATURES, "features") + ")") + \
     f"select feature, {ARM_COLUMNS} from m order by abs(t - c) desc, feature limit 15"
 ORACLE["d24_priority_comparison"] = with_(*BASE, "m as (" + arm_long(
@@ -343,9 +341,10 @@ walk(i, dropped) as (select cast(0 as bigint), []::varchar[] union all
   from walk join numbered on rn = i + 1)"""
 ORACLE["h3_greedy_drop"] = "with recursive " + ",\n".join([*BASE, *CORR, WALK]) + \
     "\nselect unnest(dropped) as feature from walk where i = (select max(i) from walk)"
-ORACLE["f4_interaction_candidates"] = with_(*BASE, *CORR) + f"""select feature_1 as feature, {r6('abs(corr)', 'abs_corr')} from corr
-  where feature_2 = 'treatment' and feature_1 in (select feature from places) and abs(corr) > 0.01
-  order by abs(corr) desc, feature_1 limit 15"""
+ORACLE["f4_interaction_candidates"] = with_(*BASE, *CORR) + " union all ".join(
+    f"""(select {t}::double as threshold, feature_1 as feature, {r6('abs(corr)', 'abs_corr')} from corr
+  where feature_2 = 'treatment' and feature_1 in (select feature from places) and abs(corr) > {t}
+  order by abs(corr) desc, feature_1 limit 15)""" for t in (0.1, 0.01))
 ORACLE["h6_interaction_features"] = with_(*BASE, *CORR, """chosen as (select feature_1 as feature from corr
   where feature_2 = 'treatment' and feature_1 in (select feature from places) and abs(corr) > 0.0
   order by abs(corr) desc, feature_1 limit 5)""", f"all_long as ({feature_long(FEATURES, 'treatment')})",
@@ -416,31 +415,32 @@ def drift(columns, source: str = "s") -> str:
 ORACLE["d16_numeric_drift"] = with_(*BASE, f"s as (select *, {held('member_id')} as is_test from features)", f"m as ({drift(FEATURES)})") + f"""
   select feature, {r6('mean_train', 'mean_train')}, {r6('mean_test', 'mean_test')}, {r6('mean_test - mean_train', 'mean_shift')},
   {r6('std_train', 'std_train')}, coalesce(abs(mean_test - mean_train) > std_train * 0.2, false) as drifted from m"""
-ORACLE["d17_categorical_drift"] = with_(*_frequencies("icd_group = 'PROMO'")) + f"""select feature,
+ORACLE["d17_categorical_drift"] = with_(*FREQUENCIES) + f"""select feature,
   {r6('max(abs(freq_train - freq_test))', 'max_freq_diff')}, max(abs(freq_train - freq_test)) > 0.1 as drifted from freq group by 1"""
 
-G2_TRAIN = ["member_id", "tenure_days", "app_sessions", "ratio_own_domain", "total_claims", "has_icd_Brand_1", "claim_band"]
-G2_TEST = ["member_id", "app_sessions", "tenure_days", "total_claims", "has_icd_Brand_1", "claim_band"]
-_shared_train = [c for c in G2_TRAIN if c in G2_TEST]
+G1_TRAIN = ["member_id", *FEATURES, "treatment", "y"]
+G1_TEST = [c for c in reversed(G1_TRAIN) if c != "usage_trend"]
+_shared = [c for c in G1_TRAIN if c in G1_TEST]
+ORACLE["g1_schema_consistency"] = " union all ".join(
+    f"select '{c}' as \"column\", true as in_train, {c in G1_TEST} as in_test, {G1_TRAIN.index(c)} as pos_train, "
+    + (f"{G1_TEST.index(c)} as pos_test, {_shared.index(c) == G1_TEST.index(c)} as order_ok" if c in G1_TEST else "null, null")
+    for c in G1_TRAIN)
+G2_COLUMNS = [*JOINED_COLUMNS, "claim_band"]
 
 
 def _g2() -> str:
     rows = []
-    for c in G2_TRAIN:
-        rows += [f"select 'schema' as \"check\", '{c}' as \"column\", 'in_train' as metric, 1.0::double as value",
-                 f"select 'schema', '{c}', 'in_test', {float(c in G2_TEST)}::double",
-                 f"select 'schema', '{c}', 'order_ok', " +
-                 (f"{float(_shared_train.index(c) == G2_TEST.index(c))}::double" if c in G2_TEST else "null::double")]
-    for split, cols, cond in (("train", G2_TRAIN, "not is_test"), ("test", G2_TEST, "is_test")):
+    for c in G2_COLUMNS:
+        rows += [f"select 'schema' as \"check\", '{c}' as \"column\", '{m}' as metric, 1.0::double as value" for m in ("in_train", "in_test", "order_ok")]
+    for split, cond in (("train", "not is_test"), ("test", "is_test")):
         rows += [f"select 'nulls', '{c}', '{split}', count(*) filter ({c} is null)::double from s where {cond} "
-                 f"having count(*) filter ({c} is null) > 0" for c in cols]
-    numbers = [c for c in _shared_train if c not in ("member_id", "claim_band")]
+                 f"having count(*) filter ({c} is null) > 0" for c in G2_COLUMNS]
     rows.append(f"select 'numeric drift', feature, 'mean_shift', round(mean_test - mean_train, 6) + 0.0 from m")
     rows.append("select 'numeric drift', feature, 'drifted', coalesce(abs(mean_test - mean_train) > std_train * 0.2, false)::int::double from m")
     rows.append("select 'categorical drift', 'claim_band', 'max_freq_diff', round(max(abs(a - b)), 6) + 0.0 from f")
     rows.append("select 'categorical drift', 'claim_band', 'drifted', (max(abs(a - b)) > 0.1)::int::double from f")
     return with_(*TABLES, f"""s as (select *, case when total_claims > 45 then 'many' when total_claims > 30 then 'some' end as claim_band
-  from (select *, {held('member_id')} as is_test from joined) where not is_test or tenure_days > 2000)""", f"m as ({drift(numbers)})",
+  from (select *, {held('member_id')} as is_test from joined))""", f"m as ({drift(FEATURES)})",
         """f as (select claim_band, count(*) filter (not is_test) / sum(count(*) filter (not is_test)) over ()::double as a,
   count(*) filter (is_test) / sum(count(*) filter (is_test)) over ()::double as b from s where claim_band is not null group by 1)""") + " union all ".join(rows)
 
@@ -464,6 +464,13 @@ ORACLE["d21_histogram"] = with_(*BASE, SCORES, """ends as (select treatment, min
   when b < 29 and uplift >= lo + (b + 1) * w then b + 1 else b end as bin from guess)""") + f"""
   select treatment, bin, {r6('lo + bin * w', 'lower')}, {r6('lo + (bin + 1) * w', 'upper')}, count(*) as count
   from placed group by treatment, bin, lo, w"""
+ORACLE["d21_uplift_histogram"] = with_(*BASE, SCORES, """ends as (select min(uplift) as lo, max(uplift) as hi from scores)""",
+    """guess as (select uplift, lo, (hi - lo) / 50.0::double as w,
+  greatest(0, least(49, cast(floor((uplift - lo) * 50.0::double / (hi - lo)) as bigint))) as b from scores, ends)""",
+    """placed as (select lo, w, case when uplift < lo + b * w then b - 1
+  when b < 49 and uplift >= lo + (b + 1) * w then b + 1 else b end as bin from guess)""") + f"""
+  select bin, {r6('lo + bin * w', 'lower')}, {r6('lo + (bin + 1) * w', 'upper')}, count(*) as count
+  from placed group by bin, lo, w"""
 PERCENTS = [(f"p{p}", p, 100) for p in (10, 25, 50, 75, 90)]
 ORACLE["d22_percentiles"] = with_(*BASE, MODEL_SCORES, "long as (select model, uplift as value from model_scores)",
     *percentiles("model", PERCENTS)) + " union all ".join(

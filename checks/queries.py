@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -115,8 +116,7 @@ def a2_split_features(spark, d):
         split = tables.MemberTables(side(t.app_usage, test), web, side(t.claims, test), side(t.churn_labels, test))
         cfg = replace(CFG, web_time_formats=YEAR_FIRST_FORMATS if test else DAY_FIRST_FORMATS)
         parts.append(fe.build_features(split, cfg).select(F.lit(name).alias("split"), "*"))
-    return tidy(parts[0].unionByName(parts[1]).select(
-        "split", "member_id", "tenure_days", "app_sessions", "early_visits", "late_visits", "total_claims", "treatment", "y"))
+    return tidy(parts[0].unionByName(parts[1]))
 
 
 @query
@@ -126,10 +126,13 @@ def a3_ranked_list_sink(spark, d):
 
 @query
 def a4_report_sink(spark, d):
-    train, _ = splits.hold_out(written_features(spark, d))
-    path = new_path(spark, "comparison")
-    report = pipeline.arm_report(train, path)
-    return tidy(tables.read_csv(spark, path, report.schema))
+    """The comparison file of each split, written and read back."""
+    parts = []
+    for name, part in zip(("train", "test"), splits.hold_out(written_features(spark, d))):
+        path = new_path(spark, f"comparison-{name}")
+        report = pipeline.arm_report(part, path)
+        parts.append(tables.read_csv(spark, path, report.schema).select(F.lit(name).alias("split"), "*"))
+    return tidy(parts[0].unionByName(parts[1]))
 
 
 @query
@@ -293,7 +296,7 @@ def _claim_splits(spark, d) -> tuple[DataFrame, DataFrame]:
 @query
 def c4_frequency_alignment(spark, d):
     train, test = _claim_splits(spark, d)
-    return tidy(quality.frequency_table(train, test.filter(F.col("icd_code") != "Brand#3"), ["icd_code", "icd_group"]))
+    return tidy(quality.frequency_table(train, test, ["icd_code", "icd_group"]))
 
 
 @query
@@ -406,7 +409,7 @@ def d16_numeric_drift(spark, d):
 @query
 def d17_categorical_drift(spark, d):
     train, test = _claim_splits(spark, d)
-    return tidy(quality.categorical_drift(train, test.filter(F.col("icd_group") != "PROMO"), ["icd_code", "icd_group"]))
+    return tidy(quality.categorical_drift(train, test, ["icd_code", "icd_group"]))
 
 
 @query
@@ -430,6 +433,11 @@ def d21_histogram(spark, d):
     return tidy(reports.histogram(scores(spark, d), "uplift", 30, ["treatment"]))
 
 
+@query
+def d21_uplift_histogram(spark, d):
+    return tidy(reports.histogram(scores(spark, d), "uplift", 50))
+
+
 @query
 def d22_percentiles(spark, d):
     return tidy(reports.percentile_table(model_scores(spark, d), "uplift", by=["model"]))
@@ -567,21 +575,27 @@ def f3_top_trials(spark, d):
 @query
 def f4_interaction_candidates(spark, d):
     corr, _, names = _correlations(spark, d)
-    return tidy(selection.interaction_candidates(corr, names, threshold=0.01))
+    return tidy(reduce(DataFrame.unionByName, [
+        selection.interaction_candidates(corr, names, threshold=t).select(F.lit(t).alias("threshold"), "*") for t in (0.1, 0.01)]))
 
 
 # --- reports over splits --------------------------------------------------------------------------------------
 
 
+@query
+def g1_schema_consistency(spark, d):
+    """The test split as it arrives where its columns stand in reverse order and one is missing."""
+    train, test = splits.hold_out(feature_rows(spark, d))
+    return quality.schema_consistency(train, test.select(*[c for c in reversed(test.columns) if c != "usage_trend"]))
+
+
 @query
 def g2_health_check(spark, d):
-    """Schema, nulls, numeric and categorical drift of member rows; the test split lacks one column and has another order."""
-    joined = fe.joined_features(star.member_tables(spark, d), CFG).select(
-        "member_id", "tenure_days", "app_sessions", "ratio_own_domain", "total_claims", "has_icd_Brand_1",
-        F.when(F.col("total_claims") > 45, "many").when(F.col("total_claims") > 30, "some").alias("claim_band"))
+    """Schema, nulls, numeric and categorical drift of all columns of the member rows, unfilled, of both whole splits."""
+    joined = fe.joined_features(star.member_tables(spark, d), CFG).withColumn(
+        "claim_band", F.when(F.col("total_claims") > 45, "many").when(F.col("total_claims") > 30, "some"))
     train, test = splits.hold_out(materialise(joined, "joined"))
-    test = test.select("member_id", "app_sessions", "tenure_days", "total_claims", "has_icd_Brand_1", "claim_band")
-    return tidy(quality.health_check(train, test.filter(F.col("tenure_days") > 2000)))
+    return tidy(quality.health_check(train, test))
 
 
 @query
@@ -656,8 +670,10 @@ def _modelling(spark, d) -> tuple[DataFrame, DataFrame, list[str]]:
     return materialise(model.transform(train), "train"), materialise(model.transform(test), "test"), kept
 
 
-def _uplift(model, test: DataFrame) -> DataFrame:
-    return tidy(model.score(test).select("member_id", "y", "treatment", "uplift"))
+def _uplift(model, train: DataFrame, test: DataFrame) -> DataFrame:
+    names = ["member_id", "y", "treatment", "uplift"]
+    return tidy(model.score(train).select(F.lit("train").alias("split"), *names).unionByName(
+        model.score(test).select(F.lit("test").alias("split"), *names)))
 
 
 @query
@@ -670,37 +686,37 @@ def j1_propensity(spark, d):
 @query
 def j2_weighted_forests(spark, d):
     train, test, kept = _modelling(spark, d)
-    return _uplift(learners.fit_weighted_forests(train, kept), test)
+    return _uplift(learners.fit_weighted_forests(train, kept), train, test)
 
 
 @query
 def j3_s_learner(spark, d):
     train, test, kept = _modelling(spark, d)
-    return _uplift(learners.fit_s_learner(train, kept, [c for c in INTERACTED if c in kept]), test)
+    return _uplift(learners.fit_s_learner(train, kept, [c for c in INTERACTED if c in kept]), train, test)
 
 
 @query
 def j4_t_learner(spark, d):
     train, test, kept = _modelling(spark, d)
-    return _uplift(learners.fit_t_learner(train, kept), test)
+    return _uplift(learners.fit_t_learner(train, kept), train, test)
 
 
 @query
 def j5_tuned_t_learner(spark, d):
     train, test, kept = _modelling(spark, d)
-    return _uplift(learners.fit_tuned_t_learner(train, kept), test)
+    return _uplift(learners.fit_tuned_t_learner(train, kept), train, test)
 
 
 @query
 def j6_x_learner(spark, d):
     train, test, kept = _modelling(spark, d)
-    return _uplift(learners.fit_x_learner(train, kept), test)
+    return _uplift(learners.fit_x_learner(train, kept), train, test)
 
 
 @query
 def j7_dr_learner(spark, d):
     train, test, kept = _modelling(spark, d)
-    return _uplift(learners.fit_dr_learner(train, kept), test)
+    return _uplift(learners.fit_dr_learner(train, kept), train, test)
 
 
 SMALL_SPACE = {"n_estimators": (5, 10), "max_depth": (2, 3), "learning_rate": (0.1, 0.2), "min_child_samples": (20, 50),
@@ -728,7 +744,7 @@ def j9_trial_selection(spark, d):
 @query
 def j10_refit_best(spark, d):
     train, test, kept, rows = _searched(spark, d)
-    return _uplift(tuning.refit_best(train, kept, rows), test)
+    return _uplift(tuning.refit_best(train, kept, rows), train, test)
 
 
 @query
@@ -742,6 +758,34 @@ def j12_model_comparison(spark, d):
     return tidy(reports.model_comparison(model_scores(spark, d), cfg=CURVE))
 
 
+def _fitted(spark, d):
+    """Train and test rows, and the five learners fitted on the train split."""
+    train, test, kept = _modelling(spark, d)
+    return train, test, {
+        "weighted_forests": learners.fit_weighted_forests(train, kept),
+        "s_learner": learners.fit_s_learner(train, kept, [c for c in INTERACTED if c in kept]),
+        "t_learner": learners.fit_t_learner(train, kept),
+        "tuned_t_learner": learners.fit_tuned_t_learner(train, kept),
+        "x_learner": learners.fit_x_learner(train, kept),
+    }
+
+
+@query
+def j11_fitted_overfit(spark, d):
+    """Train and test areas of every fitted learner, one row each."""
+    train, test, models = _fitted(spark, d)
+    rows = [reports.overfit_check(pipeline.long_scores({name: m}, train), pipeline.long_scores({name: m}, test), model=name, cfg=CURVE)
+            for name, m in models.items()]
+    return tidy(reduce(DataFrame.unionByName, rows))
+
+
+@query
+def j12_fitted_comparison(spark, d):
+    """The five fitted learners in one table, on the test split."""
+    _, test, models = _fitted(spark, d)
+    return tidy(reports.model_comparison(pipeline.long_scores(models, test), cfg=CURVE))
+
+
 @query
 def j13_parameter_importance(spark, d):
     return tidy(reports.parameter_importance(materialise(trial_rows(spark, d)), ["w_usage", "w_claims", "w_tenure"]))

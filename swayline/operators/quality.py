@@ -86,14 +86,12 @@ def frequency_table(train: DataFrame, test: DataFrame, columns: Sequence[str]) -
         .groupBy("feature", "category")
         .agg(F.count_if(~in_test).alias("n_train"), F.count_if(in_test).alias("n_test"))
     )
-    # One row per column; categories of a column never have to meet in one task.
-    totals = both.agg(*[
-        F.struct(F.count(F.when(~in_test, F.col(c))).alias("train"), F.count(F.when(in_test, F.col(c))).alias("test"))
-        .alias(c) for c in columns]).unpivot([], list(columns), "feature", "total")
+    # Sums of the counts, whose exchange both sides share: one row per column, and its categories never meet in one task.
+    totals = counts.groupBy("feature").agg(F.sum("n_train").alias("all_train"), F.sum("n_test").alias("all_test"))
     return counts.join(F.broadcast(totals), "feature").select(
         "feature", "category", "n_train", "n_test",
-        F.coalesce(rate(F.col("n_train"), F.col("total.train")), F.lit(0.0)).alias("freq_train"),
-        F.coalesce(rate(F.col("n_test"), F.col("total.test")), F.lit(0.0)).alias("freq_test"))
+        F.coalesce(rate(F.col("n_train"), F.col("all_train")), F.lit(0.0)).alias("freq_train"),
+        F.coalesce(rate(F.col("n_test"), F.col("all_test")), F.lit(0.0)).alias("freq_test"))
 
 
 def categorical_drift(train: DataFrame, test: DataFrame, columns: Sequence[str],
@@ -105,7 +103,7 @@ def categorical_drift(train: DataFrame, test: DataFrame, columns: Sequence[str],
 
 
 def health_check(train: DataFrame, test: DataFrame, cfg: DriftConfig = DriftConfig()) -> DataFrame:
-    """One long report (check, column, metric, value) of schema, nulls and drift over the shared columns."""
+    """One long report (check, column, metric, value) of schema, nulls and drift over the shared columns; labels do not drift."""
     shared = shared_columns(train, test)
     report = schema_consistency(train, test).select(F.lit("schema").alias("check"), "column", F.explode(F.array(
         *[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
@@ -113,7 +111,7 @@ def health_check(train: DataFrame, test: DataFrame, cfg: DriftConfig = DriftConf
     nulls = null_audit(train, test).select(
         F.lit("nulls").alias("check"), "column", F.col("split").alias("metric"), F.col("nulls").cast("double").alias("value"))
     report = report.unionByName(nulls)
-    numbers = [c for c in numeric_columns(train) if c in shared]
+    numbers = [c for c in numeric_columns(train, LABELS) if c in shared]
     texts = [c for c in text_columns(train) if c in shared]
     if numbers:
         drift = numeric_drift(train, test, numbers, cfg)
