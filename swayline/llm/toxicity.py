@@ -1,14 +1,19 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes, calibration.
 
 Examples are at most ``max_examples`` labelled documents, chosen by hash of their id; those with the same text are one example, under
-the smallest id, whose label is the share of them that are marked. Features are words, word beginnings of
-four to seven letters and their share of the text's words; kept are those whose association with the label (chi-square over the labelled documents) is beyond chance, at most
-``max_features``. Document frequencies are counted over all documents. So the index has a proven bound and is broadcast.
+the smallest id, whose label is the share of them that are marked. A vector holds every word of its text, weighed by document
+frequencies over all documents; the norm of a document also counts the words that no example has, through a join with the table of
+frequencies. So cosines are those of whole texts, and the index has a bound - the words of the examples - and is broadcast.
 
-A document's nearest examples are found exactly: examples lie in blocks, each term's postings carry a maximum for each block, and a
-block is scored only if the sum of its maxima can reach the k-th best cosine found in the most promising blocks. Votes weigh 1 / (1.05 - cosine). Votes are
-calibrated by a monotone fit to the examples' own leave-one-out votes; the texts without any kept feature get the label rate of
-the examples without one. Evidence is the nearest examples themselves.
+Beside it stands a second index over features that speak for the label: words, word beginnings of four to seven letters and their
+share of the text's words, kept where the association with the label (chi-square over the labelled documents) is beyond chance, at
+most ``max_features``. It finds a few marked words in a long text, which hardly turn the whole text's vector.
+
+A document's nearest examples are found exactly. Whole texts: words of few examples are summed up from their postings, words of many
+for a batch of texts at once. Kept features: examples lie in blocks, each term's postings carry a maximum for each block, and a block is
+scored only if the sum of its maxima can reach the k-th best cosine found in the most promising blocks. Votes weigh 1 / (1.05 - cosine). The votes of either index are calibrated by a monotone fit to
+the examples' own leave-one-out votes; the larger of the two rates, calibrated again, is the score. A text without any word that an
+example has gets the label rate of the examples without a word. Evidence is the nearest examples themselves, by whole texts.
 
 Null texts count as empty. Without examples of both labels every score is 0. Several labels of one id: the largest; several texts
 under one id: the least. Rows are neither dropped nor merged.
@@ -16,16 +21,21 @@ under one id: the least. Rows are neither dropped nor merged.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from swayline.llm.common import keep, map_texts, small_batches, whole_text
+from swayline.llm.common import fresh, keep, map_texts, small_batches, whole_text
 
 WORD = re.compile(r"\w+")
 HEAD = 4
@@ -34,13 +44,21 @@ SHARES = ((100, "1%"), (30, "3%"))  # a beginning's share of all words, as featu
 BLOCK = 64
 FIRST = 4  # blocks scored before the others are judged
 REMEMBERED = 2_000
+OFTEN = 16  # a word that more than one in so many examples have is kept in dense columns
+TOGETHER = 64  # texts compared at a time
+PARTS = 8  # of the examples, fetched one after the other
+TALLIED = 1 << 16  # words counted in a task before it hands on what it has
 
 
 def features(text: str, heads: frozenset[str] | None = None) -> Counter:
     """Counts of words (``=word``) and of beginnings of longer words (``begi``, and ``begi 1%`` where they are so many of the words);
     with ``heads``, of words that begin so only."""
     listed = WORD.findall(text.lower())
-    words, begun = Counter(listed), Counter()
+    return _features(Counter(listed), len(listed), heads)
+
+
+def _features(words: Counter, total: int, heads: frozenset[str] | None) -> Counter:
+    begun: Counter = Counter()
     found: Counter = Counter()
     for word, n in words.items():
         if heads is None or word[:HEAD] in heads:
@@ -51,7 +69,7 @@ def features(text: str, heads: frozenset[str] | None = None) -> Counter:
     for beginning, n in begun.items():
         found[beginning] = n
         for part, name in SHARES:
-            if n > 1 and n * part >= len(listed):
+            if n > 1 and n * part >= total:
                 found[f"{beginning} {name}"] = 1
     return found
 
@@ -108,6 +126,55 @@ class BlockMaxIndex:
         return list(zip(scores[rows].tolist(), rows.tolist()))
 
 
+class WordIndex:
+    """All words of the examples, from triples (row, word, weight); rows are unit vectors. Words of few examples have postings, those of
+    many are dense columns: whole texts are alike in so many common words that bounds by blocks leave out few examples."""
+
+    def __init__(self, row: np.ndarray, word: np.ndarray, weight: np.ndarray, size: int, words: int):
+        self.size = size
+        often = np.flatnonzero(np.bincount(word, minlength=words) * OFTEN > size)
+        self.column = np.full(words, -1, np.int32)
+        self.column[often] = np.arange(len(often))
+        dense = self.column[word] >= 0
+        self.often = np.zeros((size, len(often)))
+        self.often[row[dense], self.column[word[dense]]] = weight[dense]
+        self.rough = self.often.astype(np.float32)
+        seldom = np.flatnonzero(~dense)
+        seldom = seldom[np.lexsort((row[seldom], word[seldom]))]
+        self.rows, self.weights = row[seldom].astype(np.int32), weight[seldom]
+        self.start = np.concatenate([[0], np.cumsum(np.bincount(word[seldom], minlength=words))])
+
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (words, weights) the ``k`` largest products (positive ones only) and their examples, ties to the smaller example.
+
+        Single precision finds the examples that can be among them; their products are then taken in double precision."""
+        many = np.zeros((len(queries), self.often.shape[1]))
+        for q, (words, weights) in enumerate(queries):
+            column = self.column[words]
+            many[q, column[column >= 0]] = weights[column >= 0]
+        rough = many.astype(np.float32) @ self.rough.T
+        out = []
+        for q, (words, weights) in enumerate(queries):
+            few = self.column[words] < 0
+            start = self.start[words[few]]
+            count = self.start[words[few] + 1] - start
+            at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
+            scores = np.bincount(self.rows[at], self.weights[at] * np.repeat(weights[few], count), self.size)
+            near = scores + rough[q]
+            if without is not None:
+                near[without[q]] = 0
+            rows = np.flatnonzero(near > 0)
+            if len(rows) > k:
+                off = (many.shape[1] + 2) * 2.0 ** -22 * float(np.sqrt(weights @ weights))  # twice what rounding can do to a product
+                least = np.partition(near[rows], len(rows) - k)[len(rows) - k]
+                rows = rows[near[rows] >= least - 2 * off]
+            used = np.flatnonzero(many[q])
+            whole = scores[rows] + (self.often[np.ix_(rows, used)] * many[q, used]).sum(axis=1)
+            order = np.lexsort((rows, -whole))[:k]
+            out.append((whole[order], rows[order]))
+        return out
+
+
 def _vote(found: list[tuple[float, int]], labels: list[float]) -> float:
     weights = [1 / (1.05 - min(score, 1.0)) for score, _ in found]
     return sum(w * labels[row] for w, (_, row) in zip(weights, found)) / sum(weights)
@@ -115,86 +182,166 @@ def _vote(found: list[tuple[float, int]], labels: list[float]) -> float:
 
 def _monotone(votes: list[float], labels: list[float]) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: votes and their label rates, each with half a case of either label added."""
+    given: dict[float, list[float]] = {}
+    for vote, label in zip(votes, labels):
+        given.setdefault(vote, []).append(label)
     pools: list[list[float]] = []
-    for vote, label in sorted(zip(votes, labels)):
-        pools.append([vote, label, 1])
-        while len(pools) > 1 and (pools[-2][0] == pools[-1][0] or pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]):
+    for vote in sorted(given):  # equal votes are one pool from the start
+        pools.append([vote, sum(given[vote]), len(given[vote])])
+        while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
             last = pools.pop()
             pools[-1] = [last[0], pools[-1][1] + last[1], pools[-1][2] + last[2]]
     rates = [(p + 0.5) / (n + 1) for _, p, n in pools]
     return np.array([p[0] for p in pools]), np.maximum.accumulate(np.array(rates)) if rates else np.array([])
 
 
+class Rates:
+    """A monotone fit of labels to votes."""
+
+    def __init__(self, votes: list[float], labels: list[float]):
+        self.votes, self.rates = _monotone(votes, labels)
+
+    def __call__(self, vote: float) -> float:
+        return float(self.rates[min(int(np.searchsorted(self.votes, vote)), len(self.rates) - 1)])
+
+
 class Model:
+    """Examples by ``ids`` and ``labels`` (0 to 1). ``row`` (an example), ``term`` and ``count`` are the entries of their vectors of kept
+    features; ``word_row``, ``word`` and ``word_count`` those of all their words. ``frequency`` has the rows (feature, n) of all
+    documents; it stays on the driver."""
+
     def __init__(self, names: list[str], idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, row: np.ndarray, term: np.ndarray,
-                 count: np.ndarray, k: int):
-        """Examples by ``ids`` and ``labels`` (0 to 1); ``row`` (an example), ``term`` and ``count`` are the entries of their vectors."""
+                 count: np.ndarray, k: int, words: list[str], word_idf: np.ndarray, word_row: np.ndarray, word: np.ndarray,
+                 word_count: np.ndarray, documents: int = 0, frequency: DataFrame | None = None):
+        self.documents, self.frequency = documents, frequency
         self.numbers = {name: i for i, name in enumerate(names)}
+        self.words = {name: i for i, name in enumerate(words)}
         self.heads = frozenset(map(head, names))
-        self.idf, self.k, self.memory = idf, k, {}
-        marked = np.zeros(len(ids), bool)
-        marked[row] = True
-        plain = labels[~marked]
-        self.plain_rate = (plain.sum() + 0.5) / (len(plain) + 1) if len(ids) else 0.0
-        weight = (1 + np.log(count)) * idf[term]
-        weight = weight / np.sqrt(np.bincount(row, weight * weight, len(ids)))[row]
+        self.idf, self.word_idf, self.k, self.memory = idf, word_idf, k, {}
+        spoken = np.zeros(len(ids), bool)
+        spoken[word_row] = True
+        plain = labels[~spoken]
+        self.plain_rate = float((plain.sum() + 0.5) / (len(plain) + 1)) if len(ids) else 0.0
+        weight = _unit(row, term, count, idf, len(ids))
+        word_weight = _unit(word_row, word, word_count, word_idf, len(ids))
         heaviest = np.full(len(ids), -1)
         rising = np.argsort(weight, kind="stable")
         heaviest[row[rising]] = term[rising]
         order = np.lexsort((ids, heaviest))             # alike examples share blocks; those without a feature come first
-        order = order[int((~marked).sum()):]
-        place = np.full(len(ids), -1)
+        place = np.empty(len(ids), np.int32)
         place[order] = np.arange(len(order))
         self.ids, self.labels = ids[order].tolist(), labels[order].tolist()
         self.index = BlockMaxIndex(place[row], term, weight, len(order))
-        votes = []
-        by_row = np.argsort(place[row], kind="stable")
-        ends = np.cumsum(np.bincount(place[row], minlength=len(order)))
-        for i, (start, end) in enumerate(zip([0, *ends], ends)):
-            mine = by_row[start:end]
-            found = self.index.nearest(dict(zip(term[mine].tolist(), weight[mine].tolist())), k, i)  # leave one out
-            if found:
-                votes.append((_vote(found, self.labels), self.labels[i]))
-        self.votes, self.rates = _monotone([v for v, _ in votes], [label for _, label in votes])
+        self.whole = WordIndex(place[word_row], word, word_weight, len(order), len(words))
+        by_word = np.argsort(word, kind="stable")
+        self.packed = tuple(x.astype(np.min_scalar_type(int(x.max(initial=0)))) for x in
+                            (place[word_row][by_word], word_count[by_word], np.bincount(word, minlength=len(words))))
+        del by_word
+        kept, whole = _by_row(place[row], term, weight, len(order)), _by_row(place[word_row], word, word_weight, len(order))
+        votes: list[list[float | None]] = []
+        for start in range(0, len(order), TOGETHER):  # leave one out
+            some = range(start, min(start + TOGETHER, len(order)))
+            for i, near in zip(some, self.whole.nearest(list(islice(whole, TOGETHER)), k, list(some))):
+                terms, weights = next(kept)
+                found = self.index.nearest(dict(zip(terms.tolist(), weights.tolist())), k, i), list(zip(*near))
+                votes.append([_vote(f, self.labels) if f else None for f in found])
+        self.rates = [Rates(*zip(*given)) if (given := [(v[j], label) for v, label in zip(votes, self.labels) if v[j] is not None]) else None
+                      for j in (0, 1)]
+        both = [(max(r(x) for r, x in zip(self.rates, v) if x is not None), label) for v, label in zip(votes, self.labels) if v != [None, None]]
+        self.final = Rates(*zip(*both)) if both else None
+        self.whole = None  # the tasks make their own
+
+    def __getstate__(self) -> dict:
+        """What is sent to the tasks: counts instead of the index of all words, which is made again there, and words in one text."""
+        return {**self.__dict__, "frequency": None, "memory": {}, "words": " ".join(self.words)}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.words = {name: i for i, name in enumerate(state["words"].split(" "))} if state["words"] else {}
+        row, count, held = self.packed
+        row, word = row.astype(np.int32), np.repeat(np.arange(len(self.words), dtype=np.int32), held)
+        self.whole = WordIndex(row, word, _unit(row, word, count, self.word_idf, len(self.ids)), len(self.ids), len(self.words))
 
     def weigh(self, counts: dict[int, int]) -> dict[int, float]:
         raw = {t: (1 + np.log(n)) * self.idf[t] for t, n in sorted(counts.items())}
         norm = float(np.sqrt(sum(w * w for w in raw.values())))
         return {t: float(w / norm) for t, w in raw.items()} if norm else {}
 
-    def counts(self, text: str) -> dict[int, int]:
-        return {self.numbers[f]: n for f, n in features(text, self.heads).items() if f in self.numbers}
-
-    def score(self, text: str) -> tuple[float, list[dict]]:
-        counts = self.counts(text)
+    def kept_rate(self, words: Counter, total: int) -> float | None:
+        """The rate by kept features; none without a neighbour."""
+        counts = {self.numbers[f]: n for f, n in _features(words, total, self.heads).items() if f in self.numbers}
         key = tuple(sorted(counts.items()))
         if key not in self.memory:
             if len(self.memory) >= REMEMBERED:
                 self.memory.clear()
             found = self.index.nearest(self.weigh(counts), self.k)
-            value = self.plain_rate
-            if found and len(self.rates):
-                at = min(int(np.searchsorted(self.votes, _vote(found, self.labels))), len(self.rates) - 1)
-                value = float(self.rates[at])
-            self.memory[key] = value, [{"doc_id": self.ids[r], "similarity": float(s), "label": int(self.labels[r] >= 0.5)} for s, r in found[:3]]
+            self.memory[key] = self.rates[0](_vote(found, self.labels)) if found and self.rates[0] else None
         return self.memory[key]
 
-
-def _frequencies(docs: DataFrame, text: str, names: list[str]) -> tuple[int, dict[int, int]]:
-    """Documents, and documents with each feature: partial counts in the tasks, one row per feature on the driver."""
-    numbers, heads = {name: i for i, name in enumerate(names)}, frozenset(map(head, names))
+    def compare(self, texts: list[str]) -> Iterator[tuple[float | None, list[float], list[int], float, dict[str, int]]]:
+        """Each text's rate by kept features; the nearest examples by whole text as products with the unweighed text and their rows; the
+        square of the text's norm as far as examples have its words, and the counts of its other words."""
+        for at in range(0, len(texts), TOGETHER):
+            counted = [Counter(WORD.findall(t.lower())) for t in texts[at:at + TOGETHER]]
+            queries = []
+            for counts in counted:
+                known = sorted((self.words[w], n) for w, n in counts.items() if w in self.words)  # sums run in one order for equal texts
+                words, count = np.array(known, np.int64).reshape(-1, 2).T
+                queries.append((words, (1 + np.log(count)) * self.word_idf[words]))
+            for counts, (_, weights), (products, rows) in zip(counted, queries, self.whole.nearest(queries, self.k)):
+                yield (self.kept_rate(counts, counts.total()), products.tolist(), rows.tolist(), float(weights @ weights),
+                       {w: n for w, n in counts.items() if w not in self.words})
+
+    def judge(self, kept: float | None, products: list[float], rows: list[int], square: float) -> tuple[float, list[dict]]:
+        """Score and evidence; ``square`` is that of the whole norm."""
+        near = [(min(p / np.sqrt(square), 1.0), r) for p, r in zip(products, rows)]
+        rates = [] if kept is None else [kept]
+        if near and self.rates[1]:
+            rates.append(self.rates[1](_vote(near, self.labels)))
+        value = self.final(max(rates)) if rates and self.final else self.plain_rate
+        return value, [{"doc_id": self.ids[r], "similarity": float(s), "label": int(self.labels[r] >= 0.5)} for s, r in near[:3]]
+
+
+def _unit(row: np.ndarray, term: np.ndarray, count: np.ndarray, idf: np.ndarray, rows: int) -> np.ndarray:
+    weight = np.log(count.astype(float))
+    weight += 1
+    weight *= idf[term]
+    weight /= np.sqrt(np.bincount(row, weight * weight, rows))[row]
+    return weight
+
+
+def _by_row(row: np.ndarray, term: np.ndarray, weight: np.ndarray, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    order = np.lexsort((term, row))
+    ends = np.cumsum(np.bincount(row, minlength=rows))
+    for start, end in zip([0, *ends], ends):
+        yield term[order[start:end]], weight[order[start:end]]
+
+
+def _frequency(docs: DataFrame, text: str, names: list[str]) -> DataFrame:
+    """Documents with each word (``=word``) and each kept feature, and with any (null): rows (feature, n), written."""
+    kept, heads = {n for n in names if not n.startswith("=")}, frozenset(head(n) for n in names if not n.startswith("="))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: Counter = Counter()
+
+        def told() -> pa.RecordBatch:
+            rows = pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64())], ["feature", "n"])
+            totals.clear()
+            return rows
+
         for batch in batches:
-            totals[-1] += batch.num_rows
+            totals[None] += batch.num_rows
             for value in batch.column(0).to_pylist():
-                totals.update({numbers[f] for f in features(value, heads) if f in numbers})
-        yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())], ["term", "n"])
+                listed = WORD.findall(value.lower())
+                words = Counter(listed)
+                totals.update(["=" + w for w in words])
+                totals.update([f for f in _features(words, len(listed), heads) if f in kept])
+                if len(totals) >= TALLIED:
+                    yield told()
+        yield told()
 
-    rows = small_batches(docs).select(whole_text(text)).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    counts = {r["term"]: r["n"] for r in rows}
-    return counts.pop(-1, 0), counts
+    return keep(small_batches(docs).select(whole_text(text)).mapInArrow(count, "feature string, n long")
+                .groupBy("feature").agg(F.sum("n").alias("n")), "frequency")
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_id: str = "doc_id", text: str = "text",
@@ -219,49 +366,100 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_id
     n, positive = total["n"] or 0, total["positive"] or 0
     none = np.empty(0, np.int64)
     if not 0 < positive < n:
-        return Model([], np.empty(0), none, none, none, none, none, k)
+        return Model([], np.empty(0), none, none, none, none, none, k, [], np.empty(0), none, none, none)
     expected = F.col("df") * F.lit(positive / n)
     chi2 = (F.col("p") - expected) ** 2 / expected + (F.col("p") - expected) ** 2 / (F.col("df") * F.lit(1 - positive / n))
     ranked = (flat.groupBy("feature").agg(F.sum("copies").alias("df"), F.sum(F.col("label") * F.col("copies")).alias("p")).filter(F.col("df") >= least_df)
               .withColumn("chi2", chi2).filter(F.col("chi2") >= least_chi2).orderBy(F.desc("chi2"), "feature").limit(max_features))
     names = [r["feature"] for r in ranked.collect()]
-    documents, frequency = _frequencies(docs, text, names)
-    idf = np.array([np.log((documents + 1) / (frequency.get(i, 0) + 1)) + 1 for i in range(len(names))])
-    listed = examples.select("key.doc_id", F.col("key.label").alias("label")).toArrow()
-    ids, marks = listed["doc_id"].to_numpy().astype(np.int64), listed["label"].to_numpy()
+    frequency = _frequency(docs, text, names)
+    documents = frequency.filter("feature is null").agg(F.sum("n")).first()[0] or 0
+    used = examples.select(F.explode(F.map_keys("found")).alias("feature")).filter(F.col("feature").startswith("=") | F.col("feature").isin(names))
+    met = frequency.join(used.distinct(), "feature", "left_semi").toArrow()  # at most the words of the examples
+    feature = met["feature"].combine_chunks()
+    idf = np.log((documents + 1) / (met["n"].to_numpy() + 1)) + 1
+    as_kept = pc.index_in(feature, value_set=pa.array(names, pa.string())).fill_null(-1).to_numpy().astype(np.int32)
+    worded = np.flatnonzero(pc.starts_with(feature, "=").to_numpy(zero_copy_only=False))
+    as_word = np.full(len(feature), -1, np.int32)
+    as_word[worded] = np.arange(len(worded))
+    kept_idf = np.ones(len(names))
+    kept_idf[as_kept[as_kept >= 0]] = idf[as_kept >= 0]
+    parts = []
+    for part in range(PARTS):  # a part's strings at a time
+        listed = (examples.filter(F.pmod(F.xxhash64("key.doc_id"), F.lit(PARTS)) == part)
+                  .select("key.doc_id", F.col("key.label").alias("label"),
+                          F.map_filter("found", lambda f, _: f.startswith("=") | f.isin(names)).alias("found")).toArrow())
+        for batch in listed.to_batches():
+            found = batch.column(2)
+            held = np.diff(found.offsets.to_numpy())
+            keys, items = found.keys[found.offsets[0].as_py():], found.items[found.offsets[0].as_py():]
+            code = pc.index_in(keys[:held.sum()], value_set=feature).to_numpy(zero_copy_only=False).astype(np.int32)
+            parts.append((batch.column(0).to_numpy().astype(np.int64), batch.column(1).to_numpy(), held, code,
+                          items[:held.sum()].to_numpy().astype(np.int32)))
+        del listed
+    words = [f[1:] for f in feature.take(pa.array(worded)).to_pylist()]
+    ids, marks, held, code, count = (np.concatenate(x) for x in zip(*parts))
+    del parts
+    pa.default_memory_pool().release_unused()
     order = np.argsort(ids)
-    ids, marks = ids[order], marks[order]
-    if not names:
-        return Model([], idf, ids, marks, none, none, none, k)
-    numbered = docs.sparkSession.createDataFrame(list(enumerate(names)), "term int, feature string")
-    found = flat.join(F.broadcast(numbered), "feature").select("doc_id", "term", "n").toArrow()  # at most max_examples x max_features
-    return Model(names, idf, ids, marks, np.searchsorted(ids, found["doc_id"].to_numpy()), found["term"].to_numpy().astype(np.int64),
-                 found["n"].to_numpy().astype(np.int64), k)
-
-
-def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: id, ``score``, ``predicted`` and ``evidence`` (nearest examples: id, similarity, label)."""
+    place = np.empty(len(ids), np.int32)
+    place[order] = np.arange(len(ids))
+    ids, marks, row = ids[order], marks[order], np.repeat(place, held)
+    kept, spoken = as_kept[code] >= 0, as_word[code] >= 0
+    as_features = row[kept], as_kept[code[kept]], count[kept]
+    row, word, count = row[spoken], as_word[code[spoken]], count[spoken]
+    del code
+    return Model(names, kept_idf, ids, marks, *as_features, k, words, idf[worded], row, word, count, documents, frequency)
+
+
+def _judged(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
+    """Per row: id, ``digest`` of the text, ``score``, ``predicted`` and ``evidence``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make() -> Callable[[list[str]], list[list]]:
         judge = shared.value
 
         def work(values: list[str]) -> list[list]:
-            found = [judge.score(v) for v in values]
-            return [[f[0] for f in found], [int(f[0] >= 0.5) for f in found], [f[1] for f in found]]
+            found = list(zip(*judge.compare(values)))
+            return [[hashlib.sha256(v.encode("utf-8", "surrogatepass")).hexdigest() for v in values], *map(list, found[:4]),
+                    [list(loose.items()) for loose in found[4]]]
 
         return work
 
-    return map_texts(docs, doc_id, text, "score double, predicted int, evidence array<struct<doc_id: long, similarity: double, label: int>>", make)
+    compared = map_texts(docs, doc_id, text, "digest string, kept double, products array<double>, places array<int>, square double, "
+                         "loose map<string, int>", make).withColumnRenamed(doc_id, "id")
+    if model.frequency is None:
+        compared = compared.withColumn("more", F.lit(0.0))
+    else:
+        compared = keep(compared, "compared")
+        loose = (compared.select("digest", F.explode("loose").alias("word", "count")).dropDuplicates(["digest", "word"])
+                 .withColumn("feature", F.concat(F.lit("="), "word")).join(model.frequency, "feature", "left"))
+        weight = (1 + F.log("count")) * (F.log(F.lit(model.documents + 1.0) / (F.coalesce("n", F.lit(0)) + 1)) + 1)
+        more = loose.groupBy("digest").agg(F.sum(weight * weight).alias("more"))
+        compared = compared.join(more, "digest", "left").withColumn("more", F.coalesce("more", F.lit(0.0)))
+    chosen = compared.select("id", "digest", "kept", "products", "places", (F.col("square") + F.col("more")).alias("square"))
+    schema = T.StructType([chosen.schema["id"], chosen.schema["digest"], *T.StructType.fromDDL(
+        "score double, predicted int, evidence array<struct<doc_id: long, similarity: double, label: int>>")])
+    kinds = [to_arrow_type(f.dataType) for f in schema.fields[2:]]
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = shared.value
+        for batch in batches:
+            found = [judge.judge(*given) for given in zip(*(c.to_pylist() for c in batch.columns[2:]))]
+            columns = [[f[0] for f in found], [int(f[0] >= 0.5) for f in found], [f[1] for f in found]]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(c, t) for c, t in zip(columns, kinds))], names=schema.names)
 
+    return chosen.mapInArrow(finish, schema)
 
-def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``docs`` without the rows predicted toxic."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def clean(texts):
-        judge = shared.value
-        return type(texts)([judge.score(t)[0] < 0.5 for t in texts], dtype=bool)
+def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: id, ``score``, ``predicted`` and ``evidence`` (nearest examples: id, similarity, label)."""
+    return _judged(docs, model, doc_id, text).drop("digest").withColumnRenamed("id", doc_id)
 
-    return small_batches(docs).filter(clean(whole_text(text)))
+
+def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """``docs`` without the rows predicted toxic."""
+    digest = fresh(docs, "digest")
+    texts = docs.select(F.lit(0).alias("number"), F.col(text).alias("text"))
+    toxic = _judged(texts, model, "number", "text").filter("predicted = 1").select(F.col("digest").alias(digest)).distinct()
+    return small_batches(docs).withColumn(digest, F.sha2(whole_text(text), 256)).join(toxic, digest, "left_anti").drop(digest).select(docs.columns)

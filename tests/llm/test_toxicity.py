@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -35,6 +36,11 @@ def test_monotone():
     assert (np.diff(votes) > 0).all() and (np.diff(rates) >= 0).all() and rates[-1] > 0.5
 
 
+def test_equal_votes_are_one_pool():
+    votes, rates = toxicity._monotone([0.1] * 10 + [0.5] * 20 + [0.9] * 20, [0] * 9 + [1] + [0] * 10 + [1] * 10 + [0] * 4 + [1] * 16)
+    assert votes.tolist() == [0.1, 0.5, 0.9] and np.allclose(rates, [1.5 / 11, 10.5 / 21, 16.5 / 21])
+
+
 def test_held_out_accuracy(spark):
     folder = "/root/testdata/sf0.1"
     found = op4_toxicity(spark, folder)
@@ -80,3 +86,69 @@ def test_copies_are_one_example(spark):
     marked = dict(texts)
     assert all((r["score"] >= 0.5) == ("idiot" in marked[r["doc_id"]]) for r in rows if r["doc_id"] in marked)
     assert all(e["label"] in (0, 1) for r in rows for e in r["evidence"])
+
+
+def test_words_of_whole_texts_are_compared_exactly():
+    rng = np.random.default_rng(2)
+    often = rng.random((500, 40)) < 0.5
+    seldom = rng.random((500, 300)) < 0.02
+    dense = np.hstack([often, seldom]) * rng.random((500, 340))
+    dense[7] = 0
+    norms = np.linalg.norm(dense, axis=1, keepdims=True)
+    dense = np.divide(dense, norms, out=np.zeros_like(dense), where=norms > 0)
+    row, word = np.nonzero(dense)
+    index = toxicity.WordIndex(row, word, dense[row, word], 500, 340)
+    for q in range(0, 500, 7):
+        words = np.flatnonzero(dense[q])
+        (products, rows), = index.nearest([(words, dense[q][words])], 10, without=[q])
+        scores = dense @ dense[q]
+        assert np.allclose(products, scores[rows])
+        scores[q] = 0
+        assert np.allclose(products, np.sort(scores[scores > 0])[::-1][:10])
+
+
+def _word(kind, i):
+    """Words without a common beginning."""
+    return "".join(random.Random(f"{kind}{i}").choices("abcdefghijklmnopqrstuvwxyz", k=9))
+
+
+def _by_words(spark):
+    """Calm texts, and toxic ones whose marked words are in three examples only: too few for a kept feature."""
+    rng = random.Random(5)
+    calm = [(i, " ".join(rng.choices([_word("plain", j) for j in range(60)], k=8))) for i in range(200)]
+    toxic = [(1000 + i, f"{_word('grim', i // 3)} {_word('foul', i // 3)} {_word('grim', i // 3)} {_word('odd', i)}") for i in range(60)]
+    labels = spark.createDataFrame([(i, 0) for i, _ in calm] + [(i, 1) for i, _ in toxic], "doc_id long, toxic int")
+    return calm, toxic, labels
+
+
+def test_words_that_few_examples_have_count(spark):
+    calm, toxic, labels = _by_words(spark)
+    others = [(5000 + i, t) for i, (_, t) in enumerate(toxic[::3])] + [(6000 + i, f"{_word('grim', i)} {_word('foul', i)} unheard{i}") for i in range(20)]
+    docs = documents(spark, calm + toxic + others)
+    model = toxicity.fit(docs, labels)
+    assert not model.numbers  # no feature is kept
+    rows = {r["doc_id"]: r for r in toxicity.score(docs, model).collect()}
+    assert all(rows[i]["predicted"] == 1 and rows[i]["evidence"][0]["label"] == 1 for i, _ in others)
+    assert all(rows[i]["predicted"] == 0 for i, _ in calm)
+    kept = {r["doc_id"] for r in toxicity.without_toxic(docs, model).collect()}
+    assert kept == {i for i, _ in calm}
+
+
+def test_cosines_are_those_of_whole_texts(spark):
+    """Also words that no example has are weighed, by their frequency in all documents."""
+    calm, toxic, labels = _by_words(spark)
+    others = [(7000 + i, f"{_word('plain', i)} {_word('plain', i + 1)} {_word('grim', i % 20)} new{i % 4} own{i} own{i}") for i in range(40)]
+    docs = calm + toxic + others
+    df = Counter(w for _, t in docs for w in set(t.split()))
+    def vector(t):
+        raw = {w: (1 + np.log(n)) * (np.log((len(docs) + 1) / (df[w] + 1)) + 1) for w, n in Counter(t.split()).items()}
+        norm = np.sqrt(sum(x * x for x in raw.values()))
+        return {w: x / norm for w, x in raw.items()}
+    examples = {i: vector(t) for i, t in calm + toxic}
+    rows = {r["doc_id"]: r for r in toxicity.score(documents(spark, docs), toxicity.fit(documents(spark, docs), labels)).collect()}
+    for i, t in others:
+        mine = vector(t)
+        cosines = {j: sum(x * v.get(w, 0) for w, x in mine.items()) for j, v in examples.items()}
+        got = rows[i]["evidence"]
+        assert np.allclose([e["similarity"] for e in got], sorted(cosines.values())[::-1][:3])
+        assert all(np.isclose(e["similarity"], cosines[e["doc_id"]]) for e in got)
