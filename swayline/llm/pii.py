@@ -1,8 +1,9 @@
 """Personal data: fixed patterns, and a skip-chain conditional random field that keeps labels consistent across a document.
 
-Tokens with a digit or ``@`` are the field's nodes; every other token is plain text. Neighbouring nodes share a chain potential,
-and repeats of a token - the same letters and digits, or the same last seven digits - share a skip potential with the next such
-repeat, however far away. Loopy belief propagation runs over all nodes of a block of documents at once. A node whose marginal
+Tokens with a digit or ``@`` are the field's nodes; every other token is plain text. Neighbouring nodes share a chain potential.
+Repeats - of a token or of a run of numbers parted by blanks; the same letters and digits, or the same last seven digits - share a skip
+potential with the longest of them, however far away, so that any two are two steps apart. Loopy belief propagation runs over all
+nodes of a block of documents at once, in each document until its messages stay. A node whose marginal
 for a kind reaches ``sure`` becomes a span unless a pattern's span covers it: a phone number repeated without its prefix is found
 through its full form elsewhere. Spans of the patterns are never changed.
 
@@ -34,7 +35,9 @@ NODE = re.compile(r"[0-9@]\S*")  # from a token's first digit or @; its start is
 NOT_DIGIT = re.compile(r"[^0-9]+")
 EDGE = "\"'()[]{}<>,;:.!?="
 FEATURES = 1 << 12
-ROUNDS = 6
+ROUNDS = 1000  # at most, where messages do not settle
+SETTLED = 1e-7  # a document is done when no message changes more
+NUMBER = re.compile(r"[+(]*[0-9][0-9().-]*")
 
 Span = tuple[int, int, int]  # start, kind's place in KINDS, end
 
@@ -95,6 +98,22 @@ def _hashed(name: str) -> int:
     return zlib.crc32(name.encode("utf-8", "surrogatepass")) % FEATURES
 
 
+def _star(alike: list[tuple[int, int]], digits: list[str], first: int) -> list[tuple[int, int]]:
+    """Each unit's nodes with those of the longest unit, where the same digits from the right stand."""
+    size = lambda unit: sum(len(d) for d in digits[unit[0] - first:unit[1] + 1 - first])
+    hub = max(alike, key=lambda unit: (size(unit), unit[1] - unit[0], -unit[0]))
+    place = [node for node in range(hub[1], hub[0] - 1, -1) for _ in digits[node - first]] or [hub[1]]
+    pairs = []
+    for unit in alike:
+        passed = 0
+        for node in range(unit[1], unit[0] - 1, -1):
+            other = place[min(passed, len(place) - 1)]
+            if not hub[0] <= node <= hub[1]:
+                pairs.append((min(node, other), max(node, other)))
+            passed += len(digits[node - first])
+    return pairs
+
+
 class Field:
     """Nodes, features and edges of one block of documents."""
 
@@ -104,7 +123,10 @@ class Field:
         self.chain: list[tuple[int, int]] = []
         self.skip: list[tuple[int, int]] = []
         for doc, text in enumerate(texts):
-            last: dict[str, int] = {}
+            units: list[tuple[int, int]] = []  # tokens and runs of numbers, as first and last node
+            digits_of: list[str] = []
+            keys: dict[str, list[tuple[int, int]]] = {}
+            run = first_of_run = -1
             shapes: list[str] = []
             first = len(self.doc)
             for m in NODE.finditer(text):
@@ -130,17 +152,29 @@ class Field:
                     self.chain.append((node - 1, node))
                     own.append(_hashed("after " + shapes[-1]))
                     self.features[-1].append(_hashed("before " + shape))
+                number = NUMBER.fullmatch(token) is not None
+                if not (number and run >= 0 and not text[self.end[-1]:start].strip(" ()-")):
+                    if run > first_of_run >= 0:
+                        units.append((first_of_run, run))
+                    first_of_run = node if number else -1
+                run = node if number else -1
+                digits_of.append(digits)
                 same = "".join(c for c in token.lower() if c.isalnum())
-                for key in {same, digits[-7:] if len(digits) >= 7 else same}:
-                    if len(key) >= 6:
-                        if key in last:
-                            self.skip.append((last[key], node))
-                        last[key] = node
+                key = digits[-7:] if len(digits) >= 7 else same if len(same) >= 6 else token if shape == "9.9.9.9" else ""
+                if key:
+                    keys.setdefault(key, []).append((node, node))
                 shapes.append(shape)
                 self.doc.append(doc)
                 self.start.append(start)
                 self.end.append(end)
                 self.features.append(own)
+            if run > first_of_run >= 0:
+                units.append((first_of_run, run))
+            for unit in units:
+                digits = "".join(digits_of[unit[0] - first:unit[1] + 1 - first])
+                if len(digits) >= 6:
+                    keys.setdefault(digits[-7:], []).append(unit)
+            self.skip += sorted({pair for alike in keys.values() if len(alike) > 1 for pair in _star(alike, digits_of, first)})
 
     def __len__(self) -> int:
         return len(self.doc)
@@ -201,7 +235,7 @@ def train(texts: list[str], steps: int = 200, rate: float = 0.5, decay: float =
 
 
 def marginals(field: Field, weights: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
-    """Loopy sum-product, all edges of the block in each round; messages are damped by half."""
+    """Loopy sum-product, in each round all edges of the documents whose messages still change; messages are damped by half."""
     unary, chain, skip = weights
     n = chain.shape[0]
     logits = np.zeros((len(field), n))
@@ -217,15 +251,24 @@ def marginals(field: Field, weights: tuple[np.ndarray, np.ndarray, np.ndarray])
     back = np.concatenate([np.arange(len(left)) + len(left), np.arange(len(left)),
                            2 * len(left) + len(one) + np.arange(len(one)), 2 * len(left) + np.arange(len(one))])
     messages = np.zeros((len(source), n))
+    doc = np.array(field.doc)[source]
+    live = np.arange(len(source))  # edges of documents that have not settled
     for _ in range(ROUNDS):
         belief = logits.copy()
-        np.add.at(belief, target, messages)
-        out = _softmax(belief[source] - messages[back])
-        new = np.empty_like(messages)
+        np.add.at(belief, target[live], messages[live])
+        out = _softmax(belief[source[live]] - messages[back[live]])
+        new = np.empty_like(out)
         for t in range(4):
-            new[which == t] = np.log(out[which == t] @ tables[t])
+            mine = which[live] == t
+            new[mine] = np.log(out[mine] @ tables[t])
         new -= new.max(axis=1, keepdims=True)
-        messages = 0.5 * messages + 0.5 * new
+        change = np.abs(new - messages[live]).max(axis=1)
+        messages[live] = 0.5 * messages[live] + 0.5 * new
+        moving = np.zeros(field.doc[-1] + 1, bool)
+        moving[doc[live[change > SETTLED]]] = True
+        live = live[moving[doc[live]]]
+        if not len(live):
+            break
     np.add.at(logits, target, messages)
     return _softmax(logits)
 

@@ -96,3 +96,32 @@ def test_awkward_and_empty(spark):
     assert pii.find(documents(spark, AWKWARD)).count() == len(AWKWARD)
     assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in pii.mask(documents(spark, AWKWARD)).collect()))) == sorted(map(repr, AWKWARD))
     assert pii.find(documents(spark, [])).count() == 0 and pii.mask(documents(spark, [])).count() == 0
+
+
+def _found(text, weights):
+    return [text[s:e] for s, _, e in pii._added([text], [pii.base_spans(text)], weights, 0.9)[0]]
+
+
+def test_every_repeat_hears_of_the_full_form():
+    weights = pii.train(_phones(300))
+    text = "call +1 (415) 555-2671 now. " + "words and more words, later dial 555-2671 again. " * 20
+    assert _found(text, weights) == ["555-2671"] * 20
+
+
+def test_runs_and_short_addresses_are_repeats():
+    def linked(text):
+        field = pii.Field([text])
+        return [tuple(text[field.start[n]:field.end[n]] for n in pair) for pair in field.skip]
+    assert linked("x +1 (415) 555-2671 y and 415 555 2671 z") == [("(415", "415"), ("555-2671", "555"), ("555-2671", "2671")]
+    assert linked("x 4111 1111 1111 1111 y and 4111 1111 1111 1111 z") == [("4111", "4111")] + [("1111", "1111")] * 3
+    assert linked("x 1.2.3.4 y and 1.2.3.4 z") == [("1.2.3.4", "1.2.3.4")]
+    assert linked("in 19 days of 20 in 19") == []
+
+
+def test_messages_have_settled():
+    weights = pii.train(_phones(100))
+    field = pii.Field([" ".join(_phones(60)) + " 555-1007 and 555-1008" * 30, "call 1"])
+    got = pii.marginals(field, weights)
+    old, pii.SETTLED = pii.SETTLED, 0
+    assert np.allclose(got, pii.marginals(field, weights), atol=1e-3)
+    pii.SETTLED = old
