@@ -7,10 +7,14 @@ broadcasts it when its size allows, and otherwise adaptive execution splits a di
 
 Null and empty texts have the digest of the empty form and match nothing. Rows are neither dropped nor merged. Known texts with
 equal canonical forms are named by the smallest id.
+
+A digest is that of a whole text: a notice or a licence inside a longer text matches nothing.
 """
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +64,29 @@ Permission is granted to anyone to use this software for any purpose, including
     "notice: MIT": "Released under the MIT License.",
 }
 
+#: Title lines that files put before a text that has none.
+TITLES = {
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License'),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License'),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)"),
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "Zlib": ("zlib License", "The zlib License"),
+}
+LAST_LINE = "END OF TERMS AND CONDITIONS"  # after it, texts say how to apply them; files have that part or not
+
+
+def _published() -> dict[str, str]:
+    """The files of ``licence_texts``, whole and up to their last line of terms, and texts under each of their titles."""
+    texts = {f.stem: f.read_text("utf-8") for f in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))}
+    short = {f"{name}, terms only": text[:text.index(LAST_LINE) + len(LAST_LINE)] for name, text in texts.items() if LAST_LINE in text}
+    bare = {f"{name}, terms only, no last line": text.removesuffix(LAST_LINE) for name, text in ((n.removesuffix(", terms only"), t) for n, t in short.items())}
+    titled = {f"{name}, titled: {title}": f"{title}\n\n{({**KNOWN, **texts})[name]}" for name, titles in TITLES.items() for title in titles}
+    return {**texts, **short, **bare, **titled}
+
+
+KNOWN |= _published()
+
 
 def canonical(text: Column) -> Column:
     form = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")

@@ -26,3 +26,16 @@ def test_own_table_and_empty(spark):
     got = {r["doc_id"]: r["licence_id"] for r in licences.scan(documents(spark, [(1, "same text"), (2, ""), (3, None)]), known).collect()}
     assert got == {1: "a", 2: None, 3: None}
     assert licences.scan(documents(spark, []), known).count() == 0
+
+
+def test_published_texts_are_known(spark):
+    """Whole files of the common licences, as they are published: with a title, a copyright line, other line ends."""
+    ids = ["0BSD", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "Unlicense"]
+    texts = [(i, licences.KNOWN[n].replace("\n", "\r\n").upper()) for i, n in enumerate(ids)]
+    texts += [(100, f"MIT License\n\nCopyright (c) 2020 Somebody\n\n{licences.KNOWN['MIT']}"),
+              (101, f"BSD 3-Clause License\n\nCopyright (c) 2020, Somebody\nAll rights reserved.\n\n{licences.KNOWN['BSD-3-Clause']}"),
+              (102, licences.KNOWN["Apache-2.0"].split("APPENDIX:")[0]), (103, "See below. " + licences.KNOWN["Unlicense"])]
+    got = {r["doc_id"]: r["licence_id"] for r in licences.scan(documents(spark, texts), licences.known_licences(spark)).collect()}
+    assert [got[i] for i in range(len(ids))] == ids
+    assert got[100].startswith("MIT, titled") and got[101].startswith("BSD-3-Clause, titled")
+    assert got[102].startswith("Apache-2.0") and got[103] is None
