@@ -26,6 +26,11 @@ def usable(rows: DataFrame, key: str, vector: str) -> DataFrame:
             .select(F.col(key).cast("long").alias("key"), values.alias("vector")))
 
 
+def dealt(rows: DataFrame, shards: int) -> DataFrame:
+    """``rows`` with a shard by their ``number``, so that repeats of a row are spread too."""
+    return rows.withColumn("shard", F.pmod(F.xxhash64("number"), F.lit(shards)).cast("int"))
+
+
 def search(rows: DataFrame, is_query: Column, best: Search, k: int, score_type: str, shard_rows: int = 8192,
            group_queries: int = 2048) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score`` of each query's ``k`` best rows with another key, ties to the smaller key.
@@ -34,13 +39,13 @@ def search(rows: DataFrame, is_query: Column, best: Search, k: int, score_type:
     of queries, places of rows and scores; it must hold each query's best of the shard. Vectors of another length than a query's
     cannot be compared and are left out of its candidates.
     """
-    rows = keep(rows, "vectors")
+    rows = keep(rows.withColumn("number", F.monotonically_increasing_id()), "vectors")  # written: a row keeps its number
     counts = rows.agg(F.count("*").alias("n"), F.count(F.when(is_query, 1)).alias("q")).first()
     shards, groups = max(1, -(-counts["n"] // shard_rows)), max(1, -(-counts["q"] // group_queries))
-    deal = lambda n, seed: F.pmod(F.xxhash64("key", "vector", F.lit(seed)), F.lit(n)).cast("int")
+    deal = lambda n: F.pmod(F.xxhash64("key", "vector", F.lit(2)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    base = rows.select("key", "vector", deal(shards, 1).alias("shard"), every(groups).alias("group"))
-    asked = rows.filter(is_query).select("key", "vector").distinct().select("key", "vector", deal(groups, 2).alias("group"), every(shards).alias("shard"))
+    base = dealt(rows, shards).select("key", "vector", "shard", every(groups).alias("group"))
+    asked = rows.filter(is_query).select("key", "vector").distinct().select("key", "vector", deal(groups).alias("group"), every(shards).alias("shard"))
 
     def pair(queries: pd.DataFrame, shard: pd.DataFrame) -> pd.DataFrame:
         out = []

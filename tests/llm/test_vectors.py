@@ -117,3 +117,11 @@ def test_nearest_awkward(spark):
     assert found == {1006, 1007, 1008} and {r["query_id"] for r in got} == {1050} or found <= {1006, 1007, 1008, 1050}
     assert 1005 not in found
     assert collision_ann.nearest(table(spark, []), F.col("key") % 20 == 0).count() == 0
+
+
+def test_repeats_of_a_row_are_spread(spark):
+    from swayline.llm import vector_blocks
+    rows = spark.range(3000).select(F.when(F.col("id") < 1000, 7).otherwise(F.col("id")).alias("key"), F.array(F.lit(1.0)).alias("vector"),
+                                    F.monotonically_increasing_id().alias("number"))
+    sizes = [r["count"] for r in vector_blocks.dealt(rows, 10).groupBy("shard").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 400
