@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from swayline.llm import (
-    collision_ann, licences, maxscore, packing, pii, secret_scan, simhash, toxicity, viterbi, warc_zip,
+    collision_ann, licences, maxscore, multiset_hash, packing, pii, prefix_trie, secret_scan, simhash, slice_codes, toxicity, viterbi, warc_zip,
 )
 from swayline.llm.common import new_path
 
@@ -67,8 +67,25 @@ def op10_collision_ann(spark: SparkSession, folder: str) -> DataFrame:
     return collision_ann.nearest(_read(spark, folder, "embeddings"), F.col("key") % 20 == 0)
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    coded, books = slice_codes.compress(_read(spark, folder, "embeddings"), carry=["label"])
+    return slice_codes.with_group_error(coded, "label", "label_error").select(
+        "vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
+def op12_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return multiset_hash.fingerprints(_read(spark, folder, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    own = prefix_trie.sequences(_read(spark, folder, "conversations"))
+    shared = F.crc32(F.col("conv_id").cast("string")) % 4
+    return prefix_trie.nodes(prefix_trie.with_shared_start(own, F.col("conv_id") - F.col("conv_id") % 20, shared.cast("int"), 3))
+
+
 QUERIES = {f.__name__: f for f in (op1_warc_zip, op2_secret_scan, op3_packing, op4_toxicity, op5_viterbi, op6_licences,
-                                   op7_personal_data, op8_maxscore, op9_simhash, op10_collision_ann)}
+                                   op7_personal_data, op8_maxscore, op9_simhash, op10_collision_ann, op11_vector_codes, op12_fingerprints,
+                                   op13_prefix_trie)}
 
 _SPELLED = "regexp_replace(lower(coalesce(text, '')), '(?m)" + licences.COPYRIGHT_LINE.removeprefix("(?md)") + "', '', 'g')"
 for _spelt, _spelling in licences.SPELLINGS:
@@ -76,6 +93,35 @@ for _spelt, _spelling in licences.SPELLINGS:
 _FORM = f"trim(regexp_replace({_SPELLED}, '[^a-z0-9]+', ' ', 'g'))"
 _QUOTED = ", ".join("('{}', '{}')".format(k.replace("'", "''"), v.replace("'", "''")) for k, v in sorted(licences.KNOWN.items()))
 
+
+
+def _codes_sql(parts: int = 8, entries: int = 16, rounds: int = 6) -> str:
+    """Codebooks round by round, every distance taken: no slices, no masks."""
+    steps = [f"""
+        k as materialized (select vec_id, label, list_transform(embedding, lambda x: cast(floor(4096 * cast(x as double)) as bigint)) as v from embeddings
+            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        x as materialized (select vec_id, label, p, list_slice(v, p * (len(v) // {parts}) + 1, (p + 1) * (len(v) // {parts})) as s from k, range({parts}) as t(p)),
+        c0 as materialized (select p, row_number() over (partition by p order by vec_id) - 1 as e, s from x
+            qualify row_number() over (partition by p order by vec_id) <= {entries})"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+        a{r} as materialized (select x.vec_id, any_value(x.label) as label, x.p, any_value(x.s) as s, min(struct_pack(d := cast(list_sum(list_transform(
+            list_zip(x.s, c.s), lambda q: (q[1] - q[2]) * (q[1] - q[2]))) as bigint), e := c.e)) as near from x join c{r} c on x.p = c.p group by x.vec_id, x.p)""")
+        if r < rounds:
+            steps.append(f"""
+        n{r} as (select p, e, list(((total - ((total % n) + n) % n) // n)::bigint order by i) as s from (
+            select p, near.e as e, i, sum(s[i]) as total, count(*) as n from a{r}, range(1, 1000) as t(i) where i <= len(s) group by all) group by p, e),
+        c{r + 1} as materialized (select c.p, c.e, coalesce(n.s, c.s) as s from c{r} c left join n{r} n on c.p = n.p and c.e = n.e)""")
+    return "with " + ",".join(steps) + f""",
+        r as (select vec_id, any_value(label) as label, string_agg(lower(format('{{:02x}}', near.e)), '' order by p) as code, cast(sum(near.d) as bigint) as error
+              from a{rounds} group by vec_id)
+        select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+               (select sha256(string_agg(array_to_string(s, ','), ',' order by p, e)) from c{rounds}) as codebooks_sha256 from r"""
+
+
+_CRC32 = """list_reduce([4294967295] || list_transform(string_split(cast(conv_id as varchar), ''), lambda d: cast(ascii(d) as bigint)),
+    lambda c, b: list_reduce([xor(c, b)] || [0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: case when a & 1 = 1 then xor(a >> 1, 3988292384) else a >> 1 end))"""
+
 ORACLE = {
     "op1_warc_zip": """
         with p as (select page_id, coalesce(html, '') as html from pages),
@@ -97,4 +143,23 @@ ORACLE = {
                    from v q join v r on q.vec_id <> r.vec_id where q.vec_id % 50 = 0),
              r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
         select query_id, rank, vec_id, score from r where rank <= 5""",
+    "op11_vector_codes": _codes_sql(),
+    "op13_prefix_trie": f"""
+        with t as (select conv_id, turn, coalesce(role, '') as r, coalesce(text, '') as x from conversations where conv_id is not null),
+             o as (select conv_id, list(struct_pack(i := substr(sha256(sha256(r) || sha256(x)), 1, 32), r := r, x := x)
+                          order by turn nulls first, substr(sha256(sha256(r) || sha256(x)), 1, 32)) as own from t group by conv_id),
+             h as (select conv_id, own, cast(xor({_CRC32}, 4294967295) % 4 as bigint) as h from o),
+             b as materialized (select h.conv_id, coalesce(list_slice(f.own, 1, h.h), []) || list_slice(h.own, h.h + 1, len(h.own)) as turns
+                  from h left join o f on f.conv_id = h.conv_id - h.conv_id % 20),
+             m as materialized (select conv_id, d, min(conv_id) over (partition by d, list_slice(turns, 1, d)) as node, len(turns) as size, turns[d].x as x
+                  from (select *, unnest(range(0, len(turns) + 1)) as d from b)),
+             n as materialized (select node, d, count(*) as n_convs, len(regexp_extract_all(coalesce(any_value(x), ''), '[^\\x20\\x09-\\x0D]+')) as words,
+                         sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where size = d), '')) as ends_sha256 from m group by node, d),
+             c as (select n.*, u.node as up, u.d as up_d from n left join m u on u.conv_id = n.node and u.d = n.d - 1),
+             k as materialized (select node, d, (select count(*) from c where c.up = n.node and c.up_d = n.d) as n_children from n),
+             s as (select a.node, a.d, sum(cast(k.n_children = 0 as bigint)) as n_leaves, sum((n.n_convs - 1) * n.words) as saved_tokens
+                   from n join k on k.node = n.node and k.d = n.d join m a on a.conv_id = n.node and a.d <= n.d group by a.node, a.d)
+        select c.node as conv_id, c.d as depth, c.up as parent_conv_id, c.n_convs, k.n_children, cast(s.n_leaves as bigint) as n_leaves,
+               cast(s.saved_tokens as bigint) as saved_tokens, c.ends_sha256
+        from c join k on k.node = c.node and k.d = c.d join s on s.node = c.node and s.d = c.d""",
 }

@@ -1,0 +1,126 @@
+import random
+from hashlib import sha256
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from swayline.llm import multiset_hash as mh
+from swayline.llm.queries import op12_fingerprints
+from tests.llm.common import AWKWARD, documents
+
+rng = random.Random(4)
+LINES = ["".join(rng.choices("abcdefg éß日 ", k=rng.randint(1, 90))) for _ in range(60)]
+
+
+def brute_windows(paragraph):
+    """Signed counts, window by window."""
+    counts = np.zeros(mh.BUCKETS, np.int64)
+    points = [ord(c) for c in paragraph] + [10] * (mh.WINDOW - 1)
+    for i in range(len(paragraph)):
+        value = 0
+        for p in points[i:i + mh.WINDOW]:
+            value = (value * mh.FACTOR + p) % (1 << 64)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            value = ((value ^ (value >> shift)) * factor) % (1 << 64)
+        value ^= value >> 31
+        counts[(value >> 32) % mh.BUCKETS] += 1 if value & 1 else -1
+    return counts
+
+
+def test_windows_are_those_of_each_paragraph():
+    for found in ([], ["a"], LINES[:1], LINES[:9], ["x" * 70_000, "y"]):
+        want = sum((brute_windows(p) for p in found), np.zeros(mh.BUCKETS, np.int64))
+        assert (mh._windows(found) == want).all()
+
+
+def test_a_multiset_in_any_order():
+    a = mh.vector(LINES)
+    shuffled = random.Random(1).sample(LINES, len(LINES))
+    assert (mh.vector(shuffled) == a).all()
+    assert (mh.vector(LINES + LINES[:1]) != a).any()           # repeats count
+    assert (mh.vector(LINES[:-1]) != a).any()
+    assert (mh.vector(["".join(LINES)]) != a).any()
+    step = np.zeros_like(a)
+    for p in shuffled:
+        step = mh.insert(step, [p])
+    assert (step == a).all()
+    for p in LINES[10:]:
+        step = mh.delete(step, [p])
+    assert (step == mh.vector(LINES[:10])).all()
+    many = ["the same line"] * 70_000                          # beyond the modulus
+    assert (mh.vector(many) == (mh.vector(many[:1]).astype(np.int64) * 70_000 % 65_536)).all()
+    assert (mh.from_text(mh.as_text(a)) == a).all()
+
+
+def test_edited_is_the_fingerprint_of_the_edited_text():
+    for size in range(40):
+        text, other = "\n".join(random.Random(size).choices(LINES, k=size % 7)), "\n".join(LINES[size:size + 3])
+        changed = mh.spliced(text, other)
+        got = mh.edited(mh.vector(mh.paragraphs(text)), text, changed, len(text) - len(text) // 4)
+        assert (got == mh.vector(mh.paragraphs(changed))).all()
+
+
+def test_likeness_follows_what_is_shared():
+    words = ["".join(random.Random(i).choices("abcdefghijklmnopqrstuvwxyz", k=6)) for i in range(3000)]
+    text = [" ".join(words[i:i + 10]) for i in range(0, 1500, 10)]
+    other = [" ".join(words[i:i + 10]) for i in range(1500, 3000, 10)]
+    whole = mh.vector(text)
+    near = [mh.likeness(whole, mh.vector(text[:150 - n] + other[:n])) for n in (0, 15, 40, 75, 110, 150)]
+    assert near[0] == 1.0 and near == sorted(near, reverse=True) and near[-1] < 0.25
+    assert abs(near[2] - (110 / 190)) < 0.15
+    empty = mh.vector([])
+    assert mh.likeness(empty, empty) == 1.0 and mh.likeness(whole, empty) == 0.0
+
+
+def expected(rows):
+    """Brute force over (id, text), ids not null."""
+    rows = sorted((i, t or "") for i, t in rows)
+    out = []
+    for n, (i, text) in enumerate(rows):
+        other = rows[(n + 1) % len(rows)][1]
+        size = len(text) // 4
+        changed = text[:len(text) - size] + other[:size]
+        own, edited, next_print = (mh.vector(mh.paragraphs(t)) for t in (text, changed, other))
+        out.append((i, len(text), sha256(changed.encode()).hexdigest(), mh.as_text(own), mh.as_text(edited), mh.likeness(own, edited), mh.likeness(own, next_print)))
+    return out
+
+
+def check(spark, df, rows):
+    got = sorted(tuple(r) for r in df.collect())
+    assert got == sorted(expected(rows))
+
+
+def test_order_over_ranges(spark):
+    rows = [(i * i - 5000, "\n".join(random.Random(i).choices(LINES, k=i % 5))) for i in range(900)]
+    df = documents(spark, rows).repartition(7)
+    check(spark, mh.fingerprints(df), rows)
+    text_ids = df.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    check(spark, mh.fingerprints(text_ids), [(str(i), t) for i, t in rows])
+    check(spark, mh.fingerprints(df.filter("doc_id = 4")), [r for r in rows if r[0] == 4])
+    many = [(1, f"line {i}") for i in range(50)] + [(2, "two"), (3, None)]  # one id, many rows
+    check(spark, mh.fingerprints(documents(spark, many)), many)
+
+
+def test_query_on_whole_table(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    df = op12_fingerprints(spark, folder)
+    check(spark, df, rows)
+    found = df.collect()
+    texts = dict(rows)
+    by_text = {}
+    for r in found:
+        assert by_text.setdefault(texts[r["doc_id"]], r["fingerprint"]) == r["fingerprint"]
+    assert sum(r["near_edited"] > r["near_next"] for r in found) > 0.95 * len(found)
+
+
+def test_awkward_and_empty(spark):
+    found = mh.fingerprints(documents(spark, AWKWARD)).collect()
+    assert len(found) == len(AWKWARD)
+    known = [(i, t) for i, t in AWKWARD if i is not None]
+    assert sorted(tuple(r) for r in found if r["doc_id"] is not None) == sorted(expected(known))
+    for r in found:
+        if r["doc_id"] is None:  # its own next document
+            assert r["near_next"] == 1.0
+    assert mh.fingerprints(documents(spark, [])).count() == 0
+    assert mh.fingerprints(documents(spark, [(None, "a b")])).count() == 1
