@@ -73,7 +73,7 @@ class CollisionIndex:
 
 
 def nearest(rows: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = 20, projections: int = 40,
-            width: float = 0.4, ratio: float = 1.3, threshold: float = 0.6, reach: float = 0.9, **blocks) -> DataFrame:
+            width: float = 0.4, ratio: float = 1.3, threshold: float = 0.5, reach: float = 0.9, **blocks) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id``, ``score`` (double). ``is_query`` speaks of the column ``key``."""
 
     def best(queries: np.ndarray, own: np.ndarray, shard: np.ndarray, keys: np.ndarray):

@@ -1,7 +1,7 @@
 """Licence scans: a text is a licence when its canonical digest is that of a known licence text.
 
-Canonical form, by column functions only: lower case; lines that state a copyright are dropped; equivalent spellings are made one;
-everything but ASCII letters and digits becomes one space; digest by SHA-256. Known texts go through the same form, so the lookup
+Canonical form, by column functions only: lower case; lines that state a copyright are dropped; everything but ASCII letters and
+digits becomes one space, so it does not matter where lines break; equivalent spellings are made one; digest by SHA-256. Known texts go through the same form, so the lookup
 is one equality join on the digest, of rows that no longer hold the text. The known table is joined without a hint: Spark
 broadcasts it when its size allows, and otherwise adaptive execution splits a digest that many documents share.
 
@@ -20,25 +20,56 @@ from pyspark.sql import functions as F
 
 from swayline.llm.common import whole_text
 
-COPYRIGHT_LINE = r"(?md)^[^a-z0-9\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+_YEAR = r"[<\[{(]?(?:[0-9]{4}|19yy|yyyy|year)\b"
+_SIGN = r"(?:\(c\)|©|&copy;)"
+#: A line that states a copyright: the word and a sign or a year, a sign and a year, a sign and a reservation, or a reservation alone. A
+#: line of the terms that begins with one of these words (a clause "(c)", "copyright holder") is none.
+NOTICE_LINE = (rf"(?md)^[^a-z0-9\n]*(?:(?:{_SIGN}[ \t]*)?copyright[ \t,:]*(?:{_SIGN}|{_YEAR})|{_SIGN}[ \t]*{_YEAR}|{_SIGN}[^\n]*all rights reserved"
+               r"|all rights reserved[^a-z0-9\n]*$)[^\n]*$")
 
-#: Equivalent spellings, replaced wherever they stand in the lower-case text; the canonical one second.
+#: Equivalent words of the published matching guidelines, in the form of lower-case words with one space between; the
+#: canonical one second. Parts of words count, so endings need no entries of their own.
 SPELLINGS = (
     ("acknowledgement", "acknowledgment"),
-    ("authorisation", "authorization"),
+    ("analogue", "analog"),
+    ("analyse", "analyze"),
+    ("artefact", "artifact"),
+    ("authoris", "authoriz"),
+    ("calibre", "caliber"),
     ("cancelled", "canceled"),
+    ("capitalis", "capitaliz"),
+    ("catalogue", "catalog"),
+    ("categoris", "categoriz"),
+    ("centre", "center"),
+    ("copyright owner", "copyright holder"),
+    ("emphasis", "emphasiz"),
     ("favour", "favor"),
-    ("fulfilment", "fulfillment"),
+    ("fulfill", "fulfil"),
+    ("initialis", "initializ"),
     ("judgement", "judgment"),
+    ("labelling", "labeling"),
+    ("labour", "labor"),
     ("licence", "license"),
-    ("non-commercial", "noncommercial"),
-    ("non-infringement", "noninfringement"),
-    ("organisation", "organization"),
+    ("maximis", "maximiz"),
+    ("modelled", "modeled"),
+    ("modelling", "modeling"),
+    ("non commercial", "noncommercial"),
+    ("non infringement", "noninfringement"),
+    ("offence", "offense"),
+    ("optimis", "optimiz"),
+    ("organis", "organiz"),
     ("per cent", "percent"),
-    ("sub-license", "sublicense"),
+    ("practise", "practice"),
+    ("programme", "program"),
+    ("realis", "realiz"),
+    ("recognis", "recogniz"),
+    ("signalling", "signaling"),
+    ("sub license", "sublicense"),
+    ("utilis", "utiliz"),
+    ("whilst", "while"),
     ("wilful", "willful"),
-    ("https://", ""),
-    ("http://", ""),
+    ("https ", ""),
+    ("http ", ""),
 )
 
 #: Published licence texts and notices.
@@ -89,10 +120,10 @@ KNOWN |= _published()
 
 
 def canonical(text: Column) -> Column:
-    form = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
+    form = F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), NOTICE_LINE, ""), "[^a-z0-9]+", " "))
     for spelt, spelling in SPELLINGS:
         form = F.replace(form, F.lit(spelt), F.lit(spelling))
-    return F.trim(F.regexp_replace(form, "[^a-z0-9]+", " "))
+    return form
 
 
 def known_licences(spark: SparkSession) -> DataFrame:

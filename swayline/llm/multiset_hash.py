@@ -21,7 +21,6 @@ from collections.abc import Iterator
 from hashlib import sha256, shake_128
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,18 +131,18 @@ def ordered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     borders = docs.sparkSession.sparkContext.broadcast(found)
     chosen = small_batches(docs).select(F.col(doc_id).alias("id"), whole_text(text).alias("text"))
 
-    @F.pandas_udf("array<int>")
-    def places(ids: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<int>")
+    def places(ids: pa.Array) -> pa.Array:
         starts, out = borders.value, []
-        for value in ids:
-            at = bisect_right(starts, value)
-            out.append([at, (at - 1) or len(starts)] if starts[at - 1] == value else [at])
-        return pd.Series(out)
-
-    known = chosen.filter("id is not null").select("id", "text", F.posexplode(places("id")).alias("follows", "place"))
-    loose = chosen.filter("id is null").select("id", "text", F.lit(0).alias("follows"), (-1 - F.pmod(F.xxhash64("text"), F.lit(max(1, len(found))))).cast("int").alias("place"))
-    return (known.unionByName(loose).repartition("place").sortWithinPartitions("place", "follows", "id", "text")
-            .select("place", "follows", "id", "text"))
+        for value in ids.to_pylist():
+            at = 0 if value is None else bisect_right(starts, value)
+            out.append([at, (at - 1) or len(starts)] if at and starts[at - 1] == value else [at])
+        return pa.array(out, pa.list_(pa.int32()))
+
+    loose = -1 - F.pmod(F.xxhash64("text"), F.lit(max(1, len(found)))).cast("int")
+    dealt = chosen.select("id", "text", F.posexplode(places("id")).alias("follows", "place"))
+    return (dealt.withColumn("place", F.when(F.col("place") == 0, loose).otherwise(F.col("place")))
+            .repartition("place").sortWithinPartitions("place", "follows", "id", "text").select("place", "follows", "id", "text"))
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -87,10 +87,36 @@ QUERIES = {f.__name__: f for f in (op1_warc_zip, op2_secret_scan, op3_packing, o
                                    op7_personal_data, op8_maxscore, op9_simhash, op10_collision_ann, op11_vector_codes, op12_fingerprints,
                                    op13_prefix_trie)}
 
-_SPELLED = "regexp_replace(lower(coalesce(text, '')), '(?m)" + licences.COPYRIGHT_LINE.removeprefix("(?md)") + "', '', 'g')"
+
+
+def _dated(c: str) -> str:
+    return f"regexp_matches({c}, '^[<{{(\\[]?([0-9][0-9][0-9][0-9]|19yy|yyyy|year)([^a-z0-9_]|$)')"
+
+
+def _stated(c: str) -> str:
+    rest = f"ltrim(substr({c}, 10), ' ,:' || chr(9))"
+    signs = " or ".join(f"starts_with({rest}, '{sign}')" for sign in ("(c)", "©", "&copy;"))
+    return f"(starts_with({c}, 'copyright') and ({signs} or {_dated(rest)}))"
+
+
+#: Licence forms line by line with string functions: ``body`` is a line from its first letter or digit on, ``signed`` what follows a sign there.
+_FORMS = f"""
+        source as (select 'd' as kind, cast(doc_id as varchar) as id, coalesce(text, '') as text from documents
+                   union all select 'k', licence_id, text from known_texts),
+        cut as (select kind, id, unnest(string_split(lower(text), chr(10))) as line, generate_subscripts(string_split(lower(text), chr(10)), 1) as i from source),
+        led as (select *, regexp_replace(line, '^[^a-z0-9]+', '') as body from cut),
+        after as (select *, ltrim(case when starts_with(body, 'c)') and ends_with(substr(line, 1, len(line) - len(body)), '(') then substr(body, 3)
+                    when starts_with(body, 'copy;') and ends_with(substr(line, 1, len(line) - len(body)), '&') then substr(body, 6)
+                    when contains(substr(line, 1, len(line) - len(body)), '©')
+                    then list_last(string_split(substr(line, 1, len(line) - len(body)), '©')) || body end, ' ' || chr(9)) as signed from led),
+        kept as (select kind, id, string_agg(line, chr(10) order by i) filter (where not (
+                {_stated('body')} or coalesce({_stated('signed')} or {_dated('signed')} or contains(signed, 'all rights reserved'), false)
+                or (starts_with(body, 'all rights reserved') and not regexp_matches(substr(body, 20), '[a-z0-9]')))) as text from after group by kind, id),
+        forms as (select kind, id, {{spelled}} as form from kept)"""
+_SPELLED = "trim(regexp_replace(coalesce(text, ''), '[^a-z0-9]+', ' ', 'g'))"
 for _spelt, _spelling in licences.SPELLINGS:
     _SPELLED = f"replace({_SPELLED}, '{_spelt}', '{_spelling}')"
-_FORM = f"trim(regexp_replace({_SPELLED}, '[^a-z0-9]+', ' ', 'g'))"
+_FORMS = _FORMS.replace("{spelled}", _SPELLED)
 _QUOTED = ", ".join("('{}', '{}')".format(k.replace("'", "''"), v.replace("'", "''")) for k, v in sorted(licences.KNOWN.items()))
 
 
@@ -132,10 +158,10 @@ ORACLE = {
                case when page_id <> kept then kept end as refers_to
         from d left join k using (payload_digest)""",
     "op6_licences": f"""
-        with known as (select min(licence_id) as licence_id, canonical_sha256 from (
-                 select licence_id, sha256({_FORM}) as canonical_sha256 from (values {_QUOTED}) as t(licence_id, text)) group by 2)
-        select doc_id, canonical_sha256, licence_id
-        from (select doc_id, sha256({_FORM}) as canonical_sha256 from documents) left join known using (canonical_sha256)""",
+        with known_texts as (select * from (values {_QUOTED}) as t(licence_id, text)), {_FORMS},
+             known as (select min(id) as licence_id, sha256(form) as canonical_sha256 from forms where kind = 'k' and form <> '' group by 2)
+        select d.doc_id, sha256(f.form) as canonical_sha256, k.licence_id
+        from documents d join forms f on f.kind = 'd' and f.id = cast(d.doc_id as varchar) left join known k on k.canonical_sha256 = sha256(f.form)""",
     "op8_maxscore": """
         with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as t from embeddings),
              s as (select q.vec_id as query_id, r.vec_id,

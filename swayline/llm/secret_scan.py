@@ -49,9 +49,9 @@ BASE = (
 EXTRA = (
     Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
     Rule("github", r"gh[opsu]_[A-Za-z0-9]{36}"),
-    Rule("slack", r"xox[abprs]-[0-9A-Za-z-]{10,200}"),
+    Rule("slack", r"xox[abprs]-[0-9A-Za-z-]{10,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{10,4000}\.eyJ[A-Za-z0-9_-]{10,4000}\.[A-Za-z0-9_-]{10,4000}"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{10,}+\.eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+"),
 )
 
 Query = tuple  # ("all", [queries]) | ("any", [queries]) | ("gram", int)

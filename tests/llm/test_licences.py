@@ -1,3 +1,6 @@
+import re
+import textwrap
+
 from swayline.llm import licences
 from tests.llm.common import AWKWARD, documents
 
@@ -39,3 +42,50 @@ def test_published_texts_are_known(spark):
     assert [got[i] for i in range(len(ids))] == ids
     assert got[100].startswith("MIT, titled") and got[101].startswith("BSD-3-Clause, titled")
     assert got[102].startswith("Apache-2.0") and got[103] is None
+
+
+WHOLE = [n for n in licences.KNOWN if not n.startswith("notice: ") and ", " not in n]
+NOTICE = re.compile(licences.NOTICE_LINE.removeprefix("(?md)"), re.M)
+
+
+def wrapped(text, width):
+    """Every paragraph filled to ``width`` anew; those with a notice stay as they are."""
+    return "\n\n".join(p if NOTICE.search(p.lower()) else textwrap.fill(" ".join(p.split()), width, break_long_words=False, break_on_hyphens=False)
+                       for p in re.split(r"\n[ \t]*\n", text))
+
+
+def test_other_line_breaks_are_the_same_licence(spark):
+    texts = [(w * 1000 + i, wrapped(licences.KNOWN[n], w)) for i, n in enumerate(WHOLE) for w in range(60, 101, 4)]
+    got = {r["doc_id"]: r["licence_id"] for r in licences.scan(documents(spark, texts), licences.known_licences(spark)).collect()}
+    forms = {r["doc_id"]: r["licence_id"] for r in licences.scan(documents(spark, [(i, licences.KNOWN[n]) for i, n in enumerate(WHOLE)]),
+                                                                 licences.known_licences(spark)).collect()}
+    assert all(forms.values()) and len(texts) > 200
+    assert {k: v for k, v in got.items() if v != forms[k % 1000]} == {}
+
+
+def test_a_missing_line_is_another_text(spark):
+    texts, n = [], 0
+    for name in ("MIT", "BSD-3-Clause", "MPL-1.1", "MPL-2.0", "GPL-3.0", "Apache-2.0", "Artistic-1.0", "LGPL-2.0"):
+        lines = licences.KNOWN[name].split("\n")
+        for i, line in enumerate(lines):
+            if re.search("[a-z0-9]", line.lower()) and not NOTICE.match(line.lower()):
+                texts.append((n, "\n".join(lines[:i] + lines[i + 1:])))
+                n += 1
+    known = licences.known_licences(spark).filter("licence_id not like '%terms only%'")
+    got = [r["doc_id"] for r in licences.scan(documents(spark, texts, clash=False), known).collect() if r["licence_id"]]
+    assert n > 1500 and got == []
+
+
+def test_equivalent_words_over_line_breaks(spark):
+    known = spark.createDataFrame([("x", "fifty percent of the authorization to sublicense a program at https://example.org")], "licence_id string, text string")
+    texts = [(1, "Fifty per\ncent of the authorisation to sub-\nlicence a programme at http://example.org"), (2, "fifty per ten of the authorization")]
+    got = {r["doc_id"]: r["licence_id"] for r in licences.scan(documents(spark, texts), known).collect()}
+    assert got == {1: "x", 2: None}
+
+
+def test_notices_and_lines_of_terms():
+    notices = ["Copyright (c) 2020 Somebody", "  * Copyright 1999, Somebody", "(C) 2020 Me", "(c) Copyright [yyyy] [name of copyright owner]", "© 2021 x",
+               "Copyright <year> <holder>", "All rights reserved.", "# (c) Me, All rights reserved", "&copy; 2004"]
+    terms = ["(c) You must retain, in the Source form", '"Copyright" also means copyright-like laws', "copyright holder, and you cure", "Copyright Holder",
+             "All rights reserved to the holder", "(c) under Patent Claims infringed"]
+    assert all(NOTICE.match(x.lower()) for x in notices) and not any(NOTICE.match(x.lower()) for x in terms)
