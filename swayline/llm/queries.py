@@ -24,7 +24,7 @@ def op1_warc_zip(spark: SparkSession, folder: str) -> DataFrame:
     packages = new_path(spark, "packages")
     warc_zip.write_packages(warc_zip.with_revisits(pages), packages)
     number = lambda c: F.regexp_extract(c, r"(-?\d+)$", 1).try_cast("long")
-    return warc_zip.read_packages(spark, packages).select(
+    return warc_zip.read_packages(spark, packages, with_payload=False).select(
         number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
 
 

@@ -7,11 +7,12 @@ the last one is the package's ZIP comment.
 
 Reading never unpacks a member. From a package's end come the directory, its ZIP64 form if need be, then the stored members and the
 index; record ranges are dealt over tasks in blocks of about ``block_bytes`` and fetched by range. Members without an index are
-read front to back. Compressed (not stored) members and files that are no package raise ValueError.
+read front to back, range by range. Compressed (not stored) members and files that are no package raise ValueError.
 """
 
 from __future__ import annotations
 
+import io
 import json
 import re
 import struct
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 DATA, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 CHUNK = 1 << 20
 FULL = 0xFFFFFFFF
+RANGE = 1 << 20   # fetched at a time from members without known places
+TOLD = 1 << 20    # unpacked bytes of records told at a time
 RECORD = ("record_id string, uri string, record_type string, refers_to string, payload_bytes long, payload_digest string, "
           "payload binary")
 
@@ -82,7 +85,8 @@ class _Package:
 def _stream(batches: Iterator[pa.RecordBatch], package: _Package) -> Iterator[bytes]:
     index, opened = [], False
     for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
+        for row in zip(*batch.columns):  # one record's payload is a Python object at a time
+            row = [value.as_py() for value in row]
             if not opened:
                 opened = True
                 yield package.open(DATA)
@@ -138,15 +142,18 @@ def with_revisits(records: DataFrame, least_bytes: int = 1000) -> DataFrame:
     named = records.select(
         "key", F.coalesce("uri", F.lit("")).alias("uri"), F.coalesce("payload", F.lit(b"")).alias("payload")).select(
         "*", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"))
-    first = (named.filter(F.col("payload_bytes") >= least_bytes).groupBy(F.col("payload_digest").alias("digest"))
-             .agg(F.max("key").alias("kept"), F.count("*").alias("n")).filter((F.col("n") > 1) & F.col("kept").isNotNull()).drop("n"))
+    # What revisits what is found out without payloads; these then meet a row for each revisit, spread by key.
+    large = named.filter(F.col("payload_bytes") >= least_bytes).select("key", F.col("payload_digest").alias("digest"))
+    first = large.groupBy(F.col("digest").alias("of")).agg(F.max("key").alias("kept"), F.count("*").alias("n")).filter((F.col("n") > 1) & F.col("kept").isNotNull())
+    again = (large.join(first, F.col("digest") == F.col("of")).filter(~F.col("key").eqNullSafe(F.col("kept")))
+             .select(F.col("key").alias("mine"), "digest", "kept").distinct())
     urn = lambda c: F.concat(F.lit("urn:record:"), F.coalesce(F.col(c).cast("string"), F.lit("")))
-    joined = named.join(first, named["payload_digest"] == first["digest"], "left")
-    again = F.col("kept").isNotNull() & ~F.col("key").eqNullSafe(F.col("kept"))
+    joined = named.join(again.hint("shuffle_hash"), F.col("key").eqNullSafe(F.col("mine")) & (F.col("payload_digest") == F.col("digest")), "left")
+    revisit = F.col("kept").isNotNull()
     return joined.select(
-        urn("key").alias("record_id"), "uri", F.when(again, "revisit").otherwise("response").alias("record_type"),
-        F.when(again, urn("kept")).alias("refers_to"), "payload_bytes", "payload_digest",
-        F.when(again, F.lit(b"")).otherwise(F.col("payload")).alias("payload"))
+        urn("key").alias("record_id"), "uri", F.when(revisit, "revisit").otherwise("response").alias("record_type"),
+        F.when(revisit, urn("kept")).alias("refers_to"), "payload_bytes", "payload_digest",
+        F.when(revisit, F.lit(b"")).otherwise(F.col("payload")).alias("payload"))
 
 
 # reading
@@ -208,45 +215,91 @@ def _member_start(file, header: int) -> int:
     return header + 30 + name_size + extra_size
 
 
+def _lines(file, start: int, size: int) -> Iterator[str]:
+    """The lines of a stored member, read range by range."""
+    rest = b""
+    for at in range(0, size, RANGE):
+        *lines, rest = (rest + _at(file, start + at, min(RANGE, size - at))).split(b"\n")
+        yield from (x.decode() for x in lines if x.strip())
+    if rest.strip():
+        yield rest.decode()
+
+
 def locate(file, size: int, block_bytes: int) -> Iterator[tuple[int, list[int] | None, list[int] | None, int]]:
     """Blocks of records: start of the archive member, places and lengths in it (null: not indexed), bytes."""
     members = directory(file, size)
-    indexes: dict[str, list[tuple[int, int]]] = {}
-    archives = [m for m in members if m[0].startswith("archive/") and m[0].endswith((".warc", ".warc.gz"))]
-    if any(m[1] for m in archives):
+    archives = {m[0]: m for m in members if m[0].startswith("archive/") and m[0].endswith((".warc", ".warc.gz"))}
+    if any(m[1] for m in archives.values()):
         raise ValueError("an archive member is compressed; only stored members can be read by range")
+    starts = {name: _member_start(file, m[2]) for name, m in archives.items()}
+    open_blocks: dict[str, tuple[list[int], list[int]]] = {}
+    indexed = set()
     for name, method, header, stored in members:
         if name.startswith("indexes/") and method == 0:
-            for line in _at(file, _member_start(file, header), stored).decode().splitlines():
+            for line in _lines(file, _member_start(file, header), stored):
                 entry = json.loads(line[line.index("{"):])
-                owner = entry.get("filename") or archives[0][0].removeprefix("archive/")
-                indexes.setdefault("archive/" + owner, []).append((int(entry["offset"]), int(entry["length"])))
-    for name, _, header, stored in archives:
-        start, ranges = _member_start(file, header), sorted(indexes.get(name, []))
-        if not ranges:
-            yield start, None, None, stored
-        while ranges:
-            size_of, n = 0, 0
-            while n < len(ranges) and (not n or size_of + ranges[n][1] <= block_bytes):
-                size_of += ranges[n][1]
-                n += 1
-            yield start, [r[0] for r in ranges[:n]], [r[1] for r in ranges[:n]], size_of
-            ranges = ranges[n:]
-
-
-def _plain(data: bytes) -> Iterator[bytes]:
-    """Records of a gzip or plain sequence, front to back."""
-    if data[:2] == b"\x1f\x8b":
-        while data:
-            unpacker = zlib.decompressobj(31)
-            yield unpacker.decompress(data) + unpacker.flush()
-            data = unpacker.unused_data
+                owner = "archive/" + (entry.get("filename") or next(iter(archives)).removeprefix("archive/"))
+                if owner not in archives:
+                    continue
+                indexed.add(owner)
+                offsets, lengths = open_blocks.setdefault(owner, ([], []))
+                if lengths and sum(lengths) + int(entry["length"]) > block_bytes:
+                    yield starts[owner], offsets, lengths, sum(lengths)
+                    offsets, lengths = open_blocks[owner] = [], []
+                offsets.append(int(entry["offset"]))
+                lengths.append(int(entry["length"]))
+    for owner, (offsets, lengths) in open_blocks.items():
+        if offsets:
+            yield starts[owner], offsets, lengths, sum(lengths)
+    for name in archives:
+        if name not in indexed:
+            yield starts[name], None, None, archives[name][3]
+
+
+class _Ranges:
+    """A stretch of a file, fetched range by range; only what was not taken yet is held."""
+
+    def __init__(self, file, start: int, size: int):
+        self.file, self.at, self.end, self.held = file, start, start + size, b""
+
+    def more(self) -> bool:
+        if self.at >= self.end:
+            return False
+        size = min(RANGE, self.end - self.at)
+        self.held += _at(self.file, self.at, size)
+        self.at += size
+        return True
+
+
+def _plain(data: _Ranges | bytes) -> Iterator[bytes]:
+    """Records of a gzip or plain sequence, front to back; one record is held at a time."""
+    if isinstance(data, bytes):
+        data = _Ranges(io.BytesIO(data), 0, len(data))
+    data.more()
+    if data.held[:2] == b"\x1f\x8b":
+        while data.held or data.more():
+            unpacker, parts = zlib.decompressobj(31), []
+            while True:
+                parts.append(unpacker.decompress(data.held))
+                data.held = unpacker.unused_data
+                if unpacker.eof or not data.more():
+                    break
+            yield b"".join(parts)
+            del parts
     else:
-        while data:
-            head = data.index(b"\r\n\r\n") + 4
-            size = int(_headers(data[:head])["content-length"])
-            yield data[:head + size]
-            data = data[head + size:].lstrip(b"\r\n")
+        while data.held or data.more():
+            while b"\r\n\r\n" not in data.held and data.more():
+                pass
+            head = data.held.index(b"\r\n\r\n") + 4
+            size = head + int(_headers(data.held[:head])["content-length"])
+            while len(data.held) < size and data.more():
+                pass
+            yield data.held[:size]
+            data.held = data.held[size:]
+            while True:
+                data.held = data.held.lstrip(b"\r\n")
+                if data.held or not data.more():
+                    break
 
 
 def _headers(raw: bytes) -> dict[str, str]:
@@ -271,8 +324,9 @@ def parse_record(raw: bytes) -> tuple | None:
     return (fields["warc-record-id"].strip("<>"), fields.get("warc-target-uri"), kind, refers and refers.strip("<>"), size, digest, payload)
 
 
-def read_packages(spark: SparkSession, folder: str, block_bytes: int = 4 << 20) -> DataFrame:
-    """The response and revisit records (``RECORD``) of all packages in ``folder``, a place that pyarrow's file systems can open."""
+def read_packages(spark: SparkSession, folder: str, block_bytes: int = 1 << 20, with_payload: bool = True) -> DataFrame:
+    """The response and revisit records (``RECORD``) of all packages in ``folder``, a place that pyarrow's file systems can open. Without
+    ``with_payload`` that column is null; size and digest are still those of the whole payload."""
     files = spark.read.format("binaryFile").load(folder).filter("length > 0").select("path", "length")
 
     def plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,16 +343,28 @@ def read_packages(spark: SparkSession, folder: str, block_bytes: int = 4 << 20)
     names = [x.split()[0] for x in RECORD.split(", ")]
     kinds = [pa.int64() if " long" in x else pa.binary() if " binary" in x else pa.string() for x in RECORD.split(", ")]
 
+    def raws(place: dict) -> Iterator[bytes]:
+        with _open(place["path"]) as file:
+            if place["offsets"] is None:
+                yield from _plain(_Ranges(file, place["start"], place["bytes"]))
+            else:
+                for offset, length in zip(place["offsets"], place["lengths"]):
+                    yield next(_plain(_Ranges(file, place["start"] + offset, length)))
+
     def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        told = lambda: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names)
         for batch in batches:
-            for place in batch.to_pylist():
-                with _open(place["path"]) as file:
-                    if place["offsets"] is None:
-                        raws = _plain(_at(file, place["start"], place["bytes"]))
-                    else:
-                        raws = (next(_plain(_at(file, place["start"] + o, n))) for o, n in zip(place["offsets"], place["lengths"]))
-                    found = [r for r in map(parse_record, raws) if r]
+            for row in range(batch.num_rows):
+                found, size = [], 0
+                for raw in raws(batch.slice(row, 1).to_pylist()[0]):
+                    record = parse_record(raw)
+                    if record:
+                        found.append(record if with_payload else (*record[:-1], None))
+                        size += len(raw) if with_payload else 200
+                    if size >= TOLD:
+                        yield told()
+                        found, size = [], 0
                 if found:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found), kinds)], names)
+                    yield told()
 
     return places.mapInArrow(records, RECORD)

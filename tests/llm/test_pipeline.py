@@ -1,7 +1,7 @@
 import pytest
 
 import corpus_pipeline
-from swayline.llm import pii, toxicity
+from swayline.llm import pii
 from swayline.llm.queries import ORACLE, QUERIES
 from checks.compare import difference, duck
 from tests.llm.common import AWKWARD, documents
@@ -18,8 +18,11 @@ def test_against_sql(spark, name):
 def test_stages_against_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    model = toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet"))
-    rows = [r for r in docs.collect() if model.score(r["text"])[0] < 0.5]
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    every = docs.collect()
+    toxic = toxicity_by_brute_force([(r["doc_id"], r["text"] or "") for r in every], labels)
+    rows = [r for r in every if r["doc_id"] not in toxic]
+    assert 0 < len(toxic) < len(every) // 4
     prints = {r["doc_id"]: brute_print(r["text"]) for r in rows}
     roots = brute_components(set(prints.values()))
     least = {}

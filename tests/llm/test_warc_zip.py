@@ -1,4 +1,6 @@
+import gzip
 import io
+import random
 import struct
 import zipfile
 import zlib
@@ -99,3 +101,31 @@ def test_empty(spark, tmp_path):
     folder = f"file://{tmp_path}/packages"
     warc_zip.write_packages(warc_zip.with_revisits(pages(spark, [])), folder)
     assert warc_zip.read_packages(spark, folder).count() == 0
+
+
+@pytest.mark.parametrize("gz", [True, False])
+def test_long_members_without_index(spark, tmp_path, gz):
+    """Records longer than a range, and ranges that end anywhere in a record."""
+    payloads = [random.Random(i).randbytes(size) for i, size in enumerate((3_000_000, 0, 10, 1 << 20, 700_001, 5))] + [b"y" * 4_000_000]
+    raws = [warc_zip._record(f"urn:record:{i}", "u", "response", None, len(p), sha1(p).hexdigest(), p) for i, p in enumerate(payloads)]
+    with zipfile.ZipFile(tmp_path / "a.wacz", "w", zipfile.ZIP_STORED) as z:
+        z.writestr("archive/data.warc" + (".gz" if gz else ""), b"".join(gzip.compress(r) if gz else r for r in raws))
+    want = {f"urn:record:{i}": (len(p), sha1(p).hexdigest()) for i, p in enumerate(payloads)}
+    for whole in (True, False):
+        got = warc_zip.read_packages(spark, f"file://{tmp_path}", with_payload=whole).collect()
+        assert {r["record_id"]: (r["payload_bytes"], r["payload_digest"]) for r in got} == want
+        assert all((r["payload"] is not None) == whole for r in got)
+
+
+def test_index_lines_come_in_ranges(monkeypatch):
+    monkeypatch.setattr(warc_zip, "RANGE", 7)
+    data = foreign(True)
+    (start, offsets, lengths, size), = warc_zip.locate(io.BytesIO(data), len(data), 1 << 20)
+    assert len(offsets) == 3 and size == sum(lengths) and offsets[1] == lengths[0]
+    assert len(list(warc_zip.locate(io.BytesIO(data), len(data), 1))) == 3
+
+
+def test_clashing_extra_columns(spark):
+    rows = pages(spark, ROWS).selectExpr("*", "'a' as refers_to", "1 as payload_bytes", "'b' as payload_digest", "2 as of", "3 as mine", "'c' as record_id")
+    got = warc_zip.with_revisits(rows).drop("payload")
+    assert Counter(got.collect()) == Counter(warc_zip.with_revisits(pages(spark, ROWS)).drop("payload").collect())
