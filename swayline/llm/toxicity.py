@@ -1,36 +1,37 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index, distance-weighted votes, calibration.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over block-max inverted indexes, distance-weighted votes, calibration.
 
-Examples are at most ``max_examples`` labelled documents, chosen by hash of their id; those with the same text are one example, under
-the smallest id, whose label is the share of them that are marked. A vector holds every word of its text, weighed by document
-frequencies over all documents; the norm of a document also counts the words that no example has, through a join with the table of
-frequencies. So cosines are those of whole texts, and the index has a bound - the words of the examples - and is broadcast.
+Examples are at most ``max_examples`` labelled documents of at most ``max_chars`` characters together, half of either label where there are
+so many, chosen by hash of their id; those with the same text are one example, under the smallest id, whose label is the share of them
+that are marked. A vector holds every word of its text, weighed by document frequencies over all documents; the norm of a document also
+counts the words that no example has, through a join with the table of frequencies. So cosines are those of whole texts, and the
+index has a bound - the words of the examples - and is broadcast.
 
 Beside it stands a second index over features that speak for the label: words, word beginnings of four to seven letters and their
-share of the text's words, kept where the association with the label (chi-square over the labelled documents) is beyond chance, at
+share of the text's words, kept where the association with the label (chi-square over the examples) is beyond chance, at
 most ``max_features``. It finds a few marked words in a long text, which hardly turn the whole text's vector.
 
-A document's nearest examples are found exactly. Whole texts: words of few examples are summed up from their postings, words of many
-for a batch of texts at once. Kept features: examples lie in blocks, each term's postings carry a maximum for each block, and a block is
-scored only if the sum of its maxima can reach the k-th best cosine found in the most promising blocks. Votes weigh 1 / (1.05 - cosine). The votes of either index are calibrated by a monotone fit to
-the examples' own leave-one-out votes; the larger of the two rates, calibrated again, is the score. A text without any word that an
-example has gets the label rate of the examples without a word. Evidence is the nearest examples themselves, by whole texts.
+A document's nearest examples are found exactly. In either index examples lie in blocks and each term has a maximum for each block; blocks
+are scored only where the sum of their maxima can reach the k-th best cosine found in the most promising blocks. Whole texts are compared
+several at a time: words of few examples by their postings, words of many as columns of a block. Votes weigh 1 / (1.05 - cosine). The
+votes of either index are calibrated by a monotone fit to the examples' own leave-one-out votes, which tasks take from the same
+indexes, weighed so that either label counts as among all labelled documents; the larger of the two rates, calibrated again, is the
+score. A text without any word that an example has gets the label rate of the examples without a word. Evidence is the nearest examples
+themselves, by whole texts.
 
 Null texts count as empty. Without examples of both labels every score is 0. Several labels of one id: the largest; several texts
-under one id: the least. Rows are neither dropped nor merged.
+under one id: the least. Rows are neither dropped nor merged. Ids may be of any type that can be ordered.
 """
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -127,52 +128,79 @@ class BlockMaxIndex:
 
 
 class WordIndex:
-    """All words of the examples, from triples (row, word, weight); rows are unit vectors. Words of few examples have postings, those of
-    many are dense columns: whole texts are alike in so many common words that bounds by blocks leave out few examples."""
+    """All words of the examples, from triples (row, word, weight); rows are unit vectors. Examples lie in blocks. Words of few examples have
+    postings, those of many are columns; of either, every block has its maxima. Several texts are compared at a time, block by block: a
+    block meets those texts whose bound there reaches their k-th best product so far."""
 
     def __init__(self, row: np.ndarray, word: np.ndarray, weight: np.ndarray, size: int, words: int):
-        self.size = size
+        self.size, self.blocks = size, -(-size // BLOCK)
         often = np.flatnonzero(np.bincount(word, minlength=words) * OFTEN > size)
         self.column = np.full(words, -1, np.int32)
         self.column[often] = np.arange(len(often))
         dense = self.column[word] >= 0
         self.often = np.zeros((size, len(often)))
         self.often[row[dense], self.column[word[dense]]] = weight[dense]
-        self.rough = self.often.astype(np.float32)
+        self.most_often = np.stack([self.often[at:at + BLOCK].max(axis=0) for at in range(0, size, BLOCK)]) if size else np.zeros((0, len(often)))
         seldom = np.flatnonzero(~dense)
         seldom = seldom[np.lexsort((row[seldom], word[seldom]))]
         self.rows, self.weights = row[seldom].astype(np.int32), weight[seldom]
         self.start = np.concatenate([[0], np.cumsum(np.bincount(word[seldom], minlength=words))])
+        block = self.rows // BLOCK
+        new = np.concatenate([[True], (np.diff(block) != 0) | (np.diff(word[seldom]) != 0)]) if len(seldom) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        self.block, self.most = block[first], np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0)
+        self.block_start = np.concatenate([[0], np.cumsum(np.bincount(word[seldom][first], minlength=words))])
 
     def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each query (words, weights) the ``k`` largest products (positive ones only) and their examples, ties to the smaller example.
-
-        Single precision finds the examples that can be among them; their products are then taken in double precision."""
+        """For each query (words, weights) the ``k`` largest products (positive ones only) and their examples, ties to the smaller example."""
         many = np.zeros((len(queries), self.often.shape[1]))
+        scores, bound = np.zeros((len(queries), self.size)), np.zeros((len(queries), self.blocks))
         for q, (words, weights) in enumerate(queries):
             column = self.column[words]
             many[q, column[column >= 0]] = weights[column >= 0]
-        rough = many.astype(np.float32) @ self.rough.T
-        out = []
-        for q, (words, weights) in enumerate(queries):
-            few = self.column[words] < 0
-            start = self.start[words[few]]
-            count = self.start[words[few] + 1] - start
-            at = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
-            scores = np.bincount(self.rows[at], self.weights[at] * np.repeat(weights[few], count), self.size)
-            near = scores + rough[q]
+            few, own = words[column < 0], weights[column < 0]
+            at, count = _runs(self.start, few)
+            scores[q] = np.bincount(self.rows[at], self.weights[at] * np.repeat(own, count), self.size)
+            at, count = _runs(self.block_start, few)
+            bound[q] = np.bincount(self.block[at], self.most[at] * np.repeat(own, count), self.blocks)
+        bound += many @ self.most_often.T
+        done = np.zeros(bound.shape, bool)
+
+        def best(q: int) -> tuple[np.ndarray, np.ndarray]:
+            blocks = np.flatnonzero(done[q])
+            rows = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            rows = rows[rows < self.size]
+            found = scores[q, rows]
+            if len(rows) > 4 * k:
+                least = np.partition(found, len(rows) - k)[len(rows) - k]
+                rows, found = rows[found >= least], found[found >= least]
+            rows, found = rows[found > 0], found[found > 0]
+            order = np.lexsort((rows, -found))[:k]
+            return found[order], rows[order]
+
+        wanted = bound > 0
+        if self.blocks > FIRST:  # the most promising blocks first
+            wanted &= bound >= np.partition(bound, self.blocks - FIRST, axis=1)[:, self.blocks - FIRST][:, None]
+        for _ in range(2):
+            for block in np.flatnonzero(wanted.any(axis=0)):
+                asking, rows = np.flatnonzero(wanted[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+                scores[asking, rows] += many[asking] @ self.often[rows].T
+            done |= wanted
             if without is not None:
-                near[without[q]] = 0
-            rows = np.flatnonzero(near > 0)
-            if len(rows) > k:
-                off = (many.shape[1] + 2) * 2.0 ** -22 * float(np.sqrt(weights @ weights))  # twice what rounding can do to a product
-                least = np.partition(near[rows], len(rows) - k)[len(rows) - k]
-                rows = rows[near[rows] >= least - 2 * off]
-            used = np.flatnonzero(many[q])
-            whole = scores[rows] + (self.often[np.ix_(rows, used)] * many[q, used]).sum(axis=1)
-            order = np.lexsort((rows, -whole))[:k]
-            out.append((whole[order], rows[order]))
-        return out
+                scores[np.arange(len(queries)), without] = 0
+            found = [best(q) for q in range(len(queries))]
+            least = np.array([f[0][-1] if len(f[0]) >= k else 0.0 for f in found])
+            wanted = ~done & (bound > 0) & (bound >= least[:, None] - 1e-9)
+            if not wanted.any():
+                break
+        return found
+
+
+def _runs(start: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the postings of ``words``, one run after the other, and the runs' lengths."""
+    first = start[words]
+    count = start[words + 1] - first
+    return np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum()), count
 
 
 def _vote(found: list[tuple[float, int]], labels: list[float]) -> float:
@@ -180,14 +208,16 @@ def _vote(found: list[tuple[float, int]], labels: list[float]) -> float:
     return sum(w * labels[row] for w, (_, row) in zip(weights, found)) / sum(weights)
 
 
-def _monotone(votes: list[float], labels: list[float]) -> tuple[np.ndarray, np.ndarray]:
+def _monotone(votes: list[float], labels: list[float], weights: list[float] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: votes and their label rates, each with half a case of either label added."""
     given: dict[float, list[float]] = {}
-    for vote, label in zip(votes, labels):
-        given.setdefault(vote, []).append(label)
+    for vote, label, weight in zip(votes, labels, weights or [1.0] * len(votes)):
+        held = given.setdefault(vote, [0.0, 0.0])
+        held[0] += label * weight
+        held[1] += weight
     pools: list[list[float]] = []
     for vote in sorted(given):  # equal votes are one pool from the start
-        pools.append([vote, sum(given[vote]), len(given[vote])])
+        pools.append([vote, *given[vote]])
         while len(pools) > 1 and pools[-2][1] * pools[-1][2] >= pools[-1][1] * pools[-2][2]:
             last = pools.pop()
             pools[-1] = [last[0], pools[-1][1] + last[1], pools[-1][2] + last[2]]
@@ -196,10 +226,10 @@ def _monotone(votes: list[float], labels: list[float]) -> tuple[np.ndarray, np.n
 
 
 class Rates:
-    """A monotone fit of labels to votes."""
+    """A monotone fit of labels to votes. Weights undo that examples were drawn by label."""
 
-    def __init__(self, votes: list[float], labels: list[float]):
-        self.votes, self.rates = _monotone(votes, labels)
+    def __init__(self, votes: list[float], labels: list[float], weights: list[float] | None = None):
+        self.votes, self.rates = _monotone(votes, labels, weights)
 
     def __call__(self, vote: float) -> float:
         return float(self.rates[min(int(np.searchsorted(self.votes, vote)), len(self.rates) - 1)])
@@ -208,51 +238,63 @@ class Rates:
 class Model:
     """Examples by ``ids`` and ``labels`` (0 to 1). ``row`` (an example), ``term`` and ``count`` are the entries of their vectors of kept
     features; ``word_row``, ``word`` and ``word_count`` those of all their words. ``frequency`` has the rows (feature, n) of all
-    documents; it stays on the driver."""
+    documents; it stays on the driver. The index of all words is built in the tasks. ``calibrate`` takes the examples' own votes."""
 
     def __init__(self, names: list[str], idf: np.ndarray, ids: np.ndarray, labels: np.ndarray, row: np.ndarray, term: np.ndarray,
                  count: np.ndarray, k: int, words: list[str], word_idf: np.ndarray, word_row: np.ndarray, word: np.ndarray,
-                 word_count: np.ndarray, documents: int = 0, frequency: DataFrame | None = None):
-        self.documents, self.frequency = documents, frequency
+                 word_count: np.ndarray, documents: int = 0, frequency: DataFrame | None = None, weights: tuple[float, float] = (1.0, 1.0),
+                 id_type: T.DataType | None = None):
+        self.documents, self.frequency, self.weights, self.id_type = documents, frequency, weights, id_type
         self.numbers = {name: i for i, name in enumerate(names)}
         self.words = {name: i for i, name in enumerate(words)}
         self.heads = frozenset(map(head, names))
         self.idf, self.word_idf, self.k, self.memory = idf, word_idf, k, {}
-        spoken = np.zeros(len(ids), bool)
-        spoken[word_row] = True
-        plain = labels[~spoken]
-        self.plain_rate = float((plain.sum() + 0.5) / (len(plain) + 1)) if len(ids) else 0.0
         weight = _unit(row, term, count, idf, len(ids))
-        word_weight = _unit(word_row, word, word_count, word_idf, len(ids))
         heaviest = np.full(len(ids), -1)
         rising = np.argsort(weight, kind="stable")
         heaviest[row[rising]] = term[rising]
-        order = np.lexsort((ids, heaviest))             # alike examples share blocks; those without a feature come first
+        order = np.lexsort((np.arange(len(ids)), heaviest))  # alike examples share blocks; those without a feature come first
         place = np.empty(len(ids), np.int32)
         place[order] = np.arange(len(order))
         self.ids, self.labels = ids[order].tolist(), labels[order].tolist()
         self.index = BlockMaxIndex(place[row], term, weight, len(order))
-        self.whole = WordIndex(place[word_row], word, word_weight, len(order), len(words))
         by_word = np.argsort(word, kind="stable")
         self.packed = tuple(x.astype(np.min_scalar_type(int(x.max(initial=0)))) for x in
                             (place[word_row][by_word], word_count[by_word], np.bincount(word, minlength=len(words))))
-        del by_word
-        kept, whole = _by_row(place[row], term, weight, len(order)), _by_row(place[word_row], word, word_weight, len(order))
-        votes: list[list[float | None]] = []
-        for start in range(0, len(order), TOGETHER):  # leave one out
-            some = range(start, min(start + TOGETHER, len(order)))
-            for i, near in zip(some, self.whole.nearest(list(islice(whole, TOGETHER)), k, list(some))):
-                terms, weights = next(kept)
-                found = self.index.nearest(dict(zip(terms.tolist(), weights.tolist())), k, i), list(zip(*near))
-                votes.append([_vote(f, self.labels) if f else None for f in found])
-        self.rates = [Rates(*zip(*given)) if (given := [(v[j], label) for v, label in zip(votes, self.labels) if v[j] is not None]) else None
-                      for j in (0, 1)]
-        both = [(max(r(x) for r, x in zip(self.rates, v) if x is not None), label) for v, label in zip(votes, self.labels) if v != [None, None]]
-        self.final = Rates(*zip(*both)) if both else None
-        self.whole = None  # the tasks make their own
+        self.spoken = np.bincount(place[word_row], minlength=len(ids)) > 0
+        self.whole = None
+        self.calibrate([])
+
+    def calibrate(self, votes: list[tuple[int, float | None, float | None]]) -> None:
+        """``votes``: row of an example and its votes by kept features and by whole text, itself left out."""
+        zero, one = self.weights
+        mass = [zero * (1 - label) + one * label for label in self.labels]
+        share = [one * label / m for label, m in zip(self.labels, mass)]
+        plain = [(s * m, m) for s, m, spoken in zip(share, mass, self.spoken) if not spoken]
+        self.plain_rate = (sum(p for p, _ in plain) + 0.5) / (sum(m for _, m in plain) + 1) if self.ids else 0.0
+        fitted = lambda given: Rates(*map(list, zip(*given))) if given else None
+        self.rates = [fitted([(v[j], share[v[0]], mass[v[0]]) for v in votes if v[j] is not None]) for j in (1, 2)]
+        self.final = fitted([(max(r(x) for r, x in zip(self.rates, v[1:]) if x is not None), share[v[0]], mass[v[0]])
+                             for v in votes if v[1] is not None or v[2] is not None])
+
+    def own_votes(self, found: list[tuple[int, dict[str, int]]]) -> list[tuple[int, float | None, float | None]]:
+        """Votes of examples (rows and features) by the other examples."""
+        out = []
+        for at in range(0, len(found), TOGETHER):
+            some = found[at:at + TOGETHER]
+            queries = []
+            for _, counts in some:
+                known = sorted((self.words[f[1:]], n) for f, n in counts.items() if f[0] == "=" and f[1:] in self.words)
+                words, count = np.array(known, np.int64).reshape(-1, 2).T
+                weights = (1 + np.log(count)) * self.word_idf[words]
+                queries.append((words, weights / (np.sqrt(weights @ weights) or 1.0)))
+            for (row, counts), near in zip(some, self.whole.nearest(queries, self.k, [row for row, _ in some])):
+                kept = self.index.nearest(self.weigh({self.numbers[f]: n for f, n in counts.items() if f in self.numbers}), self.k, row)
+                out.append((row, *(_vote(f, self.labels) if f else None for f in (kept, list(zip(*(x.tolist() for x in near)))))))
+        return out
 
     def __getstate__(self) -> dict:
-        """What is sent to the tasks: counts instead of the index of all words, which is made again there, and words in one text."""
+        """What is sent to the tasks: counts instead of the index of all words, which is made there, and words in one text."""
         return {**self.__dict__, "frequency": None, "memory": {}, "words": " ".join(self.words)}
 
     def __setstate__(self, state: dict) -> None:
@@ -310,13 +352,6 @@ def _unit(row: np.ndarray, term: np.ndarray, count: np.ndarray, idf: np.ndarray,
     return weight
 
 
-def _by_row(row: np.ndarray, term: np.ndarray, weight: np.ndarray, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    order = np.lexsort((term, row))
-    ends = np.cumsum(np.bincount(row, minlength=rows))
-    for start, end in zip([0, *ends], ends):
-        yield term[order[start:end]], weight[order[start:end]]
-
-
 def _frequency(docs: DataFrame, text: str, names: list[str]) -> DataFrame:
     """Documents with each word (``=word``) and each kept feature, and with any (null): rows (feature, n), written."""
     kept, heads = {n for n in names if not n.startswith("=")}, frozenset(head(n) for n in names if not n.startswith("="))
@@ -344,17 +379,33 @@ def _frequency(docs: DataFrame, text: str, names: list[str]) -> DataFrame:
                 .groupBy("feature").agg(F.sum("n").alias("n")), "frequency")
 
 
+def _chosen(rows: DataFrame, max_examples: int) -> tuple[DataFrame, tuple[float, float]]:
+    """At most ``max_examples`` of ``rows``, as many of either label as there are up to a half, by hash of their id; and how many labelled
+    documents an example of either label stands for, in units that average 1."""
+    there = rows.agg(F.count_if(F.col("label") == 0).alias("no"), F.count_if(F.col("label") != 0).alias("yes")).first()
+    take_yes = min(there["yes"], max(max_examples // 2, max_examples - there["no"]))
+    take_no = min(there["no"], max_examples - take_yes)
+    drawn = lambda condition, n: rows.filter(condition).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    chosen = drawn(F.col("label") == 0, take_no).unionByName(drawn(F.col("label") != 0, take_yes))
+    whole = (there["no"] + there["yes"]) / max(1, take_no + take_yes)
+    return chosen, (there["no"] / max(1, take_no) / (whole or 1.0), there["yes"] / max(1, take_yes) / (whole or 1.0))
+
+
 def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_id: str = "doc_id", text: str = "text",
-        label: str = "toxic", max_examples: int = 16_384, max_features: int = 2_048, least_df: int = 5, least_chi2: float = 30.0,
-        k: int = 15) -> Model:
-    """``usable``: which rows of ``labels`` may be learnt from."""
+        label: str = "toxic", max_examples: int = 4_096, max_chars: int = 1 << 26, max_features: int = 2_048, least_df: int = 5,
+        least_chi2: float = 30.0, k: int = 15) -> Model:
+    """``usable``: which rows of ``labels`` may be learnt from. ``max_chars`` bounds the examples' texts together: with longer texts there are
+    fewer examples (whole texts still), and a text beyond it is none."""
     rows = labels.filter(F.col(doc_id).isNotNull() & F.col(label).isNotNull())
     rows = (rows.filter(usable) if usable is not None else rows).groupBy(F.col(doc_id).alias("doc_id")).agg(F.max(label).alias("label"))
-    chosen = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_examples)
-    texts = (docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text")).join(F.broadcast(chosen), "doc_id")
-             .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
-    texts = (texts.groupBy(F.sha2("text", 256).alias("digest"))
-             .agg(F.min("doc_id").alias("doc_id"), F.avg("label").alias("label"), F.count("*").alias("copies"), F.min("text").alias("text")))
+    chosen, weights = _chosen(rows, max_examples)
+    texts = (docs.select(F.col(doc_id).alias("doc_id"), whole_text(text).alias("text")).filter(F.length("text") <= max_chars)
+             .join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")))
+    texts = keep(texts.groupBy(F.sha2("text", 256).alias("digest"))
+                 .agg(F.min("doc_id").alias("doc_id"), F.avg("label").alias("label"), F.count("*").alias("copies"), F.min("text").alias("text")), "texts")
+    # At most max_examples narrow rows in this window.
+    room = texts.select("digest", F.sum(F.length("text")).over(Window.orderBy(F.xxhash64("doc_id"), "digest")).alias("upto")).filter(F.col("upto") <= max_chars)
+    texts = texts.join(F.broadcast(room.select("digest")), "digest", "left_semi")
 
     def make() -> Callable[[list[str]], list[list]]:
         return lambda values: [[list(features(v).items()) for v in values]]
@@ -384,7 +435,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_id
     as_word[worded] = np.arange(len(worded))
     kept_idf = np.ones(len(names))
     kept_idf[as_kept[as_kept >= 0]] = idf[as_kept >= 0]
-    parts = []
+    parts, ids = [], []
     for part in range(PARTS):  # a part's strings at a time
         listed = (examples.filter(F.pmod(F.xxhash64("key.doc_id"), F.lit(PARTS)) == part)
                   .select("key.doc_id", F.col("key.label").alias("label"),
@@ -394,72 +445,93 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_id
             held = np.diff(found.offsets.to_numpy())
             keys, items = found.keys[found.offsets[0].as_py():], found.items[found.offsets[0].as_py():]
             code = pc.index_in(keys[:held.sum()], value_set=feature).to_numpy(zero_copy_only=False).astype(np.int32)
-            parts.append((batch.column(0).to_numpy().astype(np.int64), batch.column(1).to_numpy(), held, code,
-                          items[:held.sum()].to_numpy().astype(np.int32)))
+            ids += batch.column(0).to_pylist()  # of any type
+            parts.append((batch.column(1).to_numpy(), held, code, items[:held.sum()].to_numpy().astype(np.int32)))
         del listed
     words = [f[1:] for f in feature.take(pa.array(worded)).to_pylist()]
-    ids, marks, held, code, count = (np.concatenate(x) for x in zip(*parts))
+    marks, held, code, count = (np.concatenate(x) for x in zip(*parts))
     del parts
     pa.default_memory_pool().release_unused()
-    order = np.argsort(ids)
+    order = sorted(range(len(ids)), key=ids.__getitem__)
     place = np.empty(len(ids), np.int32)
     place[order] = np.arange(len(ids))
-    ids, marks, row = ids[order], marks[order], np.repeat(place, held)
+    named = np.empty(len(ids), object)
+    named[:] = [ids[i] for i in order]
+    marks, row = marks[order], np.repeat(place, held)
     kept, spoken = as_kept[code] >= 0, as_word[code] >= 0
     as_features = row[kept], as_kept[code[kept]], count[kept]
     row, word, count = row[spoken], as_word[code[spoken]], count[spoken]
     del code
-    return Model(names, kept_idf, ids, marks, *as_features, k, words, idf[worded], row, word, count, documents, frequency)
+    model = Model(names, kept_idf, named, marks, *as_features, k, words, idf[worded], row, word, count, documents, frequency, weights, docs.schema[doc_id].dataType)
+    model.calibrate(_votes(examples, model))
+    return model
+
+
+def _votes(examples: DataFrame, model: Model) -> list[tuple[int, float | None, float | None]]:
+    """Every example's votes by the others, taken in tasks: three numbers an example come back."""
+    shared = examples.sparkSession.sparkContext.broadcast(model)
+
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = shared.value
+        row_of = {i: row for row, i in enumerate(judge.ids)}
+        for batch in batches:
+            for start in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(start, TOGETHER)
+                found = judge.own_votes([(row_of[i], dict(f)) for i, f in zip(part.column(0).to_pylist(), part.column(1).to_pylist())])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.float64(), pa.float64()))], ["row", "kept", "whole"])
+
+    dealt = examples.select("key.doc_id", "found").repartition(examples.sparkSession.sparkContext.defaultParallelism)
+    return sorted(tuple(r) for r in dealt.mapInArrow(vote, "row long, kept double, whole double").collect())
 
 
-def _judged(docs: DataFrame, model: Model, doc_id: str, text: str) -> DataFrame:
-    """Per row: id, ``digest`` of the text, ``score``, ``predicted`` and ``evidence``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def _judged(texts: DataFrame, model: Model) -> DataFrame:
+    """Per row of ``texts`` (``key`` of any type, ``text``): ``key``, ``score``, ``predicted`` and ``evidence``."""
+    shared = texts.sparkSession.sparkContext.broadcast(model)
 
     def make() -> Callable[[list[str]], list[list]]:
         judge = shared.value
 
         def work(values: list[str]) -> list[list]:
             found = list(zip(*judge.compare(values)))
-            return [[hashlib.sha256(v.encode("utf-8", "surrogatepass")).hexdigest() for v in values], *map(list, found[:4]),
-                    [list(loose.items()) for loose in found[4]]]
+            return [*map(list, found[:4]), [list(loose.items()) for loose in found[4]]]
 
         return work
 
-    compared = map_texts(docs, doc_id, text, "digest string, kept double, products array<double>, places array<int>, square double, "
-                         "loose map<string, int>", make).withColumnRenamed(doc_id, "id")
+    numbered = texts.select(F.struct("key", F.monotonically_increasing_id().alias("number")).alias("row"), "text")
+    compared = map_texts(numbered, "row", "text", "kept double, products array<double>, places array<int>, square double, loose map<string, int>", make)
     if model.frequency is None:
         compared = compared.withColumn("more", F.lit(0.0))
     else:
-        compared = keep(compared, "compared")
-        loose = (compared.select("digest", F.explode("loose").alias("word", "count")).dropDuplicates(["digest", "word"])
-                 .withColumn("feature", F.concat(F.lit("="), "word")).join(model.frequency, "feature", "left"))
+        compared = keep(compared, "compared")  # written: a row keeps its number
+        loose = (compared.select("row.number", F.explode("loose").alias("word", "count")).withColumn("feature", F.concat(F.lit("="), "word"))
+                 .join(model.frequency, "feature", "left"))
         weight = (1 + F.log("count")) * (F.log(F.lit(model.documents + 1.0) / (F.coalesce("n", F.lit(0)) + 1)) + 1)
-        more = loose.groupBy("digest").agg(F.sum(weight * weight).alias("more"))
-        compared = compared.join(more, "digest", "left").withColumn("more", F.coalesce("more", F.lit(0.0)))
-    chosen = compared.select("id", "digest", "kept", "products", "places", (F.col("square") + F.col("more")).alias("square"))
-    schema = T.StructType([chosen.schema["id"], chosen.schema["digest"], *T.StructType.fromDDL(
-        "score double, predicted int, evidence array<struct<doc_id: long, similarity: double, label: int>>")])
-    kinds = [to_arrow_type(f.dataType) for f in schema.fields[2:]]
+        more = loose.groupBy("number").agg(F.sum(weight * weight).alias("more"))
+        compared = (compared.drop("loose").withColumn("number", F.col("row.number")).join(more, "number", "left")
+                    .withColumn("more", F.coalesce("more", F.lit(0.0))))
+    chosen = compared.select("row.key", "kept", "products", "places", (F.col("square") + F.col("more")).alias("square"))
+    known = T.StructType([T.StructField("doc_id", model.id_type or T.LongType()), *T.StructType.fromDDL("similarity double, label int")])
+    schema = T.StructType([chosen.schema["key"], *T.StructType.fromDDL("score double, predicted int"), T.StructField("evidence", T.ArrayType(known))])
+    kinds = [to_arrow_type(f.dataType) for f in schema.fields[1:]]
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = shared.value
         for batch in batches:
-            found = [judge.judge(*given) for given in zip(*(c.to_pylist() for c in batch.columns[2:]))]
+            found = [judge.judge(*given) for given in zip(*(c.to_pylist() for c in batch.columns[1:]))]
             columns = [[f[0] for f in found], [int(f[0] >= 0.5) for f in found], [f[1] for f in found]]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *(pa.array(c, t) for c, t in zip(columns, kinds))], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds))], names=schema.names)
 
     return chosen.mapInArrow(finish, schema)
 
 
 def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: id, ``score``, ``predicted`` and ``evidence`` (nearest examples: id, similarity, label)."""
-    return _judged(docs, model, doc_id, text).drop("digest").withColumnRenamed("id", doc_id)
+    return _judged(docs.select(F.col(doc_id).alias("key"), F.col(text).alias("text")), model).withColumnRenamed("key", doc_id)
 
 
 def without_toxic(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` without the rows predicted toxic."""
     digest = fresh(docs, "digest")
-    texts = docs.select(F.lit(0).alias("number"), F.col(text).alias("text"))
-    toxic = _judged(texts, model, "number", "text").filter("predicted = 1").select(F.col("digest").alias(digest)).distinct()
+    judged = _judged(docs.select(F.sha2(whole_text(text), 256).alias("key"), F.col(text).alias("text")), model)
+    toxic = judged.filter("predicted = 1").select(F.col("key").alias(digest)).distinct()
     return small_batches(docs).withColumn(digest, F.sha2(whole_text(text), 256)).join(toxic, digest, "left_anti").drop(digest).select(docs.columns)

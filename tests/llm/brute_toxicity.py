@@ -1,0 +1,78 @@
+"""Toxic documents by dense vectors and plain loops: no index, no blocks, no Spark. For tables whose labelled rows are all examples."""
+
+from collections import Counter
+
+import numpy as np
+
+from swayline.llm.toxicity import WORD, features
+
+
+def _isotonic(points):
+    """(vote, rate) steps of the monotone fit: a rate is the least of the averages of stretches that end later, the largest over those that begin before."""
+    votes = sorted({v for v, _, _ in points})
+    share = [sum(p * w for v, p, w in points if v == x) for x in votes]
+    mass = [sum(w for v, _, w in points if v == x) for x in votes]
+    up_p, up_m = np.concatenate([[0], np.cumsum(share)]), np.concatenate([[0], np.cumsum(mass)])
+    pools, at = [], 0
+    while at < len(votes):  # the longest stretch from here with the least average
+        ends = range(at + 1, len(votes) + 1)
+        averages = [(up_p[e] - up_p[at]) / (up_m[e] - up_m[at]) for e in ends]
+        end = max(e for e, a in zip(ends, averages) if a <= min(averages) + 1e-12)
+        pools.append((votes[end - 1], (up_p[end] - up_p[at] + 0.5) / (up_m[end] - up_m[at] + 1)))
+        at = end
+    edges, rates = [p[0] for p in pools], np.maximum.accumulate([p[1] for p in pools])
+
+    def rate(vote):
+        return rates[min(next((i for i, e in enumerate(edges) if e >= vote), len(edges) - 1), len(edges) - 1)]
+
+    return rate
+
+
+def _vector(counts, idf):
+    raw = {f: (1 + np.log(n)) * idf[f] for f, n in sorted(counts.items()) if f in idf}
+    norm = np.sqrt(sum(x * x for x in raw.values()))
+    return {f: x / norm for f, x in raw.items()} if norm else {}
+
+
+def toxic_ids(docs, labels, k=15):
+    """``docs``: (id, text); ``labels``: id -> 0 or 1."""
+    counted = {i: features(t) for i, t in docs}
+    words = {i: Counter("=" + w for w in WORD.findall(t.lower())) for i, t in docs}
+    by_text = {}
+    for i, t in docs:
+        if i in labels:
+            by_text.setdefault(t, []).append(i)
+    examples = sorted((min(ids), np.mean([labels[i] for i in ids]), len(ids)) for ids in by_text.values())
+    n, positive = sum(c for _, _, c in examples), sum(label * c for _, label, c in examples)
+    df, marked = Counter(), Counter()
+    for i, label, copies in examples:
+        for f in counted[i]:
+            df[f] += copies
+            marked[f] += label * copies
+    chi2 = {f: (marked[f] - d * positive / n) ** 2 * (1 / (d * positive / n) + 1 / (d * (1 - positive / n))) for f, d in df.items() if d >= 5}
+    names = sorted((f for f in chi2 if chi2[f] >= 30), key=lambda f: (-chi2[f], f))[:2048]
+    there = Counter(f for i, _ in docs for f in {*words[i], *(g for g in counted[i] if g in set(names))})
+    idf = {f: np.log((len(docs) + 1) / (c + 1)) + 1 for f, c in there.items()}
+    vectors = [({i: _vector({f: c for f, c in counted[i].items() if f in names}, idf) for i, _ in docs}), {i: _vector(words[i], idf) for i, _ in docs}]
+    heaviest = {i: max(((w, names.index(f)) for f, w in vectors[0][i].items()), default=(0, -1))[1] for i, _, _ in examples}
+    order = sorted(examples, key=lambda e: (heaviest[e[0]], e[0]))
+    label_of = {i: label for i, label, _ in order}
+
+    def vote(which, i, without=None):
+        mine = vectors[which][i]
+        found = [(sum(x * vectors[which][j].get(f, 0.0) for f, x in mine.items()), row, j) for row, (j, _, _) in enumerate(order) if j != without]
+        near = sorted(((-round(c, 12), row, j) for c, row, j in found if c > 0))[:k]
+        weights = [1 / (1.05 - min(-c, 1.0)) for c, _, _ in near]
+        return sum(w * label_of[j] for w, (_, _, j) in zip(weights, near)) / sum(weights) if near else None
+
+    own = {i: [vote(w, i, i) for w in (0, 1)] for i in label_of}
+    rates = [_isotonic([(v[w], label_of[i], 1.0) for i, v in own.items() if v[w] is not None]) if any(v[w] is not None for v in own.values()) else None for w in (0, 1)]
+    top = lambda v: max(rates[w](v[w]) for w in (0, 1) if v[w] is not None)
+    final = _isotonic([(top(v), label_of[i], 1.0) for i, v in own.items() if v != [None, None]])
+    plain = [label for i, label, _ in order if not words[i]]
+    out = set()
+    for i, _ in docs:
+        v = [vote(w, i) for w in (0, 1)]
+        if (final(top(v)) if v != [None, None] else (sum(plain) + 0.5) / (len(plain) + 1)) >= 0.5:
+            out.add(i)
+    return out

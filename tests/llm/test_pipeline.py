@@ -4,6 +4,7 @@ import corpus_pipeline
 from swayline.llm import pii
 from swayline.llm.queries import ORACLE, QUERIES
 from checks.compare import difference, duck
+from tests.llm.brute_toxicity import toxic_ids
 from tests.llm.common import AWKWARD, documents
 from tests.llm.test_packing import ids_of
 from tests.llm.test_simhash import brute_components, brute_print
@@ -20,7 +21,7 @@ def test_stages_against_brute_force(spark):
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
     every = docs.collect()
-    toxic = toxicity_by_brute_force([(r["doc_id"], r["text"] or "") for r in every], labels)
+    toxic = toxic_ids([(r["doc_id"], r["text"] or "") for r in every], labels)
     rows = [r for r in every if r["doc_id"] not in toxic]
     assert 0 < len(toxic) < len(every) // 4
     prints = {r["doc_id"]: brute_print(r["text"]) for r in rows}
