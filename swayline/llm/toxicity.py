@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,38 +46,64 @@ SHARES = ((100, "1%"), (30, "3%"))  # a beginning's share of all words, as featu
 BLOCK = 64
 FIRST = 4  # blocks scored before the others are judged
 REMEMBERED = 2_000
-OFTEN = 16  # a word that more than one in so many examples have is kept in dense columns
+WORDS_REMEMBERED = 1 << 18
+OFTEN = 8  # a word that more than one in so many examples have is kept in dense columns
 TOGETHER = 64  # texts compared at a time
 PARTS = 8  # of the examples, fetched one after the other
-TALLIED = 1 << 16  # words counted in a task before it hands on what it has
+TALLIED = 1 << 18  # words counted in a task before it hands on what it has
 
 
-def features(text: str, heads: frozenset[str] | None = None) -> Counter:
-    """Counts of words (``=word``) and of beginnings of longer words (``begi``, and ``begi 1%`` where they are so many of the words);
-    with ``heads``, of words that begin so only."""
+def features(text: str) -> Counter:
+    """Counts of words (``=word``) and of beginnings of longer words (``begi``, and ``begi 1%`` where they are so many of the words)."""
     listed = WORD.findall(text.lower())
-    return _features(Counter(listed), len(listed), heads)
-
-
-def _features(words: Counter, total: int, heads: frozenset[str] | None) -> Counter:
     begun: Counter = Counter()
     found: Counter = Counter()
-    for word, n in words.items():
-        if heads is None or word[:HEAD] in heads:
-            found["=" + word] = n
-            for size in BEGINNINGS:
-                if len(word) > size:
-                    begun[word[:size]] += n
+    for word, n in Counter(listed).items():
+        found["=" + word] = n
+        for size in BEGINNINGS:
+            if len(word) > size:
+                begun[word[:size]] += n
     for beginning, n in begun.items():
         found[beginning] = n
         for part, name in SHARES:
-            if n > 1 and n * part >= total:
+            if n > 1 and n * part >= len(listed):
                 found[f"{beginning} {name}"] = 1
     return found
 
 
-def head(feature: str) -> str:
-    return feature.removeprefix("=")[:HEAD]
+class KeptFeatures:
+    """Which of the kept features a text has: what ``features`` gives, of these names only. What a word can add is remembered."""
+
+    def __init__(self, names: list[str]):
+        self.numbers = {name: i for i, name in enumerate(names)}
+        self.begun = {name.split(" ")[0] for name in names if not name.startswith("=")}
+        self.heads = {name.removeprefix("=")[:HEAD] for name in names}
+        self.parts: dict[str, tuple] = {}
+
+    def _parts(self, word: str) -> tuple:
+        if len(self.parts) >= WORDS_REMEMBERED:
+            self.parts.clear()
+        begun = tuple(word[:size] for size in BEGINNINGS if len(word) > size and word[:size] in self.begun)
+        found = self.parts[word] = (self.numbers.get("=" + word), begun)
+        return found
+
+    def __call__(self, words: Counter, total: int) -> dict[int, int]:
+        """Numbers of the features and their counts, ascending."""
+        found, begun, heads = {}, {}, self.heads
+        for word in [w for w in words if w[:HEAD] in heads]:
+            own, beginnings = self.parts.get(word) or self._parts(word)
+            if own is not None:
+                found[own] = words[word]
+            for beginning in beginnings:
+                begun[beginning] = begun.get(beginning, 0) + words[word]
+        for beginning, n in begun.items():
+            if beginning in self.numbers:
+                found[self.numbers[beginning]] = n
+            for part, name in SHARES:
+                number = self.numbers.get(f"{beginning} {name}") if n > 1 and n * part >= total else None
+                if number is not None:
+                    found[number] = 1
+        return dict(sorted(found.items()))
 
 
 class BlockMaxIndex:
@@ -245,9 +272,9 @@ class Model:
                  word_count: np.ndarray, documents: int = 0, frequency: DataFrame | None = None, weights: tuple[float, float] = (1.0, 1.0),
                  id_type: T.DataType | None = None):
         self.documents, self.frequency, self.weights, self.id_type = documents, frequency, weights, id_type
-        self.numbers = {name: i for i, name in enumerate(names)}
+        self.kept = KeptFeatures(names)
+        self.numbers = self.kept.numbers
         self.words = {name: i for i, name in enumerate(words)}
-        self.heads = frozenset(map(head, names))
         self.idf, self.word_idf, self.k, self.memory = idf, word_idf, k, {}
         weight = _unit(row, term, count, idf, len(ids))
         heaviest = np.full(len(ids), -1)
@@ -311,8 +338,8 @@ class Model:
 
     def kept_rate(self, words: Counter, total: int) -> float | None:
         """The rate by kept features; none without a neighbour."""
-        counts = {self.numbers[f]: n for f, n in _features(words, total, self.heads).items() if f in self.numbers}
-        key = tuple(sorted(counts.items()))
+        counts = self.kept(words, total)
+        key = tuple(counts.items())
         if key not in self.memory:
             if len(self.memory) >= REMEMBERED:
                 self.memory.clear()
@@ -320,19 +347,21 @@ class Model:
             self.memory[key] = self.rates[0](_vote(found, self.labels)) if found and self.rates[0] else None
         return self.memory[key]
 
-    def compare(self, texts: list[str]) -> Iterator[tuple[float | None, list[float], list[int], float, dict[str, int]]]:
+    def compare(self, texts: list[str]) -> Iterator[tuple[float | None, list[float], list[int], float, list[tuple[str, int]]]]:
         """Each text's rate by kept features; the nearest examples by whole text as products with the unweighed text and their rows; the
-        square of the text's norm as far as examples have its words, and the counts of its other words."""
+        square of the text's norm as far as examples have its words, and its other words with their counts."""
         for at in range(0, len(texts), TOGETHER):
             counted = [Counter(WORD.findall(t.lower())) for t in texts[at:at + TOGETHER]]
-            queries = []
+            queries, loose = [], []
             for counts in counted:
-                known = sorted((self.words[w], n) for w, n in counts.items() if w in self.words)  # sums run in one order for equal texts
-                words, count = np.array(known, np.int64).reshape(-1, 2).T
-                queries.append((words, (1 + np.log(count)) * self.word_idf[words]))
-            for counts, (_, weights), (products, rows) in zip(counted, queries, self.whole.nearest(queries, self.k)):
-                yield (self.kept_rate(counts, counts.total()), products.tolist(), rows.tolist(), float(weights @ weights),
-                       {w: n for w, n in counts.items() if w not in self.words})
+                word = np.fromiter(map(self.words.get, counts, repeat(-1)), np.int64, len(counts))
+                count = np.fromiter(counts.values(), np.int64, len(counts))
+                loose.append(list(compress(counts.items(), (word < 0).tolist())))
+                known = np.flatnonzero(word >= 0)
+                known = known[np.argsort(word[known])]  # sums run in one order for equal texts
+                queries.append((word[known], (1 + np.log(count[known])) * self.word_idf[word[known]]))
+            for counts, (_, weights), (products, rows), others in zip(counted, queries, self.whole.nearest(queries, self.k), loose):
+                yield self.kept_rate(counts, counts.total()), products.tolist(), rows.tolist(), float(weights @ weights), others
 
     def judge(self, kept: float | None, products: list[float], rows: list[int], square: float) -> tuple[float, list[dict]]:
         """Score and evidence; ``square`` is that of the whole norm."""
@@ -354,25 +383,28 @@ def _unit(row: np.ndarray, term: np.ndarray, count: np.ndarray, idf: np.ndarray,
 
 def _frequency(docs: DataFrame, text: str, names: list[str]) -> DataFrame:
     """Documents with each word (``=word``) and each kept feature, and with any (null): rows (feature, n), written."""
-    kept, heads = {n for n in names if not n.startswith("=")}, frozenset(head(n) for n in names if not n.startswith("="))
+    others = [n for n in names if not n.startswith("=")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: Counter = Counter()
+        kept, totals, met, documents = KeptFeatures(others), Counter(), Counter(), 0
 
         def told() -> pa.RecordBatch:
-            rows = pa.RecordBatch.from_arrays([pa.array(list(totals), pa.string()), pa.array(list(totals.values()), pa.int64())], ["feature", "n"])
+            features = [None, *("=" + w for w in totals), *(others[i] for i in met)]
+            rows = pa.RecordBatch.from_arrays([pa.array(features, pa.string()), pa.array([documents, *totals.values(), *met.values()], pa.int64())], ["feature", "n"])
             totals.clear()
+            met.clear()
             return rows
 
         for batch in batches:
-            totals[None] += batch.num_rows
-            for value in batch.column(0).to_pylist():
-                listed = WORD.findall(value.lower())
+            for value in batch.column(0):
+                listed = WORD.findall(value.as_py().lower())
                 words = Counter(listed)
-                totals.update(["=" + w for w in words])
-                totals.update([f for f in _features(words, len(listed), heads) if f in kept])
+                totals.update(words.keys())
+                met.update(kept(words, len(listed)).keys())
+                documents += 1
                 if len(totals) >= TALLIED:
                     yield told()
+                    documents = 0
         yield told()
 
     return keep(small_batches(docs).select(whole_text(text)).mapInArrow(count, "feature string, n long")
@@ -493,7 +525,7 @@ def _judged(texts: DataFrame, model: Model) -> DataFrame:
 
         def work(values: list[str]) -> list[list]:
             found = list(zip(*judge.compare(values)))
-            return [*map(list, found[:4]), [list(loose.items()) for loose in found[4]]]
+            return [*map(list, found[:4]), list(found[4])]
 
         return work
 
