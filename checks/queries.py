@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from swayline.config import CurveConfig, DAY_FIRST_FORMATS, YEAR_FIRST_FORMATS
+from swayline.config import CONTROL_BOOST, CurveConfig, DAY_FIRST_FORMATS, YEAR_FIRST_FORMATS
 from swayline.functions import columns as C
 from swayline.operators import (
     curves, effects, features as fe, interactions as ia, learners, quality, reports, selection, splits, tuning,
@@ -698,7 +698,7 @@ def j3_s_learner(spark, d):
 @query
 def j4_t_learner(spark, d):
     train, test, kept = _modelling(spark, d)
-    return _uplift(learners.fit_t_learner(train, kept), train, test)
+    return _uplift(learners.fit_t_learner(train, kept, control=CONTROL_BOOST), train, test)
 
 
 @query
@@ -719,13 +719,9 @@ def j7_dr_learner(spark, d):
     return _uplift(learners.fit_dr_learner(train, kept), train, test)
 
 
-SMALL_SPACE = {"n_estimators": (5, 10), "max_depth": (2, 3), "learning_rate": (0.1, 0.2), "min_child_samples": (20, 50),
-               "colsample_bytree": (0.7, 1.0), "bagging_freq": (0, 1), "bagging_fraction": (0.7, 0.9)}
-
-
 def _searched(spark, d):
     train, test, kept = _modelling(spark, d)
-    return train, test, kept, tuning.search(train, kept, trials=3, space=SMALL_SPACE)
+    return train, test, kept, tuning.search(train, kept)
 
 
 @query
@@ -764,7 +760,7 @@ def _fitted(spark, d):
     return train, test, {
         "weighted_forests": learners.fit_weighted_forests(train, kept),
         "s_learner": learners.fit_s_learner(train, kept, [c for c in INTERACTED if c in kept]),
-        "t_learner": learners.fit_t_learner(train, kept),
+        "t_learner": learners.fit_t_learner(train, kept, control=CONTROL_BOOST),
         "tuned_t_learner": learners.fit_tuned_t_learner(train, kept),
         "x_learner": learners.fit_x_learner(train, kept),
     }

@@ -88,19 +88,18 @@ class SoloConfig:
 
 @dataclass(frozen=True)
 class ForestConfig:
+    """``max_depth`` 0: no limit."""
+
     num_trees: int = 100
-    max_depth: int = 5
+    max_depth: int = 0
     min_instances: int = 1
     seed: int = 42
 
 
 @dataclass(frozen=True)
 class BoostConfig:
-    """One gradient-boosted classifier.
-
-    Leaf penalties, leaf counts and minimum split gain are on scales Spark's trees do not have and are left out.
-    Row sampling is off: the boosted trees this stands for sample rows only when a sampling frequency is set.
-    """
+    """One gradient-boosted classifier. ``subsampling`` acts when ``bagging_freq`` is set: a bag of that share every so many trees.
+    ``tree_share`` is drawn for every tree on its own. ``max_depth`` 0: no limit but ``num_leaves``."""
 
     max_iter: int = 100
     max_depth: int = 3
@@ -109,12 +108,20 @@ class BoostConfig:
     subsampling: float = 1.0
     feature_share: float = 0.7
     seed: int = 42
+    num_leaves: int = 10
+    l1: float = 0.5
+    l2: float = 0.5
+    min_split_gain: float = 0.1
+    min_child_weight: float = 1e-3
+    bagging_freq: int = 0
+    tree_share: float = 0.7
 
 
-# The stored best parameters of the random search.
+# The control arm's baseline, and the stored best parameters of the random search.
+CONTROL_BOOST = BoostConfig(seed=43, l1=10.0, l2=5.0)
 TUNED_BOOST = BoostConfig(
-    max_iter=225, max_depth=5, step_size=0.001, min_instances=400,
-    subsampling=1.0, feature_share=1.0,
+    max_iter=225, max_depth=5, step_size=0.001, min_instances=400, feature_share=1.0, num_leaves=31,
+    l1=1.0, l2=0.3, min_split_gain=0.02, min_child_weight=5.0, subsampling=0.9, bagging_freq=0, tree_share=0.4,
 )
 
 

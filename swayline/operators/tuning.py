@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 
 from swayline.config import SEARCH_SPACE, BoostConfig, CurveConfig
 from swayline.operators.curves import ScoreColumns, qini_auc
-from swayline.operators.learners import TwoModels, fit_t_learner, together
-from swayline.operators.splits import draw_parameters, hold_out
+from swayline.operators.learners import T_COL, Y_COL, TwoModels, fit_t_learner
+from swayline.operators.splits import draw_parameters, stratified_hold_out
+from swayline.operators.trees import feature_array, fit_boosted
 from swayline.sources.storage import materialise
 
 
@@ -23,15 +26,16 @@ class Choice:
 
 
 def boost_of(params: dict, seed: int = 42) -> BoostConfig:
-    """Search parameters in the terms Spark's boosted trees understand.
+    """Search parameters as settings of the boosted trees; every one of them acts. What a space leaves out has its neutral value.
 
-    Row sampling only acts when a sampling frequency is drawn; leaf penalties, leaf counts and split gain have no twin.
+    ``bagging_fraction`` acts when ``bagging_freq`` is drawn above 0. ``subsample`` is drawn for every tree, beside any bag.
     """
-    sampling = params["bagging_fraction"] if params["bagging_freq"] else 1.0
     return BoostConfig(
         max_iter=params["n_estimators"], max_depth=params["max_depth"], step_size=params["learning_rate"],
-        min_instances=params["min_child_samples"], subsampling=sampling,
-        feature_share=params["colsample_bytree"], seed=seed)
+        min_instances=params["min_child_samples"], subsampling=params["bagging_fraction"] if params["bagging_freq"] else 1.0,
+        feature_share=params["colsample_bytree"], seed=seed, num_leaves=params.get("num_leaves", 31),
+        l1=params.get("reg_alpha", 0.0), l2=params.get("reg_lambda", 0.0), min_split_gain=params.get("min_split_gain", 0.0),
+        min_child_weight=params.get("min_child_weight", 1e-3), bagging_freq=params["bagging_freq"], tree_share=params.get("subsample", 1.0))
 
 
 def select_trial(trials: Sequence[tuple[int, float, float]]) -> Choice | None:
@@ -58,28 +62,35 @@ def trial_table(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
     return spark.createDataFrame([Row(**r) for r in rows], schema)
 
 
-def search(train: DataFrame, features: Sequence[str], trials: int = 8, seed: int = 42, *, threads: int = 2,
-           space: dict[str, Sequence] = SEARCH_SPACE,
-           fit: Callable[[DataFrame, Sequence[str], BoostConfig], TwoModels] = fit_t_learner,
-           cols: ScoreColumns = ScoreColumns(), cfg: CurveConfig = CurveConfig()) -> list[dict]:
-    """Fit ``trials`` random parameter sets on four fifths of ``train`` and rate them on both parts.
+def search(train: DataFrame, features: Sequence[str], trials: int = 20, seed: int = 42, *, space: dict[str, Sequence] = SEARCH_SPACE,
+           cols: ScoreColumns = ScoreColumns(), cfg: CurveConfig = CurveConfig(), task_rows: int = 1 << 20) -> list[dict]:
+    """Fit ``trials`` random parameter sets on four fifths of every arm and rate them on both parts.
 
-    A few trials run at a time; only the two areas of each come back. The split is written once and read by all.
+    The models of all trials are fitted side by side, one pass scores every row with all of them, and one aggregate gives the two areas of
+    each trial: the driver sees the trees and a row per trial and part. The parts have exactly their share of each arm.
     """
     data = materialise(train, "search")
-    fit_part, val_part = hold_out(data, f"{seed}:search")
-
-    def run(number: int, params: dict) -> dict:
-        learner = fit(fit_part, features, boost_of(params, seed))
-        keep = [cols.member, cols.outcome, cols.treatment, cols.score]
-        scored = materialise(learner.score(fit_part).select(F.lit("train").alias("split"), *keep).unionByName(
-            learner.score(val_part).select(F.lit("val").alias("split"), *keep)), "trial")
-        areas = {r["split"]: r["qini_auc"] for r in qini_auc(scored, cols, keys=["split"], cfg=cfg).collect()}
-        tr, val = (float("nan") if areas[s] is None else areas[s] for s in ("train", "val"))
-        return {"trial": number, "train_qini": tr, "val_qini": val, "overfitting_gap": tr - val, **params}
-
+    fit_part, val_part = (materialise(p, "part") for p in stratified_hold_out(data, cols.treatment, f"{seed}:search", member=cols.member))
     drawn = draw_parameters(space, trials, seed)
-    return together([lambda i=i, p=p: run(i, p) for i, p in enumerate(drawn, 1)], threads)
+    settings = {(i, arm): boost_of(p, seed + 1 - arm) for i, p in enumerate(drawn, 1) for arm in (1, 0)}
+    fitted = fit_boosted(fit_part, features, Y_COL, {f"{i}:{arm}": (arm, c) for (i, arm), c in settings.items()}, T_COL, cols.member, task_rows)
+    shared, width = train.sparkSession.sparkContext.broadcast(fitted), len(features)
+
+    @F.arrow_udf("array<double>")
+    def uplifts(x: pa.Array) -> pa.Array:
+        rows = x.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+        found = [shared.value[f"{i}:1"].predict(rows) - shared.value[f"{i}:0"].predict(rows) for i in range(1, trials + 1)]
+        return pa.array(list(np.stack(found, axis=1)), pa.list_(pa.float64()))
+
+    both = fit_part.withColumn("split", F.lit("train")).unionByName(val_part.withColumn("split", F.lit("val")))
+    scored = both.select("split", cols.member, cols.outcome, cols.treatment, F.posexplode(uplifts(feature_array(features))).alias("trial", cols.score))
+    areas = qini_auc(materialise(scored, "trials"), cols, keys=["trial", "split"], cfg=cfg).collect()
+    found = {(r["trial"] + 1, r["split"]): float("nan") if r["qini_auc"] is None else r["qini_auc"] for r in areas}
+    rows = []
+    for i, params in enumerate(drawn, 1):
+        tr, val = (found.get((i, s), float("nan")) for s in ("train", "val"))
+        rows.append({"trial": i, "train_qini": tr, "val_qini": val, "overfitting_gap": tr - val, **params})
+    return rows
 
 
 def refit_best(train: DataFrame, features: Sequence[str], rows: Sequence[dict], seed: int = 42) -> TwoModels:
