@@ -117,7 +117,13 @@ def feature_list(cols, table: str = "features") -> str:
 
 # --- sources, projections -------------------------------------------------------------------------------------
 
-ORACLE["a1_csv_scan"] = with_(CLAIM_ROWS) + "select member_id, icd_code, cast(diagnosis_date as date) as diagnosis_date from claim_rows"
+ORACLE["a1_csv_scan"] = with_(MEMBERS, VISITS, CLAIM_ROWS) + """
+  select 'app_usage' as source, user_id as member_id, 'session' as what, null as more, strftime(ts, '%Y-%m-%d %H:%M:%S') as at
+  from events where event_type in ('view', 'click')
+  union all select 'web_visits', user_id, url, 'A "title",' || chr(10) || 'of ' || url, strftime(ts, '%Y-%m-%d %H:%M:%S')
+  from events join pages on page_id = event_id % (select count(*) from pages) where event_type in ('view', 'click', 'signup')
+  union all select 'claims', member_id, icd_code, null, strftime(diagnosis_date, '%Y-%m-%d') from claim_rows
+  union all select 'churn_labels', member_id, cast(churn as varchar), cast(outreach as varchar), strftime(signup_date, '%Y-%m-%d') from members"""
 ORACLE["a2_split_features"] = with_(*BASE) + f"""select case when {held('member_id')} then 'test' else 'train' end as split,
   * replace (round(ratio_own_domain, 6) + 0.0 as ratio_own_domain) from features"""
 ORACLE["b1_strict_parse"] = with_(MEMBERS) + "select member_id, signup_date from members"
@@ -274,11 +280,11 @@ ORACLE["e6_tertile_edges"] = with_(*BASE, *EDGE_STEPS) + \
     f"select feature, {', '.join(r6(e[0], e[0]) for e in EDGES)}, status from edges"
 PLAN_STEPS = (*EDGE_STEPS, "gate as (select feature, count(distinct value) as n_distinct from long group by 1)",
               """plan as (select feature, case when n_distinct <= 1 then 'constant' when n_distinct <= 3 then 'categorical'
-  else 'numeric' end as kind, edge_1, edge_2,
+  else 'numeric' end as kind, n_distinct, edge_1, edge_2,
   case when n_distinct <= 1 then 'skipped_constant' when n_distinct <= 3 then 'ok' else status end as status
   from gate join edges using (feature))""")
 ORACLE["d18_segment_plan"] = with_(*BASE, *PLAN_STEPS) + \
-    f"select feature, kind, {r6('edge_1', 'edge_1')}, {r6('edge_2', 'edge_2')}, status from plan"
+    f"select feature, kind, n_distinct, {r6('edge_1', 'edge_1')}, {r6('edge_2', 'edge_2')}, status from plan"
 SEGMENT_STEPS = (*PLAN_STEPS, """cells as (select feature, case when kind = 'categorical' then cast(value as varchar)
     when value <= edge_1 then 'Low' when value <= edge_2 then 'Medium' else 'High' end as segment,
     count(*) as members, count(*) filter (treatment = 1) as n_treated, count(*) filter (treatment = 0) as n_control,
@@ -347,9 +353,11 @@ ORACLE["f4_interaction_candidates"] = with_(*BASE, *CORR) + " union all ".join(
   order by abs(corr) desc, feature_1 limit 15)""" for t in (0.1, 0.01))
 ORACLE["h6_interaction_features"] = with_(*BASE, *CORR, """chosen as (select feature_1 as feature from corr
   where feature_2 = 'treatment' and feature_1 in (select feature from places) and abs(corr) > 0.0
-  order by abs(corr) desc, feature_1 limit 5)""", f"all_long as ({feature_long(FEATURES, 'treatment')})",
-    "long as (select 'outreach_x_' || feature as feature, treatment * value as value from all_long join chosen using (feature))") + \
-    describe("feature")
+  order by abs(corr) desc, feature_1 limit 15)""", f"all_long as ({feature_long(FEATURES, 'treatment')})",
+    "long as (select treatment, 'outreach_x_' || feature as feature, treatment * value as value from all_long join chosen using (feature))",
+    *percentiles("treatment, feature", QUARTILES), f"basics as ({describe('treatment, feature')})") + \
+    f"""select treatment, feature, count, mean, std, min, {', '.join(r6(p[0], p[0]) for p in QUARTILES)}, max
+  from basics join marks using (treatment, feature)"""
 
 # Totals and trends are sums and differences of early and late counts, so these six add nothing to the others.
 DERIVED = ("app_sessions", "usage_trend", "total_web_visits", "visit_trend", "total_claims", "claim_trend")

@@ -21,8 +21,7 @@ from swayline.sources.star_tables import STAR_CONFIG as CFG
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Small buckets, so that every curve query crosses bucket borders at the sizes it is checked at.
-CURVE = CurveConfig(rows_per_bucket=200)
+CURVE = CurveConfig()  # at least one range per core, so every curve query crosses range borders
 INTERACTED = ("early_claims", "claim_trend", "has_icd_Brand_6")
 DROPPED = ("app_sessions", "total_claims")
 KEYWORDS = ("brand#1", "web_visits", "claims_count")
@@ -94,9 +93,29 @@ def _csv_round_trip(spark: SparkSession, d: str, name: str, df: DataFrame) -> Da
 
 @query
 def a1_csv_scan(spark, d):
-    claims = star.claims(spark, d).select("member_id", "icd_code", F.to_date("diagnosis_date").alias("diagnosis_date"))
-    path = tables.write_table(claims, new_path(spark, "claims"), "csv")
-    return tables.read_csv(spark, path, tables.CLAIMS)
+    """All four tables of a split, written as files as they come - titles with line breaks and quotes, times with a zone, columns in
+    another order - and read by ``read_split``."""
+    t, second = star.member_tables(spark, d), "yyyy-MM-dd HH:mm:ss"
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    out = {
+        "app_usage": t.app_usage.select("member_id", "event_type", F.concat(F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("timestamp")),
+        "web_visits": t.web_visits.select("url", F.concat(F.lit('A "title",\nof '), "url").alias("title"), F.lit(None).cast("string").alias("description"),
+                                          "member_id", F.date_format("timestamp", second).alias("timestamp")),
+        "claims": t.claims.select("icd_code", "member_id", day("diagnosis_date").alias("diagnosis_date")),
+        "churn_labels": t.churn_labels.select("member_id", day("signup_date").alias("signup_date"), "churn", "outreach"),
+    }
+    folder = new_path(spark, "split")
+    for name, df in out.items():
+        tables.write_table(df, f"{folder}/{name}.csv", "csv")
+    back = tables.read_split(spark, folder)
+    none = F.lit(None).cast("string")
+    parts = [
+        back.app_usage.select(F.lit("app_usage").alias("source"), "member_id", "event_type", none.alias("more"), F.date_format("timestamp", second).alias("at")),
+        back.web_visits.select(F.lit("web_visits"), "member_id", "url", "title", "timestamp"),
+        back.claims.select(F.lit("claims"), "member_id", "icd_code", none, day("diagnosis_date")),
+        back.churn_labels.select(F.lit("churn_labels"), "member_id", F.col("churn").cast("string"), F.col("outreach").cast("string"), day("signup_date")),
+    ]
+    return reduce(DataFrame.union, parts).withColumnRenamed("event_type", "what")
 
 
 @query
@@ -636,9 +655,10 @@ def h6_interaction_features(spark, d):
     ft = written_features(spark, d)
     names = fe.feature_names(ft)
     corr = selection.correlation_table(spark, selection.moments(ft, [*names, "y", "treatment"]))
-    chosen = [r["feature"] for r in selection.interaction_candidates(corr, names, threshold=0.0, limit=5).collect()]
+    # Arms are drawn by number here, so no feature comes near the default threshold of 0.1 (f4 uses it).
+    chosen = [r["feature"] for r in selection.interaction_candidates(corr, names, threshold=0.0).collect()]
     made = [ia.TREATMENT_PREFIX + c for c in chosen]
-    return tidy(effects.describe(ia.add_interactions(ft, chosen), made).select("feature", "count", "mean", "std", "min", "max"))
+    return tidy(effects.describe(ia.add_interactions(ft, chosen), made, ["treatment"]))
 
 
 @query

@@ -20,12 +20,14 @@ NON_FEATURES = (
     "signup_date", "churn", "outreach", "treatment", "y",
     "first_session", "last_session", "last_claim", "last_visit", "member_id",
 )
+# The date columns of the member table, and the form of a visit's address.
 DATE_COLUMNS = ("first_session", "last_session", "last_visit", "last_claim")
 
 URL_PATTERN = r"https://([^/]+)/([^/]+)/(\d+)"
 
-YEAR_FIRST_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd")
-DAY_FIRST_FORMATS = ("dd/MM/yyyy HH:mm:ss", "dd-MM-yyyy HH:mm:ss", "dd/MM/yyyy", "dd-MM-yyyy")
+# Parts in brackets may be missing; days, months and hours have one digit or two.
+YEAR_FIRST_FORMATS = ("yyyy-M-d[ H:mm[:ss[.SSSSSSSSS]]]", "yyyy-M-d'T'H:mm[:ss[.SSSSSSSSS]]")
+DAY_FIRST_FORMATS = ("d/M/yyyy[ H:mm[:ss[.SSSSSSSSS]]]", "d-M-yyyy[ H:mm[:ss[.SSSSSSSSS]]]")
 
 
 def safe_name(text: str) -> str:

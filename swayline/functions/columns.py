@@ -22,6 +22,14 @@ def strict_timestamp(text: Column) -> Column:
     return F.when(text.isNotNull() & parsed.isNull(), F.raise_error(complaint)).otherwise(parsed)
 
 
+def zoned_timestamp(text: Column) -> Column:
+    """Text to zone-free timestamp; a zone suffix (``Z``, ``+02:00``) is turned to UTC, and one that is present but unreadable raises."""
+    zoned = text.rlike(r"\d(Z|[+-]\d{2}:?\d{2})$") & text.contains(":")
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), text.try_cast("timestamp").cast("timestamp_ntz"))
+    parsed = F.when(zoned, utc).otherwise(text.try_cast("timestamp_ntz"))
+    return F.when(text.isNotNull() & parsed.isNull(), F.raise_error(F.concat(F.lit("not a timestamp: "), text))).otherwise(parsed)
+
+
 def lenient_timestamp(text: Column, formats: Sequence[str]) -> Column:
     """First format that fits, else null. The formats say the day/month order; nothing is guessed."""
     tries = [F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz") for fmt in formats]

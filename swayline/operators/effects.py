@@ -126,12 +126,12 @@ def tertile_edges(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def segment_plan(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """(feature, kind, edge_1, edge_2, status): how each feature is cut into segments. One row per feature."""
+    """(feature, kind, n_distinct, edge_1, edge_2, status): how each feature is cut into segments. One row per feature."""
     gate = distinct_gate(df, features)
     edges = tertile_edges(df, features).select("feature", "edge_1", "edge_2", "status")
     status = (F.when(F.col("kind") == "constant", "skipped_constant").when(F.col("kind") == "categorical", "ok")
               .otherwise(F.coalesce(F.col("status"), F.lit("skipped_ties"))))
-    return gate.join(edges, "feature", "left").select("feature", "kind", "edge_1", "edge_2", status.alias("status"))
+    return gate.join(edges, "feature", "left").select("feature", "kind", "n_distinct", "edge_1", "edge_2", status.alias("status"))
 
 
 def segment_effects(df: DataFrame, features: Sequence[str], outcome: str = "y",

@@ -1,7 +1,7 @@
 """Global running sums and exact percentiles without a single-task sort.
 
-A window ordered over a whole table runs in one task. Here the order is first cut into buckets that follow it,
-each bucket is summed in its own task, and the totals of the earlier buckets are added on top.
+A window ordered over a whole table runs in one task. Here the rows are first dealt into ranges that follow the order,
+each range is summed in its own task, and the totals of the earlier ranges are added on top.
 """
 
 from __future__ import annotations
@@ -11,23 +11,21 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-import numpy as np
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from swayline.config import CurveConfig
 from swayline.functions.columns import clean
+from swayline.sources.storage import materialise
 
-BUCKET, PART = "_bucket", "_part"
+BUCKET = "_bucket"
+STEPS = 64  # of a bracket in a round
 
 
 @dataclass(frozen=True)
 class Cuts:
-    """Literal thresholds: ``scores`` in ascending order, ``heavy`` scores that hold many rows, ``ids`` within those."""
+    """How many ranges a table's order is cut into. Where the borders lie is Spark's range exchange's business: data, not part of a plan."""
 
-    scores: tuple[float, ...]
-    heavy: tuple[float, ...]
-    ids: tuple[float, ...]
+    buckets: int
 
 
 def bucket_count(rows: int, parallelism: int, cfg: CurveConfig) -> int:
@@ -42,66 +40,25 @@ def join_same(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "
     return left.join(other, same, how).drop(*[f"_same_{c}" for c in on])
 
 
-def id_number(df: DataFrame, column: str) -> Column:
-    """A number that never falls along the order of ``column``: its value, or the first six bytes of a text."""
-    if dict(df.dtypes)[column] != "string":
-        return F.col(column).cast("double")
-    head = F.rpad(F.hex(F.substring(F.encode(F.col(column), "UTF-8"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
-
-
 def find_cuts(df: DataFrame, score: str, tie_break: str | None, keys: Sequence[str], cfg: CurveConfig) -> Cuts:
-    """Thresholds from one aggregate; the driver sees one number per bucket and column.
+    """Ranges of about ``rows_per_bucket`` rows; the driver sees the row count only."""
+    return Cuts(bucket_count(df.count(), df.sparkSession.sparkContext.defaultParallelism, cfg))
 
-    Between two neighbouring thresholds lie about rows/buckets rows. A score met at several thresholds holds
-    more than that, and is cut again by thresholds of the (unique) tie-break column. Several keys share the
-    thresholds of their union: no key can have more rows between two of them than the union has.
-    """
-    rows = df.count()
-    n = bucket_count(rows, df.sparkSession.sparkContext.defaultParallelism, cfg)
-    shares = F.lit([i / n for i in range(1, n)])
-    accuracy = F.lit(max(10_000, 10 * n))
-    marks = [F.percentile_approx(clean(F.col(score)), shares, accuracy).alias("s")] if n > 1 else [F.lit(None).alias("s")]
-    if tie_break:
-        marks.append(F.percentile_approx(id_number(df, tie_break), shares, accuracy).alias("t") if n > 1 else F.lit(None).alias("t"))
-    found = df.agg(F.count_if(F.col(score).isNull()).alias("missing"), *marks).first()
-    values, seen = np.unique(found["s"] or [], return_counts=True)
-    usable = np.isfinite(values) & np.isfinite(np.nextafter(values, math.inf))
-    values, seen = values[usable], seen[usable]
-    heavy = values[seen > 1]
-    piles = len(heavy) + (found["missing"] * n > rows)
-    if not tie_break or not piles:
-        return Cuts(tuple(values.tolist()), (), ())
-    ids = np.unique(found["t"] or [])
-    # Few piles get all id thresholds; many get fewer each, so buckets stay below about six per threshold.
-    step = max(1, math.ceil(piles / 4))
-    return Cuts(tuple(values.tolist()), tuple(heavy.tolist()), tuple(ids[::step].tolist()))
-
-
-def _bucketed(df: DataFrame, column: str, out: str, splits: list[float]) -> DataFrame:
-    if len(splits) < 3:
-        return df.withColumn(out, F.lit(0))
-    cut = Bucketizer(splits=splits, inputCol=column, outputCol=out, handleInvalid="keep")
-    return cut.transform(df).withColumn(out, F.col(out).cast("int"))
+
+def order_of(score: str, tie_break: str | None, descending: bool) -> list[Column]:
+    """Missing scores come last in either direction."""
+    first = F.col(score).desc_nulls_last() if descending else F.col(score).asc_nulls_last()
+    return [first, F.col(tie_break).asc_nulls_first()] if tie_break else [first]
 
 
 def assign_buckets(df: DataFrame, score: str, tie_break: str | None, cuts: Cuts, descending: bool) -> DataFrame:
-    """Add bucket and part numbers that grow with the wanted order. Equal scores share a bucket; missing ones come last."""
-    # [q, next) holds q alone; two thresholds one step apart share an edge.
-    edges = {e for q in cuts.scores for e in (q, float(np.nextafter(q, math.inf)))}
-    splits = [-math.inf, *sorted(edges), math.inf]
-    missing = F.col(score).isNull()
-    out = _bucketed(df.withColumn("_score", F.coalesce(F.col(score), F.lit(0.0))), "_score", BUCKET, splits)
-    ordered = -F.col(BUCKET) if descending else F.col(BUCKET)
-    out = out.withColumn(BUCKET, F.when(missing, F.lit(len(splits))).otherwise(ordered))
-    if cuts.ids:
-        out = out.withColumn("_id", id_number(out, tie_break))
-        out = _bucketed(out, "_id", PART, [-math.inf, *cuts.ids, math.inf])
-        split_again = missing | F.col("_score").isin(list(cuts.heavy))
-        out = out.withColumn(PART, F.when(split_again, F.col(PART)).otherwise(F.lit(0))).drop("_id")
-    else:
-        out = out.withColumn(PART, F.lit(0))
-    return out.drop("_score")
+    """``df`` dealt into ranges of the wanted order and written with the number of each row's range, which grows with the order.
+
+    Ranges are cut by score and, within a score, by the tie-break column's own values, so a score held by most rows and ids that begin
+    alike are spread. Numbers are written: whatever is lost and read again has the same ones. Several keys share the ranges.
+    """
+    dealt = df.repartitionByRange(cuts.buckets, *order_of(score, tie_break, descending))
+    return materialise(dealt.withColumn(BUCKET, F.spark_partition_id()), "ranges")
 
 
 def running_sums(
@@ -119,44 +76,40 @@ def running_sums(
     """Running total, per key, of each expression in ``sums`` in score order, this row included.
 
     ``before_<name>`` carries the total up to the row before. With a ``tie_break`` every row is a point and all
-    columns are kept. Without one, rows of equal score become one point ``(keys.., score)``; they are combined
+    columns are kept. Without one, rows of equal score become one point ``(keys.., score)`` before they are dealt; they are combined
     on the map side, so a score held by most rows is no burden.
 
-    ``up_to=(name, n)`` leaves out buckets in which that running total is past ``n`` from the start. ``df`` is
-    scanned for cuts, for bucket totals and for the result, so hand in a table, not an expensive plan; ``cuts``
-    of the same table can be reused.
+    ``up_to=(name, n)`` leaves out ranges in which that running total is past ``n`` from the start. The rows are written once, dealt
+    by range; totals of ranges become offsets, joined as a table. ``cuts`` of the same table can be reused.
     """
     ready = df.withColumn(score, clean(F.col(score)))
     cuts = cuts or find_cuts(ready, score, tie_break, keys, cfg)
-    ready = assign_buckets(ready, score, tie_break, cuts, descending)
-    place = [*keys, BUCKET, PART]
+    own = {n: f"_own_{n}" for n in sums}
+    if tie_break:
+        kept, ties = df.columns, [F.col(tie_break).asc_nulls_first()]
+        points = ready.withColumns({own[n]: c for n, c in sums.items()})
+    else:
+        kept, ties = [*keys, score], []
+        points = ready.groupBy(*keys, score).agg(*[F.sum(c).alias(own[n]) for n, c in sums.items()])
+    points = assign_buckets(points, score, tie_break, cuts, descending)
+    place = [*keys, BUCKET]
 
-    totals = ready.groupBy(*place).agg(*[F.sum(c).alias(f"_all_{n}") for n, c in sums.items()])
-    earlier = Window.partitionBy(*keys).orderBy(BUCKET, PART).rowsBetween(Window.unboundedPreceding, -1)
+    totals = points.groupBy(*place).agg(*[F.sum(c).alias(f"_all_{n}") for n, c in own.items()])
+    earlier = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     offsets = totals.select(*place, *[
         F.coalesce(F.sum(f"_all_{n}").over(earlier), F.lit(0)).alias(f"_off_{n}") for n in sums])
     if up_to:
         name, limit = up_to
         offsets = offsets.filter(F.col(f"_off_{name}") < limit)
-        ready = join_same(ready, offsets.select(place), place, "left_semi")
-
-    if tie_break:
-        kept = df.columns
-        points = ready.withColumns({f"_own_{n}": c for n, c in sums.items()})
-        ties = [F.col(tie_break)]
-    else:
-        kept = [*keys, score]
-        points = ready.groupBy(*place, score).agg(*[F.sum(c).alias(f"_own_{n}") for n, c in sums.items()])
-        ties = []
-    direction = F.col(score).desc_nulls_last() if descending else F.col(score).asc_nulls_last()
-    upto = Window.partitionBy(*place).orderBy(direction, *ties).rowsBetween(Window.unboundedPreceding, 0)
-    inside = points.select("*", *[F.sum(f"_own_{n}").over(upto).alias(f"_in_{n}") for n in sums])
+        points = join_same(points, offsets.select(place), place, "left_semi")
+    upto = Window.partitionBy(*place).orderBy(order_of(score, None, descending)[0], *ties).rowsBetween(Window.unboundedPreceding, 0)
+    inside = points.select("*", *[F.sum(c).over(upto).alias(f"_in_{n}") for n, c in own.items()])
     inside = join_same(inside, offsets, place)
     running = {n: F.col(f"_in_{n}") + F.col(f"_off_{n}") for n in sums}
     return inside.select(
         *kept,
         *[c.alias(n) for n, c in running.items()],
-        *[(c - F.col(f"_own_{n}")).alias(f"before_{n}") for n, c in running.items()],
+        *[(c - F.col(own[n])).alias(f"before_{n}") for n, c in running.items()],
     )
 
 
@@ -180,19 +133,54 @@ def number_of(columns: Sequence[str]) -> Column:
     return (F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("feature")) - 1).cast("int")
 
 
+def _narrowed(values: DataFrame, limits: DataFrame, place: Sequence[str], shares: Sequence[tuple[int, int]], window_rows: int) -> DataFrame:
+    """``limits`` with brackets narrowed, round by round, until each holds at most ``window_rows`` rows or can be narrowed no more.
+
+    A round is one aggregate: values in a bracket fall into ``STEPS`` equal steps, and the bracket becomes what lies between the least value of
+    the wanted rank's step and the largest of the next rank's. A rank outside its bracket widens it to that side.
+    """
+    numbers = range(len(shares))
+    while True:
+        limits = materialise(limits, "limits")
+        wanted = F.array(*[F.struct(F.lit(i).alias("share_no"), F.expr(f"((n - 1) * {num}) div {den}").alias("rank"),
+                                    F.col(f"lo_{i}").alias("lo"), F.col(f"hi_{i}").alias("hi")) for i, (num, den) in enumerate(shares)])
+        each = join_same(values, limits, place).select(*place, "value", "n", F.inline(wanted))
+        width = F.col("hi") - F.col("lo")
+        step = (F.when(F.col("value") < F.col("lo"), -1).when(F.col("value") > F.col("hi"), STEPS).when(width <= 0, 0)
+                .when(width == float("inf"), (F.col("value") >= 0).cast("int") * (STEPS - 1))
+                .otherwise(F.least(F.lit(STEPS - 1), F.floor((F.col("value") - F.col("lo")) / width * STEPS).cast("int"))))
+        counted = each.groupBy(*place, "n", "share_no", "rank", "lo", "hi", step.alias("step")).agg(
+            F.count("*").alias("rows"), F.min("value").alias("least"), F.max("value").alias("most"))
+        upto = Window.partitionBy(*place, "share_no").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)  # STEPS + 2 rows
+        counted = counted.withColumn("upto", F.sum("rows").over(upto)).withColumn("start", F.col("upto") - F.col("rows"))
+        holds = lambda r: (F.col("start") <= r) & (r < F.col("upto"))
+        first, second = F.col("rank"), F.least(F.col("rank") + 1, F.col("n") - 1)
+        between = (F.col("upto") > first) & (F.col("start") <= second)
+        found = materialise(counted.groupBy(*place, "n", "share_no", "lo", "hi").agg(
+            F.max(F.when(holds(first), F.col("least"))).alias("new_lo"), F.max(F.when(holds(second), F.col("most"))).alias("new_hi"),
+            F.sum(F.when(between, F.col("rows")).otherwise(0)).alias("inside")), "brackets")
+        limits = found.groupBy(*place).agg(F.any_value("n").alias("n"), *[
+            F.max(F.when(F.col("share_no") == i, F.col(f"new_{e}"))).alias(f"{e}_{i}") for i in numbers for e in ("lo", "hi")])
+        moved = (F.col("new_lo") != F.col("lo")) | (F.col("new_hi") != F.col("hi"))
+        if not found.filter((F.col("inside") > window_rows) & (F.col("new_lo") < F.col("new_hi")) & moved).limit(1).count():
+            return materialise(limits, "limits")
+
+
 def exact_percentiles(
     df: DataFrame,
     columns: Sequence[str],
     shares: Sequence[tuple[int, int]],
     by: Sequence[str] = (),
     accuracy: int = 10_000,
+    window_rows: int = 1 << 18,
 ) -> DataFrame:
     """Percentiles with linear interpolation, exact: (by.., feature, share_no, value).
 
     Shares are fractions (numerator, denominator), so the wanted rank is integer arithmetic. A sketch per group and
     column brackets each wanted rank; one more pass counts values below each bracket, keeps the nearest value on
-    either side, and only values inside are grouped and ordered: about 6/``accuracy`` of a column's rows, equal ones
-    counted together. A rank that is found neither inside nor next to its bracket stops the job.
+    either side, and only values inside are grouped and ordered, equal ones counted together. A bracket holds at most 8/``accuracy`` of a
+    column's rows; where that can be more than ``window_rows``, brackets are narrowed in rounds first, so the ordered rows of one
+    task have that bound at any size. A rank that is found neither inside nor next to its bracket stops the job.
     """
     value, place, numbers = F.col("value"), [*by, "pos"], range(len(shares))
     slack = 3.0 / accuracy
@@ -200,6 +188,8 @@ def exact_percentiles(
     values = cells(df, columns, by).filter(value.isNotNull())
     sketch = values.groupBy(*place).agg(F.count("*").alias("n"), F.percentile_approx("value", F.lit(ends), F.lit(accuracy)).alias("ends"))
     limits = sketch.select(*place, "n", *[F.col("ends")[2 * i + e].alias(f"{name}_{i}") for i in numbers for e, name in enumerate(("lo", "hi"))])
+    if df.count() * 8 > window_rows * accuracy:
+        limits = _narrowed(values, limits, place, shares, window_rows)
 
     def edge(name: str, i: int) -> Column:
         return F.col(f"{name}_{i}")

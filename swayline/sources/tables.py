@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from swayline.functions.columns import zoned_timestamp
 
 APP_USAGE = T.StructType([
     T.StructField("member_id", T.LongType()),
@@ -47,16 +49,27 @@ class MemberTables:
     churn_labels: DataFrame
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV with a declared schema. A malformed value, or a header in another order, stops the job."""
-    return (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("escape", '"')
+MULTI_LINE = ("web_visits",)  # titles and descriptions may hold line breaks; such a file is one task's
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """Header CSV with a declared schema; columns are found by name, others are left out. Times with a zone suffix are turned to UTC.
+    A missing column or a malformed value stops the job."""
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    there = reader.csv(path).columns
+    if missing := [f.name for f in schema if f.name not in there]:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    as_text = T.StructType([T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.TimestampNTZType) else f.dataType) for f in schema])
+    known = {f.name: f for f in as_text}
+    rows = (reader.schema(T.StructType([known.get(c, T.StructField(c, T.StringType())) for c in there])).option("enforceSchema", False)
             .option("mode", "FAILFAST").csv(path))
+    return rows.select(*[zoned_timestamp(F.col(f.name)).alias(f.name) if isinstance(f.dataType, T.TimestampNTZType) else F.col(f.name) for f in schema])
 
 
 def read_split(spark: SparkSession, folder: str, prefix: str = "") -> MemberTables:
     """All four tables of a split, ``<folder>/<prefix><table>.csv``."""
     return MemberTables(**{
-        name: read_csv(spark, f"{folder}/{prefix}{name}.csv", schema) for name, schema in SCHEMAS.items()
+        name: read_csv(spark, f"{folder}/{prefix}{name}.csv", schema, name in MULTI_LINE) for name, schema in SCHEMAS.items()
     })
 
 
@@ -64,6 +77,6 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
     """Ranked list, comparison report and trial log all leave through here, one file per task."""
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+        writer = writer.option("header", True).option("escape", '"').option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
     writer.format(fmt).save(path)
     return path

@@ -1,5 +1,7 @@
 """The bucketed kernel against a plain sort, and percentiles against pandas."""
 
+import re
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -7,7 +9,7 @@ from pyspark.sql import functions as F
 
 from swayline.config import CurveConfig
 from swayline.operators.running import (
-    BUCKET, PART, assign_buckets, bucket_count, exact_percentiles, find_cuts, running_sums,
+    BUCKET, assign_buckets, bucket_count, exact_percentiles, find_cuts, running_sums,
 )
 
 
@@ -59,7 +61,7 @@ def test_a_dominating_score_is_spread(spark):
     p = pd.DataFrame({"member_id": np.arange(n), "uplift": np.where(np.arange(n) < 18_000, 0.0, np.arange(n) / 7.0)})
     df = spark.createDataFrame(p)
     cuts = find_cuts(df, "uplift", "member_id", (), CurveConfig(rows_per_bucket=1000))
-    sizes = assign_buckets(df, "uplift", "member_id", cuts, True).groupBy(BUCKET, PART).count().toPandas()["count"]
+    sizes = assign_buckets(df, "uplift", "member_id", cuts, True).groupBy(BUCKET).count().toPandas()["count"]
     assert sizes.sum() == n and sizes.max() < 2_500
     assert len(sizes) < 6 * 21
 
@@ -138,3 +140,35 @@ def test_neighbouring_doubles(spark):
     assert sorted(r["rank"] for r in rows) == list(range(1, 4001))
     high = max(r["uplift"] for r in rows)
     assert all((r["rank"] <= 2000) == (r["uplift"] == high) for r in rows)
+
+
+def test_ids_that_begin_alike_are_spread(spark):
+    """One score, text ids with one long beginning: ranges are cut by the ids themselves."""
+    df = spark.range(3000).selectExpr("concat('MEMBER0000000000-', lpad(id, 6, '0')) member_id", "0.5D uplift")
+    cuts = find_cuts(df, "uplift", "member_id", (), CurveConfig(rows_per_bucket=100))
+    sizes = [r["count"] for r in assign_buckets(df, "uplift", "member_id", cuts, True).groupBy(BUCKET).count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) < 300
+
+
+def test_plan_does_not_grow_with_the_buckets(spark):
+    df = spark.createDataFrame(score_frame(4000))
+
+    def size(rows_per_bucket):
+        text = running_sums(df, "uplift", {"k": F.lit(1)}, cfg=CurveConfig(rows_per_bucket=rows_per_bucket))._jdf.queryExecution().toString()
+        return len(re.sub(r"#\d+L?|ranges-[0-9a-f]+|\d+", "", text))
+
+    assert abs(size(500) - size(10)) < 300
+
+
+@pytest.mark.parametrize("window_rows", [1, 20, 400])
+def test_percentiles_in_rounds(spark, window_rows):
+    rng = np.random.default_rng(8)
+    p = pd.DataFrame({"t": np.repeat([0, 1], 2500), "heavy": np.where(rng.random(5000) < 0.7, 1.5, rng.normal(size=5000)),
+                      "wide": np.exp(rng.normal(size=5000) * 20), "few": rng.integers(0, 3, 5000).astype(float)})
+    p.loc[p.index[:3], "wide"] = [1e300, -1e300, 0.0]
+    shares = [(1, 4), (1, 2), (3, 4), (0, 1), (1, 1), (1, 3)]
+    got = exact_percentiles(spark.createDataFrame(p), ["heavy", "wide", "few"], shares, ["t"], 50, window_rows).toPandas()
+    assert len(got) == 2 * 3 * len(shares)
+    for r in got.itertuples():
+        num, den = shares[r.share_no]
+        assert r.value == pytest.approx(p[p.t == r.t][r.feature].quantile(num / den), rel=1e-12, abs=1e-12)

@@ -103,3 +103,32 @@ def test_long_scores_feed_the_comparison(spark):
     assert got["one"]["max"] == 6.0 and got["two"]["max"] == 10.0
     alone = curves.qini_auc(Constant("b").score(df)).first()["qini_auc"]
     assert got["two"]["qini_auc"] == pytest.approx(alone)
+
+
+def test_csv_as_it_comes(spark, tmp_path):
+    """Another column order, extra columns, quoted line breaks and quotes, zone suffixes."""
+    (tmp_path / "web_visits.csv").write_text('title,extra,member_id,timestamp,url,description\n"a ""b"",\nc",x,1,05/07/2025,u,\n')
+    row, = tables.read_csv(spark, str(tmp_path / "web_visits.csv"), tables.WEB_VISITS, multi_line=True).collect()
+    assert tuple(row) == (1, "u", 'a "b",\nc', None, "05/07/2025")
+    (tmp_path / "app_usage.csv").write_text("timestamp,member_id,event_type\n2025-07-01T10:00:00Z,1,session\n2025-07-01 10:00:00+02:00,2,session\n"
+                                            "2025-07-01 10:00:00,3,session\n2025-07-01,4,session\n,5,session\n")
+    got = {r["member_id"]: str(r["timestamp"]) for r in tables.read_csv(spark, str(tmp_path / "app_usage.csv"), tables.APP_USAGE).collect()}
+    assert got == {1: "2025-07-01 10:00:00", 2: "2025-07-01 08:00:00", 3: "2025-07-01 10:00:00", 4: "2025-07-01 00:00:00", 5: "None"}
+    (tmp_path / "bad.csv").write_text("timestamp,member_id,event_type\nsoon,1,session\n")
+    with pytest.raises(Exception, match="not a timestamp"):
+        tables.read_csv(spark, str(tmp_path / "bad.csv"), tables.APP_USAGE).collect()
+    (tmp_path / "less.csv").write_text("member_id,event_type\n1,session\n")
+    with pytest.raises(ValueError, match="timestamp"):
+        tables.read_csv(spark, str(tmp_path / "less.csv"), tables.APP_USAGE)
+
+
+def test_visit_times_with_parts_missing(spark):
+    from swayline.config import DAY_FIRST_FORMATS, YEAR_FIRST_FORMATS
+    from swayline.functions.columns import lenient_timestamp
+    day_first = {"05/07/2025 10:11:12": "2025-07-05 10:11:12", "5/7/2025 10:11": "2025-07-05 10:11:00", "05-07-2025": "2025-07-05 00:00:00",
+                 "5/7/2025 9:01:02.5": "2025-07-05 09:01:02.500000", "13/13/2025": None, "2025-07-05": None}
+    year_first = {"2025-07-05 10:11:12": "2025-07-05 10:11:12", "2025-7-5T9:05": "2025-07-05 09:05:00", "2025-07-05": "2025-07-05 00:00:00",
+                  "2025-07-05T10:11:12.123456": "2025-07-05 10:11:12.123456", "05/07/2025": None}
+    for formats, cases in ((DAY_FIRST_FORMATS, day_first), (YEAR_FIRST_FORMATS, year_first)):
+        df = spark.createDataFrame([(k,) for k in cases], "t string").withColumn("at", lenient_timestamp(F.col("t"), formats))
+        assert {r["t"]: r["at"] and str(r["at"]) for r in df.collect()} == cases
