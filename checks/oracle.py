@@ -611,3 +611,96 @@ ORACLE["j11_overfit_check"] = with_(*BASE, SCORES, f"s as (select *, case when {
 ORACLE["j12_model_comparison"] = with_(*BASE, MODEL_SCORES, *qini_steps("model_scores", "model"),
     f"sums as (select model, {SUMMARY} from model_scores group by 1)") + \
     f"select model, {r6('qini_auc', 'qini_auc')}, min, max, range, mean, std from areas join sums using (model)"
+
+# --- learners -------------------------------------------------------------------------------------------------
+
+LINEAR = ("tenure_days", "total_claims", "unique_icd_codes")
+
+
+def _solved(name: str, source: str, n: int) -> list[str]:
+    """Steps that solve the n equations in the columns ``m_i_j`` (matrix) and ``m_i_n`` (right side) of ``source``; ``name`` has x_0.. ."""
+    steps, before = [], source
+    for k in range(n):
+        cells = []
+        for i in range(n):
+            for j in range(n + 1):
+                pivot = f"m_{k}_{j} / m_{k}_{k}"
+                cells.append(f"{pivot if i == k else f'm_{i}_{j} - m_{i}_{k} * ({pivot})'} as m_{i}_{j}")
+        steps.append(f"{name}_{k} as materialized (select {', '.join(cells)} from {before})")
+        before = f"{name}_{k}"
+    return [*steps, f"{name} as materialized (select {', '.join(f'm_{i}_{n} as x_{i}' for i in range(n))} from {before})"]
+
+
+def _newton(steps: int = 9, c: float = 1.0) -> list[str]:
+    x = ["1.0", *(f"cast({f} as double)" for f in LINEAR)]
+    n = len(x)
+    out = [f"b0 as materialized (select {', '.join(f'0.0::double as x_{i}' for i in range(n))})"]
+    for s in range(steps):
+        p = "1 / (1 + exp(-(" + " + ".join(f"b.x_{i} * {x[i]}" for i in range(n)) + ")))"
+        rows = f"r{s} as materialized (select features.*, {p} as p, {', '.join(f'b.x_{i}' for i in range(n))} from features cross join b{s} b)"
+        cells = [f"sum(p * (1 - p) * {x[i]} * {x[j]}) + {1 / c if i == j and i else 0.0} as m_{i}_{j}" for i in range(n) for j in range(n)]
+        cells += [f"sum((treatment - p) * {x[i]}) - {1 / c if i else 0.0} * any_value(x_{i}) as m_{i}_{n}" for i in range(n)]
+        out += [rows, f"h{s} as materialized (select {', '.join(cells)} from r{s})", *_solved(f"d{s}", f"h{s}", n),
+                f"b{s + 1} as materialized (select {', '.join(f'b.x_{i} + d.x_{i} as x_{i}' for i in range(n))} from b{s} b cross join d{s} d)"]
+    return out
+
+
+_linear = " + ".join(f"b.x_{i + 1} * {f}" for i, f in enumerate(LINEAR))
+ORACLE["j1_propensity_optimum"] = with_(*BASE, *_newton()) + f"""select member_id, treatment,
+  round(1 / (1 + exp(-(b.x_0 + {_linear}))), 3) + 0.0 as propensity_score from features cross join b9 b"""
+
+
+def _ridges(alpha: float = 10.0) -> list[str]:
+    """Centred sums by arm, the two outcome ridges, then the two effect ridges, whose labels are predictions of the other arm's model."""
+    n = len(LINEAR)
+    steps = []
+    for arm in (0, 1):
+        mean = lambda c: f"avg(cast({c} as double))"
+        product = lambda a, b: f"sum(cast({a} as double) * {b}) - count(*) * {mean(a)} * {mean(b)}"
+        cells = [f"{product(LINEAR[i], LINEAR[j])} as g_{i}_{j}" for i in range(n) for j in range(n)] + [f"{product(LINEAR[i], 'y')} as c_{i}" for i in range(n)]
+        cells += [f"{mean(f)} as a_{i}" for i, f in enumerate(LINEAR)] + [f"{mean('y')} as a_y"]
+        steps.append(f"s{arm} as materialized (select {', '.join(cells)} from features where treatment = {arm})")
+        ridge = [f"g_{i}_{j} + {alpha if i == j else 0.0} as m_{i}_{j}" for i in range(n) for j in range(n)]
+        steps.append(f"e{arm} as materialized (select {', '.join(ridge + [f'c_{i} as m_{i}_{n}' for i in range(n)])} from s{arm})")
+        steps += _solved(f"w{arm}", f"e{arm}", n)
+    for arm, other, sign in ((0, 1, 1), (1, 0, -1)):  # control: prediction less outcome; treated: outcome less prediction
+        ridge = [f"s.g_{i}_{j} + {alpha if i == j else 0.0} as m_{i}_{j}" for i in range(n) for j in range(n)]
+        moved = [f"{sign} * ({' + '.join(f's.g_{i}_{j} * w.x_{j}' for j in range(n))} - s.c_{i}) as m_{i}_{n}" for i in range(n)]
+        steps.append(f"f{arm} as materialized (select {', '.join(ridge + moved)} from s{arm} s cross join w{other} w)")
+        steps += _solved(f"v{arm}", f"f{arm}", n)
+        # Mean of the label over the arm, and the line through it.
+        predicted = f"(o.a_y + {' + '.join(f'w.x_{i} * (s.a_{i} - o.a_{i})' for i in range(n))})"
+        steps.append(f"t{arm} as materialized (select {sign} * ({predicted} - s.a_y) as mid, {', '.join(f's.a_{i}' for i in range(n))}, "
+                     f"{', '.join(f'v.x_{i}' for i in range(n))} from s{arm} s cross join s{other} o cross join w{other} w cross join v{arm} v)")
+    return steps
+
+
+def _tau(a: str) -> str:
+    return f"({a}.mid + {' + '.join(f'{a}.x_{i} * ({f} - {a}.a_{i})' for i, f in enumerate(LINEAR))})"
+
+
+ORACLE["j6_x_learner_optimum"] = with_(*BASE, *_ridges()) + f"""select member_id, round((0.05 + (tenure_days % 10) * 0.1) * {_tau('t0')}
+  + (1 - (0.05 + (tenure_days % 10) * 0.1)) * {_tau('t1')}, 4) + 0.0 as uplift from features cross join t0 cross join t1"""
+
+_UNIT = "67108864"  # parts of a gradient
+ORACLE["j4_one_split"] = with_(
+    *BASE, "arms as (select treatment, ln(sum(y)::double / (count(*) - sum(y))) as start from features group by 1)",
+    f"""graded as materialized (select f.*, round((1 / (1 + exp(-start)) - y) * {_UNIT}) as g,
+      round(1 / (1 + exp(-start)) * (1 - 1 / (1 + exp(-start))) * {_UNIT}) as h from features f join arms using (treatment))""",
+    "cuts as (" + " union all ".join(f"select {i} as f, '{name}' as feature, cast(c * {step} as double) as threshold from range(250) as t(c)"
+                                     for i, (name, step) in enumerate(zip(LINEAR, (20, 1, 1)))) + ")",
+    "long as materialized (" + " union all ".join(f"select {i} as f, treatment, cast({name} as double) as value, g, h from graded" for i, name in enumerate(LINEAR)) + ")",
+    """sides as (select treatment, f, feature, threshold, sum(g) filter (where value <= threshold) as gl, sum(h) filter (where value <= threshold) as hl,
+      count(*) filter (where value <= threshold) as nl, sum(g) as gw, sum(h) as hw, count(*) as nw from long join cuts using (f) group by treatment, f, feature, threshold)""",
+    f"""pulled as (select *, case when treatment = 1 then 0.5 else 10.0 end as l1, case when treatment = 1 then 0.5 else 5.0 end as l2 from sides
+      where nl >= 20 and nw - nl >= 20 and hl >= 0.001 * {_UNIT} and hw - hl >= 0.001 * {_UNIT})""",
+    f"""drawn as (select *, sign(gl) * greatest(abs(gl / {_UNIT}) - l1, 0) as tl, sign(gw - gl) * greatest(abs((gw - gl) / {_UNIT}) - l1, 0) as tr,
+      sign(gw) * greatest(abs(gw / {_UNIT}) - l1, 0) as tw from pulled)""",
+    f"gained as (select *, tl * tl / (hl / {_UNIT} + l2) + tr * tr / ((hw - hl) / {_UNIT} + l2) - tw * tw / (hw / {_UNIT} + l2) as gain from drawn)",
+    "best as (select * from gained where gain > 0 qualify row_number() over (partition by treatment order by gain desc, f, threshold) = 1)",
+    f"""leafs as (select treatment, -sign(sum(g)) * greatest(abs(sum(g) / {_UNIT}) - case when treatment = 1 then 0.5 else 10.0 end, 0)
+      / (sum(h) / {_UNIT} + case when treatment = 1 then 0.5 else 5.0 end) as alone from graded group by treatment)""") + f"""
+  select case when a.treatment = 1 then 'treated' else 'control' end as arm, feature, {r6('threshold', 'threshold')}, {r6('a.start', 'start')},
+    {r6(f'case when b.f is null then alone else -tl / (hl / {_UNIT} + b.l2) end', 'left_value')},
+    {r6(f'-tr / ((hw - hl) / {_UNIT} + b.l2)', 'right_value')}
+  from arms a join leafs using (treatment) left join best b on b.treatment = a.treatment"""

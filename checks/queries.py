@@ -6,12 +6,13 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from swayline.config import CONTROL_BOOST, CurveConfig, DAY_FIRST_FORMATS, YEAR_FIRST_FORMATS
+from swayline.config import CONTROL_BOOST, BoostConfig, CurveConfig, DAY_FIRST_FORMATS, PropensityConfig, YEAR_FIRST_FORMATS
 from swayline.functions import columns as C
 from swayline.operators import (
-    curves, effects, features as fe, interactions as ia, learners, quality, reports, selection, splits, tuning,
+    curves, effects, features as fe, interactions as ia, learners, quality, reports, selection, splits, trees, tuning,
 )
 from swayline.plans import pipeline
 from swayline.sources import star_tables as star, tables
@@ -703,6 +704,17 @@ def j1_propensity(spark, d):
     return tidy(train.select(F.lit("train").alias("split"), *names).unionByName(test.select(F.lit("test").alias("split"), *names)))
 
 
+LINEAR = ("tenure_days", "total_claims", "unique_icd_codes")  # few, so that the twin can solve for them in SQL
+
+
+@query
+def j1_propensity_optimum(spark, d):
+    """The fitted propensity itself: the twin finds the same optimum by Newton steps."""
+    ft = written_features(spark, d)
+    model = learners.fit_propensity(ft, LINEAR, PropensityConfig(tol=1e-13))
+    return model.transform(ft).select("member_id", "treatment", (F.round("propensity_score", 3) + F.lit(0.0)).alias("propensity_score"))
+
+
 @query
 def j2_weighted_forests(spark, d):
     train, test, kept = _modelling(spark, d)
@@ -721,6 +733,22 @@ def j4_t_learner(spark, d):
     return _uplift(learners.fit_t_learner(train, kept, control=CONTROL_BOOST), train, test)
 
 
+@query
+def j4_one_split(spark, d):
+    """The T-learner with one tree of one split an arm, on given cut values: the twin weighs every cut."""
+    ft = written_features(spark, d)
+    cfg = BoostConfig(max_iter=1, max_depth=1, num_leaves=2, step_size=1.0, min_instances=20, feature_share=1.0, tree_share=1.0, min_split_gain=0.0)
+    edges = [np.arange(250) * step for step in (20.0, 1.0, 1.0)]
+    models = trees.fit_boosted(ft, LINEAR, "y", {"treated": (1, cfg), "control": (0, replace(cfg, l1=10.0, l2=5.0))}, "treatment", edges=edges)
+    rows = []
+    for name, model in models.items():
+        t = model.trees[0]
+        cut = t.feature[0] >= 0
+        rows.append((name, LINEAR[t.feature[0]] if cut else None, float(t.threshold[0]) if cut else None, model.start,
+                     float(t.value[t.left[0]]) if cut else float(t.value[0]), float(t.value[t.right[0]]) if cut else None))
+    return tidy(spark.createDataFrame(rows, "arm string, feature string, threshold double, start double, left_value double, right_value double"))
+
+
 @query
 def j5_tuned_t_learner(spark, d):
     train, test, kept = _modelling(spark, d)
@@ -733,6 +761,14 @@ def j6_x_learner(spark, d):
     return _uplift(learners.fit_x_learner(train, kept), train, test)
 
 
+@query
+def j6_x_learner_optimum(spark, d):
+    """The X-learner's own arithmetic, blended by a given propensity: the twin solves the four ridges in SQL."""
+    ft = written_features(spark, d).withColumn("p", F.lit(0.05) + (F.col("tenure_days") % 10) * 0.1)
+    scored = learners.fit_x_learner(ft, LINEAR, "p").score(ft)
+    return scored.select("member_id", (F.round("uplift", 4) + F.lit(0.0)).alias("uplift"))
+
+
 @query
 def j7_dr_learner(spark, d):
     train, test, kept = _modelling(spark, d)
