@@ -64,3 +64,11 @@ def test_index_never_misses(texts, pattern):
 
 def test_empty(spark):
     assert secret_scan.scan(documents(spark, [])).count() == 0
+
+
+def test_tokens_of_any_length(spark):
+    long = "eyJ" + "a" * 50 + ".eyJ" + "Zb0_-" * 2000 + "." + "c" * 6000
+    slack = "xoxb-" + "1a-" * 300 + "z"
+    texts = [(1, f"see {long} there"), (2, f"<{slack}>"), (3, "eyJ" * 40_000)]
+    spans = {r["doc_id"]: r["spans"] for r in secret_scan.scan(documents(spark, texts, clash=False)).collect()}
+    assert f"jwt:4:{4 + len(long)}" in spans[1] and f"slack:1:{1 + len(slack)}" in spans[2] and "jwt" not in spans[3]
