@@ -28,7 +28,10 @@ HEADLINE = [
     "j12_model_comparison",
     "j2_weighted_forests",
     "j3_s_learner",
+    "j4_t_learner",
+    "j5_tuned_t_learner",
     "j6_x_learner",
+    "j8_random_search",       # 20 trials, 40 models
 ]
 
 

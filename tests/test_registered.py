@@ -14,7 +14,7 @@ from swayline.sources import star_tables as star
 from swayline.sources.storage import materialise
 
 FOLDER = "/root/testdata/sf0.001"
-SLOW = {"j4_t_learner", "j5_tuned_t_learner", "j7_dr_learner", "j11_fitted_overfit"}  # fitted in test_learners with small settings
+SLOW = {"j7_dr_learner", "j11_fitted_overfit"}  # fitted in test_learners with small settings
 
 
 @pytest.fixture(scope="module")
