@@ -90,12 +90,13 @@ class SoloConfig:
 
 @dataclass(frozen=True)
 class ForestConfig:
-    """``max_depth`` 0: no limit."""
+    """``max_depth`` 0: no limit. ``feature_share`` 0: a square root of the features is tried at each node."""
 
     num_trees: int = 100
     max_depth: int = 0
     min_instances: int = 1
     seed: int = 42
+    feature_share: float = 0.0
 
 
 @dataclass(frozen=True)
@@ -133,7 +134,7 @@ class CrossFitConfig:
     repeats: int = 3
     seed: int = 42
     clip: float = 1e-6
-    forest: ForestConfig = field(default_factory=lambda: ForestConfig(100, 3, 10, 42))
+    forest: ForestConfig = field(default_factory=lambda: ForestConfig(100, 3, 10, 42, 1.0))
     final_iter: int = 100
     final_depth: int = 3
     final_min_instances: int = 10
