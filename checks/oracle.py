@@ -704,3 +704,11 @@ ORACLE["j4_one_split"] = with_(
     {r6(f'case when b.f is null then alone else -tl / (hl / {_UNIT} + b.l2) end', 'left_value')},
     {r6(f'-tr / ((hw - hl) / {_UNIT} + b.l2)', 'right_value')}
   from arms a join leafs using (treatment) left join best b on b.treatment = a.treatment"""
+
+ORACLE["g2_unread_times"] = """select 'timestamp' as "column", count(*) filter (event_id % 7 <> 2 and ts is not null) as present,
+  count(*) filter (event_id % 7 = 0 and ts is not null) as unread from events"""
+ORACLE["d21_p_value_histogram"] = with_(*BASE, *WELCH_STEPS, "p_values as (select upper_tail / full_tail as p from whole where upper_tail is not null)",
+    "ends as (select min(p) as lo, max(p) as hi from p_values)",
+    """guess as (select p, lo, (hi - lo) / 20.0::double as w, greatest(0, least(19, cast(floor((p - lo) * 20.0::double / (hi - lo)) as bigint))) as b
+  from p_values, ends)""", """placed as (select case when p < lo + b * w then b - 1 when b < 19 and p >= lo + (b + 1) * w then b + 1 else b end as bin from guess)""") + """
+  select bin, count(*) as count from placed group by bin"""

@@ -458,6 +458,12 @@ def d21_uplift_histogram(spark, d):
     return tidy(reports.histogram(scores(spark, d), "uplift", 50))
 
 
+@query
+def d21_p_value_histogram(spark, d):
+    ft = written_features(spark, d)
+    return tidy(reports.histogram(materialise(effects.welch_test(ft, fe.feature_names(ft)), "welch"), "p_value", 20).select("bin", "count"))
+
+
 @query
 def d22_percentiles(spark, d):
     return tidy(reports.percentile_table(model_scores(spark, d), "uplift", by=["model"]))
@@ -618,6 +624,15 @@ def g2_health_check(spark, d):
     return tidy(quality.health_check(train, test))
 
 
+@query
+def g2_unread_times(spark, d):
+    """Visit times as day-first text, with parts missing here and there, and every seventh in the other order."""
+    e = star.table(spark, d, "events")
+    text = F.when(F.col("event_id") % 7 == 0, F.date_format("ts", "MM-yyyy-dd")).when(F.col("event_id") % 7 == 1, F.date_format("ts", "d/M/yyyy H:mm")).when(
+        F.col("event_id") % 7 > 2, F.date_format("ts", "dd/MM/yyyy HH:mm:ss.SSS"))
+    return quality.unread_times(e.select(text.alias("timestamp")), "timestamp", DAY_FIRST_FORMATS)
+
+
 @query
 def h1_redundant_pairs(spark, d):
     corr, _, names = _correlations(spark, d)

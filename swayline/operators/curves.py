@@ -182,8 +182,9 @@ def roc_auc(df: DataFrame, score: str, label: str, *, keys: Sequence[str] = (),
 
 
 def classification_report(df: DataFrame, score: str, label: str, threshold: float = 0.5) -> DataFrame:
-    """Precision, recall, F1 and support per class, accuracy, macro and weighted averages, from four counts."""
-    guess, truth = (F.col(score) >= threshold).cast("int"), F.col(label).cast("int")
+    """Precision, recall, F1 and support per class, accuracy, macro and weighted averages, from four counts. A missing score is a
+    guess of class 0, so its row stays in the support; rows without a label are in no class."""
+    guess, truth = F.coalesce(clean(F.col(score)) >= threshold, F.lit(False)).cast("int"), F.col(label).cast("int")
     cells = df.select(guess.alias("g"), truth.alias("t")).agg(*[
         F.count_if((F.col("g") == g) & (F.col("t") == t)).alias(f"c{g}{t}") for g in (0, 1) for t in (0, 1)])
     per_class = cells.select("*", F.explode(F.array(F.lit(0), F.lit(1))).alias("cls")).select(

@@ -56,31 +56,33 @@ def app_features(app_usage: DataFrame, cfg: FeatureConfig) -> DataFrame:
     )
 
 
+def with_url_parts(rows: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    url = F.col("url")
+    return rows.withColumns({"domain": C.url_part(url, 1), "category": C.url_part(url, 2), "page": C.url_part(url, 3)}).withColumn(
+        "is_own_domain", C.is_own_domain(F.col("domain"), cfg.own_domain_token))
+
+
 def visit_parts(web_visits: DataFrame, cfg: FeatureConfig) -> DataFrame:
     """One row per visit: parsed time, URL parts and own-domain flag."""
-    url = F.col("url")
-    return (
-        keyed(web_visits)
-        .select("member_id", "url", as_timestamp(web_visits, "timestamp", cfg).alias("ts"),
-                C.url_part(url, 1).alias("domain"), C.url_part(url, 2).alias("category"),
-                C.url_part(url, 3).alias("page"))
-        .withColumn("is_own_domain", C.is_own_domain(F.col("domain"), cfg.own_domain_token))
-    )
+    return with_url_parts(keyed(web_visits).select("member_id", "url", as_timestamp(web_visits, "timestamp", cfg).alias("ts")), cfg)
 
 
 def web_features(web_visits: DataFrame, cfg: FeatureConfig) -> DataFrame:
+    """Visits become one row per member and URL first; addresses are taken apart, and distinct parts counted, on those only."""
     ts = F.col("ts")
-    own = F.sum(F.col("is_own_domain").cast("int"))
-    total = F.count("url")
-    return visit_parts(web_visits, cfg).groupBy("member_id").agg(
+    per_url = keyed(web_visits).select("member_id", "url", as_timestamp(web_visits, "timestamp", cfg).alias("ts")).groupBy("member_id", "url").agg(
+        F.count("*").alias("visits"), F.max(ts).alias("last"), *trend_columns(ts, C.midnight(cfg.mid_date), "visits", "visit_trend"))
+    own = F.sum(F.when(F.col("is_own_domain"), F.col("visits")).otherwise(0))
+    total = F.sum(F.when(F.col("url").isNotNull(), F.col("visits")).otherwise(0))
+    return with_url_parts(per_url, cfg).groupBy("member_id").agg(
         total.alias("total_web_visits"),
         F.count_distinct("domain").alias("unique_domains"),
         F.count_distinct("category").alias("unique_categories"),
         F.count_distinct("page").alias("unique_pages"),
-        F.max(ts).alias("last_visit"),
+        F.max("last").alias("last_visit"),
         own.alias("own_domain_visits"),
         F.try_divide(own.cast("double"), total.cast("double")).alias("ratio_own_domain"),
-        *trend_columns(ts, C.midnight(cfg.mid_date), "visits", "visit_trend"),
+        *[F.sum(c).alias(c) for c in ("early_visits", "late_visits", "visit_trend")],
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from swayline.config import DriftConfig
-from swayline.functions.columns import rate
+from swayline.functions.columns import lenient_timestamp, rate
 from swayline.operators.running import cells, name_of
 
 LABELS = ("churn", "outreach", "treatment", "y", "member_id")
@@ -56,6 +56,13 @@ def null_audit(train: DataFrame, test: DataFrame) -> DataFrame:
     return both.filter(F.col("nulls") > 0)
 
 
+def unread_times(raw: DataFrame, column: str, formats: Sequence[str]) -> DataFrame:
+    """(column, present, unread): how many texts there are, and how many of them no format reads and so become null."""
+    text = F.col(column)
+    unread = text.isNotNull() & lenient_timestamp(text, formats).isNull()
+    return raw.agg(F.lit(column).alias("column"), F.count(text).alias("present"), F.count_if(unread).alias("unread"))
+
+
 def tagged(train: DataFrame, test: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Both splits under one plan, told apart by ``is_test``."""
     return train.select(F.lit(False).alias("is_test"), *columns).unionByName(

@@ -169,3 +169,10 @@ def test_other_column_names(spark):
     p = frame(100, 9).rename(columns={"y": "churn", "treatment": "outreach", "uplift": "score", "member_id": "id"})
     cols = ScoreColumns("score", "churn", "outreach", "id")
     assert curves.auuc(spark.createDataFrame(p), cols, cfg=CFG).first()["n"] == 100
+
+
+def test_class_report_keeps_rows_without_a_score(spark):
+    df = spark.createDataFrame([(0.9, 1), (None, 1), (float("nan"), 0), (0.2, 0), (0.7, 0)], "score double, label int")
+    rows = {r["label"]: r for r in curves.classification_report(df, "score", "label").collect()}
+    assert rows["1"]["support"] == 2 and rows["0"]["support"] == 3 and rows["accuracy"]["support"] == 5
+    assert rows["1"]["recall"] == 0.5 and rows["0"]["precision"] == pytest.approx(2 / 3)
