@@ -34,8 +34,8 @@ def rank_members(df: DataFrame, score: str = "uplift", *, descending: bool = Tru
                  first: int | None = None, cuts: Cuts | None = None, cfg: CurveConfig = CurveConfig()) -> DataFrame:
     """Unique rank 1..N by score, ties by member. With ``first``, only that many rows, and only their buckets are sorted."""
     ranked = running_sums(df, score, {"rank": F.lit(1).cast("bigint")}, tie_break=member, descending=descending,
-                          up_to=None if first is None else ("rank", first), cuts=cuts, cfg=cfg).drop("before_rank")
-    return ranked if first is None else ranked.filter(F.col("rank") <= first)
+                          first=first, cuts=cuts, cfg=cfg).drop("before_rank")
+    return ranked
 
 
 def counted(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, descending: bool = True, first: int | None = None,
@@ -47,7 +47,7 @@ def counted(df: DataFrame, cols: ScoreColumns = ScoreColumns(), *, descending: b
         "k": F.lit(1).cast("bigint"),
         "n_treated": t, "n_control": 1 - t, "y_treated": y * t, "y_control": y * (1 - t),
         "sum_score": F.coalesce(F.col(cols.score), F.lit(0.0)),
-    }, tie_break=cols.member, descending=descending, up_to=None if first is None else ("k", first), cuts=cuts, cfg=cfg)
+    }, tie_break=cols.member, descending=descending, first=first, cuts=cuts, cfg=cfg)
 
 
 def scaled_control(nc: Column, yc: Column, nt: Column) -> Column:

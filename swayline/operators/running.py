@@ -19,6 +19,7 @@ from swayline.sources.storage import materialise
 
 BUCKET = "_bucket"
 STEPS = 64  # of a bracket in a round
+TOP_ROWS = 100_000  # of an order that one task may hold
 
 
 @dataclass(frozen=True)
@@ -70,6 +71,7 @@ def running_sums(
     keys: Sequence[str] = (),
     descending: bool = True,
     up_to: tuple[str, int] | None = None,
+    first: int | None = None,
     cuts: Cuts | None = None,
     cfg: CurveConfig = CurveConfig(),
 ) -> DataFrame:
@@ -79,10 +81,14 @@ def running_sums(
     columns are kept. Without one, rows of equal score become one point ``(keys.., score)`` before they are dealt; they are combined
     on the map side, so a score held by most rows is no burden.
 
-    ``up_to=(name, n)`` leaves out ranges in which that running total is past ``n`` from the start. The rows are written once, dealt
+    ``first=n`` keeps the first n rows of the order (no keys): up to ``TOP_ROWS`` every task finds its own first n before anything is
+    dealt, beyond that ranges past them are left out. ``up_to=(name, n)`` leaves out ranges in which that running total is past ``n`` from the start. The rows are written once, dealt
     by range; totals of ranges become offsets, joined as a table. ``cuts`` of the same table can be reused.
     """
     ready = df.withColumn(score, clean(F.col(score)))
+    if first is not None and first <= TOP_ROWS:
+        ready = ready.orderBy(*order_of(score, tie_break, descending)).limit(first)
+        cuts = Cuts(bucket_count(first, df.sparkSession.sparkContext.defaultParallelism, cfg))
     cuts = cuts or find_cuts(ready, score, tie_break, keys, cfg)
     own = {n: f"_own_{n}" for n in sums}
     if tie_break:
@@ -93,6 +99,10 @@ def running_sums(
         points = ready.groupBy(*keys, score).agg(*[F.sum(c).alias(own[n]) for n, c in sums.items()])
     points = assign_buckets(points, score, tie_break, cuts, descending)
     place = [*keys, BUCKET]
+    if first is not None:
+        sums, up_to = {**sums, "_first": F.lit(1)}, up_to or ("_first", first)
+        points = points.withColumn("_own__first", F.lit(1))
+        own = {**own, "_first": "_own__first"}
 
     totals = points.groupBy(*place).agg(*[F.sum(c).alias(f"_all_{n}") for n, c in own.items()])
     earlier = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)  # one row a range
@@ -105,7 +115,9 @@ def running_sums(
     upto = Window.partitionBy(*place).orderBy(order_of(score, None, descending)[0], *ties).rowsBetween(Window.unboundedPreceding, 0)
     inside = points.select("*", *[F.sum(c).over(upto).alias(f"_in_{n}") for n, c in own.items()])
     inside = join_same(inside, offsets, place)
-    running = {n: F.col(f"_in_{n}") + F.col(f"_off_{n}") for n in sums}
+    if first is not None:
+        inside = inside.filter(F.col("_in__first") + F.col("_off__first") <= first)
+    running = {n: F.col(f"_in_{n}") + F.col(f"_off_{n}") for n in sums if n != "_first"}
     return inside.select(
         *kept,
         *[c.alias(n) for n, c in running.items()],

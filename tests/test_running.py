@@ -172,3 +172,17 @@ def test_percentiles_in_rounds(spark, window_rows):
     for r in got.itertuples():
         num, den = shares[r.share_no]
         assert r.value == pytest.approx(p[p.t == r.t][r.feature].quantile(num / den), rel=1e-12, abs=1e-12)
+
+
+@pytest.mark.parametrize("top_rows", [100_000, 10])
+def test_first_rows(spark, monkeypatch, top_rows):
+    """The first rows of the order, found by every task or by leaving out ranges."""
+    from swayline.operators import running
+    monkeypatch.setattr(running, "TOP_ROWS", top_rows)
+    p = score_frame()
+    for descending, n in ((True, 500), (False, 500), (True, 5000), (True, 0)):
+        got = running_sums(spark.createDataFrame(p), "uplift", {"k": F.lit(1), "nt": F.col("treatment")}, first=n, descending=descending,
+                           cfg=CurveConfig(rows_per_bucket=100)).toPandas().sort_values("k")
+        want = naive(p, descending)[:n]
+        assert list(got.columns) == ["member_id", "uplift", "treatment", "k", "nt", "before_k", "before_nt"]
+        assert (got.member_id.values == want.member_id.values).all() and (got.nt.values == want.nt.values).all()
