@@ -186,3 +186,16 @@ def test_first_rows(spark, monkeypatch, top_rows):
         want = naive(p, descending)[:n]
         assert list(got.columns) == ["member_id", "uplift", "treatment", "k", "nt", "before_k", "before_nt"]
         assert (got.member_id.values == want.member_id.values).all() and (got.nt.values == want.nt.values).all()
+
+
+@pytest.mark.parametrize("rows", [100_000, 3])
+def test_percentiles_never_broadcast_the_cells(spark, tmp_path, monkeypatch, rows):
+    """Limits, one row per group and column, meet the cells where these are; many limits are dealt by key."""
+    from swayline.operators import running
+    monkeypatch.setattr(running, "BROADCAST_ROWS", rows, raising=False)
+    p = pd.DataFrame({f"c{i}": np.arange(5000) % (i + 7) for i in range(20)})
+    spark.createDataFrame(p).write.parquet(str(tmp_path / "wide"))
+    found = exact_percentiles(spark.read.parquet(str(tmp_path / "wide")), list(p.columns), [(1, 2)])
+    assert {r["feature"]: r["value"] for r in found.collect()} == {c: p[c].median() for c in p.columns}
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "BuildLeft" not in plan and ("BroadcastHashJoin" in plan) == (rows > 20)
