@@ -14,7 +14,7 @@ from swayline.config import SEARCH_SPACE, BoostConfig, CurveConfig
 from swayline.operators.curves import ScoreColumns, qini_auc
 from swayline.operators.learners import T_COL, Y_COL, TwoModels, fit_t_learner
 from swayline.operators.splits import draw_parameters, stratified_hold_out
-from swayline.operators.trees import feature_array, fit_boosted
+from swayline.operators.trees import BOOST_ROWS, feature_array, fit_boosted
 from swayline.sources.storage import materialise
 
 
@@ -63,7 +63,7 @@ def trial_table(spark: SparkSession, rows: Sequence[dict]) -> DataFrame:
 
 
 def search(train: DataFrame, features: Sequence[str], trials: int = 20, seed: int = 42, *, space: dict[str, Sequence] = SEARCH_SPACE,
-           cols: ScoreColumns = ScoreColumns(), cfg: CurveConfig = CurveConfig(), task_rows: int = 1 << 20) -> list[dict]:
+           cols: ScoreColumns = ScoreColumns(), cfg: CurveConfig = CurveConfig(), task_rows: int = BOOST_ROWS) -> list[dict]:
     """Fit ``trials`` random parameter sets on four fifths of every arm and rate them on both parts.
 
     The models of all trials are fitted side by side, one pass scores every row with all of them, and one aggregate gives the two areas of
