@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from swayline.operators import curves, reports
 from swayline.plans import pipeline
-from swayline.sources import tables
+from swayline.sources import star_tables, storage, tables
 from swayline.sources.storage import materialise, new_path, work_dir
 from tests.test_features import CFG, tables as member_tables
 
@@ -132,3 +132,34 @@ def test_visit_times_with_parts_missing(spark):
     for formats, cases in ((DAY_FIRST_FORMATS, day_first), (YEAR_FIRST_FORMATS, year_first)):
         df = spark.createDataFrame([(k,) for k in cases], "t string").withColumn("at", lenient_timestamp(F.col("t"), formats))
         assert {r["t"]: r["at"] and str(r["at"]) for r in df.collect()} == cases
+
+
+def star(spark, folder, parts=6, lines=40):
+    """Tables of a star schema under ``folder``; a page, a part and an order repeat, and lines without a part or an order exist."""
+    day = "date_add(DATE '1998-01-01', cast(id % 300 as int))"
+    made = {
+        "part": (parts, ["id % {0} p_partkey".format(parts - 1), "concat('Brand#', id % 4) p_brand", "concat('T', id % 3, 'xx') p_type"]),
+        "orders": (9, ["id % 8 o_orderkey", "id % 3 o_custkey"]),
+        "lineitem": (lines, ["if(id % 11 = 0, null, id % 10) l_orderkey", "if(id % 7 = 0, null, id % 8) l_partkey", f"{day} l_shipdate"]),
+        "pages": (7, ["id % 6 page_id", "concat('http://a/', id) url"]),
+        "events": (30, ["id event_id", "id % 3 user_id", "'view' event_type", "TIMESTAMP_NTZ '2024-01-02 00:00:00' ts"]),
+    }
+    for name, (n, columns) in made.items():
+        spark.range(n).selectExpr(*columns).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+@pytest.mark.parametrize("rows, joins", [(100_000, "BroadcastHashJoin"), (4, "SortMergeJoin")])
+def test_source_tables_are_broadcast_by_rows_not_by_file_size(spark, tmp_path, monkeypatch, rows, joins):
+    folder = star(spark, tmp_path)
+    monkeypatch.setattr(storage, "BROADCAST_ROWS", rows, raising=False)
+    table = lambda name: star_tables.table(spark, folder, name)
+    plain = table("lineitem").join(table("part"), F.expr("l_partkey = p_partkey")).join(table("orders"), F.expr("l_orderkey = o_orderkey"))
+    want = sorted(map(tuple, plain.select("o_custkey", "p_brand", "p_type", "l_shipdate").collect()))
+    claims = star_tables.claims(spark, folder)
+    assert sorted(map(tuple, claims.collect())) == want
+    visits = star_tables.web_visits(spark, folder)
+    assert visits.count() == 30 + 5 - 4  # five events meet the page that is there twice, four meet none
+    for found in (claims, visits):
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        assert joins in plan and (joins == "BroadcastHashJoin" or "BroadcastHashJoin" not in plan)
