@@ -163,3 +163,12 @@ def test_source_tables_are_broadcast_by_rows_not_by_file_size(spark, tmp_path, m
     for found in (claims, visits):
         plan = found._jdf.queryExecution().sparkPlan().toString()
         assert joins in plan and (joins == "BroadcastHashJoin" or "BroadcastHashJoin" not in plan)
+
+
+def test_claims_come_in_tasks_of_bounded_rows(spark, tmp_path, monkeypatch):
+    """Distinct counts hold several rows for each claim of a task, so tasks follow rows, not compressed bytes."""
+    folder = star(spark, tmp_path, lines=4000)
+    monkeypatch.setattr(star_tables, "TASK_LINES", 100, raising=False)
+    claims = star_tables.claims(spark, folder)
+    held = claims.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert claims.rdd.getNumPartitions() == 40 and held < claims.count() / 4
