@@ -1,3 +1,4 @@
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -146,3 +147,28 @@ def test_recall_on_whole_tables(spark, folder):
         total += 20
     print(folder, hits / total)
     assert hits >= 0.95 * total
+
+
+def test_a_search_holds_the_counts_of_one_query_at_a_time():
+    """Collisions are counted in one sweep, with the same rows in reach as by sorted windows, and memory does not follow the queries."""
+    rng = np.random.default_rng(9)
+    shard, keys = rng.standard_normal((600, 8)), np.arange(600)
+    index = collision_ann.CollisionIndex(shard, 12)
+    peaks = []
+    for n in (60, 600):
+        tracemalloc.start()
+        found = index.search(shard[:n], keys[:n], keys, 5, 0.4, 1.3, 0.5, 0.9)
+        peaks.append(tracemalloc.get_traced_memory()[1] - sum(r.nbytes + s.nbytes for r, s in found))
+        tracemalloc.stop()
+    assert peaks[1] - peaks[0] < 540 * 600  # less than a byte for each further query and row
+    lifted = np.column_stack([shard, np.sqrt(np.maximum(index.longest ** 2 - (shard ** 2).sum(axis=1), 0))]) / index.longest
+    lines = np.random.default_rng(7).standard_normal((9, 12))
+    gaps = np.abs(lifted @ lines - (shard[3] / np.linalg.norm(shard[3])) @ lines[:-1])
+    half, scores = 0.4, shard @ shard[3]
+    while True:  # by sorting
+        met = np.flatnonzero((np.sort(gaps, axis=1)[:, 5] <= half) & (keys != 3))
+        best = met[np.argsort(-scores[met], kind="stable")[:5]]
+        if len(best) == 5 and np.sqrt(max(0, 2 - 2 * scores[best[-1]] / np.linalg.norm(shard[3]) / index.longest)) <= half / 0.9 or half > gaps.max():
+            break
+        half *= 1.3
+    assert found[3][0].tolist() == best.tolist()
