@@ -156,8 +156,8 @@ class BlockMaxIndex:
 
 class WordIndex:
     """All words of the examples, from triples (row, word, weight); rows are unit vectors. Examples lie in blocks. Words of few examples have
-    postings, those of many are columns; of either, every block has its maxima. Several texts are compared at a time, block by block: a
-    block meets those texts whose bound there reaches their k-th best product so far."""
+    postings, which are summed first; those of many are columns. A block's bound is its largest sum and the maxima of its columns. Several
+    texts are compared at a time, block by block: a block meets those texts whose bound there reaches their k-th best product so far."""
 
     def __init__(self, row: np.ndarray, word: np.ndarray, weight: np.ndarray, size: int, words: int):
         self.size, self.blocks = size, -(-size // BLOCK)
@@ -170,33 +170,28 @@ class WordIndex:
         self.most_often = np.stack([self.often[at:at + BLOCK].max(axis=0) for at in range(0, size, BLOCK)]) if size else np.zeros((0, len(often)))
         seldom = np.flatnonzero(~dense)
         seldom = seldom[np.lexsort((row[seldom], word[seldom]))]
-        self.rows, self.weights = row[seldom].astype(np.int32), weight[seldom]
+        self.rows, self.weights = row[seldom].astype(np.intp), weight[seldom]
         self.start = np.concatenate([[0], np.cumsum(np.bincount(word[seldom], minlength=words))])
-        block = self.rows // BLOCK
-        new = np.concatenate([[True], (np.diff(block) != 0) | (np.diff(word[seldom]) != 0)]) if len(seldom) else np.zeros(0, bool)
-        first = np.flatnonzero(new)
-        self.block, self.most = block[first], np.maximum.reduceat(self.weights, first) if len(first) else np.zeros(0)
-        self.block_start = np.concatenate([[0], np.cumsum(np.bincount(word[seldom][first], minlength=words))])
 
     def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query (words, weights) the ``k`` largest products (positive ones only) and their examples, ties to the smaller example."""
         many = np.zeros((len(queries), self.often.shape[1]))
-        scores, bound = np.zeros((len(queries), self.size)), np.zeros((len(queries), self.blocks))
+        scores = np.zeros((len(queries), self.blocks * BLOCK))
         for q, (words, weights) in enumerate(queries):
             column = self.column[words]
             many[q, column[column >= 0]] = weights[column >= 0]
             few, own = words[column < 0], weights[column < 0]
             at, count = _runs(self.start, few)
-            scores[q] = np.bincount(self.rows[at], self.weights[at] * np.repeat(own, count), self.size)
-            at, count = _runs(self.block_start, few)
-            bound[q] = np.bincount(self.block[at], self.most[at] * np.repeat(own, count), self.blocks)
-        bound += many @ self.most_often.T
+            scores[q] = np.bincount(self.rows[at], self.weights[at] * np.repeat(own, count), self.blocks * BLOCK)
+        bound = scores.reshape(len(queries), self.blocks, BLOCK).max(axis=2) + many @ self.most_often.T
         done = np.zeros(bound.shape, bool)
 
-        def best(q: int) -> tuple[np.ndarray, np.ndarray]:
-            blocks = np.flatnonzero(done[q])
-            rows = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            rows = rows[rows < self.size]
+        def best(q: int, reached: float) -> tuple[np.ndarray, np.ndarray]:
+            if reached > 0:  # the k-th best so far
+                rows = np.flatnonzero(scores[q] >= reached)
+                rows = rows[done[q, rows // BLOCK]]
+            else:
+                rows = (np.flatnonzero(done[q])[:, None] * BLOCK + np.arange(BLOCK)).ravel()
             found = scores[q, rows]
             if len(rows) > 4 * k:
                 least = np.partition(found, len(rows) - k)[len(rows) - k]
@@ -205,17 +200,17 @@ class WordIndex:
             order = np.lexsort((rows, -found))[:k]
             return found[order], rows[order]
 
-        wanted = bound > 0
+        wanted, least = bound > 0, np.zeros(len(queries))
         if self.blocks > FIRST:  # the most promising blocks first
             wanted &= bound >= np.partition(bound, self.blocks - FIRST, axis=1)[:, self.blocks - FIRST][:, None]
         for _ in range(2):
             for block in np.flatnonzero(wanted.any(axis=0)):
-                asking, rows = np.flatnonzero(wanted[:, block]), slice(block * BLOCK, (block + 1) * BLOCK)
+                asking, rows = np.flatnonzero(wanted[:, block]), slice(block * BLOCK, min(self.size, (block + 1) * BLOCK))
                 scores[asking, rows] += many[asking] @ self.often[rows].T
             done |= wanted
             if without is not None:
                 scores[np.arange(len(queries)), without] = 0
-            found = [best(q) for q in range(len(queries))]
+            found = [best(q, least[q]) for q in range(len(queries))]
             least = np.array([f[0][-1] if len(f[0]) >= k else 0.0 for f in found])
             wanted = ~done & (bound > 0) & (bound >= least[:, None] - 1e-9)
             if not wanted.any():

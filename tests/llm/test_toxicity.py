@@ -152,3 +152,31 @@ def test_cosines_are_those_of_whole_texts(spark):
         got = rows[i]["evidence"]
         assert np.allclose([e["similarity"] for e in got], sorted(cosines.values())[::-1][:3])
         assert all(np.isclose(e["similarity"], cosines[e["doc_id"]]) for e in got)
+
+
+def test_blocks_are_judged_by_sums_not_by_sums_of_maxima():
+    """Six blocks: four hold near examples, two have all of a text's words, but one to an example. Only the four are scored."""
+    size, k = 6 * toxicity.BLOCK, 3
+    entries = [(row, 0, 0.01) for row in range(size)]  # a word of many examples
+    entries += [(row, 1 + row // toxicity.BLOCK, 0.9) for at in range(4) for row in range(at * toxicity.BLOCK, at * toxicity.BLOCK + 5)]
+    entries += [(row, 5 + row % toxicity.BLOCK, 0.5 + row / 1000) for row in range(4 * toxicity.BLOCK, size)]
+    row, word, weight = (np.array(x) for x in zip(*entries))
+    words = 5 + toxicity.BLOCK
+    index = toxicity.WordIndex(row, word, weight, size, words)
+    whole, seen = index.often, []
+
+    class Watched:
+        shape = whole.shape
+
+        def __getitem__(self, rows):
+            seen.append(rows.start // toxicity.BLOCK)
+            return whole[rows]
+
+    index.often = Watched()
+    query = np.array([1.0, *[1.0, 0.9, 0.8, 0.7], *[0.1] * toxicity.BLOCK])
+    (scores, rows), = index.nearest([(np.arange(words), query)], k)
+    held = np.zeros((size, words))
+    held[row, word] = weight
+    want = np.lexsort((np.arange(size), -(held @ query)))[:k]
+    assert rows.tolist() == want.tolist() and np.allclose(scores, (held @ query)[want], rtol=0, atol=1e-12)
+    assert sorted(seen) == [0, 1, 2, 3]
