@@ -40,6 +40,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from swayline.llm.common import fresh, keep, map_texts, small_batches, whole_text
 
 WORD = re.compile(r"\w+")
+PLAIN_WORD = re.compile(r"\w+", re.ASCII)  # finds the same in ASCII text, faster
 HEAD = 4
 BEGINNINGS = (4, 5, 6, 7)
 SHARES = ((100, "1%"), (30, "3%"))  # a beginning's share of all words, as features of their own
@@ -53,9 +54,14 @@ PARTS = 8  # of the examples, fetched one after the other
 TALLIED = 1 << 18  # words counted in a task before it hands on what it has
 
 
+def words_of(text: str) -> list[str]:
+    lower = text.lower()
+    return (PLAIN_WORD if lower.isascii() else WORD).findall(lower)
+
+
 def features(text: str) -> Counter:
     """Counts of words (``=word``) and of beginnings of longer words (``begi``, and ``begi 1%`` where they are so many of the words)."""
-    listed = WORD.findall(text.lower())
+    listed = words_of(text)
     begun: Counter = Counter()
     found: Counter = Counter()
     for word, n in Counter(listed).items():
@@ -346,7 +352,7 @@ class Model:
         """Each text's rate by kept features; the nearest examples by whole text as products with the unweighed text and their rows; the
         square of the text's norm as far as examples have its words, and its other words with their counts."""
         for at in range(0, len(texts), TOGETHER):
-            counted = [Counter(WORD.findall(t.lower())) for t in texts[at:at + TOGETHER]]
+            counted = [Counter(words_of(t)) for t in texts[at:at + TOGETHER]]
             queries, loose = [], []
             for counts in counted:
                 word = np.fromiter(map(self.words.get, counts, repeat(-1)), np.int64, len(counts))
@@ -392,7 +398,7 @@ def _frequency(docs: DataFrame, text: str, names: list[str]) -> DataFrame:
 
         for batch in batches:
             for value in batch.column(0):
-                listed = WORD.findall(value.as_py().lower())
+                listed = words_of(value.as_py())
                 words = Counter(listed)
                 totals.update(words.keys())
                 met.update(kept(words, len(listed)).keys())

@@ -180,3 +180,8 @@ def test_blocks_are_judged_by_sums_not_by_sums_of_maxima():
     want = np.lexsort((np.arange(size), -(held @ query)))[:k]
     assert rows.tolist() == want.tolist() and np.allclose(scores, (held @ query)[want], rtol=0, atol=1e-12)
     assert sorted(seen) == [0, 1, 2, 3]
+
+
+def test_plain_texts_have_the_same_words():
+    for text in ("", "Plain text_1, x-y 2.5\n\tEND", "naïve Ünder_9 İstanbul Kelvin K ٠١ z", "a\x1cb\x7fc\x85d"):
+        assert toxicity.words_of(text) == toxicity.WORD.findall(text.lower())
