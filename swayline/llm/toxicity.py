@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from itertools import compress, repeat
 
 import numpy as np
@@ -40,7 +41,10 @@ from pyspark.sql.pandas.types import to_arrow_type
 from swayline.llm.common import fresh, keep, map_texts, small_batches, whole_text
 
 WORD = re.compile(r"\w+")
-PLAIN_WORD = re.compile(r"\w+", re.ASCII)  # finds the same in ASCII text, faster
+ASCII = bytes(range(128))
+PLAIN = bytes(b if b > 127 else ord(chr(b).lower()) if WORD.match(chr(b)) else 32 for b in range(256))  # ASCII letters small, what is in no word a space
+PLAIN_TEXT = PLAIN[:128].decode()
+REPLACED = 24  # kinds of other characters replaced one after the other in a text
 HEAD = 4
 BEGINNINGS = (4, 5, 6, 7)
 SHARES = ((100, "1%"), (30, "3%"))  # a beginning's share of all words, as features of their own
@@ -54,9 +58,23 @@ PARTS = 8  # of the examples, fetched one after the other
 TALLIED = 1 << 18  # words counted in a task before it hands on what it has
 
 
+@lru_cache(1 << 12)
+def _in_words(character: str) -> str:
+    return "".join(c if WORD.match(c) else " " for c in character.lower())
+
+
 def words_of(text: str) -> list[str]:
-    lower = text.lower()
-    return (PLAIN_WORD if lower.isascii() else WORD).findall(lower)
+    """What ``WORD`` finds in the text in small letters, by replacing what is in no word."""
+    if text.isascii():
+        return text.translate(PLAIN_TEXT).split()
+    raw = text.encode("utf-8", "surrogatepass")
+    others = set(raw.translate(None, ASCII).decode("utf-8", "surrogatepass"))
+    changed = [(c, new) for c in others if (new := _in_words(c)) != c]
+    if len(changed) > REPLACED or "\u03a3" in others:  # the small form of a capital sigma depends on where it stands
+        return WORD.findall(text.lower())
+    for old, new in changed:  # none is changed twice: what is small stays small
+        raw = raw.replace(old.encode("utf-8", "surrogatepass"), new.encode("utf-8", "surrogatepass"))
+    return raw.translate(PLAIN).decode("utf-8", "surrogatepass").split()
 
 
 def features(text: str) -> Counter:
@@ -176,7 +194,7 @@ class WordIndex:
         self.most_often = np.stack([self.often[at:at + BLOCK].max(axis=0) for at in range(0, size, BLOCK)]) if size else np.zeros((0, len(often)))
         seldom = np.flatnonzero(~dense)
         seldom = seldom[np.lexsort((row[seldom], word[seldom]))]
-        self.rows, self.weights = row[seldom].astype(np.intp), weight[seldom]
+        self.rows, self.weights = row[seldom].astype(np.min_scalar_type(size)), weight[seldom]
         self.start = np.concatenate([[0], np.cumsum(np.bincount(word[seldom], minlength=words))])
 
     def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, without: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -188,7 +206,9 @@ class WordIndex:
             many[q, column[column >= 0]] = weights[column >= 0]
             few, own = words[column < 0], weights[column < 0]
             at, count = _runs(self.start, few)
-            scores[q] = np.bincount(self.rows[at], self.weights[at] * np.repeat(own, count), self.blocks * BLOCK)
+            products = self.weights.take(at, mode="wrap")  # every place is there; this mode is the fastest
+            products *= np.repeat(own, count)
+            scores[q] = np.bincount(self.rows.take(at, mode="wrap"), products, self.blocks * BLOCK)
         bound = scores.reshape(len(queries), self.blocks, BLOCK).max(axis=2) + many @ self.most_often.T
         done = np.zeros(bound.shape, bool)
 
@@ -228,7 +248,9 @@ def _runs(start: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     """Places of the postings of ``words``, one run after the other, and the runs' lengths."""
     first = start[words]
     count = start[words + 1] - first
-    return np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum()), count
+    at = np.repeat(first - np.cumsum(count) + count, count)
+    at += np.arange(len(at))
+    return at, count
 
 
 def _vote(found: list[tuple[float, int]], labels: list[float]) -> float:
@@ -327,7 +349,9 @@ class Model:
 
     def __setstate__(self, state: dict) -> None:
         self.__dict__.update(state)
-        self.words = {name: i for i, name in enumerate(state["words"].split(" "))} if state["words"] else {}
+        self.spelt = state["words"].split(" ") if state["words"] else []
+        self.words = {name: i for i, name in enumerate(self.spelt)}
+        self.headed = np.fromiter((name[:HEAD] in self.kept.heads for name in self.spelt), bool, len(self.spelt))  # may speak for a kept feature
         row, count, held = self.packed
         row, word = row.astype(np.int32), np.repeat(np.arange(len(self.words), dtype=np.int32), held)
         self.whole = WordIndex(row, word, _unit(row, word, count, self.word_idf, len(self.ids)), len(self.ids), len(self.words))
@@ -337,9 +361,8 @@ class Model:
         norm = float(np.sqrt(sum(w * w for w in raw.values())))
         return {t: float(w / norm) for t, w in raw.items()} if norm else {}
 
-    def kept_rate(self, words: Counter, total: int) -> float | None:
+    def kept_rate(self, counts: dict[int, int]) -> float | None:
         """The rate by kept features; none without a neighbour."""
-        counts = self.kept(words, total)
         key = tuple(counts.items())
         if key not in self.memory:
             if len(self.memory) >= REMEMBERED:
@@ -352,17 +375,19 @@ class Model:
         """Each text's rate by kept features; the nearest examples by whole text as products with the unweighed text and their rows; the
         square of the text's norm as far as examples have its words, and its other words with their counts."""
         for at in range(0, len(texts), TOGETHER):
-            counted = [Counter(words_of(t)) for t in texts[at:at + TOGETHER]]
-            queries, loose = [], []
-            for counts in counted:
-                word = np.fromiter(map(self.words.get, counts, repeat(-1)), np.int64, len(counts))
-                count = np.fromiter(counts.values(), np.int64, len(counts))
-                loose.append(list(compress(counts.items(), (word < 0).tolist())))
-                known = np.flatnonzero(word >= 0)
-                known = known[np.argsort(word[known])]  # sums run in one order for equal texts
-                queries.append((word[known], (1 + np.log(count[known])) * self.word_idf[word[known]]))
-            for counts, (_, weights), (products, rows), others in zip(counted, queries, self.whole.nearest(queries, self.k), loose):
-                yield self.kept_rate(counts, counts.total()), products.tolist(), rows.tolist(), float(weights @ weights), others
+            queries, features, loose = [], [], []
+            for text in texts[at:at + TOGETHER]:
+                listed = words_of(text)
+                word = np.fromiter(map(self.words.get, listed, repeat(-1)), np.int64, len(listed))
+                others = Counter(compress(listed, (word < 0).tolist()))
+                known, count = np.unique(word[word >= 0], return_counts=True)  # sums run in one order for equal texts
+                queries.append((known, (1 + np.log(count)) * self.word_idf[known]))
+                headed = np.flatnonzero(self.headed[known])
+                told = dict(zip(map(self.spelt.__getitem__, known[headed].tolist()), count[headed].tolist()))
+                features.append(self.kept(told | others, len(listed)))
+                loose.append(list(others.items()))
+            for counts, (_, weights), (products, rows), others in zip(features, queries, self.whole.nearest(queries, self.k), loose):
+                yield self.kept_rate(counts), products.tolist(), rows.tolist(), float(weights @ weights), others
 
     def judge(self, kept: float | None, products: list[float], rows: list[int], square: float) -> tuple[float, list[dict]]:
         """Score and evidence; ``square`` is that of the whole norm."""
@@ -460,6 +485,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column | None = None, doc_id
     documents = frequency.filter("feature is null").agg(F.sum("n")).first()[0] or 0
     used = examples.select(F.explode(F.map_keys("found")).alias("feature")).filter(F.col("feature").startswith("=") | F.col("feature").isin(names))
     met = frequency.join(used.distinct(), "feature", "left_semi").toArrow()  # at most the words of the examples
+    met = met.sort_by([("n", "descending"), ("feature", "ascending")])  # what is looked up most lies together
     feature = met["feature"].combine_chunks()
     idf = np.log((documents + 1) / (met["n"].to_numpy() + 1)) + 1
     as_kept = pc.index_in(feature, value_set=pa.array(names, pa.string())).fill_null(-1).to_numpy().astype(np.int32)

@@ -185,3 +185,30 @@ def test_blocks_are_judged_by_sums_not_by_sums_of_maxima():
 def test_plain_texts_have_the_same_words():
     for text in ("", "Plain text_1, x-y 2.5\n\tEND", "naïve Ünder_9 İstanbul Kelvin K ٠١ z", "a\x1cb\x7fc\x85d"):
         assert toxicity.words_of(text) == toxicity.WORD.findall(text.lower())
+
+
+def test_ordinary_texts_are_not_searched_character_by_character(monkeypatch):
+    """Words come from replacing what is in no word; the pattern is for texts with very many other characters, or a capital sigma."""
+    texts = ("Plain text_1, x-y 2.5\n\tEND", "naïve Ünder_9 — “İstanbul” ’s ٠١ z Ǆ")
+    want = [toxicity.WORD.findall(t.lower()) for t in texts]
+    class Characters:
+        def match(self, text):
+            assert len(text) == 1
+            return text.isalnum() or text == "_"
+
+    monkeypatch.setattr(toxicity, "WORD", Characters())
+    toxicity._in_words.cache_clear()
+    assert [toxicity.words_of(t) for t in texts] == want
+
+
+def test_words_of_any_character():
+    signs = "".join(map(chr, range(0x2010, 0x2060)))
+    for text in (*(f"Aa{chr(c)}B " for c in range(0, 0x3000)), *(f"Aa{chr(c)}B " for c in range(0x3000, 0x110000, 97)), "ΟΔΟΣ ΣΑΣ Σ", f"A {'b'.join(signs)}É"):
+        assert toxicity.words_of(text) == toxicity.WORD.findall(text.lower())
+
+
+def test_words_of_many_documents_come_first(spark):
+    """What is looked up most lies together; the order is the same in every run."""
+    docs = [(i, " ".join(["every", *["third"] * (i % 3 == 0), *["tenth"] * (i % 10 == 0), *["alone"] * (i == 7), "idiot" if i % 2 else "calm"])) for i in range(60)]
+    model = toxicity.fit(documents(spark, docs), spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, toxic int"))
+    assert list(model.words) == ["every", "calm", "idiot", "third", "tenth", "alone"]
