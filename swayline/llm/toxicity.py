@@ -145,7 +145,7 @@ class BlockMaxIndex:
     def _scores(self, terms: list[tuple], alive: np.ndarray) -> np.ndarray:
         scores = np.zeros(self.size)
         for weight, (rows, weights, block, _, _) in terms:
-            among = alive[block]
+            among = np.flatnonzero(alive[block])
             scores[rows[among]] += weight * weights[among]
         return scores
 
@@ -380,7 +380,10 @@ class Model:
                 listed = words_of(text)
                 word = np.fromiter(map(self.words.get, listed, repeat(-1)), np.int64, len(listed))
                 others = Counter(compress(listed, (word < 0).tolist()))
-                known, count = np.unique(word[word >= 0], return_counts=True)  # sums run in one order for equal texts
+                word.sort()  # sums run in one order for equal texts
+                word = word[word.searchsorted(0):]
+                first = np.flatnonzero(np.diff(word, prepend=-1))
+                known, count = word[first], np.diff(first, append=len(word))
                 queries.append((known, (1 + np.log(count)) * self.word_idf[known]))
                 headed = np.flatnonzero(self.headed[known])
                 told = dict(zip(map(self.spelt.__getitem__, known[headed].tolist()), count[headed].tolist()))
