@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,7 +14,7 @@ from swayline.config import SEARCH_SPACE, BoostConfig, CurveConfig
 from swayline.operators.curves import ScoreColumns, qini_auc
 from swayline.operators.learners import T_COL, Y_COL, TwoModels, fit_t_learner
 from swayline.operators.splits import draw_parameters, stratified_hold_out
-from swayline.operators.trees import BOOST_ROWS, feature_array, fit_boosted
+from swayline.operators.trees import BOOST_ROWS, feature_array, fit_boosted, gathered
 from swayline.sources.storage import materialise
 
 
@@ -75,15 +75,18 @@ def search(train: DataFrame, features: Sequence[str], trials: int = 20, seed: in
     settings = {(i, arm): boost_of(p, seed + 1 - arm) for i, p in enumerate(drawn, 1) for arm in (1, 0)}
     fitted = fit_boosted(fit_part, features, Y_COL, {f"{i}:{arm}": (arm, c) for (i, arm), c in settings.items()}, T_COL, cols.member, task_rows)
     shared, width = train.sparkSession.sparkContext.broadcast(fitted), len(features)
-
-    @F.arrow_udf("array<double>")
-    def uplifts(x: pa.Array) -> pa.Array:
-        rows = x.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-        found = [shared.value[f"{i}:1"].predict(rows) - shared.value[f"{i}:0"].predict(rows) for i in range(1, trials + 1)]
-        return pa.array(list(np.stack(found, axis=1)), pa.list_(pa.float64()))
-
-    both = fit_part.withColumn("split", F.lit("train")).unionByName(val_part.withColumn("split", F.lit("val")))
-    scored = both.select("split", cols.member, cols.outcome, cols.treatment, F.posexplode(uplifts(feature_array(features))).alias("trial", cols.score))
+    both = fit_part.withColumn("split", F.lit("train")).unionByName(val_part.withColumn("split", F.lit("val"))).select(
+        "split", cols.member, cols.outcome, cols.treatment, feature_array(features).alias("x"))
+
+    def rated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches):
+            rows = batch.column(4).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            found = np.stack([shared.value[f"{i}:1"].predict(rows) - shared.value[f"{i}:0"].predict(rows) for i in range(1, trials + 1)], axis=1)
+            scores = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * trials), pa.array(found.ravel()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], scores], [*batch.schema.names[:4], "scores"])
+
+    kind = T.StructType([*both.schema.fields[:4], T.StructField("scores", T.ArrayType(T.DoubleType()))])
+    scored = both.mapInArrow(rated, kind).select("split", cols.member, cols.outcome, cols.treatment, F.posexplode("scores").alias("trial", cols.score))
     areas = qini_auc(materialise(scored, "trials"), cols, keys=["trial", "split"], cfg=cfg).collect()
     found = {(r["trial"] + 1, r["split"]): float("nan") if r["qini_auc"] is None else r["qini_auc"] for r in areas}
     rows = []
