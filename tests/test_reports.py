@@ -107,3 +107,20 @@ def test_parameter_draws():
     one, two = splits.draw_parameters(space, 50, 1), splits.draw_parameters(space, 50, 1)
     assert one == two and one != splits.draw_parameters(space, 50, 2)
     assert {p["a"] for p in one} == {1, 2, 3} and splits.space_size(space) == 6
+
+
+def test_long_scores_of_both_splits_in_one_pass(spark):
+    from pyspark.sql import functions as F
+
+    from swayline.plans import pipeline
+
+    class Formula:
+        def score(self, df, out="uplift"):
+            return df.withColumn(out, F.col("member_id") / 8.0)
+
+    rows = spark.range(40).select(F.col("id").alias("member_id"), (F.col("id") % 2).alias("y"), (F.col("id") % 3 % 2).alias("treatment"),
+                                  F.when(F.col("id") % 5 == 0, "test").otherwise("train").alias("split"))
+    both = pipeline.long_scores({"a": Formula(), "b": Formula()}, rows, by=["split"])
+    for split in ("train", "test"):
+        alone = pipeline.long_scores({"a": Formula(), "b": Formula()}, rows.filter(F.col("split") == split))
+        assert sorted(both.filter(F.col("split") == split).drop("split").collect()) == sorted(alone.collect())
